@@ -7,18 +7,28 @@ from pyspark.sql import functions as F
 
 
 def distinct_ids(existing: DataFrame, key: str = "post_id") -> DataFrame:
-    """Known keys once each. The distinct shares its shuffle with the join that follows."""
+    """Known keys, once each."""
     return existing.select(key).filter(F.col(key).isNotNull()).distinct()
 
 
+def join_keys(existing: DataFrame, key: str) -> DataFrame:
+    """Known keys, once each, ready to be joined against rows in which a key may be very frequent.
+
+    Adaptive execution splits a skewed join only where both inputs are shuffled for that join. Making the
+    keys distinct together with their hash leaves that shuffle to the join; it moves narrow rows only.
+    """
+    known = existing.select(key, F.xxhash64(key).alias("_hash")).filter(F.col(key).isNotNull())
+    return known.distinct().select(key)
+
+
 def skip_existing(new: DataFrame, existing: DataFrame, key: str = "post_id") -> DataFrame:
     """Rows whose key is not known yet; null keys cannot be checked and are left out."""
-    return new.filter(F.col(key).isNotNull()).join(distinct_ids(existing, key), key, "left_anti")
+    return new.filter(F.col(key).isNotNull()).join(join_keys(existing, key), key, "left_anti")
 
 
 def keep_existing(new: DataFrame, existing: DataFrame, key: str) -> DataFrame:
     """Rows whose key is among the known ones."""
-    return new.join(distinct_ids(existing, key), key, "left_semi")
+    return new.filter(F.col(key).isNotNull()).join(join_keys(existing, key), key, "left_semi")
 
 
 def reconcile_keys(raw: DataFrame, clean: DataFrame, key: str) -> DataFrame:

@@ -458,6 +458,21 @@ SELECT CAST(created_utc AS DATE) AS post_date, subreddit, count(*) AS post_count
 """
 
 
+@check(
+    "curated_counts",
+    """
+    WITH firsts AS (
+      SELECT *, row_number() OVER (PARTITION BY title ORDER BY created_utc ASC NULLS LAST, id, event_id) AS n FROM posts
+    )
+    SELECT CAST(created_utc AS DATE) AS post_date, subreddit, count(*) AS post_count
+    FROM firsts WHERE n = 1 GROUP BY 1, 2
+    """,
+)
+def curated_counts(spark, folder):
+    unique = dedup.dedup_title(fixtures.posts(spark, folder), "event_id")
+    return reports.count_by_date_subreddit(unique)
+
+
 @check("count_by_date_subreddit", BY_DATE_SUBREDDIT_SQL)
 def count_by_date_subreddit(spark, folder):
     return reports.count_by_date_subreddit(fixtures.posts(spark, folder))

@@ -28,8 +28,9 @@ def curate_community(
     The counts come from the written tables, so retried tasks cannot inflate them.
     """
     raw = read_table(spark, raw_path, fmt)
-    write_partitioned(curate(raw, arrival), clean_path, fmt)
-    clean = read_table(spark, clean_path, fmt)
+    posts = curate(raw, arrival)
+    write_partitioned(posts, clean_path, fmt)
+    clean = spark.read.format(fmt).schema(posts.schema).load(clean_path)
     curated = clean.count()
     published = publish(clean, target, mode) if target else 0
     vacuum(spark, f"{fmt}.`{clean_path}`", fmt)

@@ -111,18 +111,27 @@ def stream_quarantine(spark, folder):
     return spark.read.parquet(f"{base}/quarantine").select("message")
 
 
-@check("stream_dedup_watermark", "SELECT DISTINCT title FROM posts")
-def stream_dedup_watermark(spark, folder):
+def unique_titles(spark, folder, spread_by=None):
     """The delay covers the whole table, so every later repeat of a title is dropped."""
     posts = parse_posts(streamed_messages(spark, folder)).select(
-        "title", F.timestamp_seconds("created_utc").alias("created_at")
+        "event_id", "title", F.timestamp_seconds("created_utc").alias("created_at")
     )
-    unique = queries.dedup_within_watermark(posts, ["title"], "created_at", "40 days")
+    unique = queries.dedup_within_watermark(posts, ["title"], "created_at", "40 days", spread_by)
     base = shared_folder(spark, "stream")
     queries.append_stream(unique, f"{base}/raw", f"{base}/checkpoint", trigger=AVAILABLE).awaitTermination()
     return spark.read.parquet(f"{base}/raw").select("title")
 
 
+@check("stream_dedup_watermark", "SELECT DISTINCT title FROM posts")
+def stream_dedup_watermark(spark, folder):
+    return unique_titles(spark, folder)
+
+
+@check("stream_dedup_spread", "SELECT DISTINCT title FROM posts")
+def stream_dedup_spread(spark, folder):
+    return unique_titles(spark, folder, "event_id")
+
+
 @check(
     "stream_daily_counts",
     "SELECT CAST(created_utc AS DATE) AS post_date, subreddit, count(*) AS post_count FROM posts GROUP BY 1, 2",

@@ -10,6 +10,9 @@ from postlake.schema import NESTED_KEYS, POST_SCHEMA
 
 CORRUPT = "_corrupt_record"
 
+# Fixed value: the part of a listing document that is read; each post stays JSON text.
+LISTING = "data struct<after string, children array<struct<data string>>>"
+
 
 def parse_messages(messages: DataFrame, schema: StructType = POST_SCHEMA, value: str = "value") -> DataFrame:
     """Parse `value` (text or bytes) against the schema and keep the text of anything that did not fit.
@@ -51,11 +54,11 @@ def drop_nested_keys(value: Column) -> Column:
 
 def unwrap_listing(documents: DataFrame, value: str = "value") -> DataFrame:
     """First post and cursor of each listing document; listings without children are dropped."""
-    text = F.col(value).cast("string")
-    return documents.select(
-        F.get_json_object(text, "$.data.children[0].data").alias("value"),
-        F.get_json_object(text, "$.data.after").alias("after"),
-    ).filter(F.col("value").isNotNull())
+    listing = documents.select(F.from_json(F.col(value).cast("string"), LISTING).alias("listing"))
+    first = F.explode(F.slice("listing.data.children", 1, 1)).alias("child")
+    return listing.select(F.col("listing.data.after").alias("after"), first).select(
+        F.col("child.data").alias("value"), "after"
+    )
 
 
 def edited_flag(edited: Column) -> Column:

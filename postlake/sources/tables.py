@@ -45,9 +45,13 @@ def load_union(
 def jdbc_options(
     url: str, driver: str, user: str | None = None, password: str | None = None, **options: str
 ) -> dict[str, str]:
-    """Connection options; everything is supplied by the caller and nothing is stored here."""
-    login = {"user": user, "password": password}
-    return {"url": url, "driver": driver} | {k: v for k, v in login.items() if v is not None} | options
+    """Connection options; every connection value is the caller's.
+
+    An overwrite empties the table and keeps its definition, and writers share few connections.
+    """
+    login = {name: value for name, value in {"user": user, "password": password}.items() if value is not None}
+    defaults = {"truncate": "true", "batchsize": "10000", "numPartitions": "16"}
+    return {"url": url, "driver": driver} | login | defaults | options
 
 
 def read_jdbc(

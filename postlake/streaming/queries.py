@@ -120,12 +120,20 @@ def await_any(spark: SparkSession, timeout: float | None = None) -> bool | None:
     return spark.streams.awaitAnyTermination(timeout)
 
 
-def dedup_within_watermark(posts: DataFrame, keys: Sequence[str], event_time: str, delay: str) -> DataFrame:
+def dedup_within_watermark(
+    posts: DataFrame, keys: Sequence[str], event_time: str, delay: str, spread_by: str | None = None, spread: int = 32
+) -> DataFrame:
     """The first arrival per key while `delay` lasts; state older than that is dropped.
 
-    A repeat that comes later than `delay` passes and is removed by the batch deduplication.
+    A repeat that comes later than `delay` passes and is removed by the batch deduplication. Where one key may
+    fill a large share of the stream, `spread_by` names a column that differs between its rows: they are then
+    first deduplicated in `spread` parts, so that the task that owns the key sees at most one row per part.
     """
-    return posts.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(list(keys))
+    timed = posts.withWatermark(event_time, delay)
+    if spread_by is None:
+        return timed.dropDuplicatesWithinWatermark(list(keys))
+    parted = timed.withColumn("_part", F.pmod(F.xxhash64(spread_by), F.lit(spread)))
+    return parted.dropDuplicatesWithinWatermark([*keys, "_part"]).drop("_part").dropDuplicatesWithinWatermark(list(keys))
 
 
 def daily_counts(posts: DataFrame, event_time: str, delay: str) -> DataFrame:
