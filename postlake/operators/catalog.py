@@ -52,9 +52,14 @@ def table_columns(spark: SparkSession, table: str) -> DataFrame:
 
 
 def inventory(spark: SparkSession, database: str) -> DataFrame:
-    """Rows and columns of every table of a database; only names and schemas pass through the driver."""
+    """Rows and columns of every table of a database; only names and schemas pass through the driver.
+
+    Temporary views are listed with every database and are left out.
+    """
     counted = []
     for entry in spark.catalog.listTables(database):
+        if entry.isTemporary:
+            continue
         table = spark.table(f"`{database}`.`{entry.name}`")
         counted.append(
             table.agg(F.count(F.lit(1)).alias("row_count")).select(

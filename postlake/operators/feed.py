@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from postlake.functions.columns import iso_timestamp, matches_search
 from postlake.operators.dedup import dedup_posts, has_key
-from postlake.operators.paging import page
+from postlake.operators.paging import DEEP_OFFSET, page
 from postlake.schema import FEED_COLUMNS
 
 # Source ids, sortable columns, page bounds and defaults of the feed interface.
@@ -79,18 +79,22 @@ def matching_posts(posts, subreddits, subreddit=None, search=None, wildcards=Fal
     return search_posts(filter_subreddit(rows, subreddit, subreddits), search, wildcards)
 
 
-def raw_page(rows: DataFrame, order: Sequence[Column], offset: int, limit: int, arrival: str | None) -> DataFrame:
-    """Page over the best row per post.
+def ranked_page(
+    rows: DataFrame, raw: bool, order: Sequence[Column], offset: int, limit: int, arrival: str | None
+) -> DataFrame:
+    """Page over all rows, or over the best row per post when `raw`.
 
-    With an arrival column (unique per community) the ranking shuffles narrow rows only, and the long text
-    columns are fetched for the rows of the page, of which there are at most MAX_LIMIT.
+    With an arrival column (unique per community) deduplication and deep pages move narrow rows only. The
+    long text columns are then read for the rows of the page, of which there are at most MAX_LIMIT.
     """
-    if not arrival:
-        return page(dedup_posts(rows), order, offset, limit)
+    if not arrival or not (raw or offset > DEEP_OFFSET):
+        return page(dedup_posts(rows, arrival=arrival) if raw else rows, order, offset, limit)
     locator = ["subreddit", "post_id", arrival]
-    winners = dedup_posts(rows.select(*locator, *SORT_COLUMNS), arrival=arrival)
-    wanted = page(winners, order, offset, limit).select(*locator)
-    return rows.join(F.broadcast(wanted), locator).orderBy(*order).limit(limit)
+    narrow = rows.select(*locator, *SORT_COLUMNS)
+    ranked = page(dedup_posts(narrow, arrival=arrival) if raw else narrow, order, offset, limit)
+    wanted = ranked.select(*[F.col(name).alias(f"_{name}") for name in locator])
+    matches = [F.col(name).eqNullSafe(F.col(f"_{name}")) for name in locator]
+    return rows.join(F.broadcast(wanted), matches, "left_semi").orderBy(*order).limit(limit)
 
 
 def feed_page(
@@ -112,11 +116,8 @@ def feed_page(
     raw = source == "trino"
     ordering = feed_order(sort, order, raw)
     rows = matching_posts(posts, subreddits, subreddit, search, wildcards, arrival)
-    if raw:
-        rows = raw_page(rows, ordering, offset, limit, arrival)
-    else:
-        extra = [F.asc_nulls_last(arrival)] if arrival else []
-        rows = page(rows, [*ordering, *extra], offset, limit)
+    tie = [F.asc_nulls_last(arrival)] if arrival else [F.asc_nulls_last(name) for name in FEED_COLUMNS]
+    rows = ranked_page(rows, raw, [*ordering, *tie], offset, limit, arrival)
     return rows.select(*FEED_COLUMNS).withColumn("created_utc", iso_timestamp(F.col("created_utc")))
 
 

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postlake.operators.dedup import dedup_latest
-from postlake.schema import PARTITION_COLUMNS
+from postlake.schema import BATCH_COLUMN, PARTITION_COLUMNS
 
 RETENTION_HOURS = 168
 
@@ -18,15 +19,33 @@ def append_rows(df: DataFrame, path: str, fmt: str = "parquet", **options: str)
     df.write.format(fmt).options(**options).mode("append").save(path)
 
 
-def swap_folder(spark: SparkSession, staged: str, path: str) -> str:
-    """Put the staged table in place of `path` and return where the old one was moved."""
-    jvm = spark._jvm
-    source, target = jvm.org.apache.hadoop.fs.Path(staged), jvm.org.apache.hadoop.fs.Path(path)
-    old = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}__replaced_by_{source.getName()}")
-    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not (files.rename(target, old) and files.rename(source, target)):
-        raise OSError(f"could not move {staged} to {path}; the old table is at {path} or {old}")
-    return old.toString()
+def folder_access(spark: SparkSession, path: str):
+    """The Hadoop path and the file system that holds it."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def staging_path(path: str) -> str:
+    return f"{path.rstrip('/')}__staged_{uuid.uuid4().hex}"
+
+
+def swap_folder(spark: SparkSession, staged: str, path: str) -> str | None:
+    """Put the staged table in place of `path` and return where the old one was moved, if there was one."""
+    source, files = folder_access(spark, staged)
+    target, _ = folder_access(spark, path)
+    old, _ = folder_access(spark, f"{path.rstrip('/')}__replaced_{uuid.uuid4().hex}")
+    replaced = files.exists(target)
+    if replaced and not files.rename(target, old):
+        raise OSError(f"could not move {path} aside; the new table is at {staged}")
+    if not files.rename(source, target):
+        raise OSError(f"could not move {staged} to {path}; the old table is at {old.toString()}")
+    return old.toString() if replaced else None
+
+
+def drop_folder(spark: SparkSession, path: str | None) -> None:
+    if path:
+        place, files = folder_access(spark, path)
+        files.delete(place, True)
 
 
 def rewrite_deduplicated(
@@ -34,31 +53,31 @@ def rewrite_deduplicated(
 ) -> dict:
     """Replace a raw table by its newest row per id, checking the staged copy before the swap.
 
-    The table is never overwritten while it is read. The old files stay next to the table, and their place
-    is returned, until the caller removes them.
+    The table is never overwritten while it is read, and its stream has to be stopped meanwhile. The old files
+    stay next to the table, and their place is returned, until the caller removes them. Folders per
+    micro-batch are kept, so that the stream can go on. A table with a sink log cannot be rewritten this way:
+    readers would follow the log to files that are gone.
     """
+    log, files = folder_access(spark, f"{path.rstrip('/')}/_spark_metadata")
+    if files.exists(log):
+        raise ValueError(f"{path} is managed by a file sink; ingest it with batch_writer or a table format")
     raw = spark.read.format(fmt).load(path)
     if "id" not in raw.columns:
         raise ValueError(f"{path} has no id column")
-    before = raw.count()
+    before, after = raw.count(), raw.select("id").distinct().count()
+    stats = {"before": before, "after": after, "removed": before - after, "replaced": None}
+    if dry_run or after == before:
+        return stats
+    staged = staging_path(path)
     latest = dedup_latest(raw, arrival)
-    if dry_run:
-        after = raw.select("id").distinct().count()
-        return {"before": before, "after": after, "removed": before - after, "replaced": None}
-    staged = f"{path.rstrip('/')}__deduplicated"
-    latest.write.format(fmt).mode("overwrite").save(staged)
-    written = spark.read.format(fmt).load(staged)
-    after, keys = written.count(), written.select("id").distinct().count()
-    if after != keys:
-        raise RuntimeError(f"staged table {staged} holds {after} rows for {keys} ids")
-    if after == before:
-        return {"before": before, "after": after, "removed": 0, "replaced": None}
-    return {
-        "before": before,
-        "after": after,
-        "removed": before - after,
-        "replaced": swap_folder(spark, staged, path),
-    }
+    if BATCH_COLUMN in raw.columns:
+        latest.hint("rebalance", BATCH_COLUMN).write.format(fmt).partitionBy(BATCH_COLUMN).save(staged)
+    else:
+        latest.write.format(fmt).save(staged)
+    written = spark.read.format(fmt).load(staged).count()
+    if written != after:
+        raise RuntimeError(f"staged table {staged} holds {written} rows instead of {after}")
+    return stats | {"replaced": swap_folder(spark, staged, path)}
 
 
 def vacuum_statement(table: str, fmt: str, hours: int = RETENTION_HOURS) -> str | None:

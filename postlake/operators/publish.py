@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from postlake.functions.columns import select_available
 from postlake.operators.dedup import dedup_posts, has_key
 from postlake.operators.matching import keep_existing, skip_existing
-from postlake.schema import SERVING_COLUMNS
+from postlake.schema import SERVING_COLUMNS, SERVING_TYPES
 from postlake.session import shared_folder
 from postlake.sources.tables import read_if_present, read_jdbc
 
@@ -41,6 +41,12 @@ class ServingTable:
         df.write.format(self.fmt).options(**self.options).mode(mode).save(self.path)
 
 
+def serving_ddl(table: str, key: str = "post_id") -> str:
+    """CREATE TABLE text for a database, which is what enforces the key."""
+    columns = [f"{name} {kind}{' PRIMARY KEY' if name == key else ''}" for name, kind in SERVING_TYPES.items()]
+    return f"CREATE TABLE {table} ({', '.join(columns)})"
+
+
 def serving_rows(posts: DataFrame) -> DataFrame:
     """The serving columns that exist, with `id` as `post_id`."""
     return select_available(posts, SERVING_COLUMNS).withColumnRenamed("id", "post_id")

@@ -480,10 +480,18 @@ def count_by_date_subreddit(spark, folder):
 
 @check(
     "top_counts_by_date_subreddit",
-    BY_DATE_SUBREDDIT_SQL + "ORDER BY post_date DESC NULLS LAST, subreddit ASC NULLS LAST LIMIT 20",
+    BY_DATE_SUBREDDIT_SQL + "ORDER BY post_date DESC NULLS LAST, post_count DESC, subreddit ASC NULLS LAST LIMIT 20",
 )
 def top_counts_by_date_subreddit(spark, folder):
-    return reports.count_by_date_subreddit(fixtures.posts(spark, folder), top=20)
+    return reports.count_by_date_subreddit(fixtures.posts(spark, folder), 20, largest_first=True)
+
+
+@check(
+    "first_counts_by_date_subreddit",
+    BY_DATE_SUBREDDIT_SQL + "ORDER BY post_date DESC NULLS LAST, subreddit ASC NULLS LAST LIMIT 20",
+)
+def first_counts_by_date_subreddit(spark, folder):
+    return reports.count_by_date_subreddit(fixtures.posts(spark, folder), 20)
 
 
 @check(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from postlake.operators.curate import curate, write_partitioned
-from postlake.operators.maintenance import vacuum
+from postlake.operators.maintenance import drop_folder, staging_path, swap_folder, vacuum
 from postlake.operators.publish import ServingTable, publish
 from postlake.sources.tables import read_table
 
@@ -25,11 +25,17 @@ def curate_community(
 ) -> dict:
     """Raw table to clean table to serving table, each stage reading what the one before has written.
 
-    The counts come from the written tables, so retried tasks cannot inflate them.
+    Plain files are staged and swapped in, so readers and failed runs keep the last clean table; a table format
+    does that by itself. The counts come from the written tables, so retried tasks cannot inflate them.
     """
     raw = read_table(spark, raw_path, fmt)
     posts = curate(raw, arrival)
-    write_partitioned(posts, clean_path, fmt)
+    if fmt == "parquet":
+        staged = staging_path(clean_path)
+        write_partitioned(posts, staged, fmt)
+        drop_folder(spark, swap_folder(spark, staged, clean_path))
+    else:
+        write_partitioned(posts, clean_path, fmt, overwriteSchema="true")
     clean = spark.read.format(fmt).schema(posts.schema).load(clean_path)
     curated = clean.count()
     published = publish(clean, target, mode) if target else 0

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DateType, IntegerType, StructType, TimestampType
 
 # The payload fields in their declared order. Epoch fields are doubles because a 32-bit
 # float steps by 128 seconds at present-day epochs. `edited` is either a flag or an epoch, so it stays text.
@@ -55,6 +55,29 @@ SERVING_COLUMNS = ["id", "title", "author", "score", "num_comments", "created_ut
 FEED_COLUMNS = ["post_id", *SERVING_COLUMNS[1:], "subreddit"]
 PARTITION_COLUMNS = ["year", "month", "day"]
 
+# Raw tables written per micro-batch have one folder per batch; its number is the order of arrival.
+BATCH_COLUMN = "batch_id"
+
+# The clean table: the payload with its epochs as timestamps, the date and the partition columns.
+CLEAN_SCHEMA = StructType()
+for field in POST_SCHEMA:
+    CLEAN_SCHEMA = CLEAN_SCHEMA.add(field.name, TimestampType() if field.name in EPOCH_COLUMNS else field.dataType)
+CLEAN_SCHEMA = CLEAN_SCHEMA.add("date", DateType())
+for name in PARTITION_COLUMNS:
+    CLEAN_SCHEMA = CLEAN_SCHEMA.add(name, IntegerType())
+
+# Column types of the serving table in a database, `post_id` being its key.
+SERVING_TYPES = {
+    "post_id": "VARCHAR(50)",
+    "title": "TEXT",
+    "author": "VARCHAR(255)",
+    "score": "INT",
+    "num_comments": "INT",
+    "created_utc": "TIMESTAMP",
+    "url": "TEXT",
+    "selftext": "TEXT",
+}
+
 # Topic naming and the site whose own links do not count as outbound.
 TOPIC_PREFIX = "reddit_"
 HOME_SITE = "reddit.com"

@@ -32,16 +32,13 @@ def build_session(app_name: str = "postlake", **settings: str) -> SparkSession:
 
 def shared_root(spark: SparkSession) -> str:
     """The folder every executor can reach: `spark.checkpoint.dir`, or a temporary one in local mode only."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root.rstrip("/")
     context = spark.sparkContext
-    if context.getCheckpointDir():
-        return context.getCheckpointDir()
-    if not context.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="postlake-"))
-    return context.getCheckpointDir()
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not context.getCheckpointDir():
+        if not root and not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
+        context.setCheckpointDir(root or tempfile.mkdtemp(prefix="postlake-"))
+    return (root or context.getCheckpointDir()).rstrip("/")
 
 
 def shared_folder(spark: SparkSession, purpose: str) -> str:

@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from postlake.functions.columns import epoch_to_timestamp
 from postlake.operators.dedup import dedup_latest
+from postlake.schema import BATCH_COLUMN
 from postlake.sources.messages import good_posts, parse_messages, quarantined
 
 logger = logging.getLogger(__name__)
@@ -63,7 +64,7 @@ def batch_writer(
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        folder = f"batch_id={batch_id}"
+        folder = f"{BATCH_COLUMN}={batch_id}"
         parsed = parse_messages(batch).persist()
         try:
             if parsed.isEmpty():

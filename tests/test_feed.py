@@ -85,6 +85,16 @@ def test_deep_pages_equal_shallow_pages(spark):
         assert paging.deep_page(frame, order, offset, 25).collect() == expected
 
 
+def test_deep_feed_pages(spark, monkeypatch):
+    frame = posts(spark, *[{"id": f"{at % 60:02}", "score": at % 4, "title": f"t{at}"} for at in range(200)])
+    options = [{"source": source, "sort": "score", "arrival": "seq", "limit": 10} for source in feed.SOURCES]
+    shallow = [[feed.feed_page(frame, NAMES, offset=at, **o).collect() for at in (0, 20, 50)] for o in options]
+    for module in (feed, paging):
+        monkeypatch.setattr(module, "DEEP_OFFSET", -1)
+    deep = [[feed.feed_page(frame, NAMES, offset=at, **o).collect() for at in (0, 20, 50)] for o in options]
+    assert deep == shallow and all(len(rows) == 10 for pages in deep for rows in pages)
+
+
 def test_requests_are_checked(spark):
     frame = posts(spark)
     for wrong in ({"source": "mysql"}, {"limit": 0}, {"limit": 101}, {"offset": -1}):

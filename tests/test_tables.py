@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from postlake.operators import catalog, curate, maintenance, publish, reports
 from postlake.plans import curation
-from postlake.schema import EPOCH_COLUMNS, POST_SCHEMA, SERVING_COLUMNS
+from postlake.schema import CLEAN_SCHEMA, EPOCH_COLUMNS, POST_SCHEMA, SERVING_COLUMNS, SERVING_TYPES
 from postlake.sources import tables
 
 
@@ -22,6 +22,7 @@ def raw_posts(spark, count=60):
 
 def test_curated_columns(spark):
     frame = curate.curate(spark.createDataFrame([], POST_SCHEMA))
+    assert [(f.name, f.dataType) for f in frame.schema] == [(f.name, f.dataType) for f in CLEAN_SCHEMA]
     assert len(frame.columns) == 103 and frame.columns[-4:] == ["date", "year", "month", "day"]
     assert all(frame.schema[name].dataType.simpleString() == "timestamp" for name in EPOCH_COLUMNS)
     assert frame.count() == 0
@@ -102,6 +103,36 @@ def test_rewrite_keeps_the_newest_rows(spark, tmp_path):
     assert maintenance.rewrite_deduplicated(spark, path)["replaced"] is None
 
 
+def test_rewrite_keeps_batch_folders(spark, tmp_path):
+    path = str(tmp_path / "raw")
+    for batch in range(3):
+        raw_posts(spark).withColumn("created_utc", F.col("created_utc") + batch).write.parquet(f"{path}/batch_id={batch}")
+    assert maintenance.rewrite_deduplicated(spark, path)["after"] == 60
+    assert os.listdir(path).count("batch_id=2") == 1
+    raw_posts(spark, 3).write.parquet(f"{path}/batch_id=3")
+    assert {r.batch_id: r["count"] for r in spark.read.parquet(path).groupBy("batch_id").count().collect()} == {2: 60, 3: 3}
+
+
+def test_rewrite_refuses_a_table_with_a_sink_log(spark, tmp_path):
+    path = tmp_path / "raw"
+    raw_posts(spark).write.parquet(str(path))
+    (path / "_spark_metadata").mkdir()
+    with pytest.raises(ValueError):
+        maintenance.rewrite_deduplicated(spark, str(path))
+
+
+def test_last_hours_reads_recent_days_only(spark, tmp_path):
+    path = str(tmp_path / "clean")
+    curate.write_partitioned(curate.curate(raw_posts(spark)), path)
+    clean = spark.read.parquet(path)
+    now = F.lit(dt.datetime(2023, 11, 30))
+    recent = reports.last_hours(clean, now)
+    since = dt.datetime(2023, 11, 29)
+    assert recent.count() == clean.filter(F.col("created_utc") > F.lit(since)).count() > 0
+    plan = recent._jdf.queryExecution().executedPlan().toString()
+    assert "(make_date(year" in plan[plan.index("PartitionFilters") : plan.index("PushedFilters")]
+
+
 def test_rewrite_needs_an_id(spark, tmp_path):
     path = str(tmp_path / "raw")
     maintenance.append_rows(spark.range(3).withColumnRenamed("id", "key"), path)
@@ -149,6 +180,7 @@ def test_catalog(spark, tmp_path):
     catalog.register_table(spark, "lake.news_clean", path, schema=schema, partitions=["year", "month", "day"])
     assert spark.table("lake.news_clean").count() == 0
     assert maintenance.repair_partitions(spark, "lake.news_clean").count() == 30
+    raw_posts(spark).createOrReplaceTempView("not_in_the_database")
     assert [(r.table_name, r.row_count) for r in catalog.inventory(spark, "lake").collect()] == [("news_clean", 30)]
     columns = catalog.table_columns(spark, "lake.news_clean").orderBy("position").collect()
     assert [row.name for row in columns][-3:] == ["year", "month", "day"]
@@ -158,6 +190,8 @@ def test_catalog(spark, tmp_path):
 
 def test_serving_columns():
     assert SERVING_COLUMNS[0] == "id" and len(SERVING_COLUMNS) == 8
+    assert list(SERVING_TYPES)[1:] == SERVING_COLUMNS[1:]
+    assert publish.serving_ddl("t").startswith("CREATE TABLE t (post_id VARCHAR(50) PRIMARY KEY, title TEXT")
 
 
 def test_empty_tables_are_counted(spark):
