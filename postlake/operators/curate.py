@@ -25,12 +25,24 @@ def curate(raw: DataFrame, arrival: str | None = None) -> DataFrame:
     return with_date_parts(with_timestamps(dedup_title(raw, arrival)))
 
 
-def write_partitioned(df: DataFrame, path: str, fmt: str = "parquet", incremental: bool = False, **options) -> None:
-    """Overwrite the table, or with `incremental` only the days present in `df`.
+def new_titles(curated: DataFrame, clean: DataFrame) -> DataFrame:
+    """Curated rows whose title the clean table does not hold; a null title counts as one title."""
+    known = clean.select(F.col("title").alias("_title"))
+    return curated.join(known, F.col("title").eqNullSafe(F.col("_title")), "left_anti")
+
+
+def curate_batch(raw: DataFrame, clean: DataFrame, arrival: str | None = None) -> DataFrame:
+    """What a batch of raw posts adds to the clean table, without reading earlier raw posts again."""
+    return new_titles(curate(raw, arrival), clean)
+
+
+def write_partitioned(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite", **options) -> None:
+    """Write by day: `overwrite` replaces the table, `replace_days` the days present in `df`, `append` adds rows.
 
     The rebalance puts one day in few files and lets Spark split a day that is larger than a partition.
     """
-    writer = df.hint("rebalance", *PARTITION_COLUMNS).write.format(fmt).mode("overwrite").options(**options)
-    if incremental:
+    writer = df.hint("rebalance", *PARTITION_COLUMNS).write.format(fmt).options(**options)
+    if mode == "replace_days":
         writer = writer.option("partitionOverwriteMode", "dynamic")
+    writer = writer.mode("append" if mode == "append" else "overwrite")
     writer.partitionBy(*PARTITION_COLUMNS).save(path)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from postlake.functions.columns import select_available
 from postlake.operators.dedup import dedup_posts, has_key
+from postlake.operators.maintenance import drop_folder
 from postlake.operators.matching import keep_existing, skip_existing
 from postlake.schema import SERVING_COLUMNS, SERVING_TYPES
 from postlake.session import shared_folder
@@ -76,11 +77,14 @@ def publish(posts: DataFrame, target: ServingTable, mode: str = "skip") -> int:
             raise ValueError("some post ids are already published")
         rows = skip_existing(rows, existing, "post_id")
     staged = shared_folder(spark, "publish")
-    rows.write.parquet(staged)
-    ready = spark.read.schema(rows.schema).parquet(staged)
-    added = ready.count()
-    if added or mode == "overwrite" or existing is None:
-        target.write(ready, "overwrite" if mode == "overwrite" else "append")
+    try:
+        rows.write.parquet(staged)
+        ready = spark.read.schema(rows.schema).parquet(staged)
+        added = ready.count()
+        if added or mode == "overwrite" or existing is None:
+            target.write(ready, "overwrite" if mode == "overwrite" else "append")
+    finally:
+        drop_folder(spark, staged)
     return added
 
 

@@ -63,10 +63,33 @@ def curate_increment(spark, folder):
     full = curate.curate(fixtures.raw_posts(spark, folder), "event_id")
     curate.write_partitioned(full.withColumn("written_by", F.lit("first run")), path)
     again = full.filter(F.col("date") == "2024-01-15").withColumn("written_by", F.lit("second run"))
-    curate.write_partitioned(again, path, incremental=True)
+    curate.write_partitioned(again, path, mode="replace_days")
     return spark.read.parquet(path).select("title", "date", "written_by")
 
 
+@check(
+    "curate_across_batches",
+    """
+    WITH batches AS (
+      SELECT *, CASE WHEN subreddit = 'view' THEN 1 ELSE 2 END AS batch FROM posts
+    ), firsts AS (
+      SELECT *, row_number() OVER (
+        PARTITION BY title ORDER BY batch, date_trunc('second', created_utc) ASC NULLS LAST, id, event_id) AS n
+      FROM batches
+    )
+    SELECT event_id, title, subreddit, CAST(created_utc AS DATE) AS date FROM firsts WHERE n = 1
+    """,
+)
+def curate_across_batches(spark, folder):
+    """`view` posts arrive first; the second batch adds only titles that are new."""
+    path = shared_folder(spark, "clean")
+    raw = fixtures.raw_posts(spark, folder)
+    curate.write_partitioned(curate.curate(raw.filter("subreddit = 'view'"), "event_id"), path)
+    later = curate.curate_batch(raw.filter("subreddit <> 'view'"), spark.read.parquet(path), "event_id")
+    curate.write_partitioned(later, path, mode="append")
+    return spark.read.parquet(path).select("event_id", "title", "subreddit", "date")
+
+
 PUBLISHED = ["post_id", "title", "author", "score", "num_comments", "url", "selftext"]
 
 

@@ -158,6 +158,47 @@ def test_jdbc_options():
     assert "user" not in tables.jdbc_options("jdbc:x", "d")
 
 
+class RecordedReader:
+    """Stands in for a session where a database would be needed."""
+
+    def __init__(self):
+        self.read, self.seen = self, {}
+
+    def format(self, name):
+        self.seen["format"] = name
+        return self
+
+    def options(self, **options):
+        self.seen |= options
+        return self
+
+    def load(self):
+        return self.seen
+
+    def jdbc(self, url, table, predicates, properties):
+        return {"url": url, "table": table, "predicates": predicates} | properties
+
+
+def test_jdbc_reads():
+    connection = tables.jdbc_options("jdbc:x", "d")
+    whole = tables.read_jdbc(RecordedReader(), "s.news", connection)
+    assert (whole["format"], whole["dbtable"], whole["url"]) == ("jdbc", "s.news", "jdbc:x")
+    ids = tables.read_jdbc_ids(RecordedReader(), "s.news", connection)
+    assert ids["query"] == "SELECT DISTINCT post_id FROM s.news" and "dbtable" not in ids
+    parts = tables.read_jdbc(RecordedReader(), "s.news", connection, ["post_id < 'm'", "post_id >= 'm'"])
+    assert len(parts["predicates"]) == 2 and parts["driver"] == "d"
+    target = publish.ServingTable("jdbc", options=connection | {"dbtable": "s.news"})
+    assert target.read(RecordedReader())["dbtable"] == "s.news"
+    assert publish.ServingTable("jdbc", options=connection, exists=False).read(RecordedReader()) is None
+
+
+def test_null_title_is_known_across_batches(spark):
+    schema = "id string, title string, created_utc double"
+    clean = curate.curate(spark.createDataFrame([("1", None, 1.0), ("2", "a", 2.0)], schema))
+    batch = spark.createDataFrame([("3", None, 3.0), ("4", "a", 4.0), ("5", "b", 5.0)], schema)
+    assert [row.id for row in curate.curate_batch(batch, clean).collect()] == ["5"]
+
+
 def test_vacuum_statement():
     assert maintenance.vacuum_statement("t", "delta") == "VACUUM t RETAIN 168 HOURS"
     assert maintenance.vacuum_statement("t", "parquet") is None
