@@ -6,6 +6,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from postlake.schema import HOME_SITE, TOPIC_PREFIX
 
@@ -14,6 +15,13 @@ def epoch_to_timestamp(epoch: Column) -> Column:
     return F.timestamp_seconds(epoch)
 
 
+def with_time(df: DataFrame, name: str = "created_utc") -> DataFrame:
+    """`name` as a timestamp: raw tables hold epoch seconds, clean tables already hold timestamps."""
+    if isinstance(df.schema[name].dataType, NumericType):
+        return df.withColumn(name, epoch_to_timestamp(F.col(name)))
+    return df
+
+
 def date_parts(day: Column) -> dict[str, Column]:
     return {"year": F.year(day), "month": F.month(day), "day": F.dayofmonth(day)}
 

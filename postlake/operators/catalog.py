@@ -45,6 +45,20 @@ def describe_columns(df: DataFrame) -> DataFrame:
     return df.sparkSession.createDataFrame(rows, "position int, name string, type string, nullable boolean")
 
 
+def column_report(df: DataFrame) -> DataFrame:
+    """Name, type and number of set values of each column, counted in one pass over the table."""
+    counted = df.agg(*[F.count(F.col(f"`{name}`")).alias(name) for name in df.columns])
+    rows = [
+        F.struct(
+            F.lit(f.name).alias("name"),
+            F.lit(f.dataType.simpleString()).alias("type"),
+            F.col(f"`{f.name}`").alias("non_null"),
+        )
+        for f in df.schema.fields
+    ]
+    return counted.select(F.inline(F.array(*rows)))
+
+
 def table_columns(spark: SparkSession, table: str) -> DataFrame:
     if not spark.catalog.tableExists(table):
         raise ValueError(f"no table {table}")

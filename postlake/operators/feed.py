@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from postlake.functions.columns import iso_timestamp, matches_search
+from postlake.functions.columns import iso_timestamp, matches_search, with_time
 from postlake.operators.dedup import dedup_posts, has_key
 from postlake.operators.paging import DEEP_OFFSET, page
 from postlake.schema import FEED_COLUMNS
@@ -34,9 +34,9 @@ def tagged_union(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def feed_rows(posts: DataFrame, arrival: str | None = None) -> DataFrame:
-    """The nine feed columns, `id` renamed, plus the arrival column when there is one."""
+    """The nine feed columns, `id` renamed and the time a timestamp, plus the arrival column if there is one."""
     renamed = posts if "post_id" in posts.columns else posts.withColumnRenamed("id", "post_id")
-    return renamed.select(*FEED_COLUMNS, *([arrival] if arrival else []))
+    return with_time(renamed.select(*FEED_COLUMNS, *([arrival] if arrival else [])))
 
 
 def filter_subreddit(posts: DataFrame, subreddit: str | None, subreddits: Sequence[str]) -> DataFrame:

@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from postlake.functions.columns import with_time
 from postlake.operators.feed import union_all
 from postlake.schema import PARTITION_COLUMNS
 
@@ -26,13 +27,14 @@ def total_count(df: DataFrame) -> DataFrame:
 
 def count_by_date(df: DataFrame) -> DataFrame:
     """Posts per day, newest day first."""
-    per_day = df.groupBy(F.to_date("created_utc").alias("date")).agg(rows().alias("post_count"))
+    per_day = with_time(df).groupBy(F.to_date("created_utc").alias("date")).agg(rows().alias("post_count"))
     return per_day.orderBy(F.desc_nulls_last("date"))
 
 
 def count_by_date_subreddit(df: DataFrame, top: int | None = None, largest_first: bool = False) -> DataFrame:
     """Posts per day and community: newest day first, then by community name or by count."""
-    counted = df.groupBy(F.to_date("created_utc").alias("post_date"), "subreddit").agg(rows().alias("post_count"))
+    day = F.to_date("created_utc").alias("post_date")
+    counted = with_time(df).groupBy(day, "subreddit").agg(rows().alias("post_count"))
     by_count = [F.desc("post_count")] if largest_first else []
     ordered = counted.orderBy(F.desc_nulls_last("post_date"), *by_count, F.asc_nulls_last("subreddit"))
     return ordered.limit(top) if top else ordered
@@ -114,7 +116,7 @@ def high_engagement_recent(
 def last_hours(df: DataFrame, now: Column | None = None, hours: int = 24) -> DataFrame:
     """Posts created in the hours before `now`, highest score first; a clean table is read from that day on."""
     since = (F.current_timestamp() if now is None else now) - F.expr(f"INTERVAL {int(hours)} HOURS")
-    recent = df.filter(F.col("created_utc") > since)
+    recent = with_time(df).filter(F.col("created_utc") > since)
     if set(PARTITION_COLUMNS) <= set(df.columns):
         recent = recent.filter(F.make_date("year", "month", "day") >= F.to_date(since))
     return recent.orderBy(F.desc_nulls_last("score"), F.asc_nulls_last("created_utc"))

@@ -460,7 +460,7 @@ SELECT CAST(created_utc AS DATE) AS post_date, subreddit, count(*) AS post_count
 
 @check("raw_counts_by_date_subreddit", BY_DATE_SUBREDDIT_SQL)
 def raw_counts_by_date_subreddit(spark, folder):
-    return reports.count_by_date_subreddit(curate.with_timestamps(fixtures.raw_posts(spark, folder)))
+    return reports.count_by_date_subreddit(fixtures.raw_posts(spark, folder))
 
 
 @check(

@@ -35,7 +35,7 @@ def curate_community(
         write_partitioned(posts, staged, fmt)
         drop_folder(spark, swap_folder(spark, staged, clean_path))
     else:
-        write_partitioned(posts, clean_path, fmt, overwriteSchema="true")
+        write_partitioned(posts, clean_path, fmt, mergeSchema="true", overwriteSchema="true")
     clean = spark.read.format(fmt).schema(posts.schema).load(clean_path)
     curated = clean.count()
     published = publish(clean, target, mode) if target else 0

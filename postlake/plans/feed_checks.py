@@ -125,3 +125,21 @@ def feed_summary_clean(spark, folder):
 @check("list_subreddits", "SELECT DISTINCT subreddit FROM posts")
 def list_subreddits(spark, folder):
     return feed.list_subreddits(fixtures.posts(spark, folder))
+
+
+@check(
+    "feed_page_of_epochs",
+    """
+    SELECT post_id, strftime(created_utc, '%Y-%m-%dT%H:%M:%S') AS created_utc FROM (
+      SELECT id AS post_id, created_utc, row_number() OVER (
+        PARTITION BY id ORDER BY coalesce(score, 0) DESC, event_id) AS n
+      FROM posts WHERE id <> ''
+    ) AS best WHERE n = 1
+    ORDER BY date_trunc('second', best.created_utc) DESC, post_id LIMIT 25
+    """,
+)
+def feed_page_of_epochs(spark, folder):
+    """A raw table whose times are epoch seconds."""
+    raw = fixtures.raw_posts(spark, folder)
+    page = feed.feed_page(raw, fixtures.COMMUNITIES, source="trino", arrival="event_id")
+    return page.select("post_id", "created_utc")

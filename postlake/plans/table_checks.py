@@ -238,12 +238,16 @@ def catalog_inventory(spark, folder):
 @check(
     "table_columns",
     """
-    SELECT * FROM (VALUES ('event_id', 'bigint'), ('ts', 'timestamp_ntz'), ('user_id', 'bigint'),
-                          ('event_type', 'string'), ('value', 'double'), ('props', 'string')) AS t(name, type)
+    SELECT 'event_id' AS name, 'bigint' AS type, count(event_id) AS non_null FROM events
+    UNION ALL SELECT 'ts', 'timestamp_ntz', count(ts) FROM events
+    UNION ALL SELECT 'user_id', 'bigint', count(user_id) FROM events
+    UNION ALL SELECT 'event_type', 'string', count(event_type) FROM events
+    UNION ALL SELECT 'value', 'double', count(value) FROM events
+    UNION ALL SELECT 'props', 'string', count(props) FROM events
     """,
 )
 def table_columns(spark, folder):
-    return catalog.describe_columns(fixtures.table(spark, folder, "events")).select("name", "type")
+    return catalog.column_report(fixtures.table(spark, folder, "events"))
 
 
 @check(

@@ -60,7 +60,8 @@ def batch_writer(
 
     Each batch owns a `batch_id=…` folder that a replay overwrites, so a failed and repeated batch leaves no
     second copy; the folder number is also the arrival order of the raw table. When the raw table cannot be
-    written, the messages go to the dead-letter folder and the stream continues.
+    written, the messages go to the dead-letter folder and the stream continues; that folder can be given to this
+    function again.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:

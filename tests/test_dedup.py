@@ -109,6 +109,17 @@ def test_one_row_per_task_reaches_the_shuffle(spark):
     assert plan.count("Exchange") == 1
 
 
+def test_frequent_key_is_cut_before_the_shuffle(spark):
+    """Half of 200,000 rows share a key; each of the 8 input tasks may ship one of them."""
+    rows = spark.range(0, 200_000, 1, 8).selectExpr(
+        "CAST(id AS INT) AS seq", "IF(id % 2 = 0, 'hot', CAST(id AS STRING)) AS post_id", "CAST(id % 1000 AS INT) AS score"
+    )
+    best = dedup.dedup_posts(rows, arrival="seq")
+    assert best.filter("post_id = 'hot'").select("seq", "score").collect() == [(998, 998)]
+    plan = best._jdf.queryExecution().executedPlan()
+    assert best.count() == 100_001 and "WindowGroupLimit" in plan.toString()
+
+
 def test_skip_and_keep_existing(spark):
     new = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3), (None, 4)], "post_id string, seq int")
     known = spark.createDataFrame([("a",), ("a",), (None,)], "post_id string")

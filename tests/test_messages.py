@@ -41,7 +41,7 @@ def test_edited_may_be_a_number(spark):
 
 
 def test_malformed_messages_are_quarantined(spark):
-    bad = ["not json", "[1,2]", "", None, "{}"]
+    bad = ["not json", "[1,2]", '[{"id":"b"}]', '{"id":"c"', "", None, "{}"]
     frame = parsed(spark, '{"id":"a"}', *bad)
     assert sorted(messages.quarantined(frame).collect(), key=str) == sorted([(text,) for text in bad], key=str)
     assert messages.good_posts(frame).count() == 1

@@ -98,6 +98,20 @@ def test_stateful_dedup_spans_batches(spark, tmp_path):
         assert spark.read.parquet(raw).count() == 100
 
 
+def test_daily_counts_close_behind_the_watermark(spark, tmp_path):
+    day = 86400.0
+    write_lines(tmp_path / "in", "a.json", [post(n, created_utc=1700006400.0 + n) for n in range(3)])  # 2023-11-15
+    write_lines(tmp_path / "in", "b.json", [post(9, created_utc=1700006400.0 + 5 * day)])
+    posts = parse_posts(messages(spark, tmp_path / "in", maxFilesPerTrigger="1")).select(
+        "subreddit", F.timestamp_seconds("created_utc").alias("at")
+    )
+    counts = queries.daily_counts(posts, "at", "1 day")
+    path = str(tmp_path / "counts")
+    queries.append_stream(counts, path, str(tmp_path / "cp"), trigger=AVAILABLE).awaitTermination()
+    rows = [(str(r.post_date), r.subreddit, r.post_count) for r in spark.read.parquet(path).collect()]
+    assert rows == [("2023-11-15", "news", 3)]
+
+
 def test_communities_by_topic(spark, tmp_path):
     frame = spark.createDataFrame([("reddit_news", "{}")], "topic string, value string")
     assert sources.with_community(frame).first().community == "news"

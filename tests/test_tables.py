@@ -6,7 +6,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from postlake.operators import catalog, curate, maintenance, publish, reports
-from postlake.plans import curation
+from postlake.plans import curation, jobs, raw_tables
 from postlake.schema import CLEAN_SCHEMA, EPOCH_COLUMNS, POST_SCHEMA, SERVING_COLUMNS, SERVING_TYPES
 from postlake.sources import tables
 
@@ -199,6 +199,37 @@ def test_null_title_is_known_across_batches(spark):
     assert [row.id for row in curate.curate_batch(batch, clean).collect()] == ["5"]
 
 
+def test_failed_table_does_not_stop_the_others(spark, tmp_path):
+    for name in ("news", "aws"):
+        maintenance.append_rows(raw_posts(spark).unionAll(raw_posts(spark, 30)), str(tmp_path / name))
+    paths = {name: str(tmp_path / name) for name in ("news", "absent", "aws")}
+    trial = raw_tables.deduplicate_tables(spark, paths, dry_run=True)
+    assert {row.subreddit: row.removed for row in trial.collect()} == {"news": 30, "absent": None, "aws": 30}
+    rows = {row.subreddit: row for row in raw_tables.with_total(raw_tables.deduplicate_tables(spark, paths)).collect()}
+    assert "PATH_NOT_FOUND" in rows["absent"].error and rows["news"].error is None
+    assert (rows["TOTAL"].before, rows["TOTAL"].after, rows["TOTAL"].percent_removed) == (180, 120, 33.33)
+    assert spark.read.parquet(paths["aws"]).count() == 60
+
+
+def test_jobs(spark, tmp_path, capsys):
+    lake = ["--lake", str(tmp_path)]
+    full = spark.createDataFrame([], POST_SCHEMA).unionByName(raw_posts(spark), allowMissingColumns=True)
+    maintenance.append_rows(full, str(tmp_path / "news"))
+    serving = str(tmp_path / "serving")
+    for published in (30, 0):
+        chosen = jobs.arguments([*lake, "curate", "--serving", serving, "news"])
+        row = jobs.JOBS[chosen.job](spark, chosen).first()
+        assert (row.read, row.curated, row.published) == (60, 30, published)
+    assert spark.read.parquet(f"{serving}/news").count() == 30
+    for source, ids in (("postgres", ["58", "56"]), ("trino", ["59", "58"])):
+        chosen = jobs.arguments([*lake, "feed", "--source", source, "--limit", "2", "--sort", "score", "news", "absent"])
+        assert [row.post_id for row in jobs.JOBS[chosen.job](spark, chosen).collect()] == ids
+    chosen = jobs.arguments([*lake, "deduplicate", "--dry-run", "news"])
+    assert jobs.JOBS[chosen.job](spark, chosen).filter("subreddit = 'TOTAL'").first().removed == 0
+    chosen = jobs.arguments([*lake, "curate", "--serving", "s", "--jdbc-url", "u", "--jdbc-driver", "d", "Big News"])
+    assert jobs.serving_table(chosen, "Big News").options["dbtable"] == "s.big_news"
+
+
 def test_vacuum_statement():
     assert maintenance.vacuum_statement("t", "delta") == "VACUUM t RETAIN 168 HOURS"
     assert maintenance.vacuum_statement("t", "parquet") is None
