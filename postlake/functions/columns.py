@@ -78,7 +78,7 @@ def matches_search(text: str, *columns: str, wildcards: bool = False) -> Column:
     found = F.lit(False)
     for name in columns:
         value = F.lower(F.col(name))
-        hit = value.like(f"%{text.lower()}%") if wildcards else F.contains(value, F.lower(F.lit(text)))
+        hit = F.like(value, F.lower(F.lit(f"%{text}%"))) if wildcards else F.contains(value, F.lower(F.lit(text)))
         found = found | hit
     return found
 

@@ -30,7 +30,11 @@ def staging_path(path: str) -> str:
 
 
 def swap_folder(spark: SparkSession, staged: str, path: str) -> str | None:
-    """Put the staged table in place of `path` and return where the old one was moved, if there was one."""
+    """Put the staged table in place of `path` and return where the old one was moved, if there was one.
+
+    Both copies exist until the caller drops the old one; if the driver is lost between the two moves, they lie
+    next to `path` under `__staged_` and `__replaced_` names.
+    """
     source, files = folder_access(spark, staged)
     target, _ = folder_access(spark, path)
     old, _ = folder_access(spark, f"{path.rstrip('/')}__replaced_{uuid.uuid4().hex}")

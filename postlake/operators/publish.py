@@ -61,11 +61,10 @@ def unique_rows(rows: DataFrame) -> DataFrame:
 
 
 def publish(posts: DataFrame, target: ServingTable, mode: str = "skip") -> int:
-    """Publish curated posts and return how many rows the target gained.
+    """Publish curated posts and return how many rows the target gained, or holds after `overwrite`.
 
     `skip` appends the ids that are new, so that repeating a run (or finishing one that lost its executors)
     adds nothing twice; `overwrite` replaces the table; `fail` raises when any id is already there.
-    The rows to write are fixed in the shared folder first: the target must not be read while it grows.
     """
     if mode not in MODES:
         raise ValueError(f"unknown mode {mode!r}; use one of {MODES}")
@@ -76,13 +75,27 @@ def publish(posts: DataFrame, target: ServingTable, mode: str = "skip") -> int:
         if mode == "fail" and not keep_existing(rows, existing, "post_id").isEmpty():
             raise ValueError("some post ids are already published")
         rows = skip_existing(rows, existing, "post_id")
+    how = "overwrite" if mode == "overwrite" else "append"
+    if target.fmt == "jdbc":
+        return write_staged(rows, target, how)
+    before = 0 if existing is None else existing.count()
+    target.write(rows, how)
+    return target.read(spark).count() - before
+
+
+def write_staged(rows: DataFrame, target: ServingTable, how: str) -> int:
+    """Fix the rows in the shared folder first: a retried task must not read a database that is being filled.
+
+    File tables and table formats need no such copy, because a frame keeps the files it has listed.
+    """
+    spark = rows.sparkSession
     staged = shared_folder(spark, "publish")
     try:
         rows.write.parquet(staged)
         ready = spark.read.schema(rows.schema).parquet(staged)
         added = ready.count()
-        if added or mode == "overwrite" or existing is None:
-            target.write(ready, "overwrite" if mode == "overwrite" else "append")
+        if added or how == "overwrite":
+            target.write(ready, how)
     finally:
         drop_folder(spark, staged)
     return added

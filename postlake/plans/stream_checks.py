@@ -17,18 +17,26 @@ STAGED_FILES = 4
 BY_SUBREDDIT_SQL = "SELECT subreddit, count(*) AS post_count FROM posts GROUP BY subreddit"
 
 
-def streamed_messages(spark, folder, *kept):
+def stream_session(spark):
+    """A session for streams: their state has one partition per core, which later batch queries must not inherit."""
+    session = spark.newSession()
     for name, value in SESSION_SETTINGS.items():
-        if "stateStore" in name:
-            spark.conf.set(name, value)
-    return fixtures.payload(fixtures.epoch_posts(fixtures.streamed_events(spark, folder)), "event_id", *kept)
+        if name.startswith("spark.sql."):
+            session.conf.set(name, value)
+    session.conf.set("spark.sql.shuffle.partitions", str(spark.sparkContext.defaultParallelism))
+    return session
+
+
+def streamed_messages(spark, folder, *kept):
+    events = fixtures.streamed_events(stream_session(spark), folder)
+    return fixtures.payload(fixtures.epoch_posts(events), "event_id", *kept)
 
 
 def staged_messages(spark, folder):
     """The messages as several files, read one per micro-batch."""
     path = shared_folder(spark, "messages")
     fixtures.post_messages(spark, folder).select("value").repartition(STAGED_FILES).write.text(path)
-    return open_messages(spark, "text", path, maxFilesPerTrigger="1")
+    return open_messages(stream_session(spark), "text", path, maxFilesPerTrigger="1")
 
 
 def by_subreddit(posts):
@@ -106,7 +114,7 @@ def stream_batch_dedup(spark, folder):
 @check("stream_quarantine", "SELECT text AS message FROM documents")
 def stream_quarantine(spark, folder):
     documents = fixtures.table(spark, folder, "documents")
-    stream = spark.readStream.schema(documents.schema).option("pathGlobFilter", "documents.parquet").parquet(folder)
+    stream = stream_session(spark).readStream.schema(documents.schema).option("pathGlobFilter", "documents.parquet").parquet(folder)
     base = run_ingest(spark, stream.select(F.col("text").alias("value")))
     return spark.read.parquet(f"{base}/quarantine").select("message")
 

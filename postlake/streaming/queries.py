@@ -135,11 +135,12 @@ def dedup_within_watermark(
     if spread_by is None:
         return timed.dropDuplicatesWithinWatermark(list(keys))
     parted = timed.withColumn("_part", F.pmod(F.xxhash64(spread_by), F.lit(spread)))
-    return parted.dropDuplicatesWithinWatermark([*keys, "_part"]).drop("_part").dropDuplicatesWithinWatermark(list(keys))
+    first = parted.dropDuplicatesWithinWatermark([*keys, "_part"]).drop("_part")
+    return first.dropDuplicatesWithinWatermark(list(keys))
 
 
 def daily_counts(posts: DataFrame, event_time: str, delay: str) -> DataFrame:
     """Posts per day and community as they stream in."""
-    day = F.window(event_time, "1 day")
-    counted = posts.withWatermark(event_time, delay).groupBy(day, "subreddit").agg(F.count(F.lit(1)).alias("post_count"))
+    timed = posts.withWatermark(event_time, delay)
+    counted = timed.groupBy(F.window(event_time, "1 day"), "subreddit").agg(F.count(F.lit(1)).alias("post_count"))
     return counted.select(F.to_date("window.start").alias("post_date"), "subreddit", "post_count")

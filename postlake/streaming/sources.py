@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from postlake.functions.columns import label_of_topic
 from postlake.schema import TOPIC_PREFIX
@@ -45,7 +46,9 @@ def bounded_kafka_options(servers: str, subreddits: Sequence[str]) -> dict[str,
     return options | {"minOffsetsPerTrigger": str(BATCH_MESSAGES), "maxTriggerDelay": BATCH_DELAY}
 
 
-def open_messages(spark: SparkSession, fmt: str = "kafka", path: str | None = None, schema=None, **options) -> DataFrame:
+def open_messages(
+    spark: SparkSession, fmt: str = "kafka", path: str | None = None, schema: StructType | None = None, **options: str
+) -> DataFrame:
     """A streaming frame with a `value` column: `kafka`, `text` files, or any other streaming source."""
     reader = spark.readStream.format(fmt).options(**options)
     if schema is not None:

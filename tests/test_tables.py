@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from postlake.operators import catalog, curate, maintenance, publish, reports
 from postlake.plans import curation, jobs, raw_tables
 from postlake.schema import CLEAN_SCHEMA, EPOCH_COLUMNS, POST_SCHEMA, SERVING_COLUMNS, SERVING_TYPES
+from postlake.session import shared_root
 from postlake.sources import tables
 
 
@@ -274,3 +275,12 @@ def test_empty_tables_are_counted(spark):
 def test_top_k_does_not_sort_the_table(spark):
     plan = reports.most_recent(raw_posts(spark), ["id"])._jdf.queryExecution().executedPlan().toString()
     assert "TakeOrderedAndProject" in plan and "Exchange rangepartitioning" not in plan
+
+
+def test_staged_publication_cleans_up(spark, tmp_path):
+    target = publish.ServingTable(path=str(tmp_path / "serving"))
+    rows = publish.serving_rows(curate.curate(raw_posts(spark)))
+    assert publish.write_staged(rows, target, "append") == 30
+    assert publish.write_staged(rows.limit(0), target, "append") == 0
+    assert target.read(spark).count() == 30
+    assert not [name for name in os.listdir(f"{shared_root(spark)}/postlake") if name.startswith("publish-")]
