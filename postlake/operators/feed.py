@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 
 from postlake.functions.columns import iso_timestamp, matches_search, with_time
 from postlake.operators.dedup import dedup_posts, has_key
-from postlake.operators.paging import DEEP_OFFSET, page
+from postlake.operators.paging import page
 from postlake.schema import FEED_COLUMNS
+from postlake.session import checkpointed
 
 # Source ids, sortable columns, page bounds and defaults of the feed interface.
 SOURCES = {
@@ -36,7 +37,7 @@ def tagged_union(tables: dict[str, DataFrame]) -> DataFrame:
 def feed_rows(posts: DataFrame, arrival: str | None = None) -> DataFrame:
     """The nine feed columns, `id` renamed and the time a timestamp, plus the arrival column if there is one."""
     renamed = posts if "post_id" in posts.columns else posts.withColumnRenamed("id", "post_id")
-    return with_time(renamed.select(*FEED_COLUMNS, *([arrival] if arrival else [])))
+    return with_time(renamed.select(*dict.fromkeys([*FEED_COLUMNS, *([arrival] if arrival else [])])))
 
 
 def filter_subreddit(posts: DataFrame, subreddit: str | None, subreddits: Sequence[str]) -> DataFrame:
@@ -80,21 +81,28 @@ def matching_posts(posts, subreddits, subreddit=None, search=None, wildcards=Fal
 
 
 def ranked_page(
-    rows: DataFrame, raw: bool, order: Sequence[Column], offset: int, limit: int, arrival: str | None
+    rows: DataFrame, raw: bool, sort: str, order: Sequence[Column], offset: int, limit: int, arrival: str | None
 ) -> DataFrame:
     """Page over all rows, or over the best row per post when `raw`.
 
-    With an arrival column (unique per community) deduplication and deep pages move narrow rows only. The
-    long text columns are then read for the rows of the page, of which there are at most MAX_LIMIT.
+    With an arrival column the page is chosen from narrow rows and fixed in the checkpoint folder. The long text
+    columns are then read for at most MAX_LIMIT rows, and only from the parts of the table that hold the page's
+    range of sort values.
     """
-    if not arrival or not (raw or offset > DEEP_OFFSET):
-        return page(dedup_posts(rows, arrival=arrival) if raw else rows, order, offset, limit)
-    locator = ["subreddit", "post_id", arrival]
-    narrow = rows.select(*locator, *SORT_COLUMNS)
-    ranked = page(dedup_posts(narrow, arrival=arrival) if raw else narrow, order, offset, limit)
-    wanted = ranked.select(*[F.col(name).alias(f"_{name}") for name in locator])
-    matches = [F.col(name).eqNullSafe(F.col(f"_{name}")) for name in locator]
-    return rows.join(F.broadcast(wanted), matches, "left_semi").orderBy(*order).limit(limit)
+    if not arrival:
+        return page(dedup_posts(rows) if raw else rows, order, offset, limit)
+    name = sort if sort in SORT_COLUMNS else DEFAULT_SORT
+    locator = list(dict.fromkeys(["subreddit", "post_id", arrival]))
+    needed = dict.fromkeys([*locator, name, *(["score"] if raw else [])])
+    narrow = rows.select(*needed)
+    chosen = page(dedup_posts(narrow, arrival=arrival) if raw else narrow, order, offset, limit)
+    wanted = checkpointed(chosen.select(*[F.col(column).alias(f"_{column}") for column in {*locator, name}]))
+    # Two separate lookups: Spark would merge a minimum and a maximum into one, which the scan cannot prune by.
+    values = wanted.select(f"_{name}").filter(F.col(f"_{name}").isNotNull())
+    lowest, highest = (values.orderBy(by(f"_{name}")).limit(1).scalar() for by in (F.asc, F.desc))
+    near = F.col(name).isNull() | F.col(name).between(lowest, highest)
+    matches = [F.col(column).eqNullSafe(F.col(f"_{column}")) for column in locator]
+    return rows.filter(near).join(F.broadcast(wanted), matches, "left_semi").orderBy(*order).limit(limit)
 
 
 def feed_page(
@@ -111,13 +119,17 @@ def feed_page(
     wildcards: bool = False,
     arrival: str | None = None,
 ) -> DataFrame:
-    """One page of posts. `postgres` reads clean rows as they are, `trino` deduplicates raw rows first."""
+    """One page of posts. `postgres` reads clean rows as they are, `trino` deduplicates raw rows first.
+
+    `arrival` names a column that is unique within a community, such as an arrival number, or `post_id` itself
+    where ids do not repeat. It lets the page be found without reading the text of all posts.
+    """
     check_request(source, limit, offset)
     raw = source == "trino"
     ordering = feed_order(sort, order, raw)
     rows = matching_posts(posts, subreddits, subreddit, search, wildcards, arrival)
     tie = [F.asc_nulls_last(arrival)] if arrival else [F.asc_nulls_last(name) for name in FEED_COLUMNS]
-    rows = ranked_page(rows, raw, [*ordering, *tie], offset, limit, arrival)
+    rows = ranked_page(rows, raw, sort, [*ordering, *tie], offset, limit, arrival)
     return rows.select(*FEED_COLUMNS).withColumn("created_utc", iso_timestamp(F.col("created_utc")))
 
 

@@ -8,8 +8,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 # Cluster size decides executors, memory and shuffle partitions; those stay with the caller.
+# Timestamps are written as integers, because the older layout has no minimum and maximum to prune by.
 SESSION_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
+    "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",

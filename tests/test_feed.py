@@ -89,8 +89,7 @@ def test_deep_feed_pages(spark, monkeypatch):
     frame = posts(spark, *[{"id": f"{at % 60:02}", "score": at % 4, "title": f"t{at}"} for at in range(200)])
     options = [{"source": source, "sort": "score", "arrival": "seq", "limit": 10} for source in feed.SOURCES]
     shallow = [[feed.feed_page(frame, NAMES, offset=at, **o).collect() for at in (0, 20, 50)] for o in options]
-    for module in (feed, paging):
-        monkeypatch.setattr(module, "DEEP_OFFSET", -1)
+    monkeypatch.setattr(paging, "DEEP_OFFSET", -1)
     deep = [[feed.feed_page(frame, NAMES, offset=at, **o).collect() for at in (0, 20, 50)] for o in options]
     assert deep == shallow and all(len(rows) == 10 for pages in deep for rows in pages)
 
@@ -117,12 +116,36 @@ def test_pruned_union_branch(spark):
     assert "Union" not in plan.toString()
 
 
-def test_raw_page_shuffles_narrow_rows(spark):
-    frame = posts(spark)
-    page = feed.feed_page(frame, NAMES, source="trino", arrival="seq")
-    plan = page._jdf.queryExecution().optimizedPlan().toString()
-    ranked = plan[plan.index("_rank"):]
-    assert "selftext" not in ranked.split("LogicalRDD")[0] and "Join" in plan
+def test_page_is_fixed_before_text_is_read(spark, tmp_path):
+    frame = posts(spark, *[{"id": str(at), "score": at, "day": 1 + at // 50} for at in range(300)])
+    frame.repartitionByRange(6, "score").sortWithinPartitions("score").write.parquet(str(tmp_path / "posts"))
+    stored = spark.read.parquet(str(tmp_path / "posts"))
+    for source in feed.SOURCES:
+        found = feed.feed_page(stored, NAMES, source=source, sort="score", offset=100, limit=5, arrival="post_id")
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("FileScan") == 1 and "hashpartitioning" not in plan
+        assert ids(found) == ["199", "198", "197", "196", "195"]
+        for column in ("score", "created_utc"):
+            found = feed.feed_page(stored, NAMES, source=source, sort=column, limit=1, arrival="post_id")
+            found.collect()
+            assert rows_scanned(found) == 50
+
+
+def rows_scanned(frame):
+    """Rows that the file scan of a finished query has read."""
+    found, nodes = 0, [frame._jdf.queryExecution().executedPlan()]
+    while nodes:
+        node = nodes.pop()
+        if node.nodeName() == "AdaptiveSparkPlan":
+            nodes.append(node.executedPlan())
+        elif node.nodeName().endswith("QueryStage"):
+            nodes.append(node.plan())
+        elif node.nodeName().startswith("Scan parquet"):
+            found += node.metrics().apply("numOutputRows").value()
+        children = node.children().iterator()
+        while children.hasNext():
+            nodes.append(children.next())
+    return found
 
 
 def label(spark, expression):
