@@ -122,6 +122,11 @@ def quarantine_malformed(spark, folder):
     return messages.quarantined(messages.parse_messages(fixtures.mixed_messages(spark, folder)))
 
 
+@check("malformed_by_id", "SELECT text AS message FROM documents")
+def malformed_by_id(spark, folder):
+    return messages.malformed(fixtures.mixed_messages(spark, folder))
+
+
 @check("parse_mixed_messages", "SELECT id, title, score FROM posts")
 def parse_mixed_messages(spark, folder):
     return messages.parse_posts(fixtures.mixed_messages(spark, folder)).select("id", "title", "score")

@@ -9,6 +9,7 @@ from pyspark.sql.types import StringType, StructType
 from postlake.schema import NESTED_KEYS, POST_SCHEMA
 
 CORRUPT = "_corrupt_record"
+ID_ONLY = StructType().add("id", StringType())
 
 # Fixed value: the part of a listing document that is read; each post stays JSON text.
 LISTING = "data struct<after string, children array<struct<data string>>>"
@@ -41,6 +42,11 @@ def quarantined(parsed: DataFrame) -> DataFrame:
     return parsed.filter(F.col("id").isNull()).select(F.col("_message").alias("message"))
 
 
+def malformed(messages: DataFrame, value: str = "value") -> DataFrame:
+    """What `quarantined` returns, read from the messages by looking for the id only."""
+    return quarantined(parse_messages(messages, ID_ONLY, value))
+
+
 def parse_posts(messages: DataFrame, schema: StructType = POST_SCHEMA, value: str = "value") -> DataFrame:
     """Typed posts only, malformed messages left out."""
     return good_posts(parse_messages(messages, schema, value)).drop("is_partial")

@@ -12,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from postlake.functions.columns import epoch_to_timestamp
 from postlake.operators.dedup import dedup_latest
 from postlake.schema import BATCH_COLUMN
-from postlake.sources.messages import good_posts, parse_messages, quarantined
+from postlake.sources.messages import good_posts, malformed, parse_messages
 
 logger = logging.getLogger(__name__)
 
@@ -56,7 +56,9 @@ def batch_writer(
     unique_ids: bool = True,
     monitor: Callable[[DataFrame], None] | None = None,
 ) -> Callable[[DataFrame, int], None]:
-    """A `foreachBatch` function: parse once, write posts and malformed messages.
+    """A `foreachBatch` function that writes posts and malformed messages.
+
+    The batch is kept as it came, which is far smaller than its parsed form, so the source is read once.
 
     Each batch owns a `batch_id=…` folder that a replay overwrites, so a failed and repeated batch leaves no
     second copy; the folder number is also the arrival order of the raw table. When the raw table cannot be
@@ -66,23 +68,22 @@ def batch_writer(
 
     def write(batch: DataFrame, batch_id: int) -> None:
         folder = f"{BATCH_COLUMN}={batch_id}"
-        parsed = parse_messages(batch).persist()
+        batch = batch.persist()
         try:
-            if parsed.isEmpty():
+            if batch.isEmpty():
                 return
-            posts = good_posts(parsed).withColumn("retrieved_at", F.current_timestamp())
+            posts = good_posts(parse_messages(batch)).withColumn("retrieved_at", F.current_timestamp())
             posts = unique_in_batch(posts) if unique_ids else posts
             try:
                 posts.write.format(fmt).mode("overwrite").save(f"{raw_path}/{folder}")
             except Exception:
                 logger.exception("batch %s not written to %s, kept in %s", batch_id, raw_path, dead_letter_path)
-                kept = parsed.select(F.col("_message").alias("value"))
-                kept.write.mode("overwrite").parquet(f"{dead_letter_path}/{folder}")
-            quarantined(parsed).write.mode("overwrite").parquet(f"{quarantine_path}/{folder}")
+                batch.select("value").write.mode("overwrite").parquet(f"{dead_letter_path}/{folder}")
+            malformed(batch).write.mode("overwrite").parquet(f"{quarantine_path}/{folder}")
             if monitor:
                 monitor(monitor_columns(posts))
         finally:
-            parsed.unpersist()
+            batch.unpersist()
 
     return write
 

@@ -45,6 +45,8 @@ def test_malformed_messages_are_quarantined(spark):
     frame = parsed(spark, '{"id":"a"}', *bad)
     assert sorted(messages.quarantined(frame).collect(), key=str) == sorted([(text,) for text in bad], key=str)
     assert messages.good_posts(frame).count() == 1
+    again = messages.malformed(frame.select(F.col("_message").alias("value")))
+    assert sorted(again.collect(), key=str) == sorted([(text,) for text in bad], key=str)
 
 
 def test_wrong_field_type_keeps_the_row(spark):
