@@ -15,10 +15,8 @@ from postlake.schema import FEED_COLUMNS
 from postlake.session import checkpointed
 
 # Source ids, sortable columns, page bounds and defaults of the feed interface.
-SOURCES = {
-    "postgres": "Cleaned and processed data from Postgres database",
-    "trino": "Raw data from Delta Lake tables with deduplication",
-}
+# `postgres` stands for clean tables, `trino` for raw ones.
+SOURCES = ("postgres", "trino")
 SORT_COLUMNS = ("created_utc", "score", "num_comments")
 DEFAULT_SORT = "created_utc"
 DEFAULT_LIMIT, MAX_LIMIT = 25, 100
@@ -52,7 +50,7 @@ def search_posts(posts: DataFrame, search: str | None, wildcards: bool = False)
 
 def check_request(source: str, limit: int, offset: int) -> None:
     if source not in SOURCES:
-        raise ValueError(f"Invalid source: {source}. Must be one of {', '.join(SOURCES)}")
+        raise ValueError(f"unknown source {source!r}; use one of {SOURCES}")
     if not 1 <= limit <= MAX_LIMIT:
         raise ValueError(f"limit must be between 1 and {MAX_LIMIT}")
     if offset < 0:

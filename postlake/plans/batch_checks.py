@@ -20,7 +20,7 @@ from postlake.functions.columns import (
 from postlake.operators import curate, dedup, feed, matching, publish, reports
 from postlake.plans import fixtures
 from postlake.plans.registry import check, plain_time
-from postlake.schema import POST_SCHEMA, SERVING_COLUMNS
+from postlake.schema import POST_SCHEMA, SERVING_COLUMNS, TOPIC_PREFIX
 from postlake.sources import messages, tables
 from postlake.streaming.queries import monitor_columns
 
@@ -183,7 +183,10 @@ def date_parts(spark, folder):
 
 @check(
     "select_available",
-    "SELECT CAST(doc_id AS VARCHAR) AS id, text AS title, source AS author, CAST(n_chars AS INTEGER) AS score FROM documents",
+    """
+    SELECT CAST(doc_id AS VARCHAR) AS id, text AS title, source AS author, CAST(n_chars AS INTEGER) AS score
+    FROM documents
+    """,
 )
 def select_available_columns(spark, folder):
     return select_available(fixtures.document_posts(spark, folder), SERVING_COLUMNS)
@@ -199,7 +202,7 @@ def publish_projection(spark, folder):
 
 @check(
     "derive_table_name",
-    "SELECT event_id, lower(replace(title, ' ', '_')) AS table_name, 'reddit_' || subreddit AS topic FROM posts",
+    f"SELECT event_id, lower(replace(title, ' ', '_')) AS table_name, '{TOPIC_PREFIX}' || subreddit AS topic FROM posts",
 )
 def derive_table_name(spark, folder):
     names = table_name(F.col("title")).alias("table_name"), topic_name(F.col("subreddit")).alias("topic")
@@ -208,7 +211,10 @@ def derive_table_name(spark, folder):
 
 @check(
     "optional_columns",
-    "SELECT CAST(doc_id AS VARCHAR) AS id, 'int' AS count_type, 'timestamp' AS time_type, true AS is_unset FROM documents",
+    """
+    SELECT CAST(doc_id AS VARCHAR) AS id, 'int' AS count_type, 'timestamp' AS time_type, true AS is_unset
+    FROM documents
+    """,
 )
 def optional_columns(spark, folder):
     rows = with_optional(fixtures.document_posts(spark, folder), {"num_comments": "int", "created_utc": "timestamp"})
@@ -544,7 +550,8 @@ def summary_by_subreddit(spark, folder):
 @check(
     "raw_vs_clean",
     """
-    SELECT count(*) AS raw_count, count(DISTINCT title) AS clean_count, count(*) - count(DISTINCT title) AS filtered_count
+    SELECT count(*) AS raw_count, count(DISTINCT title) AS clean_count,
+           count(*) - count(DISTINCT title) AS filtered_count
     FROM posts
     """,
 )

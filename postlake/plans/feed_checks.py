@@ -82,7 +82,13 @@ def feed_page_raw(spark, folder):
 )
 def feed_page_raw_searched(spark, folder):
     return feed.feed_page(
-        *tables(spark, folder), source="trino", limit=100, subreddit="view", search="Post 2", order="asc", arrival="event_id"
+        *tables(spark, folder),
+        source="trino",
+        limit=100,
+        subreddit="view",
+        search="Post 2",
+        order="asc",
+        arrival="event_id",
     )
 
 

@@ -40,7 +40,7 @@ def arguments(words=None) -> argparse.Namespace:
     curate.add_argument("--handle-duplicates", default="skip", choices=MODES)
 
     page = jobs.add_parser("feed", help="show one page of the clean or raw tables")
-    page.add_argument("--source", default="postgres", choices=list(feed.SOURCES))
+    page.add_argument("--source", default="postgres", choices=feed.SOURCES)
     page.add_argument("--limit", type=int, default=feed.DEFAULT_LIMIT)
     page.add_argument("--offset", type=int, default=0)
     page.add_argument("--subreddit")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from postlake.functions.columns import topic_name
 from postlake.plans import fixtures
 from postlake.plans.batch_checks import PARSED_SQL
 from postlake.plans.registry import check
@@ -83,7 +84,7 @@ def stream_bounded_batches(spark, folder):
 @check("stream_multi_source", BY_SUBREDDIT_SQL)
 def stream_multi_source(spark, folder):
     """One query per community over a source that carries all topics."""
-    topic = F.concat(F.lit("reddit_"), F.col("subreddit")).alias("topic")
+    topic = topic_name(F.col("subreddit")).alias("topic")
     messages = with_community(streamed_messages(spark, folder, topic))
     base = shared_folder(spark, "stream")
     started = queries.start_per_community(
