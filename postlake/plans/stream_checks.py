@@ -8,6 +8,7 @@ from postlake.functions.columns import topic_name
 from postlake.plans import fixtures
 from postlake.plans.batch_checks import PARSED_SQL
 from postlake.plans.registry import check
+from postlake.schema import payload_fields
 from postlake.session import SESSION_SETTINGS, shared_folder
 from postlake.sources.messages import parse_posts
 from postlake.streaming import queries
@@ -122,7 +123,8 @@ def stream_quarantine(spark, folder):
 
 def unique_titles(spark, folder, spread_by=None):
     """The delay covers the whole table, so every later repeat of a title is dropped."""
-    posts = parse_posts(streamed_messages(spark, folder)).select(
+    fields = payload_fields("id", "title", "created_utc")
+    posts = parse_posts(streamed_messages(spark, folder), fields).select(
         "event_id", "title", F.timestamp_seconds("created_utc").alias("created_at")
     )
     unique = queries.dedup_within_watermark(posts, ["title"], "created_at", "40 days", spread_by)
@@ -146,7 +148,8 @@ def stream_dedup_spread(spark, folder):
     "SELECT CAST(created_utc AS DATE) AS post_date, subreddit, count(*) AS post_count FROM posts GROUP BY 1, 2",
 )
 def stream_daily_counts(spark, folder):
-    posts = parse_posts(streamed_messages(spark, folder)).select(
+    fields = payload_fields("id", "subreddit", "created_utc")
+    posts = parse_posts(streamed_messages(spark, folder), fields).select(
         "subreddit", F.timestamp_seconds("created_utc").alias("created_at")
     )
     base = shared_folder(spark, "stream")
