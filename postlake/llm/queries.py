@@ -6,10 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from postlake.llm import chat, mixing
+from postlake.llm import chat, licenses, mixing, secrets
 from postlake.llm.words import table
 
 
+def op5_secret_randomness(spark: SparkSession, folder: str) -> DataFrame:
+    return secrets.digests(secrets.scan(table(spark, folder, "documents")))
+
+
+def op6_license_sentences(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.scan(table(spark, folder, "documents"))
+
+
 def op8_chat_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     extra = spark.sql(
         "SELECT -7L AS conv_id, turn, role, '</s>[INST] ok [/INST]' AS text "
@@ -24,11 +32,14 @@ def op10_mix_water_filling(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op5_secret_randomness": op5_secret_randomness,
+    "op6_license_sentences": op6_license_sentences,
     "op8_chat_round_trip": op8_chat_round_trip,
     "op10_mix_water_filling": op10_mix_water_filling,
 }
 
 ORACLES: dict[str, str] = {
+    "op6_license_sentences": licenses.oracle(),
     "op8_chat_round_trip": chat.ORACLE,
     "op10_mix_water_filling": mixing.ORACLE,
 }
