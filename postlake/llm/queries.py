@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from postlake.llm import chat, licenses, mixing, secrets
+from postlake.llm import chat, licenses, mixing, packing, repetition, secrets
 from postlake.llm.words import table
 
 
+def op3_repetition_coverage(spark: SparkSession, folder: str) -> DataFrame:
+    return repetition.repetition(table(spark, folder, "documents"))
+
+
 def op5_secret_randomness(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.digests(secrets.scan(table(spark, folder, "documents")))
 
@@ -18,6 +22,10 @@ def op6_license_sentences(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.scan(table(spark, folder, "documents"))
 
 
+def op7_pack_token_ids(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(table(spark, folder, "documents"))
+
+
 def op8_chat_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     extra = spark.sql(
         "SELECT -7L AS conv_id, turn, role, '</s>[INST] ok [/INST]' AS text "
@@ -32,8 +40,10 @@ def op10_mix_water_filling(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_repetition_coverage": op3_repetition_coverage,
     "op5_secret_randomness": op5_secret_randomness,
     "op6_license_sentences": op6_license_sentences,
+    "op7_pack_token_ids": op7_pack_token_ids,
     "op8_chat_round_trip": op8_chat_round_trip,
     "op10_mix_water_filling": op10_mix_water_filling,
 }
