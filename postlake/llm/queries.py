@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from postlake.llm import chat, licenses, mixing, packing, repetition, secrets
+from postlake.llm import chat, contamination, licenses, mixing, packing, repetition, secrets
 from postlake.llm.words import table
 
 
@@ -35,6 +35,10 @@ def op8_chat_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     return chat.digests(chat.format_conversations(rows))
 
 
+def op9_benchmark_leaks(spark: SparkSession, folder: str) -> DataFrame:
+    return contamination.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def op10_mix_water_filling(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix_counts(table(spark, folder, "documents"))
 
@@ -45,6 +49,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_license_sentences": op6_license_sentences,
     "op7_pack_token_ids": op7_pack_token_ids,
     "op8_chat_round_trip": op8_chat_round_trip,
+    "op9_benchmark_leaks": op9_benchmark_leaks,
     "op10_mix_water_filling": op10_mix_water_filling,
 }
 
