@@ -6,14 +6,23 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from postlake.llm import chat, contamination, licenses, mixing, packing, repetition, secrets
+from postlake.llm import chat, contamination, jaccard, licenses, mixing, packing, repetition, secrets, toxicity
 from postlake.llm.words import table
 
 
+def op1_toxicity_subwords(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    return toxicity.score(documents, toxicity.train(documents, table(spark, folder, "labels")))
+
+
 def op3_repetition_coverage(spark: SparkSession, folder: str) -> DataFrame:
     return repetition.repetition(table(spark, folder, "documents"))
 
 
+def op4_jaccard_chosen_path(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.similar(table(spark, folder, "documents")).select("doc_id", "class_id", "n_links", "copies")
+
+
 def op5_secret_randomness(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.digests(secrets.scan(table(spark, folder, "documents")))
 
@@ -44,7 +53,9 @@ def op10_mix_water_filling(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity_subwords": op1_toxicity_subwords,
     "op3_repetition_coverage": op3_repetition_coverage,
+    "op4_jaccard_chosen_path": op4_jaccard_chosen_path,
     "op5_secret_randomness": op5_secret_randomness,
     "op6_license_sentences": op6_license_sentences,
     "op7_pack_token_ids": op7_pack_token_ids,
