@@ -400,3 +400,19 @@ def similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", target_
         F.coalesce(F.col("links") + F.col("copies") - 1, F.lit(0)).cast("long").alias("n_links"),
         F.coalesce("copies", F.lit(1)).cast("long").alias("copies"),
     )
+
+
+def leaders(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row of each class: the one with the class id, columns unchanged.
+
+    Rows that share their id with another row are told apart by a hash of the whole row; of rows that are equal in every
+    column one stays. Documents without words are classes of their own and stay, and so do rows without an id that link to
+    nothing.
+    """
+    names = docs.columns
+    key = F.xxhash64(*names)
+    found = similar(docs.select(F.struct(F.col(doc_id).alias("id"), key.alias("row_key")).alias("doc_id"), F.col(text).alias("text")))
+    # The id of a class is its smallest (id, row hash), so exactly the rows that are their own class id lead.
+    lost = found.where(F.col("doc_id") != F.col("class_id")).select(F.col("doc_id").alias("lead_key")).distinct()
+    keyed = docs.withColumn("lead_key", F.struct(F.col(doc_id).alias("id"), key.alias("row_key")))
+    return keyed.join(lost, "lead_key", "left_anti").drop("lead_key")

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from postlake.llm import chat, contamination, jaccard, licenses, mixing, packing, repetition, secrets, toxicity
+from postlake.llm import chat, contamination, jaccard, licenses, mixing, packing, quality, repetition, secrets, toxicity
 from postlake.llm.words import table
 
 
@@ -15,6 +15,11 @@ def op1_toxicity_subwords(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.score(documents, toxicity.train(documents, table(spark, folder, "labels")))
 
 
+def op2_quality_byte_network(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    return quality.score(documents, quality.train(documents, table(spark, folder, "labels")))
+
+
 def op3_repetition_coverage(spark: SparkSession, folder: str) -> DataFrame:
     return repetition.repetition(table(spark, folder, "documents"))
 
@@ -54,6 +59,7 @@ def op10_mix_water_filling(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity_subwords": op1_toxicity_subwords,
+    "op2_quality_byte_network": op2_quality_byte_network,
     "op3_repetition_coverage": op3_repetition_coverage,
     "op4_jaccard_chosen_path": op4_jaccard_chosen_path,
     "op5_secret_randomness": op5_secret_randomness,
