@@ -166,11 +166,11 @@ class Index:
             numbers.append(number[close])
         return np.concatenate(places), np.concatenate(numbers)
 
-    def similarity(self, item: int, plain: list[str], start: int) -> float:
+    def similarity(self, item: int, words: list[str], start: int) -> float:
         """Share of the item's weight whose shingles occur around the place where its copy would start."""
         _, n_words, own, total = self.items[item]
         slack = max(2, n_words // 8)
-        there = set(shingles(plain[max(0, start - slack) : start + n_words + slack]))
+        there = set(shingles([comparable(word) for word in words[max(0, start - slack) : start + n_words + slack]]))
         return sum(weight for shingle, weight in own.items() if shingle in there) / total
 
 
@@ -201,12 +201,9 @@ def find(index: Index, words: Words, texts: list[list[str]]) -> list[dict[int, f
             if owner_of[begin + size // STEP - 1] == at:
                 _, item, start = windows[number]
                 candidates.add((at, item, (begin - first[at]) * STEP - start))
-    plain: dict[int, list[str]] = {}
     for at, item, start in sorted(candidates):
         if found[at].get(item, 0.0) < 1.0:
-            if at not in plain:
-                plain = {at: [comparable(word) for word in texts[at]]}
-            share = index.similarity(item, plain[at], start)
+            share = index.similarity(item, texts[at], start)
             if share >= LEAST_SIMILARITY:
                 found[at][item] = max(share, found[at].get(item, 0.0))
     if index.short:
