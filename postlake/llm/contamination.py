@@ -23,7 +23,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter, defaultdict
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -60,7 +60,8 @@ def window_size(n_words: int) -> int | None:
 
 
 def comparable(word: str) -> str:
-    return EDGES.sub("", word.lower()) or word
+    lower = word.lower()
+    return lower if lower.isalnum() else EDGES.sub("", lower) or word
 
 
 def shingles(words: list[str]) -> list[tuple[str, ...]]:
@@ -81,8 +82,9 @@ class Words:
 
     def __call__(self, words: list[str]) -> list[int]:
         known = self.numbers
-        new = [word for word in dict.fromkeys(words) if word not in known]
-        if new:
+        numbers = list(map(known.get, words))
+        if None in numbers:
+            new = list(dict.fromkeys(word for word, number in zip(words, numbers) if number is None))
             hashes = np.array([xxhash.xxh3_64_intdigest(comparable(word)) for word in new], dtype="<u8")
             first, last = len(known) + 1, len(known) + 1 + len(new)
             while last > len(self.signs):
@@ -90,15 +92,16 @@ class Words:
             bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1).astype(np.int8)
             self.signs[first:last] = 2 * bits - 1
             known.update(zip(new, range(first, last)))
-        return [known[word] for word in words]
+            numbers = list(map(known.get, words))
+        return numbers
 
 
 def fingerprints(sums: np.ndarray) -> np.ndarray:
     return np.packbits(sums > 0, axis=1).view("<u8").ravel()
 
 
-def ladder_sums(steps: np.ndarray) -> dict[int, np.ndarray]:
-    """Sums of signs of the windows of every size, by the step that they start at; built from smaller windows."""
+def ladder_sums(steps: np.ndarray, sizes: Iterable[int]) -> dict[int, np.ndarray]:
+    """Sums of signs of the windows of the given sizes, by the step that they start at; built from smaller windows."""
     made = {1: steps}
 
     def of(units: int) -> np.ndarray:
@@ -109,7 +112,7 @@ def ladder_sums(steps: np.ndarray) -> dict[int, np.ndarray]:
             made[units] = left[:n] + right[units - half : units - half + n]
         return made[units]
 
-    return {size: of(size // STEP) for size in LADDER}
+    return {size: of(size // STEP) for size in sizes}
 
 
 class Index:
@@ -187,7 +190,7 @@ def find(index: Index, words: Words, texts: list[list[str]]) -> list[dict[int, f
         return found
     steps = words.signs[np.array(numbers, dtype=np.int64)].reshape(-1, STEP, BITS).sum(axis=1, dtype=np.int8)
     owner_of = np.array(owner, dtype=np.int64)
-    sums = ladder_sums(steps)
+    sums = ladder_sums(steps, index.tables)
     candidates = set()
     for size in index.tables:
         every = stride(size) // STEP
