@@ -97,7 +97,7 @@ def odd(keys: np.ndarray) -> np.ndarray:
 
 def children(tokens: np.ndarray, nodes: np.ndarray, most: np.uint64) -> tuple[np.ndarray, np.ndarray]:
     """The tokens that each node chooses, as (position of the node, key of the child)."""
-    at, keys = [], []
+    at, keys = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.uint64)]
     rows = max(1, MATRIX_CELLS // len(tokens))
     for start in range(0, len(nodes), rows):
         part = nodes[start : start + rows]
@@ -118,7 +118,7 @@ def chosen_paths(tokens: np.ndarray, runs: int) -> list[np.ndarray]:
         open_at = np.flatnonzero(last)
         parent, keys = children(tokens, last[open_at], most)
         parent = open_at[parent]
-        ended = np.setdiff1d(np.arange(len(last)), parent)
+        ended = np.flatnonzero(np.bincount(parent, minlength=len(last)) == 0)
         order = np.argsort(np.concatenate((parent, ended)), kind="stable")
         rows = np.concatenate((parent, ended))[order]
         levels = [level[rows] for level in levels]
@@ -409,10 +409,17 @@ def leaders(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     column one stays. Documents without words are classes of their own and stay, and so do rows without an id that link to
     nothing.
     """
-    names = docs.columns
-    key = F.xxhash64(*names)
-    found = similar(docs.select(F.struct(F.col(doc_id).alias("id"), key.alias("row_key")).alias("doc_id"), F.col(text).alias("text")))
-    # The id of a class is its smallest (id, row hash), so exactly the rows that are their own class id lead.
-    lost = found.where(F.col("doc_id") != F.col("class_id")).select(F.col("doc_id").alias("lead_key")).distinct()
-    keyed = docs.withColumn("lead_key", F.struct(F.col(doc_id).alias("id"), key.alias("row_key")))
-    return keyed.join(lost, "lead_key", "left_anti").drop("lead_key")
+    rows = docs.select(
+        F.struct(F.col(doc_id).alias("id"), F.xxhash64(*docs.columns).alias("hash")).alias("key"),
+        F.col(text).alias("text"),
+        F.struct(*docs.columns).alias("row"),
+    )
+    found = checkpointed(similar(rows, "key", "text").select("doc_id", "class_id"))
+    # The id of a class is its smallest (id, hash), so exactly the rows that are their own class id lead.
+    lost = found.where(F.col("doc_id") != F.col("class_id")).select(F.col("doc_id").alias("key")).distinct()
+    kept = rows.drop("text").join(broadcast_if_small(lost), "key", "left_anti")
+    repeated = checkpointed(found.groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("key")))
+    if not repeated.isEmpty():
+        single = kept.join(repeated, "key", "left_anti")
+        kept = single.unionByName(kept.join(repeated, "key", "left_semi").dropDuplicates(["key"]))
+    return kept.select("row.*")
