@@ -1,7 +1,7 @@
 r"""Licence scans by sentence rules. DataFrame functions only.
 
 A text is cut into sentences: at `.`, `;`, `!` or `?` before white space or the end, at a colon that ends a line, and at
-blank lines. Line ends inside a paragraph are taken once as white space (hard-wrapped licences) and once as ends of
+lines without letters or digits (blank ones, comment marks). Line ends inside a paragraph are taken once as white space (hard-wrapped licences) and once as ends of
 sentences (notices between other lines); the reading that recognises more sentences counts, the first one on a tie. A
 sentence is normalised to lower-case letters and digits with single spaces and looked up among the known ones. The
 identifiers found, in order of the text, are held against the rules in their order: a rule matches if its identifiers occur
@@ -157,7 +157,7 @@ RULES = (
 
 # Every known sentence holds one of these; a text without any is not cut up.
 HINT = "(?i)licen[sc]|copyright|permission|warranty|redistribut|liab|public domain|rights|published by|later version|mpl"
-SENTENCE_END = r"[.;!?]+([ \t-\r]+|\z)|:[ \t\r]*\n|\n[ \t\r]*\n"
+SENTENCE_END = r"[.;!?]+([ \t-\r]+|\z)|:[^A-Za-z0-9\n]*\n|\n[^A-Za-z0-9\n]*\n"
 MARK = "\x01"
 
 
