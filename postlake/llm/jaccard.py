@@ -280,7 +280,8 @@ def likely_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Links that keep what looks similar in a group connected."""
     a, b = [], []
     for group in grouped(batches, ["group", "mark", "n", "bottom"]):
-        members = list({mark: (n, bottom) for _, mark, n, bottom in group}.items())
+        # Sorted, so that the root of a group is its smallest mark: groups with the same members give the same links.
+        members = sorted({mark: (n, bottom) for _, mark, n, bottom in group}.items())
         if len(members) == 2:
             (first, (n, left)), (second, (m, right)) = members
             if min(n, m) >= SIMILARITY * max(n, m) - 1e-9:
