@@ -249,10 +249,11 @@ def common_counts(sets: list[np.ndarray]) -> np.ndarray:
     keep = shared[column]
     owner, column = owner[keep], place[column[keep]]
     total = np.zeros((len(sets), len(sets)), dtype=np.float32)
-    width = max(1, MATRIX_CELLS // len(sets))
+    n_shared = int(shared.sum())
+    width = max(1, min(n_shared, MATRIX_CELLS // len(sets)))
     order = np.argsort(column, kind="stable")
     owner, column = owner[order], column[order]
-    for start in range(0, int(shared.sum()), width):
+    for start in range(0, n_shared, width):
         a, b = np.searchsorted(column, (start, start + width))
         matrix = np.zeros((len(sets), width), dtype=np.float32)
         matrix[owner[a:b], column[a:b] - start] = 1.0
