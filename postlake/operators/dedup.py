@@ -10,6 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType, VariantType
 
 KEEP_STRATEGIES = ("highest_score", "most_recent")
 
@@ -20,9 +21,24 @@ def keep_best(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> Da
     return df.withColumn("_rank", F.row_number().over(ranked)).filter("_rank = 1").drop("_rank")
 
 
+def orderable(kind: DataType) -> bool:
+    if isinstance(kind, ArrayType):
+        return orderable(kind.elementType)
+    if isinstance(kind, StructType):
+        return all(orderable(field.dataType) for field in kind)
+    return not isinstance(kind, (MapType, VariantType))
+
+
 def tie_break(df: DataFrame, arrival: str | None = None) -> list[Column]:
-    """Arrival order when the table records it, else a hash of the whole row."""
-    return [F.asc_nulls_last(arrival)] if arrival else [F.xxhash64(*df.columns).asc()]
+    """Arrival order when the table records it, else a hash of the row and then its columns.
+
+    The hash skips nulls, so rows that differ only in where a null stands share it; the columns, null flags included,
+    tell them apart.
+    """
+    if arrival:
+        return [F.asc_nulls_last(arrival)]
+    columns = [F.asc_nulls_last(field.name) for field in df.schema if orderable(field.dataType)]
+    return [F.xxhash64(*df.columns).asc(), *columns]
 
 
 def has_key(key: str) -> Column:

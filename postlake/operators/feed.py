@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, NumericType
 
 from postlake.functions.columns import iso_timestamp, matches_search, with_time
 from postlake.operators.dedup import dedup_posts, has_key
@@ -20,6 +21,7 @@ SOURCES = ("postgres", "trino")
 SORT_COLUMNS = ("created_utc", "score", "num_comments")
 DEFAULT_SORT = "created_utc"
 DEFAULT_LIMIT, MAX_LIMIT = 25, 100
+ID_PREFIX = 3  # ids of one sort value are told apart by their first characters before they are ordered
 
 
 def union_all(tables: Sequence[DataFrame]) -> DataFrame:
@@ -78,29 +80,56 @@ def matching_posts(posts, subreddits, subreddit=None, search=None, wildcards=Fal
     return search_posts(filter_subreddit(rows, subreddit, subreddits), search, wildcards)
 
 
+def page_levels(sort: str, order: str, raw: bool) -> list[tuple[Column, str]]:
+    """What coarsens the feed's order: hour and time, or the number, then the start of the id."""
+    name = sort if sort in SORT_COLUMNS else DEFAULT_SORT
+    descending = order.lower() == "desc"
+    direction = "desc_nulls_last" if descending else "asc_nulls_first" if raw else "asc_nulls_last"
+    if name == "created_utc":
+        values = [F.date_trunc("hour", name), F.col(name)]
+    else:
+        values = [F.coalesce(F.col(name), F.lit(0)) if raw else F.col(name)]
+    levels = [(value, direction) for value in values]
+    return [*levels, (F.substring("post_id", 1, ID_PREFIX), "asc_nulls_last")]
+
+
+def stored_bound(value: Column, kind: DataType, margin: int) -> Column:
+    """A time as the type that a table stores, `margin` seconds off, so that a scan can be pruned by it."""
+    if isinstance(kind, NumericType):
+        return (F.unix_micros(value.cast("timestamp")) / 1_000_000 + margin).cast(kind)
+    return value
+
+
 def ranked_page(
-    rows: DataFrame, raw: bool, sort: str, order: Sequence[Column], offset: int, limit: int, arrival: str | None
+    rows: DataFrame, raw: bool, sort: str, order: Sequence[Column], levels, offset: int, limit: int, arrival: str | None,
+    stored: DataType | None = None, refine: Callable[[DataFrame], DataFrame] = lambda rows: rows,
 ) -> DataFrame:
     """Page over all rows, or over the best row per post when `raw`.
 
-    With an arrival column the page is chosen from narrow rows and fixed in the checkpoint folder. The long text
-    columns are then read for at most MAX_LIMIT rows, and only from the parts of the table that hold the page's
-    range of sort values.
+    With an arrival column the page is chosen from narrow rows and fixed in the checkpoint folder, at most `limit` of them.
+    The long text columns are then read for these rows alone, and only from the parts of the table that hold the page's
+    range of sort values. `rows` are as stored; `refine` renames, converts and filters them.
     """
+    full = refine(rows)
     if not arrival:
-        return page(dedup_posts(rows) if raw else rows, order, offset, limit)
+        return page(dedup_posts(full) if raw else full, levels, order, offset, limit)
     name = sort if sort in SORT_COLUMNS else DEFAULT_SORT
     locator = list(dict.fromkeys(["subreddit", "post_id", arrival]))
     needed = dict.fromkeys([*locator, name, *(["score"] if raw else [])])
-    narrow = rows.select(*needed)
-    chosen = page(dedup_posts(narrow, arrival=arrival) if raw else narrow, order, offset, limit)
+    narrow = full.select(*needed)
+    chosen = page(dedup_posts(narrow, arrival=arrival) if raw else narrow, levels, order, offset, limit)
     wanted = checkpointed(chosen.select(*[F.col(column).alias(f"_{column}") for column in {*locator, name}]))
     # Two separate lookups: Spark would merge a minimum and a maximum into one, which the scan cannot prune by.
-    values = wanted.select(f"_{name}").filter(F.col(f"_{name}").isNotNull())
-    lowest, highest = (values.orderBy(by(f"_{name}")).limit(1).scalar() for by in (F.asc, F.desc))
+    values = wanted.filter(F.col(f"_{name}").isNotNull())
+    kind = stored or full.schema[name].dataType
+    as_stored = (lambda value, margin: stored_bound(value, kind, margin)) if name == "created_utc" else lambda value, _: value
+    lowest, highest = (
+        values.orderBy(by(f"_{name}")).limit(1).select(as_stored(F.col(f"_{name}"), margin).alias("bound")).scalar()
+        for by, margin in ((F.asc, -1), (F.desc, 1))
+    )
     near = F.col(name).isNull() | F.col(name).between(lowest, highest)
     matches = [F.col(column).eqNullSafe(F.col(f"_{column}")) for column in locator]
-    return rows.filter(near).join(F.broadcast(wanted), matches, "left_semi").orderBy(*order).limit(limit)
+    return refine(rows.filter(near)).join(F.broadcast(wanted), matches, "left_semi").orderBy(*order).limit(limit)
 
 
 def feed_page(
@@ -125,9 +154,14 @@ def feed_page(
     check_request(source, limit, offset)
     raw = source == "trino"
     ordering = feed_order(sort, order, raw)
-    rows = matching_posts(posts, subreddits, subreddit, search, wildcards, arrival)
     tie = [F.asc_nulls_last(arrival)] if arrival else [F.asc_nulls_last(name) for name in FEED_COLUMNS]
-    rows = ranked_page(rows, raw, sort, [*ordering, *tie], offset, limit, arrival)
+
+    def refine(rows: DataFrame) -> DataFrame:
+        return matching_posts(rows, subreddits, subreddit, search, wildcards, arrival)
+
+    stored = posts.schema["created_utc"].dataType
+    levels = page_levels(sort, order, raw)
+    rows = ranked_page(posts, raw, sort, [*ordering, *tie], levels, offset, limit, arrival, stored, refine)
     return rows.select(*FEED_COLUMNS).withColumn("created_utc", iso_timestamp(F.col("created_utc")))
 
 
@@ -168,7 +202,3 @@ def feed_summary(
 
 def list_subreddits(posts: DataFrame) -> DataFrame:
     return posts.select("subreddit").distinct()
-
-
-def list_sources() -> list[str]:
-    return list(SOURCES)

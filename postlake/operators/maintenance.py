@@ -1,18 +1,26 @@
-"""Table upkeep: staged rewrite, vacuum, manifest, partition discovery, sizes."""
+"""Table upkeep: replacing, staged rewrite, vacuum, manifest, partition discovery, sizes."""
 
 from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postlake.operators.dedup import dedup_latest
-from postlake.schema import BATCH_COLUMN, PARTITION_COLUMNS
+from postlake.operators.dedup import dedup_latest, distinct_keys
+from postlake.schema import ARRIVAL_COLUMN, BATCH_COLUMN, PARTITION_COLUMNS, RUN_COLUMN
 
 RETENTION_HOURS = 168
 
+# Fixed value: formats that are plain files; a table format commits through its own log.
+FILE_FORMATS = ("parquet", "orc", "json", "csv", "text", "avro")
+
+
+def commits_by_itself(fmt: str) -> bool:
+    return fmt not in FILE_FORMATS
+
 
 def append_rows(df: DataFrame, path: str, fmt: str = "parquet", **options: str) -> None:
     """Append, creating the table when it is absent. An unreadable table is an error, never replaced."""
@@ -52,6 +60,27 @@ def drop_folder(spark: SparkSession, path: str | None) -> None:
         files.delete(place, True)
 
 
+def replace_table(
+    df: DataFrame, path: str, fmt: str = "parquet", partitions: Sequence[str] = (), **options: str
+) -> None:
+    """Put `df` in place of the table at `path`. A failed write leaves the old table as it was.
+
+    Plain files are written next to the table and swapped in; a table format overwrites in one commit of its log.
+    """
+    spark = df.sparkSession
+    staged = path if commits_by_itself(fmt) else staging_path(path)
+    writer = df.write.format(fmt).options(**options).mode("overwrite")
+    writer = writer.partitionBy(*partitions) if partitions else writer
+    try:
+        writer.save(staged)
+    except Exception:
+        if staged != path:
+            drop_folder(spark, staged)
+        raise
+    if staged != path:
+        drop_folder(spark, swap_folder(spark, staged, path))
+
+
 def rewrite_deduplicated(
     spark: SparkSession, path: str, fmt: str = "parquet", dry_run: bool = False, arrival: str | None = None
 ) -> dict:
@@ -68,16 +97,20 @@ def rewrite_deduplicated(
     raw = spark.read.format(fmt).load(path)
     if "id" not in raw.columns:
         raise ValueError(f"{path} has no id column")
-    before, after = raw.count(), raw.select("id").distinct().count()
+    counts = raw.agg(F.count(F.lit(1)).alias("before"), distinct_keys("id").alias("after")).collect()[0]
+    before, after = counts["before"], counts["after"]
     stats = {"before": before, "after": after, "removed": before - after, "replaced": None}
     if dry_run or after == before:
         return stats
-    staged = staging_path(path)
+    arrival = arrival or (ARRIVAL_COLUMN if ARRIVAL_COLUMN in raw.columns else None)
     latest = dedup_latest(raw, arrival)
-    if BATCH_COLUMN in raw.columns:
-        latest.hint("rebalance", BATCH_COLUMN).write.format(fmt).partitionBy(BATCH_COLUMN).save(staged)
-    else:
-        latest.write.format(fmt).save(staged)
+    folders = [name for name in (RUN_COLUMN, BATCH_COLUMN) if name in raw.columns]
+    if commits_by_itself(fmt):
+        latest.write.format(fmt).mode("overwrite").save(path)
+        return stats
+    staged = staging_path(path)
+    writer = (latest.hint("rebalance", *folders) if folders else latest).write.format(fmt)
+    (writer.partitionBy(*folders) if folders else writer).save(staged)
     written = spark.read.format(fmt).load(staged).count()
     if written != after:
         raise RuntimeError(f"staged table {staged} holds {written} rows instead of {after}")
@@ -95,31 +128,35 @@ def vacuum(spark: SparkSession, table: str, fmt: str, hours: int = RETENTION_HOU
         spark.sql(statement)
 
 
-def live_files(df: DataFrame, partitions: Sequence[str] = PARTITION_COLUMNS) -> DataFrame:
-    """Each data file behind `df` with its partition values; reads no data columns."""
-    return df.select(F.col("_metadata.file_path").alias("file_path"), *partitions).distinct()
+def listed_files(spark: SparkSession, path: str) -> DataFrame:
+    """file_path and bytes of every data file under a folder, from the listing alone; empty files included."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    return files.select(F.col("path").alias("file_path"), F.col("length").alias("bytes"))
+
+
+def live_files(spark: SparkSession, path: str, partitions: Sequence[str] = PARTITION_COLUMNS) -> DataFrame:
+    """Each data file of a partitioned table with its partition values, read from the file's path."""
+    values = [F.regexp_extract("file_path", f"/{name}=([^/]*)/", 1).cast("int").alias(name) for name in partitions]
+    return listed_files(spark, path).select("file_path", *values)
 
 
-def write_manifest(df: DataFrame, path: str, partitions: Sequence[str] = PARTITION_COLUMNS) -> None:
-    """One text folder per partition listing its live files."""
-    files = live_files(df, partitions)
+def write_manifest(
+    spark: SparkSession, table_path: str, path: str, partitions: Sequence[str] = PARTITION_COLUMNS
+) -> None:
+    """One text folder per partition listing its files."""
+    files = live_files(spark, table_path, partitions)
     files.repartition(*partitions).write.mode("overwrite").partitionBy(*partitions).text(path)
 
 
-def file_sizes(tables: dict[str, DataFrame]) -> DataFrame:
-    """Files and bytes per table, largest first."""
-    listed = None
-    for name, table in tables.items():
-        files = table.select(
-            F.lit(name).alias("table"),
-            F.col("_metadata.file_path").alias("file_path"),
-            F.col("_metadata.file_size").alias("file_size"),
-        ).distinct()
-        listed = files if listed is None else listed.unionAll(files)
-    sizes = listed.groupBy("table").agg(
-        F.count(F.lit(1)).alias("files"), F.sum("file_size").alias("bytes")
-    )
-    return sizes.orderBy(F.desc("bytes"), "table")
+def file_sizes(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
+    """Files and bytes per table, largest first; a table without files counts 0."""
+    listed = [
+        listed_files(spark, path)
+        .agg(F.count(F.lit(1)).alias("files"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes"))
+        .select(F.lit(name).alias("table"), "files", "bytes")
+        for name, path in paths.items()
+    ]
+    return reduce(DataFrame.unionAll, listed).orderBy(F.desc("bytes"), "table")
 
 
 def repair_partitions(spark: SparkSession, table: str) -> DataFrame:

@@ -7,40 +7,35 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from postlake.session import checkpointed
 
-# Up to this offset a bounded top-k per task is cheapest; beyond it no task may hold all skipped rows.
-DEEP_OFFSET = 10_000
+def page(df: DataFrame, levels: Sequence[tuple[Column, str]], order: Sequence[Column], offset: int, limit: int) -> DataFrame:
+    """Rows `offset + 1 ... offset + limit` under `order`, which has to be total.
 
-
-def page(df: DataFrame, order: Sequence[Column], offset: int, limit: int) -> DataFrame:
-    """Rows `offset + 1 … offset + limit`; `order` has to be total."""
-    if offset <= DEEP_OFFSET:
-        return df.orderBy(*order).offset(offset).limit(limit)
-    return deep_page(df, order, offset, limit)
-
-
-def deep_page(df: DataFrame, order: Sequence[Column], offset: int, limit: int) -> DataFrame:
-    """Sort once into ranges, count each range, and rank only inside the ranges that hold the page.
-
-    The sorted frame is written to the shared checkpoint folder, because the counts and the ranks must see
-    the same ranges. Only one count per range comes back to the driver.
+    Each level is a value that coarsens `order` further than the next one, and the direction it is ordered in (a method
+    of Column). Level by level the rows are counted per value, and running sums over these few counts leave the values that
+    hold the page; they are at most `limit` and so broadcast. Only the rows of the last level's values are ordered. Nothing is
+    sorted as a whole, no task holds the skipped rows, and the plan is the same for every offset.
     """
-    ordered = checkpointed(df.orderBy(*order)).withColumn("_range", F.spark_partition_id())
-    sizes = ordered.groupBy("_range").count().orderBy("_range").collect()
-    before, start_of = 0, {}
-    for number, size in sizes:
-        if before < offset + limit and before + size > offset:
-            start_of[number] = before
-        before += size
-    if not start_of:
-        return df.limit(0)
-    start = F.create_map(*[F.lit(part) for item in start_of.items() for part in item])[F.col("_range")]
-    rank = F.row_number().over(Window.partitionBy("_range").orderBy(*order))
+    names = [f"_level{at}" for at in range(len(levels))]
+    rows = df.withColumns({name: value for name, (value, _) in zip(names, levels)})
+    rows = rows.withColumn("_before", F.lit(0).cast("long"))
+    for at, name in enumerate(names):
+        keys = names[: at + 1]
+        counts = rows.groupBy("_before", *keys).agg(F.count(F.lit(1)).alias("_held"))
+        by = Window.partitionBy("_before", *keys[:-1]).orderBy(getattr(F.col(name), levels[at][1])())
+        earlier = F.coalesce(F.sum("_held").over(by.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        open_values = (
+            counts.withColumn("_start", F.col("_before") + earlier)
+            .filter((F.col("_start") < offset + limit) & (F.col("_start") + F.col("_held") > offset))
+            .select(*[F.col(key).alias(f"{key}_open") for key in keys], "_start")
+        )
+        match = [F.col(key).eqNullSafe(F.col(f"{key}_open")) for key in keys]
+        rows = rows.join(F.broadcast(open_values), match).drop("_before", *[f"{key}_open" for key in keys])
+        rows = rows.withColumnRenamed("_start", "_before")
+    rank = F.row_number().over(Window.partitionBy("_before", *names).orderBy(*order))
     return (
-        ordered.filter(F.col("_range").isin(*start_of))
-        .withColumn("_position", start + rank)
+        rows.withColumn("_position", F.col("_before") + rank)
         .filter(F.col("_position").between(offset + 1, offset + limit))
         .orderBy("_position")
-        .drop("_range", "_position")
+        .drop("_position", "_before", *names)
     )

@@ -97,7 +97,7 @@ def listing_unwrap(spark, folder):
 
 @check("parse_json_payload", PARSED_SQL)
 def parse_json_payload(spark, folder):
-    return messages.parse_posts(fixtures.post_messages(spark, folder)).select(*PARSED)
+    return messages.parse_fields(fixtures.post_messages(spark, folder), *PARSED[1:]).select(*PARSED)
 
 
 @check(
@@ -107,7 +107,7 @@ def parse_json_payload(spark, folder):
     """,
 )
 def nested_to_json_text(spark, folder):
-    return messages.parse_posts(fixtures.post_messages(spark, folder)).select("event_id", "media")
+    return messages.parse_fields(fixtures.post_messages(spark, folder), "media")
 
 
 @check("schema_null_fill", "SELECT event_id, 10 AS filled, 89 AS missing FROM events")
@@ -119,7 +119,7 @@ def schema_null_fill(spark, folder):
 
 @check("quarantine_malformed", "SELECT text AS message FROM documents")
 def quarantine_malformed(spark, folder):
-    return messages.quarantined(messages.parse_messages(fixtures.mixed_messages(spark, folder)))
+    return messages.quarantined(messages.parse_messages(fixtures.mixed_messages(spark, folder), messages.ID_ONLY))
 
 
 @check("malformed_by_id", "SELECT text AS message FROM documents")
@@ -129,7 +129,7 @@ def malformed_by_id(spark, folder):
 
 @check("parse_mixed_messages", "SELECT id, title, score FROM posts")
 def parse_mixed_messages(spark, folder):
-    return messages.parse_posts(fixtures.mixed_messages(spark, folder)).select("id", "title", "score")
+    return messages.parse_fields(fixtures.mixed_messages(spark, folder), "id", "title", "score")
 
 
 @check(
@@ -410,6 +410,20 @@ def dedup_first(spark, folder):
     return dedup.dedup_latest(fixtures.posts(spark, folder).drop("created_utc"), "event_id")
 
 
+@check(
+    "dedup_without_arrival",
+    """
+    SELECT CAST(event_id AS VARCHAR) AS id, title, score, 'a' AS first, CAST(NULL AS VARCHAR) AS second FROM posts
+    """,
+)
+def dedup_without_arrival(spark, folder):
+    """Rows that tie in every way but where their nulls stand: the same one is kept whatever their order."""
+    posts = fixtures.posts(spark, folder).select(F.col("event_id").cast("string").alias("id"), "title", "score")
+    left = posts.withColumns({"first": F.lit(None).cast("string"), "second": F.lit("a")})
+    right = posts.withColumns({"first": F.lit("a"), "second": F.lit(None).cast("string")})
+    return dedup.dedup_first(left.unionAll(right))
+
+
 @check("dedup_highest_score", best_row_sql("id", "coalesce(score, 0) DESC, event_id", ROW, "id <> ''"))
 def dedup_highest_score(spark, folder):
     return dedup.dedup_posts(fixtures.posts(spark, folder), "highest_score", "id", "event_id")

@@ -2,16 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
-from postlake.operators.curate import curate, write_partitioned
-from postlake.operators.maintenance import drop_folder, staging_path, swap_folder, vacuum
+from postlake.operators.curate import clean_columns, curate, curate_batch, write_partitioned
+from postlake.operators.maintenance import commits_by_itself, replace_table, vacuum
 from postlake.operators.publish import ServingTable, publish
-from postlake.sources.tables import read_table
+from postlake.schema import ARRIVAL_COLUMN, BATCH_COLUMN, RUN_COLUMN
+from postlake.session import checkpointed
+from postlake.sources.tables import read_if_present, read_table
 
 METRICS = "subreddit string, read bigint, curated bigint, published bigint, skipped bigint"
 
 
+def arrival_of(raw: DataFrame, arrival: str | None) -> str | None:
+    """The named column, or the one that ingest writes where the table has it."""
+    return arrival or (ARRIVAL_COLUMN if ARRIVAL_COLUMN in raw.columns else None)
+
+
 def curate_community(
     spark: SparkSession,
     name: str,
@@ -22,30 +30,45 @@ def curate_community(
     mode: str = "skip",
     fmt: str = "parquet",
     arrival: str | None = None,
+    incremental: bool = False,
 ) -> dict:
     """Raw table to clean table to serving table, each stage reading what the one before has written.
 
-    Plain files are staged and swapped in, so readers and failed runs keep the last clean table; a table format
-    does that by itself. The counts come from the written tables, so retried tasks cannot inflate them.
+    A clean table is replaced as a whole, or, if `incremental`, gains what the raw batches add that it does not know yet:
+    batches are known by the `batches` table next to it, which is written last, so a failed run is done again and adds
+    nothing twice. `curated` counts the posts that this run put into the clean table.
     """
     raw = read_table(spark, raw_path, fmt)
-    posts = curate(raw, arrival)
-    if fmt == "parquet":
-        staged = staging_path(clean_path)
-        write_partitioned(posts, staged, fmt)
-        drop_folder(spark, swap_folder(spark, staged, clean_path))
-    else:
-        write_partitioned(posts, clean_path, fmt, mergeSchema="true", overwriteSchema="true")
+    done_path = f"{clean_path.rstrip('/')}__batches"
+    clean = read_if_present(spark, clean_path, fmt) if incremental else None
+    batches = [column for column in (RUN_COLUMN, BATCH_COLUMN) if column in raw.columns]
+    if incremental and not batches:
+        raise ValueError(f"{raw_path} has no batches; ingest it with batch_writer")
+    if incremental:
+        present = checkpointed(raw.select(*batches).distinct())
+        done = read_if_present(spark, done_path)
+        fresh = present if done is None or clean is None else checkpointed(present.join(done, batches, "left_anti"))
+        raw = raw.join(fresh, batches, "left_semi")
+    order = arrival_of(raw, arrival)
+    curated = curate(raw, order) if clean is None else curate_batch(raw, clean, order)
+    posts = clean_columns(curated)
+    written = Observation("curated")
+    counted = posts.observe(written, F.count(F.lit(1)).alias("rows"))
+    how = "append" if clean is not None else "overwrite"
+    options = {"mergeSchema": "true", "overwriteSchema": "true"} if commits_by_itself(fmt) else {}
+    write_partitioned(counted, clean_path, fmt, how, **options)
+    if incremental:
+        replace_table(present, done_path)
     clean = spark.read.format(fmt).schema(posts.schema).load(clean_path)
-    curated = clean.count()
     published = publish(clean, target, mode) if target else 0
     vacuum(spark, f"{fmt}.`{clean_path}`", fmt)
+    rows = written.get["rows"]
     return {
         "subreddit": name,
         "read": raw.count(),
-        "curated": curated,
+        "curated": rows,
         "published": published,
-        "skipped": curated - published if target else 0,
+        "skipped": rows - published if target else 0,
     }
 
 

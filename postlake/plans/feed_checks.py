@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from postlake.operators import feed
-from postlake.operators.paging import deep_page
 from postlake.plans import fixtures
 from postlake.plans.registry import check
 
@@ -94,11 +93,32 @@ def feed_page_raw_searched(spark, folder):
 
 @check(
     "feed_page_deep",
-    "SELECT event_id, title, score FROM posts ORDER BY score DESC NULLS LAST, event_id LIMIT 50 OFFSET 700",
+    f"""
+    (SELECT {FEED} FROM {CLEAN} ORDER BY score DESC NULLS LAST, post_id, event_id LIMIT 50 OFFSET 10)
+    UNION ALL
+    (SELECT {FEED} FROM {CLEAN} ORDER BY score DESC NULLS LAST, post_id, event_id
+     LIMIT 50 OFFSET (SELECT count(*) - 70 FROM posts))
+    """,
 )
 def feed_page_deep(spark, folder):
-    rows = fixtures.posts(spark, folder).select("event_id", "title", "score")
-    return deep_page(rows, [F.desc_nulls_last("score"), F.asc("event_id")], 700, 50)
+    """One page among the first rows and one near the end of the table, by the same plan."""
+    posts, communities = tables(spark, folder)
+    offsets = (10, posts.count() - 70)
+    pages = [feed.feed_page(posts, communities, limit=50, offset=n, sort="score", arrival="event_id") for n in offsets]
+    return pages[0].unionAll(pages[1])
+
+
+@check(
+    "feed_page_deep_raw",
+    f"""
+    SELECT {FEED} FROM {BEST.format(where="id <> ''")}
+    ORDER BY best.created_utc DESC, post_id LIMIT 30 OFFSET (SELECT count(DISTINCT id) - 40 FROM posts)
+    """,
+)
+def feed_page_deep_raw(spark, folder):
+    posts, communities = tables(spark, folder)
+    offset = posts.select("id").distinct().count() - 40
+    return feed.feed_page(posts, communities, source="trino", limit=30, offset=offset, arrival="event_id")
 
 
 @check(
@@ -135,17 +155,16 @@ def list_subreddits(spark, folder):
 
 @check(
     "feed_page_of_epochs",
-    """
-    SELECT post_id, strftime(created_utc, '%Y-%m-%dT%H:%M:%S') AS created_utc FROM (
-      SELECT id AS post_id, created_utc, row_number() OVER (
-        PARTITION BY id ORDER BY coalesce(score, 0) DESC, event_id) AS n
+    f"""
+    SELECT {FEED} FROM (
+      SELECT * REPLACE (date_trunc('second', created_utc) AS created_utc), id AS post_id,
+             row_number() OVER (PARTITION BY id ORDER BY coalesce(score, 0) DESC, event_id) AS n
       FROM posts WHERE id <> ''
     ) AS best WHERE n = 1
-    ORDER BY date_trunc('second', best.created_utc) DESC, post_id LIMIT 25
+    ORDER BY best.created_utc DESC, post_id LIMIT 25
     """,
 )
 def feed_page_of_epochs(spark, folder):
     """A raw table whose times are epoch seconds."""
     raw = fixtures.raw_posts(spark, folder)
-    page = feed.feed_page(raw, fixtures.COMMUNITIES, source="trino", arrival="event_id")
-    return page.select("post_id", "created_utc")
+    return feed.feed_page(raw, fixtures.COMMUNITIES, source="trino", arrival="event_id")

@@ -7,16 +7,15 @@ from pyspark.sql import functions as F
 from postlake.functions.columns import topic_name
 from postlake.plans import fixtures
 from postlake.plans.batch_checks import PARSED_SQL
-from postlake.plans.registry import check
-from postlake.schema import payload_fields
+from postlake.plans.registry import check, plain_time
 from postlake.session import SESSION_SETTINGS, shared_folder
-from postlake.sources.messages import parse_posts
+from postlake.sources.messages import parse_fields, parse_posts
 from postlake.streaming import queries
 from postlake.streaming.sources import open_messages, with_community
 
 AVAILABLE = {"availableNow": True}
 STAGED_FILES = 4
-BY_SUBREDDIT_SQL = "SELECT subreddit, count(*) AS post_count FROM posts GROUP BY subreddit"
+CLOSING_TIME = "2030-01-01"
 
 
 def stream_session(spark):
@@ -41,15 +40,18 @@ def staged_messages(spark, folder):
     return open_messages(stream_session(spark), "text", path, maxFilesPerTrigger="1")
 
 
-def by_subreddit(posts):
-    return posts.groupBy("subreddit").agg(F.count(F.lit(1)).alias("post_count"))
+def run_ingest(spark, messages, fmt="parquet", unique_ids=False, base=None, checkpoint="checkpoint", monitor=None):
+    base = base or shared_folder(spark, "ingest")
+    write = queries.batch_writer(f"{base}/raw", f"{base}/quarantine", f"{base}/dead", fmt, unique_ids, monitor)
+    queries.start_ingest(messages, write, f"{base}/{checkpoint}", trigger=AVAILABLE).awaitTermination()
+    return base
 
 
-def run_ingest(spark, messages, fmt="parquet", unique_ids=False):
-    base = shared_folder(spark, "ingest")
-    write = queries.batch_writer(f"{base}/raw", f"{base}/quarantine", f"{base}/dead", fmt, unique_ids)
-    queries.start_ingest(messages, write, f"{base}/checkpoint", trigger=AVAILABLE).awaitTermination()
-    return base
+FULL = ["id", "subreddit", "title", "author", "score", "num_comments", "created_utc", "url", "selftext"]
+FULL_SQL = """
+SELECT id, subreddit, title, author, score, num_comments,
+       CAST(floor(epoch(created_utc)) AS DOUBLE) AS created_utc, url, selftext
+"""
 
 
 @check("stream_parse_posts", PARSED_SQL)
@@ -62,14 +64,41 @@ def stream_parse_posts(spark, folder):
     )
 
 
-@check("stream_append_sink", BY_SUBREDDIT_SQL)
+@check("stream_append_sink", "SELECT event_id, subreddit, title, score FROM posts")
 def stream_append_sink(spark, folder):
     """Started twice from one checkpoint; the second run finds nothing new."""
     base = shared_folder(spark, "stream")
     for _ in range(2):
-        posts = parse_posts(streamed_messages(spark, folder)).select("event_id", "subreddit", "title", "score")
+        posts = parse_fields(streamed_messages(spark, folder), "subreddit", "title", "score")
         queries.append_stream(posts, f"{base}/raw", f"{base}/checkpoint", trigger=AVAILABLE).awaitTermination()
-    return by_subreddit(spark.read.parquet(f"{base}/raw"))
+    return spark.read.parquet(f"{base}/raw").select("event_id", "subreddit", "title", "score")
+
+
+@check("stream_new_checkpoint", f"{FULL_SQL} FROM posts")
+def stream_new_checkpoint(spark, folder):
+    """Two halves of the table, each under a checkpoint of its own, into the same raw table."""
+    base = shared_folder(spark, "ingest")
+    for half in (0, 1):
+        half_of = streamed_messages(spark, folder).filter(F.col("event_id") % 2 == half).select("value")
+        run_ingest(spark, half_of, base=base, checkpoint=f"checkpoint-{half}")
+    return spark.read.parquet(f"{base}/raw").select(*FULL)
+
+
+@check(
+    "stream_monitor",
+    """
+    SELECT subreddit, title, score, date_trunc('second', created_utc) AS created_utc FROM posts
+    """,
+)
+def stream_monitor(spark, folder):
+    """What the monitor of an ingest is given, batch by batch."""
+    base = shared_folder(spark, "ingest")
+
+    def monitor(shown):
+        shown.write.mode("append").parquet(f"{base}/shown")
+
+    run_ingest(spark, staged_messages(spark, folder), base=base, monitor=monitor)
+    return spark.read.parquet(f"{base}/shown").withColumns(plain_time("created_utc"))
 
 
 @check(
@@ -82,35 +111,39 @@ def stream_bounded_batches(spark, folder):
     return raw.agg(F.count_distinct("batch_id").cast("int").alias("batches"), F.count(F.lit(1)).alias("post_count"))
 
 
-@check("stream_multi_source", BY_SUBREDDIT_SQL)
+@check("stream_multi_source", "SELECT event_id, subreddit, title, subreddit AS community FROM posts")
 def stream_multi_source(spark, folder):
-    """One query per community over a source that carries all topics."""
+    """One query over a source that carries all topics; the table has a folder per community."""
     topic = topic_name(F.col("subreddit")).alias("topic")
     messages = with_community(streamed_messages(spark, folder, topic))
     base = shared_folder(spark, "stream")
-    started = queries.start_per_community(
-        parse_posts(messages).select("event_id", "subreddit", "community"),
-        fixtures.COMMUNITIES,
-        lambda name: f"{base}/raw/{name}",
-        lambda name: f"{base}/checkpoint/{name}",
-        trigger=AVAILABLE,
-    )
-    for query in started:
-        query.awaitTermination()
-    return by_subreddit(spark.read.parquet(*[f"{base}/raw/{name}" for name in fixtures.COMMUNITIES]))
+    posts = parse_fields(messages, "subreddit", "title").select("event_id", "subreddit", "title", "community")
+    queries.append_per_community(posts, f"{base}/raw", f"{base}/checkpoint", trigger=AVAILABLE).awaitTermination()
+    return spark.read.parquet(f"{base}/raw")
 
 
-@check("stream_dead_letter", BY_SUBREDDIT_SQL)
+@check("stream_dead_letter", f"{FULL_SQL} FROM posts")
 def stream_dead_letter(spark, folder):
     """The raw table cannot be written, so every message ends in the dead-letter folder."""
     base = run_ingest(spark, staged_messages(spark, folder), fmt="format_without_connector")
-    return by_subreddit(parse_posts(spark.read.parquet(f"{base}/dead")))
+    return parse_fields(spark.read.parquet(f"{base}/dead").select("value"), *FULL)
 
 
-@check("stream_batch_dedup", "SELECT DISTINCT id FROM posts")
+@check(
+    "stream_batch_dedup",
+    f"""
+    {FULL_SQL} FROM (
+      SELECT *, row_number() OVER (
+        PARTITION BY id ORDER BY date_trunc('second', created_utc) DESC NULLS LAST, event_id) AS n
+      FROM posts
+    ) AS ranked WHERE n = 1
+    """,
+)
 def stream_batch_dedup(spark, folder):
-    base = run_ingest(spark, streamed_messages(spark, folder).select("value"), unique_ids=True)
-    return spark.read.parquet(f"{base}/raw").select("id")
+    """One batch; of rows with the same id and time the one that arrived first stays."""
+    messages = streamed_messages(spark, folder).select(F.col("event_id").alias("arrival"), "value")
+    base = run_ingest(spark, messages, unique_ids=True)
+    return spark.read.parquet(f"{base}/raw").select(*FULL)
 
 
 @check("stream_quarantine", "SELECT text AS message FROM documents")
@@ -121,13 +154,12 @@ def stream_quarantine(spark, folder):
     return spark.read.parquet(f"{base}/quarantine").select("message")
 
 
-def unique_titles(spark, folder, spread_by=None):
-    """The delay covers the whole table, so every later repeat of a title is dropped."""
-    fields = payload_fields("id", "title", "created_utc")
-    posts = parse_posts(streamed_messages(spark, folder), fields).select(
+def unique_titles(spark, folder, parts=32):
+    """One span covers the whole table, so every later repeat of a title is dropped."""
+    posts = parse_fields(streamed_messages(spark, folder), "title", "created_utc").select(
         "event_id", "title", F.timestamp_seconds("created_utc").alias("created_at")
     )
-    unique = queries.dedup_within_watermark(posts, ["title"], "created_at", "40 days", spread_by)
+    unique = queries.dedup_within_watermark(posts, ["title"], "created_at", "40 days", parts)
     base = shared_folder(spark, "stream")
     queries.append_stream(unique, f"{base}/raw", f"{base}/checkpoint", trigger=AVAILABLE).awaitTermination()
     return spark.read.parquet(f"{base}/raw").select("title")
@@ -140,7 +172,8 @@ def stream_dedup_watermark(spark, folder):
 
 @check("stream_dedup_spread", "SELECT DISTINCT title FROM posts")
 def stream_dedup_spread(spark, folder):
-    return unique_titles(spark, folder, "event_id")
+    """Without parts: the same rows as with them."""
+    return unique_titles(spark, folder, 1)
 
 
 @check(
@@ -148,16 +181,13 @@ def stream_dedup_spread(spark, folder):
     "SELECT CAST(created_utc AS DATE) AS post_date, subreddit, count(*) AS post_count FROM posts GROUP BY 1, 2",
 )
 def stream_daily_counts(spark, folder):
-    fields = payload_fields("id", "subreddit", "created_utc")
-    posts = parse_posts(streamed_messages(spark, folder), fields).select(
-        "subreddit", F.timestamp_seconds("created_utc").alias("created_at")
+    """Counts are appended once the watermark has closed their day; messages past all days close the last one."""
+    posts = parse_fields(streamed_messages(spark, folder), "subreddit", "created_utc")
+    closing = posts.filter("event_id % 100 = 0").select(
+        F.lit(None).cast("string").alias("subreddit"), F.lit(CLOSING_TIME).cast("timestamp").alias("created_at")
     )
+    timed = posts.select("subreddit", F.timestamp_seconds("created_utc").alias("created_at")).unionByName(closing)
     base = shared_folder(spark, "stream")
-
-    def replace_counts(batch, _):
-        batch.write.mode("overwrite").parquet(f"{base}/counts")
-
-    counted = queries.daily_counts(posts, "created_at", "2 days").writeStream.outputMode("complete")
-    query = counted.foreachBatch(replace_counts).option("checkpointLocation", f"{base}/checkpoint")
-    query.trigger(**AVAILABLE).start().awaitTermination()
+    counted = queries.daily_counts(timed, "created_at", "2 days").filter(F.col("subreddit").isNotNull())
+    queries.append_stream(counted, f"{base}/counts", f"{base}/checkpoint", trigger=AVAILABLE).awaitTermination()
     return spark.read.parquet(f"{base}/counts")

@@ -11,6 +11,7 @@ from postlake.plans import curation, fixtures
 from postlake.plans.batch_checks import ROW, best_row_sql
 from postlake.plans.registry import check, plain_time
 from postlake.session import shared_folder
+from postlake.streaming.queries import batch_writer
 
 CURATED = ["event_id", "id", "title", "author", "score", "created_utc", "date", "year", "month", "day"]
 
@@ -90,11 +91,11 @@ def curate_across_batches(spark, folder):
     return spark.read.parquet(path).select("event_id", "title", "subreddit", "date")
 
 
-PUBLISHED = ["post_id", "title", "author", "score", "num_comments", "url", "selftext"]
+PUBLISHED = ["post_id", "title", "author", "score", "num_comments", "created_utc", "url", "selftext"]
 
 
 def newest_sql(where: str) -> str:
-    return best_row_sql("id", "created_utc DESC NULLS LAST", "*", where)
+    return best_row_sql("id", "created_utc DESC NULLS LAST, event_id", "*", where)
 
 
 @check(
@@ -102,7 +103,7 @@ def newest_sql(where: str) -> str:
     f"""
     WITH seen AS ({newest_sql("subreddit = 'view'")}), every AS ({newest_sql("true")}),
          merged AS (SELECT * FROM seen UNION ALL SELECT * FROM every WHERE id NOT IN (SELECT id FROM seen))
-    SELECT id AS post_id, title, author, score, num_comments, url, selftext FROM merged
+    SELECT id AS post_id, title, author, score, num_comments, created_utc, url, selftext FROM merged
     """,
 )
 def publish_modes(spark, folder):
@@ -110,7 +111,7 @@ def publish_modes(spark, folder):
     posts = fixtures.posts(spark, folder)
     target = publish.ServingTable(path=shared_folder(spark, "serving"))
     for batch in (posts.filter(F.col("subreddit") == "view"), posts, posts):
-        publish.publish(batch, target, "skip")
+        publish.publish(batch, target, "skip", "event_id")
     return target.read(spark).select(*PUBLISHED)
 
 
@@ -118,14 +119,14 @@ def publish_modes(spark, folder):
     "publish_overwrite",
     f"""
     WITH clicked AS ({newest_sql("subreddit = 'click'")})
-    SELECT id AS post_id, title, author, score, num_comments, url, selftext FROM clicked
+    SELECT id AS post_id, title, author, score, num_comments, created_utc, url, selftext FROM clicked
     """,
 )
 def publish_overwrite(spark, folder):
     posts = fixtures.posts(spark, folder)
     target = publish.ServingTable(path=shared_folder(spark, "serving"))
-    publish.publish(posts, target, "overwrite")
-    publish.publish(posts.filter(F.col("subreddit") == "click"), target, "overwrite")
+    publish.publish(posts, target, "overwrite", "event_id")
+    publish.publish(posts.filter(F.col("subreddit") == "click"), target, "overwrite", "event_id")
     return target.read(spark).select(*PUBLISHED)
 
 
@@ -189,17 +190,62 @@ def curation_metrics(spark, folder):
     return curation.metrics_frame(spark, [run])
 
 
-@check("file_manifest")
+@check("file_manifest", f"WITH {CURATED_SQL} SELECT DISTINCT year, month, day, true AS has_files FROM curated")
 def file_manifest(spark, folder):
     path = shared_folder(spark, "manifest")
-    maintenance.write_manifest(spark.read.parquet(curated_path(spark, folder)), path)
-    return spark.read.text(path)
+    maintenance.write_manifest(spark, curated_path(spark, folder), path)
+    listed = spark.read.text(path).groupBy("year", "month", "day").agg(F.count("value").alias("files"))
+    return listed.select("year", "month", "day", (F.col("files") >= 1).alias("has_files"))
 
 
-@check("table_sizes")
+@check(
+    "table_sizes",
+    """
+    SELECT 'events' AS "table", CAST(1 AS BIGINT) AS files, count(*) > 0 AS has_bytes FROM events
+    UNION ALL SELECT 'documents', 1, count(*) > 0 FROM documents
+    UNION ALL SELECT 'pages', 1, count(*) > 0 FROM pages
+    UNION ALL SELECT 'empty', 1, true
+    UNION ALL SELECT 'none', 0, false
+    """,
+)
 def table_sizes(spark, folder):
-    names = ("events", "documents", "pages", "conversations")
-    return maintenance.file_sizes({name: fixtures.table(spark, folder, name) for name in names})
+    """Three tables, one whose only file has no rows, and one without files."""
+    paths = {name: f"{folder}/{name}.parquet" for name in ("events", "documents", "pages")}
+    paths |= {name: shared_folder(spark, name) for name in ("empty", "none")}
+    events = fixtures.table(spark, folder, "events")
+    events.limit(0).coalesce(1).write.parquet(paths["empty"])
+    events.filter("event_id < 0").write.partitionBy("event_type").parquet(paths["none"])
+    sizes = maintenance.file_sizes(spark, paths)
+    return sizes.select("table", "files", (F.col("bytes") > 0).alias("has_bytes"))
+
+
+@check(
+    "curate_incremental_job",
+    """
+    WITH batches AS (
+      SELECT *, CASE WHEN subreddit = 'view' THEN 1 ELSE 2 END AS batch FROM posts
+    ), firsts AS (
+      SELECT *, row_number() OVER (
+        PARTITION BY title ORDER BY batch, date_trunc('second', created_utc) ASC NULLS LAST, id, event_id) AS n
+      FROM batches
+    )
+    SELECT id, title, subreddit, author, score, CAST(created_utc AS DATE) AS date, CAST(103 AS INTEGER) AS columns,
+           false AS edited
+    FROM firsts WHERE n = 1
+    """,
+)
+def curate_incremental_job(spark, folder):
+    """Two batches are ingested and curated one after the other, a third run finds nothing new."""
+    base = shared_folder(spark, "lake")
+    raw = fixtures.payload(fixtures.raw_posts(spark, folder), "subreddit", F.col("event_id").alias("arrival"))
+    write = batch_writer(f"{base}/news", f"{base}/quarantine", f"{base}/dead", unique_ids=False)
+    for number, batch in enumerate((raw.filter("subreddit = 'view'"), raw.filter("subreddit <> 'view'"))):
+        write(batch.select("arrival", "value"), number)
+        for _ in range(2):
+            curation.curate_community(spark, "news", f"{base}/news", f"{base}/news_clean", incremental=True)
+    clean = spark.read.parquet(f"{base}/news_clean")
+    shown = clean.withColumn("columns", F.lit(len(clean.columns)))
+    return shown.select("id", "title", "subreddit", "author", "score", "date", "columns", "edited")
 
 
 @check(
@@ -247,7 +293,14 @@ def catalog_inventory(spark, folder):
     """,
 )
 def table_columns(spark, folder):
-    return catalog.column_report(fixtures.table(spark, folder, "events"))
+    """Names and types from the catalog, counts from the table."""
+    location = shared_folder(spark, "database")
+    database = "columns_" + location.rsplit("-", 1)[1]
+    catalog.create_schema(spark, database, location)
+    catalog.register_communities(spark, database, {"events": f"{folder}/events.parquet"})
+    described = catalog.table_columns(spark, f"{database}.events")
+    counted = catalog.column_report(spark.table(f"{database}.events")).select("name", "non_null")
+    return described.join(counted, "name").select("name", "type", "non_null")
 
 
 @check(

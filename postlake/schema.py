@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql.types import DateType, IntegerType, StructType, TimestampType
+from pyspark.sql.types import BooleanType, DateType, IntegerType, StructType, TimestampType
 
 # The payload fields in their declared order. Epoch fields are doubles because a 32-bit
 # float steps by 128 seconds at present-day epochs. `edited` is either a flag or an epoch, so it stays text.
@@ -63,11 +63,16 @@ PARTITION_COLUMNS = ["year", "month", "day"]
 
 # Raw tables written per micro-batch have one folder per batch; its number is the order of arrival.
 BATCH_COLUMN = "batch_id"
+# The stream that wrote them: its id lives in the checkpoint, so a new checkpoint writes to folders of its own.
+RUN_COLUMN = "run"
+# Where the source records it: when a message arrived, in which partition and at which place in it.
+ARRIVAL_COLUMN = "arrival"
 
-# The clean table: the payload with its epochs as timestamps, the date and the partition columns.
+# The clean table: the payload with its epochs as timestamps and `edited` as a flag, the date and the partition columns.
 CLEAN_SCHEMA = StructType()
 for field in POST_SCHEMA:
-    CLEAN_SCHEMA = CLEAN_SCHEMA.add(field.name, TimestampType() if field.name in EPOCH_COLUMNS else field.dataType)
+    changed = {"edited": BooleanType()} | dict.fromkeys(EPOCH_COLUMNS, TimestampType())
+    CLEAN_SCHEMA = CLEAN_SCHEMA.add(field.name, changed.get(field.name, field.dataType))
 CLEAN_SCHEMA = CLEAN_SCHEMA.add("date", DateType())
 for name in PARTITION_COLUMNS:
     CLEAN_SCHEMA = CLEAN_SCHEMA.add(name, IntegerType())

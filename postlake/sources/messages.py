@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
-from postlake.schema import NESTED_KEYS, POST_SCHEMA
+from postlake.schema import NESTED_KEYS, POST_SCHEMA, payload_fields
 
 CORRUPT = "_corrupt_record"
 ID_ONLY = StructType().add("id", StringType())
@@ -52,6 +52,12 @@ def parse_posts(messages: DataFrame, schema: StructType = POST_SCHEMA, value: st
     return good_posts(parse_messages(messages, schema, value)).drop("is_partial")
 
 
+def parse_fields(messages: DataFrame, *names: str) -> DataFrame:
+    """Typed posts with some of the payload's fields; the others are not parsed. Other columns are kept."""
+    extra = [name for name in messages.columns if name != "value"]
+    return parse_posts(messages, payload_fields(*dict.fromkeys(["id", *names]))).select(*extra, *names)
+
+
 def drop_nested_keys(value: Column) -> Column:
     """The payload's top-level fields as a text map without the nested ones."""
     fields = F.from_json(value.cast("string"), "map<string,string>")

@@ -11,16 +11,27 @@ from postlake.operators.feed import tagged_union
 from postlake.schema import POST_SCHEMA
 
 
+# Fixed value: conditions by which Spark and table formats say that there is no table.
+ABSENT = (
+    "PATH_NOT_FOUND",
+    "UNABLE_TO_INFER_SCHEMA",
+    "TABLE_OR_VIEW_NOT_FOUND",
+    "DELTA_TABLE_NOT_FOUND",
+    "DELTA_MISSING_DELTA_TABLE",
+    "DELTA_PATH_DOES_NOT_EXIST",
+)
+
+
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet", **options: str) -> DataFrame:
     return spark.read.format(fmt).options(**options).load(path)
 
 
 def read_if_present(spark: SparkSession, path: str, fmt: str = "parquet", **options: str) -> DataFrame | None:
-    """The table, or None when its path does not exist. Every other error is raised."""
+    """The table, or None when it does not exist or its folder holds no data file. Every other error is raised."""
     try:
         return read_table(spark, path, fmt, **options)
     except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
+        if error.getCondition() in ABSENT:
             return None
         raise
 
@@ -62,9 +73,3 @@ def read_jdbc(
         properties = {k: v for k, v in connection.items() if k != "url"}
         return spark.read.jdbc(connection["url"], table, predicates=list(predicates), properties=properties)
     return spark.read.format("jdbc").options(**connection, dbtable=table).load()
-
-
-def read_jdbc_ids(spark: SparkSession, table: str, connection: dict[str, str], key: str = "post_id") -> DataFrame:
-    """The distinct keys of a database table, made distinct by the database."""
-    query = f"SELECT DISTINCT {key} FROM {table}"
-    return spark.read.format("jdbc").options(**connection, query=query).load()

@@ -11,7 +11,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from postlake.functions.columns import epoch_to_timestamp
 from postlake.operators.dedup import dedup_latest
-from postlake.schema import BATCH_COLUMN
+from postlake.operators.maintenance import commits_by_itself
+from postlake.schema import ARRIVAL_COLUMN, BATCH_COLUMN, RUN_COLUMN, payload_fields
 from postlake.sources.messages import good_posts, malformed, parse_messages
 
 logger = logging.getLogger(__name__)
@@ -43,9 +44,28 @@ def console_monitor(posts: DataFrame, checkpoint: str, name: str | None = None,
     return writer.trigger(**(trigger or TRIGGER)).start()
 
 
-def unique_in_batch(posts: DataFrame) -> DataFrame:
+def unique_in_batch(posts: DataFrame, arrival: str | None = None) -> DataFrame:
     """One row per id inside a micro-batch. Repeats in other batches pass; see `dedup_within_watermark`."""
-    return dedup_latest(posts)
+    return dedup_latest(posts, arrival)
+
+
+def running_query(batch: DataFrame) -> str:
+    """The id of the stream that a micro-batch belongs to; it lives in the checkpoint, so a restart keeps it."""
+    return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "unnamed"
+
+
+def append_batch(rows: DataFrame, path: str, fmt: str, run: str, batch_id: int) -> None:
+    """Add a micro-batch to a table so that its replay adds nothing.
+
+    Plain files: a folder per stream and batch, which a replay overwrites and no other stream touches. A table format:
+    one table, appended in one commit that names stream and batch, by which the format skips a commit that it already has.
+    """
+    if commits_by_itself(fmt):
+        named = rows.withColumns({RUN_COLUMN: F.lit(run), BATCH_COLUMN: F.lit(batch_id)})
+        writer = named.write.format(fmt).mode("append").option("mergeSchema", "true")
+        writer.option("txnAppId", run).option("txnVersion", batch_id).save(path)
+    else:
+        rows.write.format(fmt).mode("overwrite").save(f"{path}/{RUN_COLUMN}={run}/{BATCH_COLUMN}={batch_id}")
 
 
 def batch_writer(
@@ -58,30 +78,31 @@ def batch_writer(
 ) -> Callable[[DataFrame, int], None]:
     """A `foreachBatch` function that writes posts and malformed messages.
 
-    The batch is kept as it came, which is far smaller than its parsed form, so the source is read once.
-
-    Each batch owns a `batch_id=…` folder that a replay overwrites, so a failed and repeated batch leaves no
-    second copy; the folder number is also the arrival order of the raw table. When the raw table cannot be
-    written, the messages go to the dead-letter folder and the stream continues; that folder can be given to this
-    function again.
+    The batch is kept as it came, which is far smaller than its parsed form, so the source is read once. Its raw rows
+    are written once and the monitor reads the columns it shows from there. Rows carry the id of the stream and the batch
+    number; `append_batch` says why neither a replay nor a new checkpoint loses or repeats rows. When the raw table
+    cannot be written, the messages go to the dead-letter folder and the stream continues; that folder can be given
+    to this function again.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        folder = f"{BATCH_COLUMN}={batch_id}"
+        run = running_query(batch)
         batch = batch.persist()
         try:
             if batch.isEmpty():
                 return
+            arrival = ARRIVAL_COLUMN if ARRIVAL_COLUMN in batch.columns else None
             posts = good_posts(parse_messages(batch)).withColumn("retrieved_at", F.current_timestamp())
-            posts = unique_in_batch(posts) if unique_ids else posts
+            posts = unique_in_batch(posts, arrival) if unique_ids else posts
             try:
-                posts.write.format(fmt).mode("overwrite").save(f"{raw_path}/{folder}")
+                append_batch(posts, raw_path, fmt, run, batch_id)
             except Exception:
                 logger.exception("batch %s not written to %s, kept in %s", batch_id, raw_path, dead_letter_path)
-                batch.select("value").write.mode("overwrite").parquet(f"{dead_letter_path}/{folder}")
-            malformed(batch).write.mode("overwrite").parquet(f"{quarantine_path}/{folder}")
+                append_batch(batch, dead_letter_path, "parquet", run, batch_id)
+            append_batch(malformed(batch), quarantine_path, "parquet", run, batch_id)
             if monitor:
-                monitor(monitor_columns(posts))
+                shown = parse_messages(batch, payload_fields("id", "subreddit", "title", "score", "created_utc"))
+                monitor(monitor_columns(good_posts(shown)))
         finally:
             batch.unpersist()
 
@@ -98,46 +119,35 @@ def start_ingest(
     return writer.trigger(**(trigger or TRIGGER)).start()
 
 
-def start_per_community(
-    messages: DataFrame,
-    communities: Sequence[str],
-    path_of: Callable[[str], str],
-    checkpoint_of: Callable[[str], str],
-    fmt: str = "parquet",
-    trigger=None,
-) -> list[StreamingQuery]:
-    """A query per community with its own table and checkpoint, for few communities that must fail apart.
+def append_per_community(
+    posts: DataFrame, path: str, checkpoint: str, column: str = "community", fmt: str = "parquet", name=None, trigger=None
+) -> StreamingQuery:
+    """One query that reads the source once and keeps a folder of the table per community.
 
-    Every query reads the whole source; one query with a `community` column scales better.
+    Where communities must be able to fail apart, subscribe each of them with a query of its own, as the ingest job does.
     """
-    return [
-        append_stream(
-            messages.filter(F.col("community") == name), path_of(name), checkpoint_of(name), name, fmt, trigger
-        )
-        for name in communities
-    ]
-
-
-def await_any(spark: SparkSession, timeout: float | None = None) -> bool | None:
-    """Wait until one of the session's queries stops or fails."""
-    return spark.streams.awaitAnyTermination(timeout)
+    writer = posts.writeStream.format(fmt).outputMode("append").partitionBy(column)
+    writer = writer.option("checkpointLocation", checkpoint)
+    writer = writer.queryName(name) if name else writer
+    return writer.trigger(**(trigger or TRIGGER)).start(path)
 
 
 def dedup_within_watermark(
-    posts: DataFrame, keys: Sequence[str], event_time: str, delay: str, spread_by: str | None = None, spread: int = 32
+    posts: DataFrame, keys: Sequence[str], event_time: str, delay: str, parts: int = 32
 ) -> DataFrame:
-    """The first arrival per key while `delay` lasts; state older than that is dropped.
+    """The first arrival per key and span of event time; spans are `delay` long and aligned to the epoch.
 
-    A repeat that comes later than `delay` passes and is removed by the batch deduplication. Where one key may
-    fill a large share of the stream, `spread_by` names a column that differs between its rows: they are then
-    first deduplicated in `spread` parts, so that the task that owns the key sees at most one row per part.
+    State is kept until the watermark is `delay` past the first row, when every other row of its span is late and dropped
+    anyway. A repeat in another span passes and is removed by the batch deduplication. Rows are first deduplicated in
+    `parts` by a hash of the whole row, so the task that owns a key sees at most one row per part and span, however
+    frequent the key. Since a span ends at the same time in every part, the number of parts changes which of several equal
+    first arrivals stays, but never how many.
     """
-    timed = posts.withWatermark(event_time, delay)
-    if spread_by is None:
-        return timed.dropDuplicatesWithinWatermark(list(keys))
-    parted = timed.withColumn("_part", F.pmod(F.xxhash64(spread_by), F.lit(spread)))
-    first = parted.dropDuplicatesWithinWatermark([*keys, "_part"]).drop("_part")
-    return first.dropDuplicatesWithinWatermark(list(keys))
+    timed = posts.withWatermark(event_time, delay).withColumn("_window", F.window(event_time, delay))
+    timed = timed.withColumn("_span", F.unix_micros("_window.start")).drop("_window")
+    parted = timed.withColumn("_part", F.pmod(F.xxhash64(*posts.columns), F.lit(parts)))
+    first = parted.dropDuplicatesWithinWatermark([*keys, "_span", "_part"]).drop("_part")
+    return first.dropDuplicatesWithinWatermark([*keys, "_span"]).drop("_span")
 
 
 def daily_counts(posts: DataFrame, event_time: str, delay: str) -> DataFrame:

@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from postlake.functions.columns import label_of_topic
-from postlake.schema import TOPIC_PREFIX
+from postlake.schema import ARRIVAL_COLUMN, TOPIC_PREFIX
 
-# Consumer settings of the message stream, and the bound of one micro-batch.
+# Consumer settings of the message stream.
 CONSUMER_SETTINGS = {
     "failOnDataLoss": "false",
     "kafka.session.timeout.ms": "45000",
@@ -21,31 +21,27 @@ CONSUMER_SETTINGS = {
     "kafka.request.timeout.ms": "60000",
     "kafka.isolation.level": "read_committed",
 }
-BATCH_MESSAGES = 100
-BATCH_DELAY = "30s"
 
 
 def kafka_options(
-    servers: str, subreddits: Sequence[str], starting: str = "latest", max_messages: int | None = None
+    servers: str, subreddits: Sequence[str], starting: str = "latest", max_messages: int | None = None,
+    max_delay: str | None = None,
 ) -> dict[str, str]:
     """Options for the `kafka` source over the topics of several communities.
 
-    `starting` counts only without a checkpoint. `max_messages` bounds a micro-batch; leave it unset to
-    take whatever has arrived, which is what a large stream needs.
+    `starting` counts only without a checkpoint. `max_messages` paces the micro-batches: one starts when as many have
+    arrived or `max_delay` has passed, and takes as many at most. Leave it unset to take whatever has arrived, which is
+    what a large stream needs.
     """
     topics = ",".join(TOPIC_PREFIX + name for name in subreddits)
     options = {"kafka.bootstrap.servers": servers, "subscribe": topics, "startingOffsets": starting}
     if max_messages:
         options["maxOffsetsPerTrigger"] = str(max_messages)
+        if max_delay:
+            options |= {"minOffsetsPerTrigger": str(max_messages), "maxTriggerDelay": max_delay}
     return options | CONSUMER_SETTINGS
 
 
-def bounded_kafka_options(servers: str, subreddits: Sequence[str]) -> dict[str, str]:
-    """Small batches: a trigger starts after 100 messages or 30 seconds and takes 100 at most."""
-    options = kafka_options(servers, subreddits, "earliest", BATCH_MESSAGES)
-    return options | {"minOffsetsPerTrigger": str(BATCH_MESSAGES), "maxTriggerDelay": BATCH_DELAY}
-
-
 def open_messages(
     spark: SparkSession, fmt: str = "kafka", path: str | None = None, schema: StructType | None = None, **options: str
 ) -> DataFrame:
@@ -56,6 +52,11 @@ def open_messages(
     return reader.load(path) if path else reader.load()
 
 
+def with_arrival(messages: DataFrame) -> DataFrame:
+    """The message with its order of arrival: time, partition and offset, which no two messages of a topic share."""
+    return messages.select("value", F.struct("timestamp", "partition", "offset").alias(ARRIVAL_COLUMN))
+
+
 def with_community(messages: DataFrame, topic: str = "topic") -> DataFrame:
     """The community a message belongs to, read from its topic."""
     return messages.withColumn("community", label_of_topic(F.col(topic)))

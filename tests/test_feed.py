@@ -1,10 +1,11 @@
 import datetime as dt
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from postlake.functions.columns import is_outbound_link, iso_timestamp, relative_age, table_name_of
-from postlake.operators import feed, paging
+from postlake.operators import feed, paging, reports
 
 SCHEMA = (
     "seq int, id string, title string, author string, score int, num_comments int, created_utc timestamp, "
@@ -77,21 +78,47 @@ def test_page_past_the_end(spark):
     assert feed.feed_summary(frame, NAMES, offset=10).first().total == 2
 
 
-def test_deep_pages_equal_shallow_pages(spark):
-    frame = spark.range(0, 5000, 1, 8).selectExpr("id", "IF(id % 3 = 0, 7, id % 11) AS score")
-    order = [F.desc("score"), F.asc("id")]
-    for offset in (0, 1666, 1667, 4990, 6000):
+def test_pages_equal_sorted_rows(spark):
+    frame = spark.range(0, 5000, 1, 8).selectExpr("id", "IF(id % 3 = 0, NULL, id % 11) AS score")
+    order = [F.desc_nulls_last("score"), F.asc("id")]
+    levels = [(F.col("score"), "desc_nulls_last"), (F.floor(F.col("id") / 100), "asc")]
+    for offset in (0, 1666, 1667, 3333, 4990, 6000):
         expected = frame.orderBy(*order).offset(offset).limit(25).collect()
-        assert paging.deep_page(frame, order, offset, 25).collect() == expected
+        assert paging.page(frame, levels, order, offset, 25).collect() == expected
 
 
-def test_deep_feed_pages(spark, monkeypatch):
-    frame = posts(spark, *[{"id": f"{at % 60:02}", "score": at % 4, "title": f"t{at}"} for at in range(200)])
-    options = [{"source": source, "sort": "score", "arrival": "seq", "limit": 10} for source in feed.SOURCES]
-    shallow = [[feed.feed_page(frame, NAMES, offset=at, **o).collect() for at in (0, 20, 50)] for o in options]
-    monkeypatch.setattr(paging, "DEEP_OFFSET", -1)
-    deep = [[feed.feed_page(frame, NAMES, offset=at, **o).collect() for at in (0, 20, 50)] for o in options]
-    assert deep == shallow and all(len(rows) == 10 for pages in deep for rows in pages)
+def test_feed_pages_follow_each_other(spark):
+    frame = posts(spark, *[{"id": f"{at % 60:02}", "score": at % 4, "title": f"t{at}", "day": 1 + at % 9} for at in range(200)])
+    for source in feed.SOURCES:
+        for sort in ("score", "created_utc"):
+            for direction in ("asc", "desc"):
+                options = {"source": source, "sort": sort, "order": direction, "arrival": "seq"}
+                whole = feed.feed_page(frame, NAMES, limit=100, **options).collect()
+                parts = [feed.feed_page(frame, NAMES, offset=at, limit=20, **options).collect() for at in (0, 20, 40)]
+                assert sum(parts, []) == whole[:60] and len(whole) >= 60
+
+
+def test_page_plan_is_the_same_for_every_offset(spark):
+    frame = posts(spark, *[{"id": str(at), "score": at} for at in range(50)])
+    shapes = set()
+    for offset in (0, 20_000):
+        plan = feed.feed_page(frame, NAMES, offset=offset)._jdf.queryExecution().executedPlan().toString()
+        shapes.add(re.sub(r"\d+", "", plan))
+        assert "rangepartitioning" not in plan.split("Window")[-1]
+    assert len(shapes) == 1
+
+
+def test_epoch_table_is_pruned(spark, tmp_path):
+    frame = posts(spark, *[{"id": str(at), "score": at, "day": 1 + at // 20} for at in range(300)])
+    epochs = frame.withColumn("created_utc", F.unix_micros(F.col("created_utc").cast("timestamp")) / 1e6)
+    epochs.repartitionByRange(6, "created_utc").sortWithinPartitions("created_utc").write.parquet(str(tmp_path / "posts"))
+    stored = spark.read.parquet(str(tmp_path / "posts"))
+    assert stored.schema["created_utc"].dataType.simpleString() == "double"
+    found = feed.feed_page(stored, NAMES, source="trino", limit=1, arrival="seq")
+    assert found.collect()[0].post_id in {str(at) for at in range(280, 300)}
+    assert rows_scanned(found) < 150
+    recent = reports.last_hours(stored, F.lit(dt.datetime(2024, 1, 15, 23)), 24)
+    assert "GreaterThan(created_utc," in recent._jdf.queryExecution().executedPlan().toString()
 
 
 def test_requests_are_checked(spark):
@@ -99,7 +126,7 @@ def test_requests_are_checked(spark):
     for wrong in ({"source": "mysql"}, {"limit": 0}, {"limit": 101}, {"offset": -1}):
         with pytest.raises(ValueError):
             feed.feed_page(frame, NAMES, **wrong)
-    assert feed.list_sources() == ["postgres", "trino"]
+    assert feed.SOURCES == ("postgres", "trino")
     assert feed.feed_page(frame, NAMES).count() == 0
 
 

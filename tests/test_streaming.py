@@ -35,7 +35,7 @@ def test_kafka_options():
     assert options["subscribe"] == "reddit_news,reddit_aws"
     assert options["startingOffsets"] == "latest" and options["failOnDataLoss"] == "false"
     assert options["kafka.isolation.level"] == "read_committed" and "maxOffsetsPerTrigger" not in options
-    bounded = sources.bounded_kafka_options("h:1", ["news"])
+    bounded = sources.kafka_options("h:1", ["news"], "earliest", 100, "30s")
     assert bounded["maxOffsetsPerTrigger"] == "100" and bounded["maxTriggerDelay"] == "30s"
     assert bounded["startingOffsets"] == "earliest"
     assert queries.TRIGGER == {"processingTime": "180 seconds"}
@@ -74,7 +74,28 @@ def test_replayed_batch_leaves_no_second_copy(spark, tmp_path):
         write(batch, 7)
     assert spark.read.parquet(str(tmp_path / "raw")).count() == 5
     write(batch.limit(0), 8)
-    assert not (tmp_path / "raw" / "batch_id=8").exists()
+    assert not (tmp_path / "raw" / "run=unnamed" / "batch_id=8").exists()
+
+
+def test_new_checkpoint_keeps_earlier_rows(spark, tmp_path):
+    for number, checkpoint in enumerate(("first", "second")):
+        folder = tmp_path / f"in{number}"
+        write_lines(folder, "a.json", [*[post(n) for n in range(10 * number, 10 * number + 10)], f"junk{number}"])
+        for fmt, raw in (("parquet", "raw"), ("format_without_connector", "unwritable")):
+            write = queries.batch_writer(str(tmp_path / raw), str(tmp_path / "aside"), str(tmp_path / "dead"), fmt)
+            for _ in range(2):
+                stream = messages(spark, folder)
+                place = str(tmp_path / f"{checkpoint}_{raw}")
+                queries.start_ingest(stream, write, place, trigger=AVAILABLE).awaitTermination()
+    raw = spark.read.parquet(str(tmp_path / "raw"))
+    assert raw.count() == 20 and raw.select("run").distinct().count() == 2
+    assert spark.read.parquet(str(tmp_path / "dead")).count() == 22
+    assert spark.read.parquet(str(tmp_path / "aside")).count() == 4
+
+
+def test_arrival_from_the_source(spark):
+    frame = spark.createDataFrame([(1, 2, "v", 3)], "timestamp long, partition int, value string, offset long")
+    assert sources.with_arrival(frame).first().arrival == (1, 2, 3)
 
 
 def test_unwritable_table_goes_to_dead_letters(spark, tmp_path):
@@ -88,16 +109,32 @@ def test_unwritable_table_goes_to_dead_letters(spark, tmp_path):
 def test_stateful_dedup_spans_batches(spark, tmp_path):
     write_lines(tmp_path / "in", "a.json", [post(n) for n in range(100)])
     write_lines(tmp_path / "in", "b.json", [post(n, score=9) for n in range(50)])
-    for spread_by in (None, "score"):
+    for parts in (1, 32):
         posts = parse_posts(messages(spark, tmp_path / "in", maxFilesPerTrigger="1")).select(
             "title", "score", F.timestamp_seconds("created_utc").alias("at")
         )
-        unique = queries.dedup_within_watermark(posts, ["title"], "at", "1 day", spread_by)
-        raw = str(tmp_path / f"raw_{spread_by}")
-        queries.append_stream(unique, raw, str(tmp_path / f"cp_{spread_by}"), trigger=AVAILABLE).awaitTermination()
+        unique = queries.dedup_within_watermark(posts, ["title"], "at", "1 day", parts)
+        raw = str(tmp_path / f"raw_{parts}")
+        queries.append_stream(unique, raw, str(tmp_path / f"cp_{parts}"), trigger=AVAILABLE).awaitTermination()
         assert spark.read.parquet(raw).count() == 100
 
 
+def test_late_rows_are_treated_alike_with_and_without_parts(spark, tmp_path):
+    minutes = [[0, 5], [64], [70, 119, 10], [300], [301, 100]]
+    for number, batch in enumerate(minutes):
+        write_lines(tmp_path / "in", f"{number}.json", [post(1, score=m, created_utc=1700006400.0 + 60 * m) for m in batch])
+    kept = []
+    for parts in (1, 2, 32):
+        posts = parse_posts(messages(spark, tmp_path / "in", maxFilesPerTrigger="1")).select(
+            "title", "score", F.timestamp_seconds("created_utc").alias("at")
+        )
+        unique = queries.dedup_within_watermark(posts, ["title"], "at", "1 hour", parts)
+        raw = str(tmp_path / f"raw_{parts}")
+        queries.append_stream(unique, raw, str(tmp_path / f"cp_{parts}"), trigger=AVAILABLE).awaitTermination()
+        kept.append(sorted(row.score // 60 for row in spark.read.parquet(raw).collect()))
+    assert kept == [[0, 1, 5]] * 3
+
+
 def test_daily_counts_close_behind_the_watermark(spark, tmp_path):
     day = 86400.0
     write_lines(tmp_path / "in", "a.json", [post(n, created_utc=1700006400.0 + n) for n in range(3)])  # 2023-11-15
@@ -123,4 +160,4 @@ def test_console_monitor(spark, tmp_path):
     query = queries.console_monitor(posts, str(tmp_path / "cp"), "monitor", AVAILABLE)
     query.awaitTermination()
     assert query.exception() is None
-    queries.await_any(spark, 1)
+    spark.streams.awaitAnyTermination(1)

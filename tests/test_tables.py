@@ -2,7 +2,6 @@ import datetime as dt
 import os
 
 import pytest
-from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from postlake.operators import catalog, curate, maintenance, publish, reports
@@ -22,7 +21,8 @@ def raw_posts(spark, count=60):
 
 
 def test_curated_columns(spark):
-    frame = curate.curate(spark.createDataFrame([], POST_SCHEMA))
+    ingested = spark.createDataFrame([], POST_SCHEMA).withColumns({"is_partial": F.lit(True), "batch_id": F.lit(1)})
+    frame = curate.clean_columns(curate.curate(ingested))
     assert [(f.name, f.dataType) for f in frame.schema] == [(f.name, f.dataType) for f in CLEAN_SCHEMA]
     assert len(frame.columns) == 103 and frame.columns[-4:] == ["date", "year", "month", "day"]
     assert all(frame.schema[name].dataType.simpleString() == "timestamp" for name in EPOCH_COLUMNS)
@@ -149,7 +149,9 @@ def test_only_a_missing_path_is_tolerated(spark, tmp_path):
     nothing = tables.load_union(spark, {"aws": str(tmp_path / "absent")})
     assert nothing.count() == 0 and nothing.columns == POST_SCHEMA.names
     broken.mkdir()
-    with pytest.raises(AnalysisException):
+    assert tables.load_union(spark, {"news": present, "empty": str(broken)}).count() == 60
+    (broken / "part-0.parquet").write_text("not a table")
+    with pytest.raises(Exception):
         tables.load_union(spark, {"news": present, "broken": str(broken)})
 
 
@@ -184,13 +186,14 @@ def test_jdbc_reads():
     connection = tables.jdbc_options("jdbc:x", "d")
     whole = tables.read_jdbc(RecordedReader(), "s.news", connection)
     assert (whole["format"], whole["dbtable"], whole["url"]) == ("jdbc", "s.news", "jdbc:x")
-    ids = tables.read_jdbc_ids(RecordedReader(), "s.news", connection)
-    assert ids["query"] == "SELECT DISTINCT post_id FROM s.news" and "dbtable" not in ids
     parts = tables.read_jdbc(RecordedReader(), "s.news", connection, ["post_id < 'm'", "post_id >= 'm'"])
     assert len(parts["predicates"]) == 2 and parts["driver"] == "d"
     target = publish.ServingTable("jdbc", options=connection | {"dbtable": "s.news"})
     assert target.read(RecordedReader())["dbtable"] == "s.news"
+    split = publish.ServingTable("jdbc", options=connection | {"dbtable": "s.news"}, predicates=("a", "b"))
+    assert split.read(RecordedReader())["predicates"] == ["a", "b"]
     assert publish.ServingTable("jdbc", options=connection, exists=False).read(RecordedReader()) is None
+    assert publish.ServingTable("jdbc", options=connection, exists=False).keys(RecordedReader()) is None
 
 
 def test_null_title_is_known_across_batches(spark):
@@ -239,7 +242,7 @@ def test_vacuum_statement():
 def test_manifest_lists_live_files(spark, tmp_path):
     path, manifest = str(tmp_path / "clean"), str(tmp_path / "manifest")
     curate.write_partitioned(curate.curate(raw_posts(spark)), path)
-    maintenance.write_manifest(spark.read.parquet(path), manifest)
+    maintenance.write_manifest(spark, path, manifest)
     listed = {row.value.removeprefix("file:").lstrip("/") for row in spark.read.text(manifest).collect()}
     live = {os.path.join(at, name).lstrip("/") for at, _, names in os.walk(path) for name in names if name.endswith(".parquet")}
     assert listed == live
@@ -264,7 +267,7 @@ def test_catalog(spark, tmp_path):
 def test_serving_columns():
     assert SERVING_COLUMNS[0] == "id" and len(SERVING_COLUMNS) == 8
     assert list(SERVING_TYPES)[1:] == SERVING_COLUMNS[1:]
-    assert publish.serving_ddl("t").startswith("CREATE TABLE t (post_id VARCHAR(50) PRIMARY KEY, title TEXT")
+    assert publish.column_types().startswith("post_id VARCHAR(50), title STRING, author VARCHAR(255), score INT")
 
 
 def test_empty_tables_are_counted(spark):
@@ -277,10 +280,57 @@ def test_top_k_does_not_sort_the_table(spark):
     assert "TakeOrderedAndProject" in plan and "Exchange rangepartitioning" not in plan
 
 
-def test_staged_publication_cleans_up(spark, tmp_path):
+def test_publication_cleans_up(spark, tmp_path):
     target = publish.ServingTable(path=str(tmp_path / "serving"))
-    rows = publish.serving_rows(curate.curate(raw_posts(spark)))
-    assert publish.write_staged(rows, target, "append") == 30
-    assert publish.write_staged(rows.limit(0), target, "append") == 0
+    posts = curate.curate(raw_posts(spark))
+    assert publish.publish(posts, target) == 30
+    assert publish.publish(posts.limit(0), target) == 0
+    assert publish.publish_full(posts, target) == 30
     assert target.read(spark).count() == 30
     assert not [name for name in os.listdir(f"{shared_root(spark)}/postlake") if name.startswith("publish-")]
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "orc"])
+def test_failed_overwrite_keeps_the_old_rows(spark, tmp_path, fmt):
+    target = publish.ServingTable(fmt, str(tmp_path / "serving"))
+    publish.publish_full(raw_posts(spark), target)
+    failing = raw_posts(spark).withColumn("score", F.when(F.col("id") == "30", F.raise_error(F.lit("no"))).otherwise(F.col("score")).cast("int"))
+    for replace in (lambda: publish.publish_full(failing, target), lambda: publish.publish(failing, target, "overwrite")):
+        with pytest.raises(Exception, match="no"):
+            replace()
+        assert target.read(spark).count() == 60
+    clean = str(tmp_path / "clean")
+    curate.write_partitioned(curate.curate(raw_posts(spark)), clean, fmt)
+    with pytest.raises(Exception, match="no"):
+        curate.write_partitioned(curate.curate(failing), clean, fmt)
+    assert spark.read.format(fmt).load(clean).count() == 30
+    assert sorted(os.listdir(tmp_path)) == ["clean", "serving"]
+
+
+def test_sizes_count_empty_tables(spark, tmp_path):
+    raw_posts(spark).coalesce(2).write.parquet(str(tmp_path / "a"))
+    raw_posts(spark).limit(0).coalesce(1).write.parquet(str(tmp_path / "b"))
+    (tmp_path / "c").mkdir()
+    sizes = maintenance.file_sizes(spark, {name: str(tmp_path / name) for name in "abc"}).collect()
+    assert [(row.table, row.files > 0, row.bytes > 0) for row in sizes] == [("a", True, True), ("b", True, True), ("c", False, False)]
+    assert tables.read_if_present(spark, str(tmp_path / "c")) is None
+
+
+def test_top_above_the_limit_of_window_cuts(spark):
+    rows = spark.range(5000).selectExpr("CAST(id AS STRING) AS id", "IF(id % 9 = 0, 'a', 'b') AS subreddit", "id AS created_utc")
+    found = reports.recent_per_subreddit(rows, 1500)
+    assert {r.subreddit: r["count"] for r in found.groupBy("subreddit").count().collect()} == {"a": 556, "b": 1500}
+    assert found.filter("rank = 1500").first().created_utc == sorted((at for at in range(5000) if at % 9), reverse=True)[1499]
+
+
+def test_incremental_curation(spark, tmp_path):
+    raw, clean = str(tmp_path / "raw"), str(tmp_path / "clean")
+    with pytest.raises(ValueError):
+        raw_posts(spark).write.parquet(str(tmp_path / "plain"))
+        curation.curate_community(spark, "news", str(tmp_path / "plain"), clean, incremental=True)
+    gained = []
+    for batch in range(2):
+        raw_posts(spark, 60 + 20 * batch).write.parquet(f"{raw}/run=x/batch_id={batch}")
+        gained += [curation.curate_community(spark, "news", raw, clean, incremental=True)["curated"] for _ in range(2)]
+    assert gained == [30, 0, 10, 0]
+    assert spark.read.parquet(clean).count() == 40 and len(spark.read.parquet(clean).columns) == 103
