@@ -188,6 +188,6 @@ def stream_daily_counts(spark, folder):
     )
     timed = posts.select("subreddit", F.timestamp_seconds("created_utc").alias("created_at")).unionByName(closing)
     base = shared_folder(spark, "stream")
-    counted = queries.daily_counts(timed, "created_at", "2 days").filter(F.col("subreddit").isNotNull())
+    counted = queries.daily_counts(timed, "created_at", "2 days")
     queries.append_stream(counted, f"{base}/counts", f"{base}/checkpoint", trigger=AVAILABLE).awaitTermination()
     return spark.read.parquet(f"{base}/counts")
