@@ -25,6 +25,7 @@ WEIGHTS = (5.0, 2.0, 1.0)
 MAX_EPOCHS = 3
 SEED = "mix-1"
 HASH_BITS = 60
+SALTS = 256
 BIN_BITS = (12, 24)  # bits of the hash that the first and the second histogram look at
 
 
@@ -86,11 +87,17 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, max_e
     )
 
 
+def in_open_bins(sizes: DataFrame, open_bins: DataFrame, shift: int) -> DataFrame:
+    """The rows that lie in their source's open bin; a source is spread over SALTS keys by its hash."""
+    salted = open_bins.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).cast("long"))
+    rows = sizes.withColumn("salt", F.pmod("at", F.lit(SALTS)))
+    return rows.join(salted, ["source_key", "salt"]).where(F.shiftright("at", shift) == F.col("bin"))
+
+
 def narrowed(sizes: DataFrame, open_bins: DataFrame, shift_before: int, shift: int) -> DataFrame:
     """Of each source's open bin, the finer bin in which the running sum of sizes passes `rest`."""
     fine = (
-        sizes.join(open_bins, "source_key")
-        .where(F.shiftright("at", shift_before) == F.col("bin"))
+        in_open_bins(sizes, open_bins, shift_before)
         .groupBy("source_key", "rest", "before", F.shiftright("at", shift).alias("fine"))
         .agg(F.sum("size").alias("held"))
     )
@@ -116,8 +123,7 @@ def with_cuts(sizes: DataFrame, targets: DataFrame) -> DataFrame:
         shift = HASH_BITS - bits
     open_bins = checkpointed(open_bins)
     last = (
-        keyed.join(open_bins, "source_key")
-        .where(F.shiftright("at", shift) == F.col("bin"))
+        in_open_bins(keyed, open_bins, shift)
         .groupBy("source_key", "rest", "before", "at")
         .agg(F.sum("size").alias("held"))
     )
