@@ -89,7 +89,8 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, max_e
 
 def in_open_bins(sizes: DataFrame, open_bins: DataFrame, shift: int) -> DataFrame:
     """The rows that lie in their source's open bin; a source is spread over SALTS keys by its hash."""
-    salted = open_bins.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).cast("long"))
+    salts = F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))
+    salted = open_bins.withColumn("salt", F.explode(salts))
     rows = sizes.withColumn("salt", F.pmod("at", F.lit(SALTS)))
     return rows.join(salted, ["source_key", "salt"]).where(F.shiftright("at", shift) == F.col("bin"))
 
