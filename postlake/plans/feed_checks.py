@@ -91,6 +91,25 @@ def feed_page_raw_searched(spark, folder):
     )
 
 
+@check(
+    "feed_source_selector",
+    f"""
+    (SELECT 'postgres' AS source, {FEED} FROM {CLEAN}
+     ORDER BY clean.created_utc DESC NULLS LAST, post_id, event_id LIMIT 20)
+    UNION ALL
+    (SELECT 'trino' AS source, {FEED} FROM {BEST.format(where="id <> ''")}
+     ORDER BY best.created_utc DESC, post_id LIMIT 20)
+    """,
+)
+def feed_source_selector(spark, folder):
+    """The same request to every source: clean rows as they are, raw rows one per post."""
+    pages = [
+        feed.feed_page(*tables(spark, folder), source=source, limit=20, arrival="event_id").withColumn("source", F.lit(source))
+        for source in feed.SOURCES
+    ]
+    return feed.union_all(pages)
+
+
 @check(
     "feed_page_deep",
     f"""

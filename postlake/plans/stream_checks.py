@@ -111,6 +111,21 @@ def stream_bounded_batches(spark, folder):
     return raw.agg(F.count_distinct("batch_id").cast("int").alias("batches"), F.count(F.lit(1)).alias("post_count"))
 
 
+@check("stream_timed_trigger", f"{FULL_SQL} FROM posts")
+def stream_timed_trigger(spark, folder):
+    """A query that triggers by time, over files of which one is empty; stopped when everything is written."""
+    path, base = shared_folder(spark, "messages"), shared_folder(spark, "ingest")
+    lines = fixtures.post_messages(spark, folder).select("value")
+    lines.limit(0).coalesce(1).write.text(path)
+    lines.repartition(STAGED_FILES).write.mode("append").text(path)
+    stream = open_messages(stream_session(spark), "text", path, maxFilesPerTrigger="1")
+    write = queries.batch_writer(f"{base}/raw", f"{base}/quarantine", f"{base}/dead", unique_ids=False)
+    query = queries.start_ingest(stream, write, f"{base}/checkpoint", trigger={"processingTime": "0 seconds"})
+    query.processAllAvailable()
+    query.stop()
+    return spark.read.parquet(f"{base}/raw").select(*FULL)
+
+
 @check("stream_multi_source", "SELECT event_id, subreddit, title, subreddit AS community FROM posts")
 def stream_multi_source(spark, folder):
     """One query over a source that carries all topics; the table has a folder per community."""
