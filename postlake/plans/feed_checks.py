@@ -147,11 +147,11 @@ def feed_page_deep_raw(spark, folder):
            count(*) - count(DISTINCT id) AS duplicate_count,
            CAST(ceil(count(DISTINCT id) / 25) AS BIGINT) AS total_pages,
            CAST(51 AS BIGINT) AS first_shown, least(CAST(75 AS BIGINT), count(DISTINCT id)) AS last_shown
-    FROM posts WHERE {SEARCH.format(text="post")}
+    FROM posts WHERE {SEARCH.format(text="post 1")}
     """,
 )
 def feed_summary(spark, folder):
-    return feed.feed_summary(*tables(spark, folder), source="trino", offset=50, search="post")
+    return feed.feed_summary(*tables(spark, folder), source="trino", offset=50, search="POST 1")
 
 
 @check(
