@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from postlake.llm import contamination, jaccard, mixing, packing, toxicity
 from postlake.llm.words import table
+from postlake.operators.maintenance import drop_folder
 from postlake.session import shared_folder
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -51,10 +52,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over `documents`; a stage's rows are dropped once the next stage has written its own."""
     docs = table(spark, sf_dir, "documents")
-    folder = shared_folder(spark, "pipeline")
+    folder, before = shared_folder(spark, "pipeline"), None
     for at, (name, stage) in enumerate(STAGES):
         path = f"{folder}/{at}-{name}"
         stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        drop_folder(spark, before)
+        docs, before = spark.read.parquet(path), path
     return docs
