@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from postlake.llm.words import split_words
+from postlake.llm.words import portions, split_words
 from postlake.session import checkpointed
 
 BITS = 64
@@ -43,8 +43,8 @@ LEAST_SIMILARITY = 0.8
 STEP = 4  # words between the starts of the smallest windows
 LADDER = (4, 8, 12, 16, 24, 32, 48, 64, 96)  # window sizes in words, multiples of STEP; sums fit a signed byte
 BLOCK_CHARS = 2_000_000
-BATCH_WORDS = 400_000
-CACHED_WORDS = 300_000
+PORTION_CHARS = 400_000  # of text that a task works on at a time
+CACHED_WORDS = 150_000
 
 EDGES = re.compile(r"^\W+|\W+$")
 
@@ -264,17 +264,12 @@ class Searcher:
     def __init__(self, index: Index):
         self.index, self.words = index, Words()
 
-    def __call__(self, texts: list[str | None]) -> Iterator[tuple[int, dict[int, float]]]:
-        """Position and findings of every text, in order; texts are taken together up to BATCH_WORDS words."""
-        gathered, start, size = [], 0, 0
-        for at, text in enumerate(texts):
-            gathered.append(split_words(text))
-            size += len(gathered[-1])
-            if size >= BATCH_WORDS or at == len(texts) - 1:
-                if len(self.words.numbers) > CACHED_WORDS:
-                    self.words.clear()
-                yield from enumerate(find(self.index, self.words, gathered), start)
-                gathered, start, size = [], at + 1, 0
+    def __call__(self, column: pa.Array) -> Iterator[dict[int, float]]:
+        """The findings of every text, in order; texts are taken together up to PORTION_CHARS characters."""
+        for texts in portions(column, PORTION_CHARS):
+            if len(self.words.numbers) > CACHED_WORDS:
+                self.words.clear()
+            yield from find(self.index, self.words, [split_words(text) for text in texts])
 
 
 def searchers(docs: DataFrame, benchmark: DataFrame, item_id: str, item_text: str) -> Iterator:
@@ -303,7 +298,7 @@ def leaks(
             searcher = Searcher(Index(*shared.value))
             for batch in batches:
                 ids, best = batch.column("item_ids").to_pylist(), batch.column("similarity").to_pylist()
-                for at, hits in searcher(batch.column("text").to_pylist()):
+                for at, hits in enumerate(searcher(batch.column("text"))):
                     ids[at] = sorted([*ids[at], *(searcher.index.items[item][0] for item in hits)], key=lambda x: (x is None, x))
                     best[at] = max(best[at], *hits.values()) if hits else best[at]
                 yield pa.RecordBatch.from_arrays(
@@ -328,7 +323,7 @@ def clean_rows(
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             searcher = Searcher(Index(*shared.value))
             for batch in batches:
-                keep = [not hits for _, hits in searcher(batch.column(place).to_pylist())]
+                keep = [not hits for hits in searcher(batch.column(place))]
                 yield batch.filter(pa.array(keep, type=pa.bool_()))
 
         return run

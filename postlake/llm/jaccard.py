@@ -44,7 +44,7 @@ DEPTH = 3
 SMALL = 32
 BLOCK = 256
 BOTTOM = 32
-CACHED_WORDS = 300_000
+CACHED_WORDS = 150_000
 MATRIX_CELLS = 1 << 22  # of a matrix that numpy holds at once
 SEED = 0x5DEECE66D
 
@@ -111,7 +111,7 @@ def chosen_paths(tokens: np.ndarray, runs: int) -> list[np.ndarray]:
     """Bucket keys of a set: one array per level, rows aligned; 0 where a path ends before the level."""
     share = SIMILARITY * len(tokens)
     most = np.uint64(min(2.0**64 / share, 2.0**64 - 2049)) if share > 1 else np.uint64(2**64 - 1)
-    # A path does not choose a token twice; keys are unlikely to meet by chance, so equal children are only dropped per level.
+    # Levels draw by keys of their own, so a path may choose a token again; that only leaves its bucket as it was.
     levels: list[np.ndarray] = [np.arange(1, runs + 1, dtype=np.uint64)]
     for _ in range(DEPTH):
         last = levels[-1]
@@ -171,8 +171,8 @@ def document_info(docs: DataFrame, runs: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingle = Shingler()
         for batch in batches:
-            for start in range(0, batch.num_rows, 512):
-                part = batch.slice(start, 512)
+            for start in range(0, batch.num_rows, 128):
+                part = batch.slice(start, 128)
                 sets = [shingle(text.as_py()) for text in part.column("text")]
                 bottoms = [(tokens[:BOTTOM] & np.uint64(0xFFFFFFFF)).astype("<u4").tobytes() for tokens in sets]
                 yield pa.RecordBatch.from_arrays(
@@ -231,11 +231,13 @@ def grouped(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[lis
     """Rows of equal value in the first column, from batches in which such rows follow each other."""
     current: list[tuple] = []
     for batch in batches:
-        for row in zip(*[batch.column(name).to_pylist() for name in names]):
-            if current and row[0] != current[0][0]:
-                yield current
-                current = []
-            current.append(row)
+        for start in range(0, batch.num_rows, 256):
+            part = batch.slice(start, 256)
+            for row in zip(*[part.column(name).to_pylist() for name in names]):
+                if current and row[0] != current[0][0]:
+                    yield current
+                    current = []
+                current.append(row)
     if current:
         yield current
 
@@ -340,8 +342,8 @@ def shingle_sets(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingle = Shingler()
         for batch in batches:
-            for start in range(0, batch.num_rows, 512):
-                sets = [shingle(text.as_py()) for text in batch.column("text").slice(start, 512)]
+            for start in range(0, batch.num_rows, 128):
+                sets = [shingle(text.as_py()) for text in batch.column("text").slice(start, 128)]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([mark_of(tokens) for tokens in sets], type=pa.binary()),

@@ -32,7 +32,7 @@ PRETOKENS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 MOST_VOCABULARY_BYTES = 32 << 20
 ROW_TOKENS = 2048
 WINDOW_TOKENS = 1 << 21
-CACHED_WORDS = 300_000
+CACHED_WORDS = 150_000
 ROWS_PER_BATCH = 256
 
 

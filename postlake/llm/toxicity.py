@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from postlake.llm.sampling import labelled_sample
-from postlake.llm.words import fold_of, split_words
+from postlake.llm.words import fold_of, portions, split_words
 
 PER_CLASS = 700
 SAMPLE_CHARS = 5000
@@ -40,7 +40,7 @@ STEPS = 80
 RATE = 0.2
 FLOOR = 3e-4  # entries whose slope is far below this hardly move
 SUPPORT = 20  # an n-gram is learned if at least so many pairs of a training document and one of its words have it
-CACHED_WORDS = 400_000
+CACHED_WORDS = 150_000
 SEED = 7
 
 BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -222,24 +222,11 @@ class Scorer:
         return (1 / (1 + np.exp(-np.clip(margins, -30, 30)))).tolist()
 
 
-BATCH_CHARS = 2_000_000
-
-
-def in_portions(texts: list[str | None]) -> Iterator[list[str | None]]:
-    """Texts taken together up to a number of characters, at least one at a time."""
-    portion, chars = [], 0
-    for text in texts:
-        portion.append(text)
-        chars += len(text or "")
-        if chars >= BATCH_CHARS:
-            yield portion
-            portion, chars = [], 0
-    if portion:
-        yield portion
+PORTION_CHARS = 400_000  # of text that a task works on at a time
 
 
 def score_all(scorer: Callable, column: pa.Array) -> list[float]:
-    return [score for portion in in_portions(column.to_pylist()) for score in scorer(portion)]
+    return [score for portion in portions(column, PORTION_CHARS) for score in scorer(portion)]
 
 
 def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic") -> Model:

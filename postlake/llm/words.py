@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,6 +18,20 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def portions(column: pa.Array, most_chars: int, rows: int = 64) -> Iterator[list[str | None]]:
+    """The texts of an Arrow column in order, taken together up to a number of characters, at least one at a time."""
+    portion, chars = [], 0
+    for start in range(0, len(column), rows):
+        for text in column.slice(start, rows).to_pylist():
+            portion.append(text)
+            chars += len(text or "")
+            if chars >= most_chars:
+                yield portion
+                portion, chars = [], 0
+    if portion:
+        yield portion
+
+
 def split_words(text: str | None) -> list[str]:
     return word_pattern.findall(text) if text else []
 
