@@ -14,7 +14,8 @@ def labelled_sample(
     """At most `per_class` texts of each label, of `most_chars` code points or fewer, in the order of a hash of the id.
 
     Only documents outside fold 0 are used. The ids are chosen from the labels alone and then looked up in the documents,
-    so the texts are neither shuffled nor sorted; the list of ids is bounded by `per_class` and so broadcast.
+    so only the texts of the sample are shuffled; the list of ids is bounded by `per_class` and so broadcast. Of rows that
+    share an id the smallest text is taken.
     """
     known = (
         labels.select(F.col(doc_id).alias("doc_id"), F.col(label).cast("int").alias("label"))
@@ -29,7 +30,8 @@ def labelled_sample(
     found = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text")).where(
         F.length("text").between(1, most_chars)
     )
-    rows = found.join(ids, "doc_id").select(order.alias("order"), "text", "label").collect()
+    one_each = found.join(ids, "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text"))
+    rows = one_each.select(order.alias("order"), "text", "label").collect()
     sample: list[tuple[str, int]] = []
     for value in (0, 1):
         own = sorted((row["order"], row["text"]) for row in rows if row["label"] == value)
