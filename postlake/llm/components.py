@@ -1,8 +1,8 @@
-"""Connected components of a table of links, by repeated joins and aggregations.
+"""Connected components of a table of links, by contraction.
 
-Every node points to the smallest node that it knows; in each round a node takes the smallest pointer among its neighbours
-and itself, and then follows its pointer once more, which halves the distance to the root. Neighbourhoods are never gathered:
-a node with any number of links is one `min`, aggregated before the shuffle. Rounds end when no pointer changes.
+In each round every node is hooked to the smallest node among its neighbours and itself, hooks are followed once more, and the
+links are rewritten to lead from hook to hook; links inside a hook vanish. The links shrink from round to round until none is
+left. Neighbourhoods are never gathered: a node with any number of links is one `min`, aggregated before the shuffle.
 """
 
 from __future__ import annotations
@@ -15,25 +15,28 @@ from postlake.session import checkpointed
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """node and root for every node of `links`; the root is the smallest node of the component. Values must order."""
-    both = (
-        links.select(F.col(a).alias("node"), F.col(b).alias("other"))
-        .unionByName(links.select(F.col(b).alias("node"), F.col(a).alias("other")))
-        .where(F.col("node").isNotNull() & F.col("other").isNotNull())
-        .distinct()
+    both = links.select(F.col(a).alias("node"), F.col(b).alias("other")).unionByName(
+        links.select(F.col(b).alias("node"), F.col(a).alias("other"))
     )
-    edges = checkpointed(both)
-    state = checkpointed(edges.groupBy("node").agg(F.least("node", F.min("other")).alias("root")))
+    edges = checkpointed(both.where(F.col("node") != F.col("other")).distinct())
+    roots = None
     while True:
-        near = (
-            edges.join(state.withColumnRenamed("node", "other"), "other")
-            .groupBy("node")
-            .agg(F.min("root").alias("near"))
+        hooks = checkpointed(edges.groupBy("node").agg(F.least("node", F.min("other")).alias("root")))
+        above = hooks.select(F.col("node").alias("root"), F.col("root").alias("above"))
+        hooks = checkpointed(hooks.join(above, "root").select("node", F.col("above").alias("root")))
+        if roots is None:
+            roots = hooks
+        else:
+            moved = hooks.select(F.col("node").alias("root"), F.col("root").alias("next"))
+            roots = checkpointed(roots.join(moved, "root", "left").select("node", F.coalesce("next", "root").alias("root")))
+        ends = hooks.select(F.col("node").alias("other"), F.col("root").alias("end"))
+        edges = checkpointed(
+            edges.join(hooks, "node")
+            .select(F.col("root").alias("node"), "other")
+            .join(ends, "other")
+            .select("node", F.col("end").alias("other"))
+            .where(F.col("node") != F.col("other"))
+            .distinct()
         )
-        nearest = state.join(near, "node").select("node", "root", F.least("root", "near").alias("next"))
-        jump = state.select(F.col("node").alias("next"), F.col("root").alias("after"))
-        moved = checkpointed(
-            nearest.join(jump, "next").select("node", F.least("next", "after").alias("new"), (F.col("root") != F.least("next", "after")).alias("changed"))
-        )
-        state = moved.select("node", F.col("new").alias("root"))
-        if moved.where("changed").isEmpty():
-            return state
+        if edges.isEmpty():
+            return roots

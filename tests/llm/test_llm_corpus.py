@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from postlake.llm import chat, contamination, jaccard, mixing, packing, toxicity
+from postlake.llm.components import components
 from postlake.llm.words import split_words, table
 
 SMALL = "/root/testdata/sf0.001"
@@ -72,6 +73,27 @@ def test_similar_documents(spark, monkeypatch):
     assert leaders == {doc for doc, (lead, _) in expected.items() if lead == doc}
 
 
+def test_components(spark):
+    rng = random.Random(7)
+    links = [(at, at + 1) for at in range(0, 60)] + [(100, at) for at in range(101, 140)] + [(5, 5), (200, 200)]
+    links += [(300 + rng.randrange(50), 300 + rng.randrange(50)) for _ in range(40)]
+    rng.shuffle(links)
+    parent = {node: node for link in links for node in link}
+
+    def find(node):
+        while parent[node] != node:
+            node = parent[node]
+        return node
+
+    for a, b in links:
+        low, high = sorted((find(a), find(b)))
+        parent[high] = low
+    found = {row["node"]: row["root"] for row in components(spark.createDataFrame(links, "a long, b long")).collect()}
+    linked = {node for a, b in links if a != b for node in (a, b)}
+    assert found == {node: find(node) for node in linked}
+    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
 def test_runs_reach_the_target():
     assert jaccard.survival(1) > jaccard.survival(3) > 0.4
     assert (1 - jaccard.survival(jaccard.DEPTH)) ** jaccard.runs_for(0.999) <= 0.001
