@@ -1,7 +1,7 @@
 """Connected components of a table of links, by contraction.
 
-In each round every node is hooked to the smallest node among its neighbours and itself, hooks are followed once more, and the
-links are rewritten to lead from hook to hook; links inside a hook vanish. The links shrink from round to round until none is
+In each round every node is hooked to the smallest node among its neighbours and itself, hooks are followed to their ends, and
+the links are rewritten to lead from hook to hook; links inside a hook vanish. The links shrink from round to round until none is
 left. Neighbourhoods are never gathered: a node with any number of links is one `min`, aggregated before the shuffle.
 """
 
@@ -13,6 +13,17 @@ from pyspark.sql import functions as F
 from postlake.session import checkpointed
 
 
+def followed(hooks: DataFrame) -> DataFrame:
+    """Hooks followed to their ends; each step doubles the way, so a chain takes a logarithmic number of steps."""
+    while True:
+        above = hooks.select(F.col("node").alias("root"), F.col("root").alias("above"))
+        moved = (F.col("above") != F.col("root")).alias("moved")
+        steps = checkpointed(hooks.join(above, "root").select("node", F.col("above").alias("root"), moved))
+        hooks = steps.select("node", "root")
+        if steps.where("moved").isEmpty():
+            return hooks
+
+
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """node and root for every node of `links`; the root is the smallest node of the component. Values must order."""
     both = links.select(F.col(a).alias("node"), F.col(b).alias("other")).unionByName(
@@ -22,8 +33,7 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     roots = None
     while True:
         hooks = checkpointed(edges.groupBy("node").agg(F.least("node", F.min("other")).alias("root")))
-        above = hooks.select(F.col("node").alias("root"), F.col("root").alias("above"))
-        hooks = checkpointed(hooks.join(above, "root").select("node", F.col("above").alias("root")))
+        hooks = followed(hooks)
         if roots is None:
             roots = hooks
         else:
