@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from postlake.llm.words import portions, split_words
+from postlake.llm.words import map_batches, portions, split_words
 from postlake.session import checkpointed
 
 BITS = 64
@@ -232,7 +232,7 @@ def shingle_weights(benchmark: DataFrame, item_id: str, text: str) -> Callable[[
             ]
             yield pa.RecordBatch.from_arrays([pa.array(keys, type=pa.int64())], names=["shingle"])
 
-    counts = rows.mapInArrow(exploded, "shingle long").groupBy("shingle").agg(F.count("*").alias("items"))
+    counts = map_batches(rows, exploded, "shingle long").groupBy("shingle").agg(F.count("*").alias("items"))
     total = benchmark.count()
     shared = checkpointed(counts.where("items > 1"))
 
@@ -309,7 +309,7 @@ def leaks(
         return run
 
     for shared in searchers(docs, benchmark, item_id, item_text):
-        rows = rows.mapInArrow(search(shared), rows.schema)
+        rows = map_batches(rows, search(shared), rows.schema)
     return rows.select("doc_id", (F.size("item_ids") > 0).alias("contaminated"), "item_ids", "similarity")
 
 
@@ -329,5 +329,5 @@ def clean_rows(
         return run
 
     for shared in searchers(docs, benchmark, item_id, item_text):
-        docs = docs.mapInArrow(drop(shared), docs.schema)
+        docs = map_batches(docs, drop(shared), docs.schema)
     return docs

@@ -34,7 +34,7 @@ from pyspark.sql import types as T
 
 from postlake.llm.components import components
 from postlake.llm.sizes import broadcast_if_small
-from postlake.llm.words import split_words
+from postlake.llm.words import map_batches, split_words
 from postlake.session import checkpointed
 
 SHINGLE = 5
@@ -187,7 +187,7 @@ def document_info(docs: DataFrame, runs: int) -> DataFrame:
                     names=["doc_id", "text_key", *[field.name for field in INFO]],
                 )
 
-    return docs.mapInArrow(run, T.StructType([docs.schema["doc_id"], docs.schema["text_key"], *INFO]))
+    return map_batches(docs, run, T.StructType([docs.schema["doc_id"], docs.schema["text_key"], *INFO]))
 
 
 def memberships(info: DataFrame) -> DataFrame:
@@ -333,7 +333,7 @@ def exact_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def by_group(rows: DataFrame, run: Callable, schema: str) -> DataFrame:
-    return rows.repartition("group").sortWithinPartitions("group").mapInArrow(run, schema)
+    return map_batches(rows.repartition("group").sortWithinPartitions("group"), run, schema)
 
 
 def shingle_sets(docs: DataFrame) -> DataFrame:
@@ -352,7 +352,7 @@ def shingle_sets(docs: DataFrame) -> DataFrame:
                     names=["mark", "tokens"],
                 )
 
-    return docs.select("text").mapInArrow(run, "mark binary, tokens binary")
+    return map_batches(docs.select("text"), run, "mark binary, tokens binary")
 
 
 def similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", target_recall: float = TARGET_RECALL) -> DataFrame:

@@ -26,6 +26,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from postlake.llm.words import map_batches
+
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 # Fixed value: how this vocabulary cuts a text before it merges bytes.
 PRETOKENS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -219,7 +221,7 @@ def pack(
             packer.close_window()
             yield from packer.batches(1)
 
-    return rows.mapInArrow(packed, schema_for(rows.schema["doc_id"].dataType))
+    return map_batches(rows, packed, schema_for(rows.schema["doc_id"].dataType))
 
 
 def row_ids(ids: bytes, row_tokens: int = ROW_TOKENS) -> np.ndarray:

@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 
 from postlake.llm.sampling import labelled_sample
 from postlake.llm.toxicity import Adam, score_all
-from postlake.llm.words import fold_of
+from postlake.llm.words import fold_of, map_batches
 
 PER_CLASS = 1100
 SAMPLE_CHARS = 4000
@@ -175,7 +175,7 @@ def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "te
             scores = pa.array(score_all(shared.value, batch.column("text")), type=pa.float64())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), scores], names=["doc_id", "score"])
 
-    scored = rows.mapInArrow(run, T.StructType([rows.schema["doc_id"], T.StructField("score", T.DoubleType())]))
+    scored = map_batches(rows, run, T.StructType([rows.schema["doc_id"], T.StructField("score", T.DoubleType())]))
     return scored.select(
         "doc_id",
         (fold_of(F.col("doc_id")) == 0).alias("held_out"),

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from postlake.llm.words import split_words
+from postlake.llm.words import map_batches, split_words
 
 MIN_WORDS = 10
 BASE_LENGTH = 5
@@ -166,4 +166,4 @@ def repetition(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
     """doc_id, the base figures, the shares and the verdict, one row per document."""
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
     schema = T.StructType([rows.schema["doc_id"], *MEASURES.fields])
-    return rows.mapInArrow(measured_batches, schema)
+    return map_batches(rows, measured_batches, schema)

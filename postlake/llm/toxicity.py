@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from postlake.llm.sampling import labelled_sample
-from postlake.llm.words import fold_of, portions, split_words
+from postlake.llm.words import fold_of, map_batches, portions, split_words
 
 PER_CLASS = 700
 SAMPLE_CHARS = 5000
@@ -244,7 +244,7 @@ def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "te
             scores = pa.array(score_all(scorer, batch.column("text")), type=pa.float64())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), scores], names=["doc_id", "score"])
 
-    scored = rows.mapInArrow(run, T.StructType([rows.schema["doc_id"], T.StructField("score", T.DoubleType())]))
+    scored = map_batches(rows, run, T.StructType([rows.schema["doc_id"], T.StructField("score", T.DoubleType())]))
     return scored.select(
         "doc_id",
         (fold_of(F.col("doc_id")) == 0).alias("held_out"),
@@ -264,4 +264,4 @@ def clean_rows(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
             keep = [value < 0.5 for value in score_all(scorer, batch.column(place))]
             yield batch.filter(pa.array(keep, type=pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return map_batches(docs, run, docs.schema)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 # Fixed value: words are runs of anything but a space and the characters 9 to 13.
 WORD = r"[^\x20\x09-\x0D]+"
+ARROW_ROWS_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+ARROW_ROWS = 512
 word_pattern = re.compile(WORD)
 
 
@@ -32,6 +34,17 @@ def portions(column: pa.Array, most_chars: int, rows: int = 64) -> Iterator[list
         yield portion
 
 
+def map_batches(rows: DataFrame, run: Callable, schema) -> DataFrame:
+    """`mapInArrow` with few rows in a batch, since texts may be long: a task holds a batch several times over.
+
+    Spark reads the number from the session when the frame runs, so it is lowered there and stays so.
+    """
+    conf = rows.sparkSession.conf
+    if int(conf.get(ARROW_ROWS_SETTING)) > ARROW_ROWS:
+        conf.set(ARROW_ROWS_SETTING, ARROW_ROWS)
+    return rows.mapInArrow(run, schema)
+
+
 def split_words(text: str | None) -> list[str]:
     return word_pattern.findall(text) if text else []
 
