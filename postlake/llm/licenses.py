@@ -1,11 +1,14 @@
 r"""Licence scans by sentence rules. DataFrame functions only.
 
-A text is cut into sentences: at `.`, `;`, `!` or `?` before white space or the end, at a colon that ends a line, and at
-lines without letters or digits (blank ones, comment marks). Line ends inside a paragraph are taken once as white space (hard-wrapped licences) and once as ends of
-sentences (notices between other lines); the reading that recognises more sentences counts, the first one on a tie. A
-sentence is normalised to lower-case letters and digits with single spaces and looked up among the known ones. The
-identifiers found, in order of the text, are held against the rules in their order: a rule matches if its identifiers occur
-in this order, with anything between them. A licence is reported once, by its first matching rule.
+A text is cut into sentences: at `.`, `;`, `!` or `?` before white space or the end, at a colon that ends a line or stands
+before a word, at the phrases of LEADS, which a title, a name or the next sentence may run into, and at lines without letters
+or digits (blank ones, comment marks). The known sentences are cut in the same way, so one of them may be several
+identifiers, which a rule wants one right after the other. Line ends inside a paragraph are taken once as white space
+(hard-wrapped licences) and once as ends of sentences (notices between other lines); the reading that recognises more
+sentences counts, the first one on a tie. A sentence is normalised to lower-case letters and digits with single spaces and
+looked up among the known ones. The identifiers found, in order of the text, are held against the rules in their order: a
+rule matches if its identifiers occur in this order, with anything between them, and if what NOT_AFTER names for it does not
+follow. A licence is reported once, by its first matching rule.
 
 Defined results: null and empty texts have no sentences and no licence; a licence given twice is reported once; repeated
 rows give equal rows; the length of a text doesn't matter, since sentences are mapped one by one; an empty table gives an
@@ -49,8 +52,10 @@ SENTENCES = {
     "the following disclaimer",
     "bsd-binary": "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and "
     "the following disclaimer in the documentation and/or other materials provided with the distribution",
-    "bsd-endorse": "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or "
-    "promote products derived from this software without specific prior written permission",
+    "bsd-endorse": "nor the names of its contributors may be used to endorse or promote products derived from this software "
+    "without specific prior written permission",
+    "bsd-endorse-author": "The name of the author may not be used to endorse or promote products derived from this software "
+    "without specific prior written permission",
     "bsd-3-title": "BSD 3-Clause License",
     "bsd-2-title": "BSD 2-Clause License",
     "bsd-3-released": "Released under the BSD 3-Clause License",
@@ -65,7 +70,7 @@ SENTENCES = {
     "License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied",
     "gpl-3-work": "This work is licensed under the GNU General Public License, version 3",
     "gpl-2-work": "This work is licensed under the GNU General Public License, version 2",
-    "gpl-3-or-later": "This program is free software: you can redistribute it and/or modify it under the terms of the "
+    "gpl-3-or-later": "free software: you can redistribute it and/or modify it under the terms of the "
     "GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at "
     "your option) any later version",
     "gpl-2-or-later": "you can redistribute it and/or modify it under the terms of the GNU General Public License as "
@@ -76,7 +81,7 @@ SENTENCES = {
     "gpl-warranty": "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY",
     "gpl-details": "See the GNU General Public License for more details",
     "lgpl-details": "See the GNU Lesser General Public License for more details",
-    "agpl-3-or-later": "This program is free software: you can redistribute it and/or modify it under the terms of the "
+    "agpl-3-or-later": "free software: you can redistribute it and/or modify it under the terms of the "
     "GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or "
     "(at your option) any later version",
     "agpl-3-work": "This work is licensed under the GNU Affero General Public License, version 3",
@@ -84,6 +89,8 @@ SENTENCES = {
     "mpl-2-terms": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0",
     "mpl-2-copy": "If a copy of the MPL was not distributed with this file, You can obtain one at "
     "https://mozilla.org/MPL/2.0/",
+    "mpl-2-copy-http": "If a copy of the MPL was not distributed with this file, You can obtain one at "
+    "http://mozilla.org/MPL/2.0/",
     "mpl-2-licensed": "Licensed under the Mozilla Public License, Version 2.0",
     "cc-by-4-work": "This work is licensed under a Creative Commons Attribution 4.0 International License",
     "cc-by-sa-4-work": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License",
@@ -109,7 +116,9 @@ RULES = (
     ("MIT", ("mit-grant", "mit-condition")),
     ("ISC", ("isc-grant", "isc-warranty")),
     ("BSD-3-Clause", ("bsd-grant", "bsd-source", "bsd-binary", "bsd-endorse")),
+    ("BSD-3-Clause", ("bsd-grant", "bsd-source", "bsd-binary", "bsd-endorse-author")),
     ("BSD-2-Clause", ("bsd-2-title", "bsd-grant", "bsd-source", "bsd-binary")),
+    ("BSD-2-Clause", ("bsd-grant", "bsd-source", "bsd-binary")),
     ("Apache-2.0", ("apache-2-header", "apache-2-compliance", "apache-2-disclaimer")),
     ("Apache-2.0", ("apache-2-header",)),
     ("Apache-2.0", ("apache-2-licensed",)),
@@ -126,6 +135,8 @@ RULES = (
     ("LGPL-3.0-only", ("lgpl-3-work",)),
     ("MPL-2.0", ("mpl-2-terms", "mpl-2-copy")),
     ("MPL-2.0", ("mpl-2-terms",)),
+    ("MPL-2.0", ("mpl-2-copy",)),
+    ("MPL-2.0", ("mpl-2-copy-http",)),
     ("MPL-2.0", ("mpl-2-licensed",)),
     ("CC-BY-4.0", ("cc-by-4-work",)),
     ("CC-BY-SA-4.0", ("cc-by-sa-4-work",)),
@@ -155,9 +166,21 @@ RULES = (
     ("BSD-2-Clause", ("bsd-2-title",)),
 )
 
+# Sentences that must not follow a rule's own before its first one comes again.
+NOT_AFTER = {("bsd-grant", "bsd-source", "bsd-binary"): ("bsd-endorse", "bsd-endorse-author")}
+
 # Every known sentence holds one of these; a text without any is not cut up.
-HINT = "(?i)licen[sc]|copyright|permission|warranty|redistribut|liab|public domain|rights|published by|later version|mpl"
-SENTENCE_END = r"[.;!?]+([ \t-\r]+|\z)|:[^A-Za-z0-9\n]*\n|\n[^A-Za-z0-9\n]*\n"
+HINT = (
+    "(?i)licen[sc]|copyright|permission|warranty|redistribut|liab|public[^a-z0-9]+domain|rights|published[^a-z0-9]+by|"
+    "later[^a-z0-9]+version|mpl|2[^a-z0-9]+0([^a-z0-9]|$)"
+)
+GAP = "[^A-Za-z0-9]+"
+LEADS = ("following conditions( are met)?", "free software", "nor the names of", "[Pp]ermission (is hereby granted|to use)")
+SENTENCE_END = (
+    r"[.;!?]+([ \t-\r]+|\z)|:[^A-Za-z0-9\n]*\n|\n[^A-Za-z0-9\n]*\n|"
+    r"([^r]|[^e]r|[^i]er|[^f]ier):[ \t]+\b|"  # not after Identifier, whose value is no sentence by itself
+    rf"\b({'|'.join(LEADS).replace(' ', GAP)})\b"
+)
 MARK = "\x01"
 
 
@@ -165,12 +188,33 @@ def normal(sentence: str) -> str:
     return re.sub("[^a-z0-9]+", " ", sentence.lower()).strip()
 
 
-KNOWN = {normal(sentence): name for name, sentence in SENTENCES.items()}
+def cut(sentence: str) -> list[str]:
+    """The normalised sentences that a text is cut into."""
+    marked = re.sub(SENTENCE_END.replace(r"\z", r"\Z"), MARK, sentence)
+    return [part for part in map(normal, marked.split(MARK)) if part]
+
+
+def numbered_parts() -> tuple[dict[str, str], dict[str, tuple[str, ...]]]:
+    """Identifiers by normalised sentence, and for each name in SENTENCES its identifiers in order."""
+    parts = {name: cut(sentence) for name, sentence in SENTENCES.items()}
+    known = {part: name for name, (part, *more) in parts.items() if not more}
+    for name, several in parts.items():
+        for at, part in enumerate(several, 1):
+            known.setdefault(part, f"{name}-{at}")
+    return known, {name: tuple(known[part] for part in several) for name, several in parts.items()}
+
+
+KNOWN, PARTS = numbered_parts()
 
 
 def rule_pattern(names: tuple[str, ...]) -> str:
     """Over identifiers, each between commas."""
-    return "," + ",(?:[^,]+,)*".join(names) + ","
+    pattern = "," + ",(?:[^,]+,)*".join(",".join(PARTS[name]) for name in names) + ","
+    if names not in NOT_AFTER:
+        return pattern
+    again = PARTS[names[0]][0]
+    others = sorted(set(KNOWN.values()) - {again, *(PARTS[name][0] for name in NOT_AFTER[names])})
+    return f"{pattern}(?:(?:{'|'.join(others)}),)*({again},|$)"
 
 
 def identifiers(marked: Column) -> Column:

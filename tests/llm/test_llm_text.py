@@ -5,6 +5,7 @@ import hashlib
 import random
 import re
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -194,3 +195,55 @@ def test_licenses(spark, text, found):
 def test_known_sentences_hold_a_hint():
     assert all(re.search(licenses.HINT, sentence) for sentence in licenses.KNOWN)
     assert {name for _, rule in licenses.RULES for name in rule} <= set(licenses.SENTENCES)
+
+
+MPL = """/* This Source Code Form is subject to the terms of the Mozilla Public
+ * License, v. 2.0. If a copy of the MPL was not distributed with this
+ * file, You can obtain one at https://mozilla.org/MPL/2.0/. */
+"""
+BSD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+"""
+ENDORSE = """3. Neither the name of the University of Somewhere nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+"""
+
+
+def on_one_line(text):
+    return " ".join(text.split())
+
+
+LICENSED = [
+    (MPL, "MPL-2.0"), (on_one_line(MPL), "MPL-2.0"), (MPL.replace("https", "http"), "MPL-2.0"),
+    (MPL[: MPL.index(" If")], "MPL-2.0"), ("See version\n2.0.\nfor more words", ""),
+    (MPL[: MPL.index(" If")].replace("2.0", "3.0"), ""),
+    (on_one_line(MIT), "MIT"), ("License: Released under the MIT License.", "MIT"),
+    (BSD, "BSD-2-Clause"), (on_one_line(BSD), "BSD-2-Clause"), (BSD + ENDORSE, "BSD-3-Clause"),
+    (on_one_line(BSD + ENDORSE), "BSD-3-Clause"), (BSD + ENDORSE + BSD, "BSD-3-Clause,BSD-2-Clause"),
+    (BSD + BSD + ENDORSE, "BSD-3-Clause,BSD-2-Clause"), ("SPDX-License-Identifier: MIT", "MIT"), ("Words of MIT.", ""),
+    ("MIT", ""), (f"Foo is {licenses.SENTENCES['gpl-3-or-later']}.", "GPL-3.0-or-later"),
+    (licenses.SENTENCES["gpl-3-or-later"].replace("software: ", "software:\n") + ".", "GPL-3.0-or-later"),
+    ("This is free and unencumbered software released into the public\ndomain.", "Unlicense"),
+]
+
+
+def test_licenses_in_every_layout_and_every_rule(spark):
+    expected = list(LICENSED)
+    for license, rule in licenses.RULES:
+        sentences = [licenses.SENTENCES[name] for name in rule]
+        expected += [(separator.join([*sentences, ""]), license) for separator in (". ", ".\n\n")]
+    docs = spark.createDataFrame([(at, text) for at, (text, _) in enumerate(expected)], "doc_id long, text string")
+    rows = sorted(licenses.scan(docs).collect())
+    ruled = list(zip(expected, rows))[len(LICENSED) :]
+    assert [text for (text, license), row in ruled if license not in row["licenses"].split(",")] == []
+    assert [row["licenses"] for row in rows[: len(LICENSED)]] == [license for _, license in LICENSED]
+    with duckdb.connect() as db:
+        db.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+        db.executemany("INSERT INTO documents VALUES (?, ?)", [(at, text) for at, (text, _) in enumerate(expected)])
+        assert sorted(db.execute(licenses.oracle()).fetchall()) == [tuple(row) for row in rows]
