@@ -1,7 +1,8 @@
 """Secret scans: three pattern kinds and a randomness test battery. DataFrame functions only.
 
 The base kinds are found by pattern. The method adds spans of kind `random`: tokens of at least 20 characters whose
-characters behave like a random string in the token's inferred encoding.
+characters behave like a random string in the token's inferred encoding: the narrowest alphabet of ENCODINGS that holds them
+all. Random strings over other alphabets (codes cut up by hyphens, say) pass as long as they are short, and fail when long.
 
 Two questions are put to each token. First the battery: is it what a uniform random string would be? Chi-squared of the
 character counts, a runs test on the change of character classes and the lag-1 serial correlation of the symbol values; a
@@ -34,13 +35,23 @@ KINDS = ("assign", "access", "hex", "random")
 # A character that no pattern matches frames the matches; where a text has it, a neighbour stands in.
 FRAME, STAND_IN = "\ue000", "\ue001"
 
-# Alphabets of the inferred encodings; for ordinary tokens written in them, the sum of squared and of cubed
-# character shares and the share of neighbours of different class.
+DIGITS, LOWER = "0123456789", "abcdefghijklmnopqrstuvwxyz"
+UPPER = LOWER.upper()
+
+# Alphabets of the inferred encodings, of which the first that fits is taken, narrow ones first; for ordinary
+# tokens written in them, the sum of squared and of cubed character shares and the share of neighbours of different class.
 ENCODINGS = (
     ("hex", "^[0-9a-f]+$", "0123456789abcdef", 0.13, 0.022, 0.15),
     ("HEX", "^[0-9A-F]+$", "0123456789ABCDEF", 0.13, 0.022, 0.15),
     ("base32", "^[A-Z2-7]+$", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", 0.066, 0.0058, 0.10),
+    ("base32 lower", "^[a-z2-7]+$", LOWER + "234567", 0.066, 0.0058, 0.10),
     ("alnum", "^[0-9a-z]+$", "0123456789abcdefghijklmnopqrstuvwxyz", 0.066, 0.0058, 0.10),
+    ("ALNUM", "^[0-9A-Z]+$", DIGITS + UPPER, 0.066, 0.0058, 0.10),
+    ("letters", "^[A-Za-z]+$", UPPER + LOWER, 0.060, 0.0052, 0.12),
+    ("base58", "^[1-9A-HJ-NP-Za-km-z]+$", "123456789ABCDEFGHJKLMNPQRSTUVWXYZabcdefghijkmnopqrstuvwxyz", 0.060, 0.0052, 0.12),
+    ("base62", "^[0-9A-Za-z]+$", DIGITS + UPPER + LOWER, 0.060, 0.0052, 0.12),
+    ("base64 plain", "^[A-Za-z0-9+/]+$", UPPER + LOWER + DIGITS + "+/", 0.060, 0.0052, 0.12),
+    ("base64 url", "^[A-Za-z0-9_-]+$", UPPER + LOWER + DIGITS + "-_", 0.060, 0.0052, 0.12),
     ("base64", "", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/-_", 0.060, 0.0052, 0.12),
 )
 LENGTH_CLASSES = (20, 28, 40, 64, 128)

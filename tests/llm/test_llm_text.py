@@ -4,6 +4,7 @@ import collections
 import hashlib
 import random
 import re
+import string
 
 import duckdb
 import pytest
@@ -150,6 +151,37 @@ def test_random_tokens_are_found_and_words_are_not(spark):
     assert len([at for at in found if at >= 1000]) <= 2
 
 
+def alphabets():
+    digits, lower = string.digits, string.ascii_lowercase
+    upper, both = string.ascii_uppercase, string.ascii_letters
+    base58 = "".join(c for c in digits + both if c not in "0OIl")
+    return {
+        "hex": "0123456789abcdef", "HEX": "0123456789ABCDEF", "base32": upper + "234567", "lower base32": lower + "234567",
+        "alnum": digits + lower, "ALNUM": digits + upper, "letters": both, "base58": base58, "base62": digits + both,
+        "base64": digits + both + "+/", "base64 url": digits + both + "-_",
+    }
+
+
+def test_random_tokens_of_every_alphabet_and_length(spark):
+    rng = random.Random(31)
+    tokens = [
+        (name, n, "".join(rng.choices(alphabet, k=n)))
+        for name, alphabet in alphabets().items()
+        for n, number in ((20, 30), (40, 30), (64, 30), (86, 30), (200, 20), (400, 20), (800, 8), (2000, 4))
+        for _ in range(number)
+    ]
+    docs = spark.createDataFrame(
+        [(at, f"the code is {token} as noted") for at, (_, _, token) in enumerate(tokens)], "doc_id long, text string"
+    )
+    accepted = secrets.scanned(docs).where("exists(tokens, t -> t.passes)").select("doc_id").collect()
+    planted = collections.Counter(token[:2] for token in tokens)
+    share = collections.Counter(tokens[row["doc_id"]][:2] for row in accepted)
+    assert {key: share[key] for key, number in planted.items() if share[key] < 0.85 * number - 1} == {}
+    found = {row["doc_id"] for row in secrets.digests(secrets.scan(docs)).where("n_random + n_hex > 0").collect()}
+    long_ones = {at for at, (_, n, _) in enumerate(tokens) if n >= 40}
+    assert len(long_ones - found) <= 0.02 * len(long_ones)
+
+
 MIT = """The MIT License (MIT)
 
 Permission is hereby granted, free of charge, to any person obtaining a copy
