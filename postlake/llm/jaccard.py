@@ -49,16 +49,22 @@ MATRIX_CELLS = 1 << 22  # of a matrix that numpy holds at once
 SEED = 0x5DEECE66D
 
 
-def survival(depth: int, similarity: float = SIMILARITY) -> float:
-    """Chance that two sets of equal size at the threshold share a bucket of the given level in one run."""
+def survival(depth: int, similarity: float = SIMILARITY, common: float | None = None) -> float:
+    """Chance that two sets at the threshold share a bucket of the given level in one run.
+
+    `common` is the mean number of choices that both make: (1 + smaller / larger size) / (1 + similarity). Sets of equal
+    size, the default, share most; a set that holds the other one, as large as 1 / similarity, shares least, which is 1.
+    """
+    common = 2 / (1 + similarity) if common is None else common
     chance = 1.0
     for _ in range(depth):
-        chance = 1 - math.exp(-2 / (1 + similarity) * chance)
+        chance = 1 - math.exp(-common * chance)
     return chance
 
 
 def runs_for(target: float = TARGET_RECALL, depth: int = DEPTH, similarity: float = SIMILARITY) -> int:
-    return math.ceil(math.log(1 - target) / math.log(1 - survival(depth, similarity)))
+    """Runs that reach the target for sets of any two sizes."""
+    return math.ceil(math.log(1 - target) / math.log(1 - survival(depth, similarity, common=1.0)))
 
 
 def mixed(x: np.ndarray) -> np.ndarray:

@@ -99,6 +99,17 @@ def test_runs_reach_the_target():
     assert (1 - jaccard.survival(jaccard.DEPTH)) ** jaccard.runs_for(0.999) <= 0.001
 
 
+def test_contained_sets_share_a_path_at_the_target_of_the_query():
+    rng = np.random.default_rng(3)
+    runs, pairs, lost = jaccard.runs_for(), 4000, 0
+    for _ in range(pairs):
+        whole = rng.integers(0, 1 << 63, 100, dtype=np.uint64)
+        own, other = (jaccard.chosen_paths(np.sort(part), runs)[-1] for part in (whole, whole[:80]))
+        lost += not np.intersect1d(own[own != 0], other).size
+    assert (1 - jaccard.survival(jaccard.DEPTH, common=1.0)) ** runs <= 1 - jaccard.TARGET_RECALL
+    assert lost <= 2 * (1 - jaccard.TARGET_RECALL) * pairs
+
+
 @pytest.fixture(scope="module")
 def benchmark(spark):
     return table(spark, SMALL, "benchmark")
