@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from postlake.llm import chat, contamination, jaccard, licenses, mixing, packing, quality, repetition, secrets, toxicity
+from postlake.llm import (
+    chat,
+    clustering,
+    contamination,
+    divergence,
+    jaccard,
+    licenses,
+    mixing,
+    packing,
+    quality,
+    repetition,
+    secrets,
+    token_counts,
+    toxicity,
+)
 from postlake.llm.words import table
 
 
@@ -57,6 +71,18 @@ def op10_mix_water_filling(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix_counts(table(spark, folder, "documents"))
 
 
+def op11_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.audit(table(spark, folder, "documents"))
+
+
+def op12_simplex_clusters(spark: SparkSession, folder: str) -> DataFrame:
+    return clustering.cluster(table(spark, folder, "embeddings"))
+
+
+def op13_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity_subwords": op1_toxicity_subwords,
     "op2_quality_byte_network": op2_quality_byte_network,
@@ -68,10 +94,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_chat_round_trip": op8_chat_round_trip,
     "op9_benchmark_leaks": op9_benchmark_leaks,
     "op10_mix_water_filling": op10_mix_water_filling,
+    "op11_source_divergence": op11_source_divergence,
+    "op12_simplex_clusters": op12_simplex_clusters,
+    "op13_token_counts": op13_token_counts,
 }
 
 ORACLES: dict[str, str] = {
     "op6_license_sentences": licenses.oracle(),
     "op8_chat_round_trip": chat.ORACLE,
     "op10_mix_water_filling": mixing.ORACLE,
+    "op11_source_divergence": divergence.ORACLE,
+    "op12_simplex_clusters": clustering.oracle(),
 }
