@@ -256,9 +256,9 @@ def oracle() -> str:
     """DuckDB SQL that compares every vector with every centroid in every round."""
     parts = [
         """kept AS (
-  SELECT vec_id, list_transform(embedding, x -> CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS point, row_number() OVER () AS id
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS point, row_number() OVER () AS id
   FROM embeddings
-  WHERE len(embedding) = 64 AND len(list_filter(embedding, x -> x IS NOT NULL AND isfinite(x))) = 64
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64
 )""",
         """c0 AS (
   SELECT row_number() OVER (ORDER BY sha256('3:' || coalesce(CAST(vec_id AS VARCHAR), '')), point) - 1 AS cluster, point
@@ -269,7 +269,7 @@ def oracle() -> str:
         parts.append(
             f"""a{at} AS MATERIALIZED (
   SELECT id, min(struct_pack(distance := distance, cluster := cluster)) AS best FROM (
-    SELECT k.id, c.cluster, CAST(list_sum(list_transform(list_zip(k.point, c.point), z -> (z[1] - z[2]) * (z[1] - z[2]))) AS BIGINT) AS distance
+    SELECT k.id, c.cluster, CAST(list_sum(list_transform(list_zip(k.point, c.point), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS BIGINT) AS distance
     FROM kept k CROSS JOIN c{at} c) GROUP BY id
 )"""
         )
