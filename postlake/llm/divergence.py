@@ -1,10 +1,11 @@
 """Source divergence audit: how the vocabulary of each source differs from that of the other sources of its language.
 
-A task counts its terms and writes, for each portion of text, language, source, a 64-bit digest of the term, its occurrences
-and documents, and the term itself. Everything that is aggregated and joined afterwards reads and shuffles digests only.
-Terms come back late, by digest: for the digests that are kept, the smallest and the largest term are compared. Where they
-differ, several terms share the digest; only the rows of such digests are read again with their terms, split, and counted anew
-under the digest and a number for each term. At the end the text is joined to the few terms that are returned.
+Groups (language and source) and terms are 64-bit digests while they are counted. A task adds up its own counts, in memory of
+a fixed size, and writes for each group and digest the occurrences and documents, and beside them each term once. What is
+aggregated and joined after that reads and shuffles digests only. Terms come back late: of each kept digest the smallest and
+the largest term are compared. Where they differ, several terms share the digest; the texts are then read again for the rows
+of such digests with their terms, which are split and counted anew under the digest and a number for each term. At the end the
+text is joined to the few terms that are returned. Groups get another seed until no two of them share a digest.
 
 Divergence is worked out in blocks of kept terms, `BLOCK_CELLS` cells of sources by terms, in integers throughout. A block
 returns the partial sum of each pair of sources, and of each source its highest terms, ties included; sums and ranks are then
@@ -20,7 +21,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, count
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from postlake.llm.sizes import broadcast_if_small
+from postlake.llm.sizes import MOST_ROWS, broadcast_if_small
 from postlake.llm.words import map_batches, portions
 from postlake.operators.maintenance import drop_folder
 from postlake.session import checkpointed, shared_folder
@@ -41,70 +42,106 @@ SMOOTHING = 2
 UNIT_STEP, UNIT_STEPS = 1000, 3  # shares are counted in units of 1000 ** 3
 DIGEST_BITS = 64
 PORTION_BYTES = 2_000_000
-CACHED_TERMS = 200_000
+CACHED_TERMS = 300_000
+PENDING_ROWS = 1_000_000  # of group and term that a task adds up at a time
+ROWS_PER_BATCH = 100_000
 BLOCK_CELLS = 1 << 16
 LEAST_WIDTH = 32  # sources that a block is laid out for at least
 KEY = ["lang", "digest", "split"]
-COUNTED = "lang string, source string, digest long, n long, docs long, term binary"
+# Counts have no term; rows with a term spell a digest; where counts are asked for by term, they have all columns.
+COUNTED = "group long, digest long, n long, docs long, term binary"
+LOW = np.int64((1 << 32) - 1)
 
 
-class Terms:
-    """Numbers, digests and bytes of the terms that a task has seen, kept up to a number of them."""
+class Tally:
+    """Occurrences and documents by group and term, added up until there are PENDING_ROWS of them or too many terms."""
 
-    def __init__(self, bits: int):
-        self.mask = (1 << bits) - 1
+    def __init__(self, bits: int, wanted: set[int] | None = None):
+        self.mask, self.wanted = (1 << bits) - 1, wanted
         self.clear()
 
     def clear(self) -> None:
         self.numbers: dict[bytes, int] = {}
         self.digests: list[int] = []
-        self.terms: list[bytes] = []
-
-    def __call__(self, terms: list[bytes]) -> np.ndarray:
-        distinct = set(terms)
-        if len(self.numbers) + len(distinct) > CACHED_TERMS:
-            self.clear()
-        for term in distinct.difference(self.numbers):
-            self.numbers[term] = len(self.terms)
-            self.terms.append(term)
+        self.groups: dict[int, int] = {}
+        self.pending: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        self.rows = 0
+
+    def add(self, groups: list[int], texts: list[bytes]) -> None:
+        split = [TERM.findall(text.lower()) for text in texts]  # bytes.lower changes A-Z only
+        terms = list(chain.from_iterable(split))
+        for term in set(terms).difference(self.numbers):
+            self.numbers[term] = len(self.digests)
             self.digests.append((xxhash.xxh3_64_intdigest(term) & self.mask) - (1 << 63))
-        return np.fromiter(map(self.numbers.__getitem__, terms), dtype=np.int64, count=len(terms))
+        numbers = np.fromiter(map(self.numbers.__getitem__, terms), dtype=np.int64, count=len(terms))
+        owner = np.repeat(np.arange(len(texts)), [len(own) for own in split])
+        if self.wanted is not None:
+            here = np.array([digest in self.wanted for digest in self.digests], dtype=bool)[numbers]
+            numbers, owner = numbers[here], owner[here]
+        # One row per document and term, then one per group and term.
+        keys, times = np.unique(owner << 32 | numbers, return_counts=True)
+        group = np.array([self.groups.setdefault(g, len(self.groups)) for g in groups], dtype=np.int64)
+        self.hold(group[keys >> 32] << 32 | keys & LOW, times, np.ones(len(keys), dtype=np.int64))
+        if self.rows > PENDING_ROWS:
+            self.hold(*map(np.concatenate, zip(*self.pending)), afresh=True)
+
+    def hold(self, keys: np.ndarray, n: np.ndarray, docs: np.ndarray, afresh: bool = False) -> None:
+        if afresh:
+            self.pending, self.rows = [], 0
+        keys, at = np.unique(keys, return_inverse=True)
+        sums = [np.bincount(at, weights=x, minlength=len(keys)).astype(np.int64) for x in (n, docs)]
+        self.pending.append((keys, *sums))
+        self.rows += len(keys)
+
+    def full(self) -> bool:
+        return self.rows > PENDING_ROWS // 2 and len(self.pending) == 1 or len(self.digests) > CACHED_TERMS
+
+    def flush(self, with_terms: bool) -> Iterator[pa.RecordBatch]:
+        if self.pending:
+            self.hold(*map(np.concatenate, zip(*self.pending)), afresh=True)
+            (keys, n, docs), digests = self.pending[0], np.array(self.digests, dtype=np.int64)
+            terms, groups = list(self.numbers), np.array(list(self.groups), dtype=np.int64)
+            for start in range(0, len(keys), ROWS_PER_BATCH):
+                part = slice(start, start + ROWS_PER_BATCH)
+                number = keys[part] & LOW
+                spelled = [terms[x] for x in number.tolist()] if with_terms else [None] * len(number)
+                columns = groups[keys[part] >> 32], digests[number], n[part], docs[part]
+                yield batch_of(*[pa.array(x) for x in columns], pa.array(spelled, type=pa.binary()))
+            if not with_terms:
+                empty = pa.nulls(len(terms), pa.int64())
+                yield batch_of(empty, pa.array(digests), empty, empty, pa.array(terms, type=pa.binary()))
+        self.clear()
+
+
+def batch_of(*columns: pa.Array) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(list(columns), names=["group", "digest", "n", "docs", "term"])
 
 
-def counted_terms(docs: DataFrame, bits: int = DIGEST_BITS) -> DataFrame:
-    """Rows of COUNTED, one for each portion of text, group and term. `docs` has lang, source, text (binary)."""
+def counted_terms(rows: DataFrame, bits: int = DIGEST_BITS, with_terms: bool = False, wanted: set[int] | None = None) -> DataFrame:
+    """Rows of COUNTED from `rows` with group and text (binary); `wanted` restricts them to some digests."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Terms(bits)
+        tally = Tally(bits, wanted)
         for batch in batches:
-            groups: dict[tuple, int] = {}
-            pairs = zip(batch.column("lang").to_pylist(), batch.column("source").to_pylist())
-            own_group = np.array([groups.setdefault(pair, len(groups)) for pair in pairs], dtype=np.int64)
-            names, first = list(groups), 0
+            groups, first = batch.column("group").to_pylist(), 0
             for texts in portions(batch.column("text"), PORTION_BYTES):
-                split = [TERM.findall(text.lower()) for text in texts]  # bytes.lower changes A-Z only
-                group = own_group[first : first + len(texts)]
+                tally.add(groups[first : first + len(texts)], texts)
                 first += len(texts)
-                numbers = known(list(chain.from_iterable(split)))
-                width = max(len(known.terms), 1)
-                owner = np.repeat(np.arange(len(texts)), [len(terms) for terms in split])
-                # One row per document and term, then one per group and term.
-                in_document, times = np.unique(owner * width + numbers, return_counts=True)
-                rows, at = np.unique(group[in_document // width] * width + in_document % width, return_inverse=True)
-                term, own = (rows % width).tolist(), (rows // width).tolist()
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([names[x][0] for x in own], type=pa.string()),
-                        pa.array([names[x][1] for x in own], type=pa.string()),
-                        pa.array([known.digests[x] for x in term], type=pa.int64()),
-                        pa.array(np.bincount(at, weights=times, minlength=len(rows)).astype(np.int64)),
-                        pa.array(np.bincount(at, minlength=len(rows)).astype(np.int64)),
-                        pa.array([known.terms[x] for x in term], type=pa.binary()),
-                    ],
-                    names=["lang", "source", "digest", "n", "docs", "term"],
-                )
-
-    return map_batches(docs, run, COUNTED)
+                if tally.full():
+                    yield from tally.flush(with_terms)
+        yield from tally.flush(with_terms)
+
+    return map_batches(rows, run, COUNTED)
+
+
+def with_group_digests(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """`rows` with `group`, and the groups: group, lang, source."""
+    named = rows.select("lang", "source").distinct()
+    for seed in count():
+        group = F.xxhash64(F.lit(seed), "lang", "source")
+        groups = checkpointed(named.withColumn("group", group))
+        if groups.groupBy("group").count().where("count > 1").isEmpty():
+            return rows.withColumn("group", group), groups
 
 
 def shares(counts: np.ndarray, total: int | np.ndarray, kept: int) -> np.ndarray:
@@ -177,26 +214,31 @@ def compared(key: tuple, terms: pa.Table, sources: pa.Table) -> pa.Table:
     )
 
 
-def kept_counts(counts: DataFrame, least: int) -> DataFrame:
+def kept_counts(counts: DataFrame, groups: DataFrame, least: int) -> DataFrame:
     """`counts` of the terms in at least so many documents of their language, with the language's occurrences."""
     same = Window.partitionBy(*KEY)
-    whole = counts.withColumn("lang_n", F.sum("n").over(same)).withColumn("lang_docs", F.sum("docs").over(same))
+    langs = broadcast_if_small(groups.select("group", "lang"))
+    whole = counts.join(langs, "group").withColumn("lang_n", F.sum("n").over(same)).withColumn("lang_docs", F.sum("docs").over(same))
     return whole.where(F.col("lang_docs") >= least).drop("docs", "lang_docs")
 
 
-def split_collisions(written: DataFrame, counts: DataFrame, spellings: DataFrame) -> tuple[DataFrame, DataFrame]:
+def split_collisions(
+    rows: DataFrame, counts: DataFrame, spellings: DataFrame, bits: int
+) -> tuple[DataFrame, DataFrame]:
     """`counts` and `spellings` with a number for each term wherever terms share a digest."""
-    shared = broadcast_if_small(spellings.where("least != most").select("digest"))
+    shared = checkpointed(spellings.where("least != most").select("digest"))
+    few = shared.limit(MOST_ROWS + 1).count() <= MOST_ROWS
+    wanted = {row["digest"] for row in shared.collect()} if few else None
+    mixed = checkpointed(counted_terms(rows, bits, True, wanted).join(shared, "digest", "left_semi"))
     numbered = Window.partitionBy("digest").orderBy("term")
     variants = checkpointed(
-        written.join(shared, "digest", "left_semi")
-        .groupBy("digest", "term")
+        mixed.groupBy("digest", "term")
         .agg(F.count("*").alias("rows"))
         .select("digest", "term", F.row_number().over(numbered).cast("long").alias("split"))
     )
     apart = (
-        written.join(broadcast_if_small(variants), ["digest", "term"])
-        .groupBy("lang", "source", "digest", "split")
+        mixed.join(broadcast_if_small(variants), ["digest", "term"])
+        .groupBy("group", "digest", "split")
         .agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
     )
     single = spellings.where("least = most").select("digest", F.col("least").alias("term"), F.lit(0).cast("long").alias("split"))
@@ -219,26 +261,28 @@ def audit(
         return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
     rows = docs.select(plain(lang).alias("lang"), plain(source).alias("source"), plain(text).cast("binary").alias("text"))
+    rows, groups = with_group_digests(rows)
+    rows = rows.select("group", "text")
     written = stored(counted_terms(rows, bits), "written")
-    counts = written.groupBy("lang", "source", "digest").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    counts = written.where("term IS NULL").groupBy("group", "digest").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
     counts = stored(counts.withColumn("split", F.lit(0).cast("long")), "counts")
-    kept = stored(kept_counts(counts, least_documents), "kept")
-    wanted = broadcast_if_small(kept.select("digest").distinct())
-    spellings = stored(
-        written.select("digest", "term")
-        .join(wanted, "digest", "left_semi")
+    kept = stored(kept_counts(counts, groups, least_documents), "kept")
+    spellings = (
+        written.where("term IS NOT NULL")
         .groupBy("digest")
-        .agg(F.min("term").alias("least"), F.max("term").alias("most")),
-        "spellings",
+        .agg(F.min("term").alias("least"), F.max("term").alias("most"))
+        .join(kept.select("digest").distinct(), "digest", "left_semi")
     )
+    spellings = stored(spellings, "spellings")
+    drop_folder(spark, f"{folder}/written")
     if spellings.where("least != most").isEmpty():
         spelled = spellings.select("digest", F.lit(0).cast("long").alias("split"), F.col("least").alias("term"))
     else:
-        counts, spelled = split_collisions(written, counts, spellings)
-        kept = stored(kept_counts(counts, least_documents), "kept-apart")
+        counts, spelled = split_collisions(rows, counts, spellings, bits)
+        kept = stored(kept_counts(counts, groups, least_documents), "kept-apart")
+    drop_folder(spark, f"{folder}/counts")
 
-    result = ranked(compared_blocks(rows.select("lang", "source").distinct(), kept), spelled)
-    result = checkpointed(result)
+    result = checkpointed(ranked(compared_blocks(groups, kept), spelled))
     drop_folder(spark, folder)
     return result
 
@@ -247,7 +291,7 @@ def compared_blocks(groups: DataFrame, kept: DataFrame) -> tuple[DataFrame, Data
     """The groups with their numbers, and what the blocks return."""
     per_lang = kept.groupBy(*KEY).agg(F.max("lang_n").alias("n")).groupBy("lang")
     langs = per_lang.agg(F.count("*").alias("kept"), F.sum("n").alias("lang_total"))
-    totals = kept.groupBy("lang", "source").agg(F.sum("n").alias("total"))
+    totals = kept.groupBy("group").agg(F.sum("n").alias("total"))
     place = F.row_number().over(Window.partitionBy("lang").orderBy("source")) - 1
     numbered = groups.withColumn("no", place.cast("long"))
     widths = numbered.groupBy("lang").agg(F.count("*").alias("width"))
@@ -258,12 +302,12 @@ def compared_blocks(groups: DataFrame, kept: DataFrame) -> tuple[DataFrame, Data
         .withColumn("blocks", F.greatest(blocks, F.lit(1)))
     )
     described = checkpointed(
-        numbered.join(sized, "lang").join(totals, ["lang", "source"], "left").withColumn("total", F.coalesce("total", F.lit(0)))
+        numbered.join(sized, "lang").join(totals, "group", "left").withColumn("total", F.coalesce("total", F.lit(0)))
     )
     sources = described.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    places = broadcast_if_small(described.select("lang", "source", F.col("no").alias("own"), F.col("blocks").alias("parts")))
+    places = broadcast_if_small(described.select("group", F.col("no").alias("own"), F.col("blocks").alias("parts")))
     block = F.pmod(F.xxhash64("digest", "split"), F.col("parts")).cast("int").alias("block")
-    terms = kept.join(places, ["lang", "source"]).select("lang", block, F.col("own").alias("no"), *KEY[1:], "n", "lang_n")
+    terms = kept.join(places, "group").select("lang", block, F.col("own").alias("no"), *KEY[1:], "n", "lang_n")
     found = (
         terms.groupBy("lang", "block")
         .cogroup(sources.select("lang", "block", "no", "total", "lang_total", "kept").groupBy("lang", "block"))
