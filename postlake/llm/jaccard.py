@@ -7,12 +7,16 @@ the others are compared by brute force. At the last level a bucket of any size i
 of which every pair is a group of its own. Runs are repeated until a pair at the threshold is missed with a probability of
 at most 1 - TARGET_RECALL; closer pairs are missed less often.
 
-Comparison has two steps. Inside buckets, the 32 smallest shingle hashes of each class tell apart what is clearly different
-(no more than one pair in 10,000 at the threshold is lost there). What remains is joined into clusters of connected classes.
-Then each cluster, again in pairs of blocks, is compared exactly over the whole shingle sets. No pairs are written: a group
-returns for each class the number of documents linked to it and one link towards the smallest linked class, so output
-grows with the number of classes, not of pairs, and no link between different texts is left out of the counts. A cluster of m
-different near-copies costs m * m comparisons in numpy, spread over (m / BLOCK)^2 groups.
+Comparison has three steps. First the buckets of `CONNECTING` runs are compared, a large one only within blocks of BLOCK
+members, by the 32 smallest shingle hashes of each class, which tell apart what is clearly different (no more than one pair in
+10,000 at the threshold is lost there). What is alike is joined into clusters. Then all other buckets are looked at cluster
+by cluster: one that lies within a single cluster is dropped; in the others every pair of blocks is compared, except that the
+members of a bucket's largest cluster are not compared with each other again. A group returns links between clusters only,
+fewer than it holds clusters. So a large group of near-copies is joined once and not once more in every run. At last each
+cluster, in pairs of blocks of at most about BLOCK members and BLOCK_TOKENS shingles, is compared exactly over the whole shingle
+sets. A group returns for each class the number of documents linked to it and one link towards the smallest linked class; no
+link between different texts is left out of the counts. A cluster of m different near-copies costs m * m comparisons in numpy
+and sends each set m / BLOCK times.
 
 Defined results: words are taken as they are; a text of fewer than five words is a single shingle; a null text or one without
 words has no shingles and no links and is a class of its own; repeated rows and copies link to each other and share a class;
@@ -42,10 +46,12 @@ SIMILARITY = 0.8
 TARGET_RECALL = 0.999
 DEPTH = 3
 SMALL = 32
-BLOCK = 256
+BLOCK = 2048
+BLOCK_TOKENS = 1 << 20
 BOTTOM = 32
-CACHED_WORDS = 150_000
-MATRIX_CELLS = 1 << 22  # of a matrix that numpy holds at once
+CONNECTING = 2
+CACHED_WORDS = 100_000
+MATRIX_CELLS = 1 << 20  # of a matrix of sets by shingles that numpy holds at once
 SEED = 0x5DEECE66D
 
 
@@ -114,7 +120,7 @@ def children(tokens: np.ndarray, nodes: np.ndarray, most: np.uint64) -> tuple[np
 
 
 def chosen_paths(tokens: np.ndarray, runs: int) -> list[np.ndarray]:
-    """Bucket keys of a set: one array per level, rows aligned; 0 where a path ends before the level."""
+    """The run of each path, then its bucket keys: one array per level, rows aligned; 0 where a path ends before the level."""
     share = SIMILARITY * len(tokens)
     most = np.uint64(min(2.0**64 / share, 2.0**64 - 2049)) if share > 1 else np.uint64(2**64 - 1)
     # Levels draw by keys of their own, so a path may choose a token again; that only leaves its bucket as it was.
@@ -130,7 +136,7 @@ def chosen_paths(tokens: np.ndarray, runs: int) -> list[np.ndarray]:
         levels = [level[rows] for level in levels]
         levels.append(np.concatenate((keys, np.zeros(len(ended), dtype=np.uint64)))[order])
     kept = levels[1] != 0
-    return [level[kept] for level in levels[1:]]
+    return [level[kept] for level in levels]
 
 
 def firsts(keys: np.ndarray) -> np.ndarray:
@@ -138,7 +144,8 @@ def firsts(keys: np.ndarray) -> np.ndarray:
     return np.concatenate(([True], keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, dtype=bool)
 
 
-PATH = T.StructType([T.StructField(f"key{level}", T.LongType()) for level in range(1, DEPTH + 1)]
+PATH = T.StructType([T.StructField("run", T.LongType())]
+                    + [T.StructField(f"key{level}", T.LongType()) for level in range(1, DEPTH + 1)]
                     + [T.StructField(f"new{level}", T.BooleanType()) for level in range(1, DEPTH + 1)])
 INFO = [
     T.StructField("mark", T.BinaryType()),
@@ -154,18 +161,15 @@ def mark_of(tokens: np.ndarray) -> bytes | None:
 
 
 def path_arrays(sets: list[np.ndarray], runs: int) -> pa.ListArray:
-    offsets, columns = [0], [[] for _ in range(2 * DEPTH)]
+    offsets, columns = [0], [[] for _ in PATH]
     for tokens in sets:
         if len(tokens):
             levels = chosen_paths(tokens, runs)
-            for at, level in enumerate(levels):
-                columns[at].append(level.view(np.int64))
-                columns[DEPTH + at].append(firsts(level) & (level != 0))
-            offsets.append(offsets[-1] + len(levels[0]))
-        else:
-            offsets.append(offsets[-1])
+            for column, values in zip(columns, [*levels, *(firsts(level) & (level != 0) for level in levels[1:])]):
+                column.append(values if values.dtype == bool else values.view(np.int64))
+        offsets.append(offsets[-1] + (len(levels[0]) if len(tokens) else 0))
     arrays = [
-        pa.array(np.concatenate(column) if column else np.zeros(0, dtype=np.int64 if at < DEPTH else bool))
+        pa.array(np.concatenate(column) if column else np.zeros(0, dtype=np.int64 if at <= DEPTH else bool))
         for at, column in enumerate(columns)
     ]
     return pa.ListArray.from_arrays(pa.array(offsets, type=pa.int32()), pa.StructArray.from_arrays(arrays, names=PATH.names))
@@ -197,12 +201,12 @@ def document_info(docs: DataFrame, runs: int) -> DataFrame:
 
 
 def memberships(info: DataFrame) -> DataFrame:
-    """bucket, size, final, mark: the classes of every bucket that is to be compared."""
+    """bucket, size, final, run, mark: the classes of every bucket that is to be compared."""
     paths = info.where("mark IS NOT NULL").select("mark", "paths").dropDuplicates(["mark"])
     rows = paths.select("mark", F.inline("paths"))
     parts = []
     for level in range(1, DEPTH + 1):
-        own = rows.where(f"new{level}").select("mark", F.col(f"key{level}").alias("bucket"))
+        own = rows.where(f"new{level}").select("mark", "run", F.col(f"key{level}").alias("bucket"))
         sizes = checkpointed(own.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1"))
         last = level == DEPTH
         compared = sizes if last else sizes.where(F.col("size") <= SMALL)
@@ -216,130 +220,204 @@ def memberships(info: DataFrame) -> DataFrame:
     return merged
 
 
-def block_groups(rows: DataFrame, key: str, size: Column, member: str) -> DataFrame:
-    """`rows` with `group`, `i`, `j` and `block`: a key of up to BLOCK members is one group, a larger one a group for every
-    pair of its blocks."""
-    blocks = F.ceil(size / BLOCK).cast("int")
-    with_block = rows.withColumn("blocks", blocks).withColumn(
-        "block", F.pmod(F.xxhash64(member, F.lit(3)), F.col("blocks")).cast("int")
-    )
-    others = F.sequence(F.lit(0), F.col("blocks") - 1)
+def pairs_of_blocks(rows: DataFrame, first: Column, last: Column) -> DataFrame:
+    """`rows`, which have a `block`, once for each block from `first` to `last`; i and j name the pair."""
     return (
-        with_block.withColumn("other", F.explode(others))
+        rows.withColumn("other", F.explode(F.sequence(first.cast("int"), last.cast("int"))))
         .withColumn("i", F.least("block", "other"))
         .withColumn("j", F.greatest("block", "other"))
-        .withColumn("group", F.xxhash64(key, "i", "j"))
-        .drop("blocks", "other")
+        .drop("other")
+    )
+
+
+def dealt(member: str, key: str, blocks: Column) -> Column:
+    """A block out of `blocks` for a member, by a hash that differs from key to key."""
+    return F.pmod(F.xxhash64(member, key, F.lit(3)), blocks).cast("int")
+
+
+def connecting_groups(buckets: DataFrame) -> DataFrame:
+    """The buckets of the first runs, large ones cut into blocks; every class is a cluster of its own."""
+    blocks = F.when(F.col("final"), F.ceil(F.col("size") / BLOCK)).otherwise(1)
+    rows = buckets.where(F.col("run") <= CONNECTING).withColumn("block", dealt("mark", "bucket", blocks))
+    return rows.select(F.col("bucket").alias("key"), F.col("block").alias("i"), F.col("block").alias("j"), "block", "mark",
+                       F.col("mark").alias("cluster"))
+
+
+def remaining_groups(buckets: DataFrame, clusters: DataFrame) -> DataFrame:
+    """The buckets that hold several clusters and have not been compared whole.
+
+    A large bucket is cut into blocks of its largest cluster and blocks of the rest; two of the former are never paired.
+    """
+    open_buckets = buckets.where((F.col("run") > CONNECTING) | (F.col("final") & (F.col("size") > BLOCK)))
+    rows = checkpointed(
+        open_buckets.select("bucket", "mark")
+        .join(broadcast_if_small(clusters), "mark", "left")
+        .select("bucket", "mark", F.coalesce("cluster", "mark").alias("cluster"))
+    )
+    held = rows.groupBy("bucket", "cluster").agg(F.count("*").alias("held")).groupBy("bucket")
+    mixed = held.agg(F.max(F.struct("held", "cluster")).alias("most"), F.sum("held").alias("size"), F.count("*").alias("clusters"))
+    mixed = mixed.where("clusters > 1").select("bucket", "size", "most")
+    whole = F.col("size") <= BLOCK
+    own = F.when(whole, 0).otherwise(F.ceil(F.col("most.held") / BLOCK))
+    others = F.when(whole, 1).otherwise(F.ceil((F.col("size") - F.col("most.held")) / BLOCK))
+    inside = ~whole & (F.col("cluster") == F.col("most.cluster"))
+    laid = (
+        rows.join(mixed, "bucket")
+        .withColumn("own", own)
+        .withColumn("others", others)
+        .withColumn(
+            "block",
+            F.when(inside, dealt("mark", "bucket", F.greatest("own", F.lit(1)))).otherwise(
+                F.col("own").cast("int") + dealt("mark", "bucket", F.col("others"))
+            ),
+        )
+        .withColumn("first", F.when(inside, F.col("own")).otherwise(0))
     )
+    groups = pairs_of_blocks(laid, F.col("first"), F.col("own") + F.col("others") - 1)
+    return groups.select(F.col("bucket").alias("key"), "i", "j", "block", "mark", "cluster")
+
+
+def exact_groups(members: DataFrame) -> DataFrame:
+    """Each cluster as pairs of blocks, bounded by members and by shingles. `members` has mark, cluster, copies, n."""
+    sizes = members.groupBy("cluster").agg(F.count("*").alias("size"), F.sum("n").alias("volume"))
+    blocks = F.greatest(F.ceil(F.col("size") / BLOCK), F.ceil(F.col("volume") / BLOCK_TOKENS))
+    laid = members.join(sizes, "cluster").withColumn("blocks", blocks).withColumn("block", dealt("mark", "cluster", F.col("blocks")))
+    groups = pairs_of_blocks(laid, F.lit(0), F.col("blocks") - 1)
+    return groups.select(F.col("cluster").alias("key"), "i", "j", "block", "mark", "copies")
 
 
 def grouped(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[list[tuple]]:
-    """Rows of equal value in the first column, from batches in which such rows follow each other."""
-    current: list[tuple] = []
+    """Rows of equal key, i and j, which come first and follow each other, without these three columns."""
+    current, key = [], None
     for batch in batches:
         for start in range(0, batch.num_rows, 256):
             part = batch.slice(start, 256)
-            for row in zip(*[part.column(name).to_pylist() for name in names]):
-                if current and row[0] != current[0][0]:
+            keys = zip(*[part.column(name).to_pylist() for name in ("key", "i", "j")])
+            for own, row in zip(keys, zip(*[part.column(name).to_pylist() for name in names])):
+                if own != key and current:
                     yield current
                     current = []
+                key = own
                 current.append(row)
     if current:
         yield current
 
 
-def common_counts(sets: list[np.ndarray]) -> np.ndarray:
-    """Sizes of all pairwise intersections, by matrix products over the tokens that occur twice or more."""
-    owner = np.repeat(np.arange(len(sets)), [len(tokens) for tokens in sets])
-    _, column, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    shared = counts > 1
-    place = np.cumsum(shared) - 1
-    keep = shared[column]
-    owner, column = owner[keep], place[column[keep]]
-    total = np.zeros((len(sets), len(sets)), dtype=np.float32)
-    n_shared = int(shared.sum())
-    width = max(1, min(n_shared, MATRIX_CELLS // len(sets)))
-    order = np.argsort(column, kind="stable")
-    owner, column = owner[order], column[order]
-    for start in range(0, n_shared, width):
-        a, b = np.searchsorted(column, (start, start + width))
-        matrix = np.zeros((len(sets), width), dtype=np.float32)
-        matrix[owner[a:b], column[a:b] - start] = 1.0
-        total += matrix @ matrix.T
+def two_sides(group: list[tuple], block: int, mark: int) -> tuple[list[tuple], list[tuple]]:
+    """The members of a group's two blocks in the order of their marks, each once; twice the same where there is one block."""
+    members = sorted({row[mark]: row for row in group}.values(), key=lambda row: row[mark])
+    first = min(row[block] for row in members)
+    left, right = [row for row in members if row[block] == first], [row for row in members if row[block] != first]
+    return left, right or left
+
+
+def common_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Sizes of all intersections of a set on the left and one on the right, by matrix products over shared tokens."""
+    own = [np.concatenate(sets) for sets in (left, right)]
+    shared = np.intersect1d(*own)
+    total = np.zeros((len(left), len(right)), dtype=np.float32)
+    cells = []
+    for sets, tokens in zip((left, right), own):
+        owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+        column = np.searchsorted(shared, tokens)
+        found = np.flatnonzero(shared[np.minimum(column, len(shared) - 1)] == tokens) if len(shared) else column[:0]
+        found = found[np.argsort(column[found], kind="stable")]
+        cells.append((owner[found], column[found], len(sets)))
+    width = max(1, min(len(shared), MATRIX_CELLS // max(len(left), len(right))))
+    for start in range(0, len(shared), width):
+        parts = []
+        for owner, column, size in cells:
+            a, b = np.searchsorted(column, (start, start + width))
+            part = np.zeros((size, width), dtype=np.float32)
+            part[owner[a:b], column[a:b] - start] = 1.0
+            parts.append(part)
+        total += parts[0] @ parts[1].T
     return total
 
 
-def local_roots(linked: np.ndarray) -> np.ndarray:
-    """For each member the smallest member that it is connected to."""
-    roots = np.arange(len(linked))
-    reach = linked | np.eye(len(linked), dtype=bool)
+def joined(linked: np.ndarray, left: np.ndarray, right: np.ndarray, size: int) -> np.ndarray:
+    """For each of `size` nodes the smallest node connected to it; `left` and `right` are the nodes of the rows and columns."""
+    roots = np.arange(size, dtype=np.int32)
     while True:
-        nearest = np.where(reach, roots[None, :], len(linked)).min(axis=1)
-        nearest = nearest[nearest]
-        if (nearest == roots).all():
+        of_left, of_right = roots[left], roots[right]
+        new = roots.copy()
+        np.minimum.at(new, left, np.where(linked, of_right[None, :], np.int32(size)).min(axis=1))
+        np.minimum.at(new, right, np.where(linked, of_left[:, None], np.int32(size)).min(axis=0))
+        # Where a root has found a smaller one, everything below it follows.
+        np.minimum.at(new, roots, new)
+        new = new[new]
+        if (new == roots).all():
             return roots
-        roots = nearest
+        roots = new
+
 
+def size_fits(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    return np.minimum(left[:, None], right[None, :]) >= SIMILARITY * np.maximum(left[:, None], right[None, :]) - 1e-9
 
-def size_fits(sizes: np.ndarray) -> np.ndarray:
-    return np.minimum(sizes[:, None], sizes[None, :]) >= SIMILARITY * np.maximum(sizes[:, None], sizes[None, :]) - 1e-9
+
+LINK = pa.schema([("a", pa.binary()), ("b", pa.binary())])
 
 
 def likely_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Links that keep what looks similar in a group connected."""
-    a, b = [], []
-    for group in grouped(batches, ["group", "mark", "n", "bottom"]):
-        # Sorted, so that the root of a group is its smallest mark: groups with the same members give the same links.
-        members = sorted({mark: (n, bottom) for _, mark, n, bottom in group}.items())
-        if len(members) == 2:
-            (first, (n, left)), (second, (m, right)) = members
-            if min(n, m) >= SIMILARITY * max(n, m) - 1e-9:
-                x, y = np.frombuffer(left, "<u4"), np.frombuffer(right, "<u4")
-                if len(set(x.tolist()) & set(y.tolist())) >= 0.5 * min(len(x), len(y)):
-                    a.append(second)
-                    b.append(first)
-        elif members:
-            bottoms = [np.frombuffer(bottom, "<u4") for _, (_, bottom) in members]
-            lengths = np.array([len(bottom) for bottom in bottoms])
-            sizes = np.array([n for _, (n, _) in members], dtype=np.float64)
-            alike = common_counts([np.unique(x) for x in bottoms]) >= 0.5 * np.minimum(lengths[:, None], lengths[None, :])
-            roots = local_roots(alike & size_fits(sizes))
-            for at in np.flatnonzero(roots != np.arange(len(roots))).tolist():
-                a.append(members[at][0])
-                b.append(members[roots[at]][0])
-        if len(a) >= 4096:
-            yield pa.RecordBatch.from_arrays([pa.array(a, type=pa.binary()), pa.array(b, type=pa.binary())], names=["a", "b"])
-            a, b = [], []
-    yield pa.RecordBatch.from_arrays([pa.array(a, type=pa.binary()), pa.array(b, type=pa.binary())], names=["a", "b"])
+    """Links between clusters whose members look similar in a group, from each to the smallest one."""
+    links: list[tuple[bytes, bytes]] = []
+    for group in grouped(batches, ["block", "mark", "cluster", "n", "bottom"]):
+        left, right = two_sides(group, 0, 1)
+        names = sorted({row[2] for row in left} | {row[2] for row in right})
+        if len(names) > 1:
+            number = {name: at for at, name in enumerate(names)}
+            sides = [[np.frombuffer(row[4], "<u4") for row in side] for side in (left, right)]
+            lengths = [np.array([len(x) for x in side]) for side in sides]
+            sizes = [np.array([row[3] for row in side], dtype=np.float64) for side in (left, right)]
+            nodes = [np.array([number[row[2]] for row in side]) for side in (left, right)]
+            distinct = [[np.unique(x) for x in side] for side in sides]
+            alike = common_counts(*distinct) >= 0.5 * np.minimum(lengths[0][:, None], lengths[1][None, :])
+            roots = joined(alike & size_fits(*sizes), *nodes, len(names))
+            links += [(names[at], names[root]) for at, root in enumerate(roots.tolist()) if root != at]
+        if len(links) >= 4096:
+            yield pa.RecordBatch.from_arrays([pa.array(x, type=pa.binary()) for x in zip(*links)], schema=LINK)
+            links = []
+    if links:
+        yield pa.RecordBatch.from_arrays([pa.array(x, type=pa.binary()) for x in zip(*links)], schema=LINK)
+
+
+EXACT = pa.schema([("mark", pa.binary()), ("links", pa.int64()), ("root", pa.binary())])
 
 
 def exact_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """For each class of a group, the documents linked to it within the group's pair of blocks and the smallest class that
     it is connected to."""
-    names = ["mark", "links", "root"]
-    schema = pa.schema([("mark", pa.binary()), ("links", pa.int64()), ("root", pa.binary())])
     rows: list[tuple] = []
-    for group in grouped(batches, ["group", "mark", "copies", "block", "tokens"]):
-        members = sorted({row[1]: row for row in group}.values(), key=lambda row: row[1])
-        sets = [np.frombuffer(row[4], "<u8") for row in members]
-        sizes = np.array([len(tokens) for tokens in sets], dtype=np.float64)
-        common = common_counts(sets).astype(np.float64)
-        linked = common * (1 + SIMILARITY) >= SIMILARITY * (sizes[:, None] + sizes[None, :]) - 1e-6
-        np.fill_diagonal(linked, False)
-        block = np.array([row[3] for row in members])
-        counted = linked & (block[:, None] != block[None, :]) if len(set(block.tolist())) > 1 else linked
-        links = counted @ np.array([row[2] for row in members], dtype=np.int64)
-        roots = local_roots(linked)
+    for group in grouped(batches, ["block", "mark", "copies", "tokens"]):
+        left, right = two_sides(group, 0, 1)
+        sets = [[np.frombuffer(row[3], "<u8") for row in side] for side in (left, right)]
+        sizes = [np.array([len(tokens) for tokens in side], dtype=np.float32) for side in sets]
+        copies = [np.array([row[2] for row in side], dtype=np.int64) for side in (left, right)]
+        least = np.add.outer(*(size.astype(np.float64) * SIMILARITY / (1 + SIMILARITY) for size in sizes)) - 1e-6
+        linked = common_counts(*sets) >= least
+        members = left if left is right else left + right
+        nodes = np.arange(len(members))
+        if left is right:
+            np.fill_diagonal(linked, False)
+            roots, links = joined(linked, nodes, nodes, len(members)), linked @ copies[1]
+        else:
+            # Roots are named by the smallest mark of the group, so nodes are numbered in the order of marks.
+            order = sorted(range(len(members)), key=lambda at: members[at][1])
+            members = [members[at] for at in order]
+            place = np.empty(len(order), dtype=np.int64)
+            place[order] = nodes
+            roots = joined(linked, place[: len(left)], place[len(left) :], len(members))
+            links = np.concatenate((linked @ copies[1], copies[0] @ linked))[order]
         rows += [(row[1], int(links[at]), members[roots[at]][1]) for at, row in enumerate(members)]
         if len(rows) >= 4096:
-            yield pa.RecordBatch.from_arrays([pa.array(x, type=f.type) for x, f in zip(zip(*rows), schema)], schema=schema)
+            yield pa.RecordBatch.from_arrays([pa.array(x, type=f.type) for x, f in zip(zip(*rows), EXACT)], schema=EXACT)
             rows = []
     if rows:
-        yield pa.RecordBatch.from_arrays([pa.array(x, type=f.type) for x, f in zip(zip(*rows), schema)], names=names)
+        yield pa.RecordBatch.from_arrays([pa.array(x, type=f.type) for x, f in zip(zip(*rows), EXACT)], schema=EXACT)
 
 
 def by_group(rows: DataFrame, run: Callable, schema: str) -> DataFrame:
-    return map_batches(rows.repartition("group").sortWithinPartitions("group"), run, schema)
+    return map_batches(rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j"), run, schema)
 
 
 def shingle_sets(docs: DataFrame) -> DataFrame:
@@ -361,6 +439,24 @@ def shingle_sets(docs: DataFrame) -> DataFrame:
     return map_batches(docs.select("text"), run, "mark binary, tokens binary")
 
 
+def likely_clusters(buckets: DataFrame, info: DataFrame) -> DataFrame:
+    """mark and cluster of every class that looks similar to another one."""
+    buckets = checkpointed(buckets)
+    sketches = checkpointed(info.where("mark IS NOT NULL").select("mark", "n", "bottom").dropDuplicates(["mark"]))
+
+    def linked(groups: DataFrame) -> DataFrame:
+        found = checkpointed(by_group(groups.join(sketches, "mark"), likely_links, "a binary, b binary"))
+        return components(found)
+
+    first = linked(connecting_groups(buckets)).select(F.col("node").alias("mark"), F.col("root").alias("cluster"))
+    second = linked(remaining_groups(buckets, first))
+    # A cluster bears the name of one of its classes; a node that is none was a class by itself until now.
+    named = first.unionByName(second.select(F.col("node").alias("mark"), F.col("node").alias("cluster"))).distinct()
+    return named.join(second.withColumnRenamed("node", "cluster"), "cluster", "left").select(
+        "mark", F.coalesce("root", "cluster").alias("cluster")
+    )
+
+
 def similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", target_recall: float = TARGET_RECALL) -> DataFrame:
     """doc_id, text_key, class_id, n_links, copies: one row per document.
 
@@ -374,24 +470,20 @@ def similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", target_
     classes = checkpointed(
         info.where("mark IS NOT NULL")
         .groupBy("mark")
-        .agg(F.count("*").alias("copies"), F.min("doc_id").alias("least"), F.min(F.struct("doc_id", "text_key")).alias("shown"))
+        .agg(
+            F.count("*").alias("copies"),
+            F.min("doc_id").alias("least"),
+            F.min(F.struct("doc_id", "text_key")).alias("shown"),
+            F.max("n").alias("n"),
+        )
     )
 
-    buckets = memberships(info)
-    sketches = info.where("mark IS NOT NULL").select("mark", "n", "bottom").dropDuplicates(["mark"])
-    size = F.when(F.col("final"), F.col("size")).otherwise(1)
-    compared = block_groups(buckets, "bucket", size, "mark").select("group", "mark").join(sketches, "mark")
-    likely = checkpointed(by_group(compared, likely_links, "a binary, b binary"))
-    clusters = components(likely).withColumnRenamed("root", "cluster").withColumnRenamed("node", "mark")
-
-    members = checkpointed(clusters.join(classes, "mark").select("mark", "cluster", "copies", "shown"))
-    cluster_sizes = members.groupBy("cluster").agg(F.count("*").alias("size"))
+    clusters = likely_clusters(memberships(info), info)
+    members = checkpointed(clusters.join(classes, "mark").select("mark", "cluster", "copies", "n", "shown"))
     shown = broadcast_if_small(members.select(F.col("shown").alias("key")).distinct())
     wanted = texts.withColumn("key", F.struct("doc_id", "text_key")).join(shown, "key", "left_semi")
     sets = shingle_sets(wanted).dropDuplicates(["mark"])
-    groups = block_groups(
-        members.join(cluster_sizes, "cluster").select("mark", "cluster", "copies", "size"), "cluster", F.col("size"), "mark"
-    ).select("group", "mark", "copies", "block")
+    groups = exact_groups(members.select("mark", "cluster", "copies", "n"))
     exact = checkpointed(by_group(groups.join(sets, "mark"), exact_links, "mark binary, links long, root binary"))
 
     roots = components(exact.where("mark != root").select(F.col("mark").alias("a"), F.col("root").alias("b")))
