@@ -2,7 +2,8 @@
 
 In each round every node is hooked to the smallest node among its neighbours and itself, hooks are followed to their ends, and
 the links are rewritten to lead from hook to hook; links inside a hook vanish. The links shrink from round to round until none is
-left. Neighbourhoods are never gathered: a node with any number of links is one `min`, aggregated before the shuffle.
+left; once they are few, a round is one task without shuffles. Neighbourhoods are never gathered: a node with any number of
+links is one `min`, aggregated before the shuffle.
 """
 
 from __future__ import annotations
@@ -10,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postlake.session import checkpointed
+from postlake.llm.sizes import settled
 
 
 def followed(hooks: DataFrame) -> DataFrame:
@@ -18,7 +19,7 @@ def followed(hooks: DataFrame) -> DataFrame:
     while True:
         above = hooks.select(F.col("node").alias("root"), F.col("root").alias("above"))
         moved = (F.col("above") != F.col("root")).alias("moved")
-        steps = checkpointed(hooks.join(above, "root").select("node", F.col("above").alias("root"), moved))
+        steps = settled(hooks.join(above, "root").select("node", F.col("above").alias("root"), moved))
         hooks = steps.select("node", "root")
         if steps.where("moved").isEmpty():
             return hooks
@@ -29,18 +30,17 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     both = links.select(F.col(a).alias("node"), F.col(b).alias("other")).unionByName(
         links.select(F.col(b).alias("node"), F.col(a).alias("other"))
     )
-    edges = checkpointed(both.where(F.col("node") != F.col("other")).distinct())
+    edges = settled(both.where(F.col("node") != F.col("other")).distinct())
     roots = None
     while True:
-        hooks = checkpointed(edges.groupBy("node").agg(F.least("node", F.min("other")).alias("root")))
-        hooks = followed(hooks)
+        hooks = followed(settled(edges.groupBy("node").agg(F.least("node", F.min("other")).alias("root"))))
         if roots is None:
             roots = hooks
         else:
             moved = hooks.select(F.col("node").alias("root"), F.col("root").alias("next"))
-            roots = checkpointed(roots.join(moved, "root", "left").select("node", F.coalesce("next", "root").alias("root")))
+            roots = settled(roots.join(moved, "root", "left").select("node", F.coalesce("next", "root").alias("root")))
         ends = hooks.select(F.col("node").alias("other"), F.col("root").alias("end"))
-        edges = checkpointed(
+        edges = settled(
             edges.join(hooks, "node")
             .select(F.col("root").alias("node"), "other")
             .join(ends, "other")

@@ -1,8 +1,8 @@
-"""Broadcasts behind a check of the size."""
+"""Plans that depend on a checked size: broadcasts and work in a single partition."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from postlake.session import checkpointed
@@ -10,7 +10,21 @@ from postlake.session import checkpointed
 MOST_ROWS = 50_000
 
 
+def fixed_and_counted(rows: DataFrame) -> tuple[DataFrame, int]:
+    """`rows` in the shared folder and their number, counted while they are written (never less than there are)."""
+    seen = Observation()
+    fixed = checkpointed(rows.observe(seen, F.count(F.lit(1)).alias("n")))
+    return fixed, seen.get["n"]
+
+
 def broadcast_if_small(rows: DataFrame, most: int = MOST_ROWS) -> DataFrame:
     """Narrow rows, fixed in the shared folder: marked for broadcast if there are at most `most`, else left to the planner."""
-    fixed = checkpointed(rows)
-    return F.broadcast(fixed) if fixed.limit(most + 1).count() <= most else fixed
+    fixed, n = fixed_and_counted(rows)
+    return F.broadcast(fixed) if n <= most else fixed
+
+
+def settled(rows: DataFrame, most: int = MOST_ROWS) -> DataFrame:
+    """Narrow rows, fixed in the shared folder: in one partition if there are at most `most`, so that joins and sums of such
+    rows take one task and no shuffle; else as they are."""
+    fixed, n = fixed_and_counted(rows)
+    return fixed.coalesce(1) if n <= most else fixed
