@@ -7,10 +7,13 @@ its words. For changed copies, fingerprints within `RADIUS` bits are searched: s
 fingerprints agree in at least one block, so looking up every block finds all of them. A candidate names an item and the
 place where its copy would start. There, the five-word shingles of the item are looked up in the document around that
 place, and the item counts as found if those present hold at least `LEAST_SIMILARITY` of the weight of all. A shingle weighs
-ln(1 + items / items that hold it), so wording that many items share proves less.
+ln(1 + items / items that hold it), so wording that many items share proves less. Shingles are looked up as 64-bit hashes; what
+passes is confirmed by the words themselves.
 
-The documents are read once per block of the benchmark, in batches, without a shuffle. A block of the benchmark is
-broadcast, at most `BLOCK_CHARS` characters of text; a larger benchmark makes more blocks.
+The benchmark is written once as a table of blocks of about `BLOCK_CHARS` characters; Spark counts and joins the weights.
+One block at a time is fetched and made into flat numpy arrays, which are broadcast; the documents are read once for each
+block, in batches, without a shuffle, and are fixed in the shared folder between two blocks, so only one index is held at a
+time. A document's windows start at its own first word whatever stands before it in a batch.
 
 Defined results: words are lower-cased and stripped of punctuation at their ends before they are compared; a null or empty
 text is clean; an item without words is never found, one of fewer than five words is one shingle; equal items are each
@@ -22,8 +25,8 @@ from __future__ import annotations
 
 import math
 import re
-from collections import Counter, defaultdict
-from collections.abc import Callable, Iterable, Iterator
+from collections import defaultdict
+from collections.abc import Callable, Iterable, Iterator, Mapping
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +37,8 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 from postlake.llm.words import map_batches, portions, split_words
-from postlake.session import checkpointed
+from postlake.operators.maintenance import drop_folder
+from postlake.session import checkpointed, shared_folder
 
 BITS = 64
 RADIUS = 7
@@ -44,7 +48,7 @@ STEP = 4  # words between the starts of the smallest windows
 LADDER = (4, 8, 12, 16, 24, 32, 48, 64, 96)  # window sizes in words, multiples of STEP; sums fit a signed byte
 BLOCK_CHARS = 2_000_000
 PORTION_CHARS = 400_000  # of text that a task works on at a time
-CACHED_WORDS = 150_000
+CACHED_WORDS = 100_000
 
 EDGES = re.compile(r"^\W+|\W+$")
 
@@ -70,8 +74,23 @@ def shingles(words: list[str]) -> list[tuple[str, ...]]:
     return [tuple(words[at : at + SHINGLE]) for at in range(len(words) - SHINGLE + 1)]
 
 
+def word_hashes(words: list[str]) -> np.ndarray:
+    """64-bit hashes of words as they are compared."""
+    return np.array([xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass")) for word in words], dtype="<u8")
+
+
+def shingle_hashes(hashes: np.ndarray) -> np.ndarray:
+    """Hashes of the shingles that start at each word; one for all words if they are fewer than a shingle."""
+    length = min(SHINGLE, len(hashes))
+    rolled = np.full(len(hashes) - length + 1 if length else 0, length, dtype=np.uint64)
+    for at in range(length):
+        rolled = rolled * np.uint64(0x9E3779B97F4A7C15) + hashes[at : at + len(rolled)]
+    rolled = (rolled ^ (rolled >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    return rolled ^ (rolled >> np.uint64(32))
+
+
 class Words:
-    """Numbers of words, and for each number the 64 signs of its hash; number 0 stands for no word."""
+    """Numbers of words, and for each number its hash and the hash's 64 signs; number 0 stands for no word."""
 
     def __init__(self):
         self.clear()
@@ -79,18 +98,21 @@ class Words:
     def clear(self) -> None:
         self.numbers: dict[str, int] = {}
         self.signs = np.zeros((1024, BITS), dtype=np.int8)
+        self.hashes = np.zeros(1024, dtype=np.uint64)
 
     def __call__(self, words: list[str]) -> list[int]:
         known = self.numbers
         numbers = list(map(known.get, words))
         if None in numbers:
             new = list(dict.fromkeys(word for word, number in zip(words, numbers) if number is None))
-            hashes = np.array([xxhash.xxh3_64_intdigest(comparable(word)) for word in new], dtype="<u8")
+            hashes = word_hashes([comparable(word) for word in new])
             first, last = len(known) + 1, len(known) + 1 + len(new)
             while last > len(self.signs):
                 self.signs = np.concatenate((self.signs, np.zeros_like(self.signs)))
+                self.hashes = np.concatenate((self.hashes, np.zeros_like(self.hashes)))
             bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1).astype(np.int8)
             self.signs[first:last] = 2 * bits - 1
+            self.hashes[first:last] = hashes
             known.update(zip(new, range(first, last)))
             numbers = list(map(known.get, words))
         return numbers
@@ -115,38 +137,52 @@ def ladder_sums(steps: np.ndarray, sizes: Iterable[int]) -> dict[int, np.ndarray
     return {size: of(size // STEP) for size in sizes}
 
 
+WINDOWS = np.dtype([("mark", "<u8"), ("item", "<i4"), ("start", "<i4")])
+
+
 class Index:
-    """Fingerprints of a block of the benchmark, by window size and block of bits, and what verification needs."""
+    """Fingerprints of a block of the benchmark, by window size and block of bits, and what verification needs, in flat arrays."""
 
-    def __init__(self, items: list[tuple], weights: dict[tuple[str, ...], float]):
+    def __init__(self, items: list[tuple], weights: Mapping[int, float]):
+        """`weights` gives the weight of a shingle by its hash."""
         words = Words()
-        self.items, self.short = [], defaultdict(list)
-        self.windows: dict[int, list[tuple[int, int, int]]] = defaultdict(list)  # fingerprint, item, start in the item
+        self.item_ids, self.texts, self.short = [], [], defaultdict(list)
+        windows: dict[int, list[np.ndarray]] = defaultdict(list)
+        owned = []
         for item_id, text in items:
-            plain = [comparable(word) for word in split_words(text)]
+            raw = split_words(text)
+            plain = [comparable(word) for word in raw]
             if not plain:
                 continue
-            own = {shingle: weights[shingle] for shingle in shingles(plain)}
-            at = len(self.items)
-            self.items.append((item_id, len(plain), own, sum(own.values())))
+            at = len(self.item_ids)
+            self.item_ids.append(item_id)
+            self.texts.append(" ".join(plain))  # no word holds a space
+            owned.append(np.unique(shingle_hashes(word_hashes(plain))))
             size = window_size(len(plain))
             if size is None:
                 self.short[plain[0]].append((at, tuple(plain)))
                 continue
-            numbers = words(plain)
+            numbers = words(raw)
             signs = words.signs[numbers]
             total = np.concatenate((np.zeros((1, BITS), dtype=np.int32), np.cumsum(signs, axis=0, dtype=np.int32)))
             marks = fingerprints(total[size:] - total[:-size])
-            self.windows[size] += [(int(mark), at, start) for start, mark in enumerate(marks)]
+            own = np.zeros(len(marks), dtype=WINDOWS)
+            own["mark"], own["item"], own["start"] = marks, at, np.arange(len(marks))
+            windows[size].append(own)
+        self.lengths = np.array([text.count(" ") + 1 for text in self.texts], dtype=np.int64)
+        self.ends = np.cumsum([0, *map(len, owned)])
+        self.shingles = np.concatenate([np.zeros(0, dtype=np.uint64), *owned])
+        self.weights = np.array([weights[shingle] for shingle in self.shingles.tolist()], dtype=np.float64)
+        self.windows = {size: np.concatenate(parts) for size, parts in windows.items()}
         bounds = np.linspace(0, BITS, RADIUS + 2).astype(int)
         self.blocks = [(int(a), (1 << int(b - a)) - 1) for a, b in zip(bounds, bounds[1:])]
         self.tables = {}
-        for size, windows in self.windows.items():
-            marks = np.array([mark for mark, _, _ in windows], dtype=np.uint64)
+        for size, own in self.windows.items():
+            marks = np.ascontiguousarray(own["mark"])
             lookups = []
             for shift, mask in self.blocks:
                 keys = ((marks >> np.uint64(shift)) & np.uint64(mask)).astype(np.int64)
-                order = np.argsort(keys, kind="stable")
+                order = np.argsort(keys, kind="stable").astype(np.int32)
                 ends = np.cumsum(np.bincount(keys, minlength=mask + 1))
                 lookups.append((order, np.concatenate(([0], ends))))
             self.tables[size] = (marks, lookups)
@@ -169,12 +205,19 @@ class Index:
             numbers.append(number[close])
         return np.concatenate(places), np.concatenate(numbers)
 
-    def similarity(self, item: int, words: list[str], start: int) -> float:
-        """Share of the item's weight whose shingles occur around the place where its copy would start."""
-        _, n_words, own, total = self.items[item]
-        slack = max(2, n_words // 8)
-        there = set(shingles([comparable(word) for word in words[max(0, start - slack) : start + n_words + slack]]))
-        return sum(weight for shingle, weight in own.items() if shingle in there) / total
+    def similarity(self, item: int, there: np.ndarray, words: list[str]) -> float:
+        """Share of the item's weight whose shingles are among `there`, hashes of a stretch of text; a share that counts is
+        confirmed by the words of the stretch."""
+        part = slice(self.ends[item], self.ends[item + 1])
+        own, weights = self.shingles[part], self.weights[part]
+        total = weights.sum()
+        share = weights[np.isin(own, there)].sum() / total
+        if share < LEAST_SIMILARITY:
+            return float(share)
+        plain = self.texts[item].split(" ")
+        weight_of = dict(zip(shingles(plain), weights[np.searchsorted(own, shingle_hashes(word_hashes(plain)))]))
+        held = set(shingles([comparable(word) for word in words]))
+        return float(sum(weight for shingle, weight in weight_of.items() if shingle in held) / total)
 
 
 def find(index: Index, words: Words, texts: list[list[str]]) -> list[dict[int, float]]:
@@ -184,31 +227,37 @@ def find(index: Index, words: Words, texts: list[list[str]]) -> list[dict[int, f
     for at, own in enumerate(texts):
         first.append(len(numbers) // STEP)
         numbers += words(own)
-        numbers += [0] * (-len(numbers) % STEP)
+        numbers += [0] * (-len(numbers) % (2 * STEP))  # every text starts on the coarser grid, so its windows are its own
         owner += [at] * (len(numbers) // STEP - first[-1])
     if not numbers:
         return found
-    steps = words.signs[np.array(numbers, dtype=np.int64)].reshape(-1, STEP, BITS).sum(axis=1, dtype=np.int8)
-    owner_of = np.array(owner, dtype=np.int64)
+    number_of = np.array(numbers, dtype=np.int64)
+    steps = words.signs[number_of].reshape(-1, STEP, BITS).sum(axis=1, dtype=np.int8)
+    owner_of, first_of = np.array(owner, dtype=np.int64), np.array(first, dtype=np.int64)
     sums = ladder_sums(steps, index.tables)
-    candidates = set()
+    rolled = None
     for size in index.tables:
         every = stride(size) // STEP
         marks = fingerprints(sums[size][::every]) if len(sums[size]) else np.zeros(0, dtype=np.uint64)
         if not len(marks):
             continue
-        windows = index.windows[size]
-        for place, number in zip(*(x.tolist() for x in index.near(size, marks))):
-            begin = place * every
-            at = int(owner_of[begin])
-            if owner_of[begin + size // STEP - 1] == at:
-                _, item, start = windows[number]
-                candidates.add((at, item, (begin - first[at]) * STEP - start))
-    for at, item, start in sorted(candidates):
-        if found[at].get(item, 0.0) < 1.0:
-            share = index.similarity(item, texts[at], start)
-            if share >= LEAST_SIMILARITY:
-                found[at][item] = max(share, found[at].get(item, 0.0))
+        place, number = index.near(size, marks)
+        begin = place * every
+        at, window = owner_of[begin], index.windows[size][number]
+        inside = owner_of[begin + size // STEP - 1] == at
+        starts = (begin - first_of[at]) * STEP - window["start"]
+        candidates = np.unique(np.stack((at, window["item"], starts), axis=1)[inside], axis=0)
+        if len(candidates) and rolled is None:
+            rolled = shingle_hashes(words.hashes[number_of])
+        for at, item, start in candidates.tolist():
+            if found[at].get(item, 0.0) < 1.0:
+                n_words = int(index.lengths[item])
+                slack = max(2, n_words // 8)
+                low, high = max(0, start - slack), min(len(texts[at]), start + n_words + slack)
+                base = first[at] * STEP
+                share = index.similarity(item, rolled[base + low : base + max(low, high - SHINGLE + 1)], texts[at][low:high])
+                if share >= LEAST_SIMILARITY:
+                    found[at][item] = max(share, found[at].get(item, 0.0))
     if index.short:
         for at, own in enumerate(texts):
             own = [comparable(word) for word in own]
@@ -219,43 +268,45 @@ def find(index: Index, words: Words, texts: list[list[str]]) -> list[dict[int, f
     return found
 
 
-def shingle_weights(benchmark: DataFrame, item_id: str, text: str) -> Callable[[list[tuple]], dict]:
-    """Weights of the shingles of a block: the counts over the whole benchmark are aggregated by Spark."""
-    rows = benchmark.select(F.col(item_id).alias("item_id"), F.col(text).cast("string").alias("text"))
+def weighted_blocks(benchmark: DataFrame, item_id: str, text: str, folder: str) -> tuple[DataFrame, int, int]:
+    """The benchmark as a table with the blocks as folders: item_id, text, and each shingle with the items that hold it;
+    the number of blocks and of items."""
+    spark = benchmark.sparkSession
+    rows = checkpointed(
+        benchmark.select(
+            F.col(item_id).alias("item_id"),
+            F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"),
+            F.monotonically_increasing_id().alias("item"),
+        )
+    )
+    size = rows.agg(F.count("*").alias("items"), F.coalesce(F.sum(F.length("text")), F.lit(0)).alias("chars")).collect()[0]
+    blocks = max(math.ceil(size["chars"] / BLOCK_CHARS), min(size["items"], 1))
 
     def exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys = [
-                xxhash.xxh3_64_intdigest("\n".join(shingle)) - (1 << 63)
-                for value in batch.column("text")
-                for shingle in set(shingles([comparable(word) for word in split_words(value.as_py())]))
-            ]
-            yield pa.RecordBatch.from_arrays([pa.array(keys, type=pa.int64())], names=["shingle"])
-
-    counts = map_batches(rows, exploded, "shingle long").groupBy("shingle").agg(F.count("*").alias("items"))
-    total = benchmark.count()
-    shared = checkpointed(counts.where("items > 1"))
-
-    def weigh(items: list[tuple]) -> dict:
-        own = {s for _, text in items for s in shingles([comparable(word) for word in split_words(text)])}
-        keys = {xxhash.xxh3_64_intdigest("\n".join(shingle)) - (1 << 63): shingle for shingle in own}
-        several = {row["shingle"]: row["items"] for row in shared.toLocalIterator() if row["shingle"] in keys}
-        return {shingle: math.log(1 + total / several.get(key, 1)) for key, shingle in keys.items()}
-
-    return weigh
-
-
-def blocks_of(benchmark: DataFrame, item_id: str, text: str) -> Iterator[list[tuple]]:
-    """The benchmark in blocks of at most BLOCK_CHARS characters (or one item), in the order of a hash of the items."""
-    rows = benchmark.select(F.col(item_id).alias("item_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
-    block, chars = [], 0
-    for row in rows.orderBy(F.xxhash64("item_id", "text"), "item_id", "text").toLocalIterator():
-        if block and chars + len(row["text"]) > BLOCK_CHARS:
-            yield block
-            block, chars = [], 0
-        block.append((row["item_id"], row["text"]))
-        chars += len(row["text"])
-    yield block
+            for item, value in zip(batch.column("item").to_pylist(), batch.column("text").to_pylist()):
+                hashes = np.unique(shingle_hashes(word_hashes([comparable(word) for word in split_words(value)])))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([item] * len(hashes), type=pa.int64()), pa.array(hashes.view(np.int64))], names=["item", "shingle"]
+                )
+
+    held = checkpointed(map_batches(rows.select("item", "text"), exploded, "item long, shingle long"))
+    counts = held.groupBy("shingle").agg(F.count("*").alias("items"))
+    weighed = held.join(counts, "shingle").groupBy("item").agg(F.collect_list(F.struct("shingle", "items")).alias("weighed"))
+    block = F.pmod(F.xxhash64("item_id", "text"), F.lit(max(blocks, 1))).cast("int")
+    table = rows.join(weighed, "item", "left").withColumn("block", block).repartition("block")
+    table.write.partitionBy("block").parquet(folder)
+    return spark.read.schema(table.schema).parquet(folder), blocks, size["items"]
+
+
+def index_of(block: DataFrame, items: int) -> Index:
+    rows = sorted(block.select("item", "item_id", "text", "weighed.shingle", "weighed.items").collect(), key=lambda row: row["item"])
+    weights = {
+        shingle & (1 << 64) - 1: math.log(1 + items / times)
+        for row in rows
+        for shingle, times in zip(row["shingle"] or (), row["items"] or ())
+    }
+    return Index([(row["item_id"], row["text"]) for row in rows], weights)
 
 
 class Searcher:
@@ -272,11 +323,20 @@ class Searcher:
             yield from find(self.index, self.words, [split_words(text) for text in texts])
 
 
-def searchers(docs: DataFrame, benchmark: DataFrame, item_id: str, item_text: str) -> Iterator:
-    """One broadcast block of the benchmark after another."""
-    weigh = shingle_weights(benchmark, item_id, item_text)
-    for block in blocks_of(benchmark, item_id, item_text):
-        yield docs.sparkSession.sparkContext.broadcast((block, weigh(block)))
+def block_by_block(
+    rows: DataFrame, benchmark: DataFrame, item_id: str, item_text: str, search: Callable[[Index], Callable]
+) -> DataFrame:
+    """`rows` after a step for each block of the benchmark; between two blocks the rows are fixed and the index is dropped."""
+    spark, folder = rows.sparkSession, shared_folder(rows.sparkSession, "benchmark")
+    table, blocks, items = weighted_blocks(benchmark, item_id, item_text, folder)
+    for block in range(blocks):
+        shared = spark.sparkContext.broadcast(index_of(table.where(F.col("block") == block), items))
+        rows = map_batches(rows, search(shared), rows.schema)
+        if block < blocks - 1:
+            rows = checkpointed(rows)
+            shared.unpersist()
+    drop_folder(spark, folder)
+    return rows
 
 
 def leaks(
@@ -295,11 +355,11 @@ def leaks(
 
     def search(shared) -> Callable:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            searcher = Searcher(Index(*shared.value))
+            searcher = Searcher(shared.value)
             for batch in batches:
                 ids, best = batch.column("item_ids").to_pylist(), batch.column("similarity").to_pylist()
                 for at, hits in enumerate(searcher(batch.column("text"))):
-                    ids[at] = sorted([*ids[at], *(searcher.index.items[item][0] for item in hits)], key=lambda x: (x is None, x))
+                    ids[at] = sorted([*ids[at], *(searcher.index.item_ids[item] for item in hits)], key=lambda x: (x is None, x))
                     best[at] = max(best[at], *hits.values()) if hits else best[at]
                 yield pa.RecordBatch.from_arrays(
                     [*batch.columns[:2], pa.array(ids, type=list_type), pa.array(best, type=pa.float64())],
@@ -308,8 +368,7 @@ def leaks(
 
         return run
 
-    for shared in searchers(docs, benchmark, item_id, item_text):
-        rows = map_batches(rows, search(shared), rows.schema)
+    rows = block_by_block(rows, benchmark, item_id, item_text, search)
     return rows.select("doc_id", (F.size("item_ids") > 0).alias("contaminated"), "item_ids", "similarity")
 
 
@@ -321,13 +380,11 @@ def clean_rows(
 
     def drop(shared) -> Callable:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            searcher = Searcher(Index(*shared.value))
+            searcher = Searcher(shared.value)
             for batch in batches:
                 keep = [not hits for hits in searcher(batch.column(place))]
                 yield batch.filter(pa.array(keep, type=pa.bool_()))
 
         return run
 
-    for shared in searchers(docs, benchmark, item_id, item_text):
-        docs = map_batches(docs, drop(shared), docs.schema)
-    return docs
+    return block_by_block(docs, benchmark, item_id, item_text, drop)

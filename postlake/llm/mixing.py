@@ -18,6 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from postlake.llm.sizes import MOST_ROWS, fixed_and_counted
 from postlake.llm.words import count_words
 from postlake.session import checkpointed
 
@@ -155,18 +156,33 @@ def repetitions(at: Column) -> Column:
     return F.col("whole") + F.when(at < F.col("cut"), 1).otherwise(0)
 
 
+def with_plan(rows: DataFrame, by_source: DataFrame) -> DataFrame:
+    """`rows`, which have `mix_source` and `mix_at`, with the columns of their source's plan.
+
+    The plan, one row per source, is broadcast if it is small, so the rows stay where they are; else each source is spread
+    over SALTS keys by the hash.
+    """
+    planned = by_source.withColumn("mix_key", F.struct("source")).drop("source")
+    keyed = rows.withColumn("mix_key", F.struct(F.col("mix_source").alias("source")))
+    small, n = fixed_and_counted(planned)
+    if n <= MOST_ROWS:
+        return keyed.join(F.broadcast(small), "mix_key")
+    salted = small.withColumn("mix_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+    return keyed.withColumn("mix_salt", F.pmod("mix_at", F.lit(SALTS))).join(salted, ["mix_key", "mix_salt"])
+
+
 def mix_counts(
     docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, max_epochs: int = MAX_EPOCHS, seed: str = SEED, **names: str
 ) -> DataFrame:
     """doc_id, size, source_size, target, taken: how many words of each document the mix takes, repeats counted."""
     sizes = sized(docs, seed=seed, **names)
-    by_source = plan(sizes, weights, max_epochs).withColumnRenamed("source", "plan_source")
-    return sizes.join(by_source, F.col("source").eqNullSafe(F.col("plan_source"))).select(
+    rows = sizes.select("doc_id", "size", F.col("source").alias("mix_source"), F.col("at").alias("mix_at"))
+    return with_plan(rows, plan(sizes, weights, max_epochs)).select(
         "doc_id",
         "size",
         "source_size",
         "target",
-        (F.col("size") * repetitions(F.col("at"))).alias("taken"),
+        (F.col("size") * repetitions(F.col("mix_at"))).alias("taken"),
     )
 
 
@@ -176,12 +192,15 @@ def mix_rows(
 ) -> DataFrame:
     """The mix itself: each row of `docs` as often as the plan takes it, columns unchanged."""
     sizes = sized(docs, doc_id, text, source, seed)
-    by_source = plan(sizes, weights, max_epochs).select(F.struct("source").alias("mix_key"), "whole", "cut")
-    own = docs.select(F.struct(F.col(source).alias("source")).alias("mix_key"), F.struct(*docs.columns).alias("mix_row"))
-    times = repetitions(seeded_hash(F.col(f"mix_row.{doc_id}"), F.col(f"mix_row.{text}"), seed))
+    own = docs.select(
+        F.struct(*docs.columns).alias("mix_row"),
+        F.col(source).alias("mix_source"),
+        seeded_hash(F.col(doc_id), F.col(text), seed).alias("mix_at"),
+    )
+    times = repetitions(F.col("mix_at")).cast("int")
     return (
-        own.join(by_source, "mix_key")
-        .select("mix_row", F.explode(F.array_repeat(F.lit(0), times.cast("int"))).alias("mix_copy"))
+        with_plan(own, plan(sizes, weights, max_epochs))
+        .select("mix_row", F.explode(F.array_repeat(F.lit(0), times)).alias("mix_copy"))
         .select("mix_row.*")
     )
 

@@ -328,3 +328,53 @@ def test_pipeline_stage_by_stage(spark):
 
 def test_words_of_the_contract():
     assert split_words("a b\x1cc\x85 d\x0be") == ["a b\x1cc\x85", "d", "e"]
+
+
+def test_a_text_is_judged_the_same_in_any_company(benchmark):
+    """Edited copies at all offsets, alone and behind texts of other lengths."""
+    rng = random.Random(9)
+    items = [(row["item_id"], row["text"]) for row in benchmark.collect()][:25]
+    index = contamination.Index(items, collections.defaultdict(lambda: 1.0))
+    texts = []
+    for at in range(400):
+        words = rng.choice(items)[1].split()
+        for _ in range(rng.randint(0, 3)):
+            place = rng.randrange(len(words))
+            words[place : place + rng.randint(0, 1)] = [] if rng.random() < 0.3 else [prose(rng, 1)]
+        texts.append(" ".join([prose(rng, 1) for _ in range(at % 17)] + words + [prose(rng, 20)]))
+    alone = [found for text in texts for found in contamination.Searcher(index)(pa.array([text]))]
+    for shift in range(1, 6):
+        company = [x for text in texts for x in (prose(rng, rng.randint(1, 40) + shift), text)]
+        assert list(contamination.Searcher(index)(pa.array(company)))[1::2] == alone
+
+
+def test_similarity_is_the_weighted_share(benchmark):
+    """What is reported is the share of the item's weight, by strings, in the stretch around the copy."""
+    rows = benchmark.collect()[:8]
+    weights = collections.defaultdict(lambda: 1.0)
+    index = contamination.Index([(row["item_id"], row["text"]) for row in rows], weights)
+    for at, row in enumerate(rows):
+        words = row["text"].split()
+        words[-1] = "changed"
+        (found,) = contamination.Searcher(index)(pa.array(["before it " + " ".join(words) + " and after"]))
+        own = set(contamination.shingles([contamination.comparable(word) for word in row["text"].split()]))
+        held = set(contamination.shingles([contamination.comparable(word) for word in words]))
+        assert found[at] == pytest.approx(len(own & held) / len(own))
+
+
+def test_the_mix_leaves_documents_where_they_are(spark, monkeypatch):
+    """No exchange, sort or broadcast of the rows themselves; beyond the bound of a broadcast sources are salted."""
+    docs = table(spark, SMALL, "documents")
+
+    def plan_of(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    small = plan_of(mixing.mix_rows(docs))
+    assert "BroadcastHashJoin" in small and "BuildRight" in small and "SortMergeJoin" not in small
+    assert "hashpartitioning" not in small
+    counts = plan_of(mixing.mix_counts(docs))
+    assert "BuildRight" in counts and "BuildLeft" not in counts and "SortMergeJoin" not in counts and "hashpartitioning" not in counts
+    expected = sorted(tuple(row) for row in mixing.mix_counts(docs).collect())
+    monkeypatch.setattr(mixing, "MOST_ROWS", 0)
+    assert "mix_salt" in plan_of(mixing.mix_counts(docs))
+    assert sorted(tuple(row) for row in mixing.mix_counts(docs).collect()) == expected
