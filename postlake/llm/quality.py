@@ -13,8 +13,8 @@ scored over its whole text. Training weighs both labels by their share among the
 probability that the document is good, not a balanced one.
 
 Defined results: a null or empty text is one chunk of padding and is scored like any other; equal texts get equal scores;
-long texts are scored chunk by chunk; a table without labels of both kinds raises; an empty table gives no scores. Only id
-and text are read, so other columns can't clash.
+long texts are scored chunk by chunk; without examples of both labels nothing is learned, and every text gets the score of
+`unlearned`, 0 if no example is good; an empty table gives no scores. Only id and text are read, so other columns can't clash.
 """
 
 from __future__ import annotations
@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from postlake.llm.sampling import labelled_sample
-from postlake.llm.toxicity import Adam, score_all
+from postlake.llm.toxicity import Adam, log_odds, score_all, unlearned
 from postlake.llm.words import fold_of, map_batches
 
 PER_CLASS = 1100
@@ -91,20 +91,64 @@ def responses(tables: np.ndarray, rows: np.ndarray) -> np.ndarray:
     return total
 
 
+def loss_and_slopes(
+    vectors: np.ndarray, filters: np.ndarray, filter_bias: np.ndarray, weights: np.ndarray, bias: np.ndarray,
+    rows: np.ndarray, sizes: np.ndarray, labels: np.ndarray, importance: np.ndarray,
+) -> tuple[float, list[np.ndarray]]:
+    """Weighted cross-entropy of a batch of documents with `sizes` chunks each, and its slopes in the first five arguments."""
+    kind = vectors.dtype
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    firsts = np.cumsum(sizes) - sizes
+    tables = np.einsum("bv,kvf->kbf", vectors, filters)
+    n_filters = filters.shape[2]
+
+    best = np.empty((len(rows), n_filters), dtype=kind)
+    place = np.empty((len(rows), n_filters), dtype=np.int64)
+    for at in range(0, len(rows), BLOCK_CHUNKS):
+        found = responses(tables, rows[at : at + BLOCK_CHUNKS])
+        place[at : at + BLOCK_CHUNKS] = found.argmax(axis=1)
+        best[at : at + BLOCK_CHUNKS] = found.max(axis=1)
+    open_ = best + filter_bias > 0
+    best = np.maximum(best + filter_bias, 0)
+    most = np.maximum.reduceat(best, firsts, axis=0)
+    mean = np.add.reduceat(best, firsts, axis=0) / sizes[:, None].astype(kind)
+    seen = np.concatenate((most, mean), axis=1)
+    margin = np.clip(seen @ weights + bias, -30, 30)
+    weight = importance / len(sizes)
+    loss = float((weight * np.logaddexp(0, np.where(labels == 1, -margin, margin))).sum())
+    miss = ((1 / (1 + np.exp(-margin)) - labels) * weight).astype(kind)
+
+    to_seen = miss[:, None] * weights
+    to_best = to_seen[owner, n_filters:] / sizes[owner, None].astype(kind)
+    winners = best == most[owner]  # chunks of a document that share its maximum share the slope
+    to_best += to_seen[owner, :n_filters] * winners / np.add.reduceat(winners.astype(kind), firsts, axis=0)[owner]
+    to_best *= open_
+    # Windows that won: (chunk, filter) pairs, their bytes by place in the window.
+    chunk, which = np.nonzero(to_best)
+    slope = to_best[chunk, which]
+    bytes_of = rows[chunk[:, None], place[chunk, which][:, None] + np.arange(WIDTH)]
+    to_tables = np.zeros((WIDTH, 256 * n_filters), dtype=kind)
+    for k in range(WIDTH):
+        to_tables[k] = np.bincount(bytes_of[:, k].astype(np.int64) * n_filters + which, weights=slope, minlength=256 * n_filters)
+    to_tables = to_tables.reshape(WIDTH, 256, n_filters)
+    to_vectors = np.einsum("kbf,kvf->bv", to_tables, filters)
+    to_filters = np.einsum("kbf,bv->kvf", to_tables, vectors)
+    return loss, [to_vectors, to_filters, to_best.sum(axis=0), seen.T @ miss, miss.sum(keepdims=True)]
+
+
 def fit(sample: list[tuple[str, int]], good_share: float, epochs: int = EPOCHS) -> Model:
     """`good_share`: share of label 1 among all labelled rows that may be learned from."""
-    labels = np.array([label for _, label in sample])
-    if set(labels.tolist()) != {0, 1}:
-        raise ValueError("both labels are needed")
-    pieces = [chunks(text.encode("utf-8", "surrogatepass")) for text, _ in sample]
-    counts = np.bincount(labels)
-    importance = np.where(labels == 1, good_share / counts[1], (1 - good_share) / counts[0]) * len(sample)
-
+    labels = np.array([label for _, label in sample], dtype=np.int64)
     draw = np.random.default_rng(SEED)
     vectors = draw.normal(0, 0.5, (256, VECTOR)).astype(np.float32)
     filters = draw.normal(0, 0.3, (WIDTH, VECTOR, FILTERS)).astype(np.float32)
     filter_bias = np.zeros(FILTERS, dtype=np.float32)
     weights = draw.normal(0, 0.1, 2 * FILTERS).astype(np.float32)
+    if set(labels.tolist()) != {0, 1}:
+        return Model(np.zeros((WIDTH, 256, FILTERS), dtype=np.float32), filter_bias, 0 * weights, log_odds(unlearned(sample)))
+    pieces = [chunks(text.encode("utf-8", "surrogatepass")) for text, _ in sample]
+    counts = np.bincount(labels)
+    importance = np.where(labels == 1, good_share / counts[1], (1 - good_share) / counts[0]) * len(sample)
     bias = np.array([np.log(good_share / (1 - good_share))], dtype=np.float32)
     adam = Adam(vectors, filters, filter_bias, weights, bias)
 
@@ -114,43 +158,11 @@ def fit(sample: list[tuple[str, int]], good_share: float, epochs: int = EPOCHS)
             batch = order[start : start + BATCH]
             rows = np.concatenate([pieces[at] for at in batch])
             sizes = np.array([len(pieces[at]) for at in batch])
-            owner = np.repeat(np.arange(len(batch)), sizes)
-            firsts = np.cumsum(sizes) - sizes
-            tables = np.einsum("bv,kvf->kbf", vectors, filters)
-
-            best = np.empty((len(rows), FILTERS), dtype=np.float32)
-            place = np.empty((len(rows), FILTERS), dtype=np.int64)
-            for at in range(0, len(rows), BLOCK_CHUNKS):
-                found = responses(tables, rows[at : at + BLOCK_CHUNKS])
-                place[at : at + BLOCK_CHUNKS] = found.argmax(axis=1)
-                best[at : at + BLOCK_CHUNKS] = found.max(axis=1)
-            open_ = best + filter_bias > 0
-            best = np.maximum(best + filter_bias, 0)
-            most = np.maximum.reduceat(best, firsts, axis=0)
-            mean = np.add.reduceat(best, firsts, axis=0) / sizes[:, None]
-            seen = np.concatenate((most, mean), axis=1)
-            margin = seen @ weights + bias
-            miss = (1 / (1 + np.exp(-np.clip(margin, -30, 30))) - labels[batch]) * importance[batch] / len(batch)
-            miss = miss.astype(np.float32)
-
-            to_seen = miss[:, None] * weights
-            to_best = to_seen[owner, FILTERS:] / sizes[owner, None]
-            to_best += to_seen[owner, :FILTERS] * (best == most[owner])
-            to_best *= open_
-            # Windows that won: (chunk, filter) pairs, their bytes by place in the window.
-            chunk, which = np.nonzero(to_best)
-            slope = to_best[chunk, which]
-            bytes_of = rows[chunk[:, None], place[chunk, which][:, None] + np.arange(WIDTH)]
-            to_tables = np.zeros((WIDTH, 256 * FILTERS), dtype=np.float32)
-            for k in range(WIDTH):
-                to_tables[k] = np.bincount(bytes_of[:, k].astype(np.int64) * FILTERS + which, weights=slope, minlength=256 * FILTERS)
-            to_tables = to_tables.reshape(WIDTH, 256, FILTERS)
-            to_vectors = np.einsum("kbf,kvf->bv", to_tables, filters) + DECAY * vectors
-            to_filters = np.einsum("kbf,bv->kvf", to_tables, vectors) + DECAY * filters
-            adam.step(
-                [to_vectors, to_filters, to_best.sum(axis=0), seen.T @ miss + DECAY * weights, miss.sum(keepdims=True)],
-                RATE * (1 - 0.9 * epoch / epochs),
+            _, slopes = loss_and_slopes(
+                vectors, filters, filter_bias, weights, bias, rows, sizes, labels[batch], importance[batch]
             )
+            decay = [DECAY * vectors, DECAY * filters, 0, DECAY * weights, 0]
+            adam.step([slope + more for slope, more in zip(slopes, decay)], RATE * (1 - 0.9 * epoch / epochs))
     return Model(np.ascontiguousarray(np.einsum("bv,kvf->kbf", vectors, filters)), filter_bias, weights, float(bias[0]))
 
 

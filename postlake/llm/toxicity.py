@@ -2,8 +2,10 @@
 
 A word is the mean of the vectors of its character n-grams (3 to 5, with marks at both ends) and of the word itself, hashed
 into one table; so a misspelling shares most vectors with the word it comes from. A window of three words is the mean of its
-words, a linear softmax turns it into the log-odds of being toxic, and a document is as toxic as its most toxic window. In
-training, too, a document counts by its most toxic windows, first by many of them, at last by one; embeddings and softmax are trained together by Adam, which lets entries with small slopes move little.
+words, a linear softmax turns it into the log-odds of being toxic, and a document is as toxic as its most toxic window. Every
+place starts a window, so a phrase counts the same wherever it stands; training cuts the documents at another place in each
+step. In training, too, a document counts by its most toxic windows, first by many of them, at last by one; embeddings and
+softmax are trained together by Adam, which lets entries with small slopes move little.
 
 The softmax of a mean is the mean of the softmax inputs, so a fitted model is one number for each n-gram, and scoring needs
 no embeddings. The model has a fixed size and is broadcast. Scoring runs over Arrow batches, without a shuffle.
@@ -12,8 +14,9 @@ The labelled sample is bounded: PER_CLASS documents of each label, of SAMPLE_CHA
 scored over its whole text.
 
 Defined results: null and empty texts have no window and get the log-odds of the bias alone; upper and lower case are not
-distinguished; equal texts get equal scores; a table without labels of both kinds raises; an empty table gives no scores.
-Only id and text are read, so other columns can't clash.
+distinguished; equal texts get equal scores; without examples of both labels nothing is learned, and every text gets the score
+of `unlearned`, 0 if no example is toxic; an empty table gives no scores. Only id and text are read, so other columns can't
+clash.
 """
 
 from __future__ import annotations
@@ -78,9 +81,13 @@ def subwords(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def window_means(values: np.ndarray) -> np.ndarray:
-    """Means of consecutive windows; the last one may be shorter."""
-    starts = np.arange(0, len(values), WINDOW)
-    return np.add.reduceat(values, starts) / np.minimum(WINDOW, len(values) - starts)
+    """Means of WINDOW values from each place on; of fewer values there is one mean."""
+    if len(values) < WINDOW:
+        return values.mean(keepdims=True)
+    total = values[: len(values) - WINDOW + 1].copy()
+    for at in range(1, WINDOW):
+        total += values[at : at + len(total)]
+    return total / WINDOW
 
 
 @dataclass
@@ -117,15 +124,102 @@ class Adam:
             value -= (rate * (first / (1 - 0.9**self.steps)) / scale).astype(value.dtype)
 
 
+@dataclass
+class Vocabulary:
+    """The words of the sample and the table entries that each of them has, ordered by word and by entry."""
+
+    words: int
+    sizes: np.ndarray  # entries of a word, learned or not
+    owner: np.ndarray
+    bucket: np.ndarray
+
+    def __post_init__(self):
+        self.learned, self.word_starts = np.unique(self.owner, return_index=True)
+        self.by_bucket = np.argsort(self.bucket, kind="stable")
+        self.used, self.bucket_starts = np.unique(self.bucket[self.by_bucket], return_index=True)
+
+    def vectors(self, table: np.ndarray) -> np.ndarray:
+        """One row per word, the mean of its entries, and a row of zeros that stands for padding."""
+        out = np.zeros((self.words + 1, table.shape[1]), dtype=table.dtype)
+        if len(self.learned):
+            sums = np.add.reduceat(table[self.bucket], self.word_starts, axis=0)
+            out[self.learned] = sums / self.sizes[self.learned, None]
+        return out
+
+    def to_table(self, to_vectors: np.ndarray, entries: int) -> np.ndarray:
+        """The slope of the table, from that of the vectors."""
+        out = np.zeros((entries, to_vectors.shape[1]), dtype=to_vectors.dtype)
+        if len(self.used):
+            to_pair = to_vectors[:-1] / self.sizes[:, None]
+            out[self.used] = np.add.reduceat(to_pair[self.owner[self.by_bucket]], self.bucket_starts, axis=0)
+        return out
+
+
+@dataclass
+class Layout:
+    """Training documents cut into windows from an offset on: a row of word numbers each, padded at both ends."""
+
+    windows: np.ndarray
+    filled: np.ndarray
+    label: np.ndarray
+    groups: list[np.ndarray]  # the windows of each document
+
+
+def lay_out(documents: list[tuple[np.ndarray, int]], padding: int, offset: int) -> Layout:
+    windows, label, groups, rows = [], [], [], 0
+    for numbers, y in documents:
+        size = -(-(len(numbers) + offset) // WINDOW) * WINDOW
+        padded = np.full(size, padding)
+        padded[offset : offset + len(numbers)] = numbers
+        windows.append(padded.reshape(-1, WINDOW))
+        groups.append(np.arange(rows, rows + len(windows[-1])))
+        rows += len(windows[-1])
+        label += [y] * len(windows[-1])
+    whole = np.concatenate(windows)
+    return Layout(whole, (whole != padding).sum(axis=1), np.array(label), groups)
+
+
+def loss_and_slopes(
+    table: np.ndarray, weights: np.ndarray, bias: np.ndarray, words: Vocabulary, windows: np.ndarray, filled: np.ndarray,
+    label: np.ndarray, weight: np.ndarray,
+) -> tuple[float, list[np.ndarray]]:
+    """Weighted softmax cross-entropy of some windows, and its slopes in table, weights and bias."""
+    vectors = words.vectors(table)
+    means = vectors[windows].sum(axis=1) / filled[:, None].astype(table.dtype)
+    logits = means @ weights + bias
+    odds = np.clip(logits[:, 1] - logits[:, 0], -30, 30)
+    loss = float((weight * np.logaddexp(0, np.where(label == 1, -odds, odds))).sum())
+    # For two classes the slope in the logits is (p - y) in one column and its negative in the other.
+    miss = ((1 / (1 + np.exp(-odds)) - label) * weight).astype(table.dtype)
+    slope = np.stack((-miss, miss), axis=1)
+    to_mean = (slope @ weights.T) / filled[:, None].astype(table.dtype)
+    to_vectors = np.empty_like(vectors)
+    flat = windows.ravel()
+    for d in range(table.shape[1]):
+        to_vectors[:, d] = np.bincount(flat, weights=np.repeat(to_mean[:, d], WINDOW), minlength=len(vectors))
+    return loss, [words.to_table(to_vectors, len(table)), means.T @ slope, slope.sum(axis=0)]
+
+
+def unlearned(sample: list[tuple[str, int]]) -> float:
+    """The score where both labels were not seen: the share of label 1, with one example of label 0 more."""
+    return sum(label for _, label in sample) / (len(sample) + 1)
+
+
+def log_odds(share: float) -> float:
+    return float(np.log(max(share, 1e-13) / max(1 - share, 1e-13)))
+
+
 def fit(sample: list[tuple[str, int]], steps: int = STEPS) -> Model:
     """Train on whole documents; every fifth one is kept for the cut."""
     if {label for _, label in sample} != {0, 1}:
-        raise ValueError("both labels are needed")
+        return Model(np.zeros(BUCKETS, dtype=np.float32), log_odds(unlearned(sample)), 0.0)
     known: dict[str, int] = {}
     documents = [(np.array([known.setdefault(w.lower(), len(known)) for w in split_words(text)]), y) for text, y in sample]
     documents = [(numbers, label) for numbers, label in documents if len(numbers)]
-    trained = [document for at, document in enumerate(documents) if at % 5]
+    trained = [document for at, document in enumerate(documents) if at % 5] or documents
     held = [document for at, document in enumerate(documents) if at % 5 == 0]
+    if {label for _, label in trained} != {0, 1}:
+        return Model(np.zeros(BUCKETS, dtype=np.float32), log_odds(unlearned(sample)), 0.0)
 
     owner, bucket = subwords(list(known))
     order = np.argsort(owner, kind="stable")
@@ -133,61 +227,35 @@ def fit(sample: list[tuple[str, int]], steps: int = STEPS) -> Model:
     sizes = np.bincount(owner, minlength=len(known)).astype(np.float32)
     spread = np.bincount(np.concatenate([np.unique(numbers) for numbers, _ in trained]), minlength=len(known))
     supported = np.bincount(bucket, weights=spread[owner], minlength=BUCKETS) >= SUPPORT
-    owner, bucket = owner[supported[bucket]], bucket[supported[bucket]]
-    learned, word_starts = np.unique(owner, return_index=True)
-    by_bucket = np.argsort(bucket, kind="stable")
-    used, bucket_starts = np.unique(bucket[by_bucket], return_index=True)
-
-    # One row per window of words; number len(known) is padding.
-    windows, own, label = [], [], []
-    for at, (numbers, y) in enumerate(trained):
-        padded = np.full(-(-len(numbers) // WINDOW) * WINDOW, len(known))
-        padded[: len(numbers)] = numbers
-        windows.append(padded.reshape(-1, WINDOW))
-        own += [at] * len(windows[-1])
-        label += [y] * len(windows[-1])
-    windows, own, label = np.concatenate(windows), np.array(own), np.array(label)
-    filled = (windows < len(known)).sum(axis=1).astype(np.float32)
-    first_of = np.flatnonzero(np.concatenate(([True], own[1:] != own[:-1])))
-    groups = [np.arange(a, b) for a, b in zip(first_of, [*first_of[1:], len(own)])]
-    per_label = np.bincount(label[first_of], minlength=2)
+    words = Vocabulary(len(known), sizes, owner[supported[bucket]], bucket[supported[bucket]])
+    layouts = [lay_out(trained, len(known), offset) for offset in range(WINDOW)]
+    per_label = np.bincount([label for _, label in trained], minlength=2)
 
     draw = np.random.default_rng(SEED)
     table = draw.normal(0, 0.01, (BUCKETS, DIMENSIONS)).astype(np.float32) * supported[:, None]
     weights = draw.normal(0, 0.5, (DIMENSIONS, 2)).astype(np.float32)
     bias = np.zeros(2, dtype=np.float32)
     descent = Adam(table, weights, bias)
-    vectors = np.zeros((len(known) + 1, DIMENSIONS), dtype=np.float32)
 
     for step in range(steps):
-        vectors[learned] = np.add.reduceat(table[bucket], word_starts, axis=0) / sizes[learned, None]
-        means = vectors[windows].sum(axis=1) / filled[:, None]
-        logits = means @ weights + bias
+        laid = layouts[step % WINDOW]
+        vectors = words.vectors(table)
+        logits = (vectors @ weights)[laid.windows].sum(axis=1) / laid.filled[:, None]
         odds = logits[:, 1] - logits[:, 0]
         # A document is judged by its most toxic windows, of either label: a share of them that shrinks to a single one.
         share = max(0.0, 0.5 - step / (steps / 2))
-        chosen = [group[np.argsort(-odds[group])[: max(1, int(share * len(group)))]] for group in groups]
+        chosen = [group[np.argsort(-odds[group])[: max(1, int(share * len(group)))]] for group in laid.groups]
         rows = np.concatenate(chosen)
-        weight = np.concatenate([np.full(len(x), 1 / (2 * per_label[label[x[0]]] * len(x)), dtype=np.float32) for x in chosen])
-        # Softmax cross-entropy; for two classes its slope in the logits is (p - y) in one column and its negative in the other.
-        toxic = 1 / (1 + np.exp(-np.clip(odds[rows], -30, 30)))
-        miss = ((toxic - label[rows]) * weight).astype(np.float32)
-        slope = np.stack((-miss, miss), axis=1)
-        to_mean = (slope @ weights.T) / filled[rows][:, None]
-        to_vector = np.empty_like(vectors)
-        flat = windows[rows].ravel()
-        for d in range(DIMENSIONS):
-            to_vector[:, d] = np.bincount(flat, weights=np.repeat(to_mean[:, d], WINDOW), minlength=len(known) + 1)
-        to_pair = to_vector[:-1] / sizes[:, None]
-        to_table = np.zeros_like(table)
-        to_table[used] = np.add.reduceat(to_pair[owner[by_bucket]], bucket_starts, axis=0)
-        rate = RATE * (1 - step / steps)
-        descent.step([to_table, means[rows].T @ slope, slope.sum(axis=0)], rate)
+        weight = np.concatenate([np.full(len(x), 1 / (2 * per_label[laid.label[x[0]]] * len(x))) for x in chosen])
+        _, slopes = loss_and_slopes(
+            table, weights, bias, words, laid.windows[rows], laid.filled[rows], laid.label[rows], weight.astype(np.float32)
+        )
+        descent.step(slopes, RATE * (1 - step / steps))
 
     model = Model((table @ (weights[:, 1] - weights[:, 0])).astype(np.float32), float(bias[1] - bias[0]), 0.0)
     every = model.word_odds(list(known))
-    margins = np.array([model.margin(every[numbers]) for numbers, _ in held or trained])
-    truth = np.array([y for _, y in held or trained])
+    margins = np.array([model.margin(every[numbers]) for numbers, _ in held])
+    truth = np.array([y for _, y in held])
     model.cut = best_cut(margins, truth)
     return model
 
