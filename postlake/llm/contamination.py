@@ -3,8 +3,9 @@
 A benchmark item is cut, word by word, into windows of the largest window size of a fixed ladder that still lets one of a
 document's windows fall wholly inside a copy of the item; the document's windows start at every `stride(size)`-th word. So an
 unchanged copy, wherever it starts, has a window whose fingerprint equals one of the item's. Each window has a 64-bit SimHash of
-its words. For changed copies, fingerprints within `RADIUS` bits are searched: split into RADIUS + 1 blocks, two such
-fingerprints agree in at least one block, so looking up every block finds all of them. A candidate names an item and the
+its words. For changed copies, fingerprints within `RADIUS` bits are searched: of the `PARTS` parts of two such fingerprints at
+least one differs by no more than RADIUS // PARTS = 1 bit, and the index holds each part with all its neighbours at that
+distance, so looking up every part finds all of them. A candidate names an item and the
 place where its copy would start. There, the five-word shingles of the item are looked up in the document around that
 place, and the item counts as found if those present hold at least `LEAST_SIMILARITY` of the weight of all. A shingle weighs
 ln(1 + items / items that hold it), so wording that many items share proves less. Shingles are looked up as 64-bit hashes; what
@@ -27,6 +28,7 @@ import math
 import re
 from collections import defaultdict
 from collections.abc import Callable, Iterable, Iterator, Mapping
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -42,15 +44,19 @@ from postlake.session import checkpointed, shared_folder
 
 BITS = 64
 RADIUS = 7
+PARTS = 4  # RADIUS // PARTS is 1
+PART_BITS = BITS // PARTS
+PAIRS = 1 << 18  # of fingerprints compared at a time
 SHINGLE = 5
 LEAST_SIMILARITY = 0.8
 STEP = 4  # words between the starts of the smallest windows
 LADDER = (4, 8, 12, 16, 24, 32, 48, 64, 96)  # window sizes in words, multiples of STEP; sums fit a signed byte
-BLOCK_CHARS = 2_000_000
-PORTION_CHARS = 400_000  # of text that a task works on at a time
-CACHED_WORDS = 100_000
+BLOCK_CHARS = 500_000
+PORTION_CHARS = 200_000  # of text that a task works on at a time
+CACHED_WORDS = 150_000
 
 EDGES = re.compile(r"^\W+|\W+$")
+PLAIN_EDGES = "!\"#$%&'()*+,-./:;<=>?@[\\]^`{|}~"  # what EDGES strips of ASCII, and faster
 
 
 def stride(size: int) -> int:
@@ -64,8 +70,13 @@ def window_size(n_words: int) -> int | None:
 
 
 def comparable(word: str) -> str:
-    lower = word.lower()
-    return lower if lower.isalnum() else EDGES.sub("", lower) or word
+    return stripped(word.lower())
+
+
+def stripped(lower: str) -> str:
+    """A word in lower case without punctuation at its ends, unless it is nothing else."""
+    plain = lower.strip(PLAIN_EDGES)
+    return plain if plain.isalnum() else EDGES.sub("", lower) or lower
 
 
 def shingles(words: list[str]) -> list[tuple[str, ...]]:
@@ -76,7 +87,7 @@ def shingles(words: list[str]) -> list[tuple[str, ...]]:
 
 def word_hashes(words: list[str]) -> np.ndarray:
     """64-bit hashes of words as they are compared."""
-    return np.array([xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass")) for word in words], dtype="<u8")
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), dtype="<u8", count=len(words))
 
 
 def shingle_hashes(hashes: np.ndarray) -> np.ndarray:
@@ -90,7 +101,7 @@ def shingle_hashes(hashes: np.ndarray) -> np.ndarray:
 
 
 class Words:
-    """Numbers of words, and for each number its hash and the hash's 64 signs; number 0 stands for no word."""
+    """Numbers of lower-case words, and for each number its hash and the hash's 64 signs; number 0 stands for no word."""
 
     def __init__(self):
         self.clear()
@@ -100,41 +111,44 @@ class Words:
         self.signs = np.zeros((1024, BITS), dtype=np.int8)
         self.hashes = np.zeros(1024, dtype=np.uint64)
 
-    def __call__(self, words: list[str]) -> list[int]:
+    def __call__(self, words: list[str]) -> np.ndarray:
         known = self.numbers
-        numbers = list(map(known.get, words))
-        if None in numbers:
-            new = list(dict.fromkeys(word for word, number in zip(words, numbers) if number is None))
-            hashes = word_hashes([comparable(word) for word in new])
+        new = list(set(words).difference(known))
+        if new:
+            hashes = word_hashes(list(map(stripped, new)))
             first, last = len(known) + 1, len(known) + 1 + len(new)
             while last > len(self.signs):
                 self.signs = np.concatenate((self.signs, np.zeros_like(self.signs)))
                 self.hashes = np.concatenate((self.hashes, np.zeros_like(self.hashes)))
-            bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1).astype(np.int8)
+            bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1).view(np.int8)
             self.signs[first:last] = 2 * bits - 1
             self.hashes[first:last] = hashes
             known.update(zip(new, range(first, last)))
-            numbers = list(map(known.get, words))
-        return numbers
+        return np.fromiter(map(known.__getitem__, words), dtype=np.int64, count=len(words))
 
 
 def fingerprints(sums: np.ndarray) -> np.ndarray:
     return np.packbits(sums > 0, axis=1).view("<u8").ravel()
 
 
+def sums_of(made: dict[int, np.ndarray], units: int) -> np.ndarray:
+    """Sums over `units` steps from each step on, from those of its halves; `made` keeps what has been worked out."""
+    if units not in made:
+        half = units // 2
+        left, right = sums_of(made, units - half), sums_of(made, half)
+        n = max(len(made[1]) - units + 1, 0)
+        made[units] = left[:n] + right[units - half : units - half + n]
+    return made[units]
+
+
 def ladder_sums(steps: np.ndarray, sizes: Iterable[int]) -> dict[int, np.ndarray]:
     """Sums of signs of the windows of the given sizes, by the step that they start at; built from smaller windows."""
     made = {1: steps}
+    return {size: sums_of(made, size // STEP) for size in sizes}
 
-    def of(units: int) -> np.ndarray:
-        if units not in made:
-            half = units // 2
-            left, right = of(units - half), of(half)
-            n = max(len(steps) - units + 1, 0)
-            made[units] = left[:n] + right[units - half : units - half + n]
-        return made[units]
 
-    return {size: of(size // STEP) for size in sizes}
+def part_of(marks: np.ndarray, part: int) -> np.ndarray:
+    return ((marks >> np.uint64(part * PART_BITS)) & np.uint64((1 << PART_BITS) - 1)).astype(np.int64)
 
 
 WINDOWS = np.dtype([("mark", "<u8"), ("item", "<i4"), ("start", "<i4")])
@@ -150,8 +164,8 @@ class Index:
         windows: dict[int, list[np.ndarray]] = defaultdict(list)
         owned = []
         for item_id, text in items:
-            raw = split_words(text)
-            plain = [comparable(word) for word in raw]
+            raw = split_words(text.lower())
+            plain = [stripped(word) for word in raw]
             if not plain:
                 continue
             at = len(self.item_ids)
@@ -174,35 +188,42 @@ class Index:
         self.shingles = np.concatenate([np.zeros(0, dtype=np.uint64), *owned])
         self.weights = np.array([weights[shingle] for shingle in self.shingles.tolist()], dtype=np.float64)
         self.windows = {size: np.concatenate(parts) for size, parts in windows.items()}
-        bounds = np.linspace(0, BITS, RADIUS + 2).astype(int)
-        self.blocks = [(int(a), (1 << int(b - a)) - 1) for a, b in zip(bounds, bounds[1:])]
         self.tables = {}
+        flips = np.array([0, *(1 << bit for bit in range(PART_BITS))], dtype=np.int64)
         for size, own in self.windows.items():
             marks = np.ascontiguousarray(own["mark"])
             lookups = []
-            for shift, mask in self.blocks:
-                keys = ((marks >> np.uint64(shift)) & np.uint64(mask)).astype(np.int64)
-                order = np.argsort(keys, kind="stable").astype(np.int32)
-                ends = np.cumsum(np.bincount(keys, minlength=mask + 1))
-                lookups.append((order, np.concatenate(([0], ends))))
+            for part in range(PARTS):
+                keys = (part_of(marks, part)[:, None] ^ flips[None, :]).ravel()
+                number = (np.argsort(keys, kind="stable") // len(flips)).astype(np.int32)
+                ends = np.cumsum(np.bincount(keys, minlength=1 << PART_BITS))
+                lookups.append((number, np.concatenate(([0], ends)).astype(np.int32)))
             self.tables[size] = (marks, lookups)
 
     def near(self, size: int, marks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All pairs (position in `marks`, number of an item's window) within the radius."""
         own, lookups = self.tables[size]
         places, numbers = [], []
-        for (shift, mask), (order, ends) in zip(self.blocks, lookups):
-            keys = ((marks >> np.uint64(shift)) & np.uint64(mask)).astype(np.int64)
+        for part, (number_at, ends) in enumerate(lookups):
+            keys = part_of(marks, part)
             first = ends[keys]
             counts = ends[keys + 1] - first
-            at = np.flatnonzero(counts)
-            counts = counts[at]
-            place = np.repeat(at, counts)
-            inside = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
-            number = order[np.repeat(first[at], counts) + inside]
-            close = np.bitwise_count(marks[place] ^ own[number]) <= RADIUS
-            places.append(place[close])
-            numbers.append(number[close])
+            some = np.flatnonzero(counts)
+            totals = np.cumsum(counts[some], dtype=np.int64)
+            begin = 0
+            while begin < len(some):
+                done = totals[begin - 1] if begin else 0
+                end = max(begin + 1, int(np.searchsorted(totals, done + PAIRS, side="right")))
+                at, count = some[begin:end], counts[some[begin:end]]
+                inside = np.arange(totals[end - 1] - done) - np.repeat(totals[begin:end] - count - done, count)
+                place = np.repeat(at, count)
+                number = number_at[first[place] + inside]
+                close = np.bitwise_count(marks[place] ^ own[number]) <= RADIUS
+                places.append(place[close])
+                numbers.append(number[close])
+                begin = end
+        if not places:
+            return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
         return np.concatenate(places), np.concatenate(numbers)
 
     def similarity(self, item: int, there: np.ndarray, words: list[str]) -> float:
@@ -211,29 +232,32 @@ class Index:
         part = slice(self.ends[item], self.ends[item + 1])
         own, weights = self.shingles[part], self.weights[part]
         total = weights.sum()
-        share = weights[np.isin(own, there)].sum() / total
+        place = np.minimum(np.searchsorted(own, there), len(own) - 1)
+        held = np.zeros(len(own), dtype=bool)
+        held[place[own[place] == there]] = True
+        share = weights[held].sum() / total
         if share < LEAST_SIMILARITY:
             return float(share)
         plain = self.texts[item].split(" ")
         weight_of = dict(zip(shingles(plain), weights[np.searchsorted(own, shingle_hashes(word_hashes(plain)))]))
-        held = set(shingles([comparable(word) for word in words]))
-        return float(sum(weight for shingle, weight in weight_of.items() if shingle in held) / total)
+        shown = set(shingles([stripped(word) for word in words]))
+        return float(sum(weight for shingle, weight in weight_of.items() if shingle in shown) / total)
 
 
 def find(index: Index, words: Words, texts: list[list[str]]) -> list[dict[int, float]]:
-    """For each text, given as words, the items found and their similarity."""
+    """For each text, given as its words in lower case, the items found and their similarity."""
     found: list[dict[int, float]] = [{} for _ in texts]
-    numbers, owner, first = [], [], []
-    for at, own in enumerate(texts):
-        first.append(len(numbers) // STEP)
-        numbers += words(own)
-        numbers += [0] * (-len(numbers) % (2 * STEP))  # every text starts on the coarser grid, so its windows are its own
-        owner += [at] * (len(numbers) // STEP - first[-1])
-    if not numbers:
+    sizes = np.array([len(own) for own in texts], dtype=np.int64)
+    # Every text starts on the coarser grid, so its windows are its own; 0 fills up the rest.
+    steps_of = -(-sizes // (2 * STEP)) * 2
+    first_of = np.cumsum(steps_of) - steps_of
+    if not steps_of.sum():
         return found
-    number_of = np.array(numbers, dtype=np.int64)
+    owner_of = np.repeat(np.arange(len(texts)), steps_of)
+    number_of = np.zeros(int(steps_of.sum()) * STEP, dtype=np.int64)
+    inside = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    number_of[np.repeat(first_of * STEP, sizes) + inside] = words(list(chain.from_iterable(texts)))
     steps = words.signs[number_of].reshape(-1, STEP, BITS).sum(axis=1, dtype=np.int8)
-    owner_of, first_of = np.array(owner, dtype=np.int64), np.array(first, dtype=np.int64)
     sums = ladder_sums(steps, index.tables)
     rolled = None
     for size in index.tables:
@@ -254,13 +278,13 @@ def find(index: Index, words: Words, texts: list[list[str]]) -> list[dict[int, f
                 n_words = int(index.lengths[item])
                 slack = max(2, n_words // 8)
                 low, high = max(0, start - slack), min(len(texts[at]), start + n_words + slack)
-                base = first[at] * STEP
+                base = int(first_of[at]) * STEP
                 share = index.similarity(item, rolled[base + low : base + max(low, high - SHINGLE + 1)], texts[at][low:high])
                 if share >= LEAST_SIMILARITY:
                     found[at][item] = max(share, found[at].get(item, 0.0))
     if index.short:
         for at, own in enumerate(texts):
-            own = [comparable(word) for word in own]
+            own = [stripped(word) for word in own]
             for place, word in enumerate(own):
                 for item, whole in index.short.get(word, ()):
                     if tuple(own[place : place + len(whole)]) == whole:
@@ -320,7 +344,7 @@ class Searcher:
         for texts in portions(column, PORTION_CHARS):
             if len(self.words.numbers) > CACHED_WORDS:
                 self.words.clear()
-            yield from find(self.index, self.words, [split_words(text) for text in texts])
+            yield from find(self.index, self.words, [split_words((text or "").lower()) for text in texts])
 
 
 def block_by_block(
