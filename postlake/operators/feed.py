@@ -21,7 +21,7 @@ SOURCES = ("postgres", "trino")
 SORT_COLUMNS = ("created_utc", "score", "num_comments")
 DEFAULT_SORT = "created_utc"
 DEFAULT_LIMIT, MAX_LIMIT = 25, 100
-ID_PREFIX = 3  # ids of one sort value are told apart by their first characters before they are ordered
+ID_PREFIXES = (3, 6, 12, 24)  # characters by which ids of one sort value are told apart, as far as there are too many to order
 
 
 def union_all(tables: Sequence[DataFrame]) -> DataFrame:
@@ -81,7 +81,7 @@ def matching_posts(posts, subreddits, subreddit=None, search=None, wildcards=Fal
 
 
 def page_levels(sort: str, order: str, raw: bool) -> list[tuple[Column, str]]:
-    """What coarsens the feed's order: hour and time, or the number, then the start of the id."""
+    """What coarsens the feed's order: hour and time, or the number, then ever longer starts of the id."""
     name = sort if sort in SORT_COLUMNS else DEFAULT_SORT
     descending = order.lower() == "desc"
     direction = "desc_nulls_last" if descending else "asc_nulls_first" if raw else "asc_nulls_last"
@@ -90,7 +90,7 @@ def page_levels(sort: str, order: str, raw: bool) -> list[tuple[Column, str]]:
     else:
         values = [F.coalesce(F.col(name), F.lit(0)) if raw else F.col(name)]
     levels = [(value, direction) for value in values]
-    return [*levels, (F.substring("post_id", 1, ID_PREFIX), "asc_nulls_last")]
+    return [*levels, *((F.substring("post_id", 1, length), "asc_nulls_last") for length in ID_PREFIXES)]
 
 
 def stored_bound(value: Column, kind: DataType, margin: int) -> Column:
@@ -112,12 +112,13 @@ def ranked_page(
     """
     full = refine(rows)
     if not arrival:
-        return page(dedup_posts(full) if raw else full, levels, order, offset, limit)
+        return page(checkpointed(dedup_posts(full)) if raw else full, levels, order, offset, limit)
     name = sort if sort in SORT_COLUMNS else DEFAULT_SORT
     locator = list(dict.fromkeys(["subreddit", "post_id", arrival]))
     needed = dict.fromkeys([*locator, name, *(["score"] if raw else [])])
     narrow = full.select(*needed)
-    chosen = page(dedup_posts(narrow, arrival=arrival) if raw else narrow, levels, order, offset, limit)
+    # Raw rows are deduplicated once; clean ones are read by each level straight from the table.
+    chosen = page(checkpointed(dedup_posts(narrow, arrival=arrival)) if raw else narrow, levels, order, offset, limit)
     wanted = checkpointed(chosen.select(*[F.col(column).alias(f"_{column}") for column in {*locator, name}]))
     # Two separate lookups: Spark would merge a minimum and a maximum into one, which the scan cannot prune by.
     values = wanted.filter(F.col(f"_{name}").isNotNull())

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from postlake.operators import feed
+from postlake.operators import cursor, feed, search_index
 from postlake.plans import fixtures
 from postlake.plans.registry import check
+from postlake.session import shared_folder
 
 FEED = """
 post_id, title, author, score, num_comments,
@@ -187,3 +188,52 @@ def feed_page_of_epochs(spark, folder):
     """A raw table whose times are epoch seconds."""
     raw = fixtures.raw_posts(spark, folder)
     return feed.feed_page(raw, fixtures.COMMUNITIES, source="trino", arrival="event_id")
+
+
+@check(
+    "feed_page_without_arrival",
+    f"""
+    SELECT {FEED} FROM {CLEAN}
+    ORDER BY score DESC NULLS LAST, post_id, title, author, num_comments, clean.created_utc, url, selftext, subreddit
+    LIMIT 40 OFFSET 300
+    """,
+)
+def feed_page_without_arrival(spark, folder):
+    """Rows without an arrival number: ties are decided by the columns, in their order."""
+    return feed.feed_page(*tables(spark, folder), limit=40, offset=300, sort="score")
+
+
+@check(
+    "feed_search_indexed",
+    f"SELECT event_id, title, author, subreddit FROM posts WHERE {SEARCH.format(text='post 12')}",
+)
+def feed_search_indexed(spark, folder):
+    """The index is built over all posts and answers the search."""
+    posts, path = fixtures.posts(spark, folder), shared_folder(spark, "search")
+    search_index.build_index(posts, path, "event_id")
+    found = search_index.search_indexed(posts, path, "POST 12", "event_id")
+    return found.select("event_id", "title", "author", "subreddit")
+
+
+@check(
+    "feed_cursor_walk",
+    f"""
+    SELECT {FEED}, CAST((n - 1) // 50 AS INTEGER) AS page FROM (
+      SELECT *, row_number() OVER (ORDER BY clean.created_utc DESC NULLS LAST, post_id, event_id) AS n
+      FROM {CLEAN} WHERE subreddit = 'error' AND {SEARCH.format(text="post 1")}
+    ) AS clean WHERE n <= 300
+    """,
+)
+def feed_cursor_walk(spark, folder):
+    """Six pages in a row, each found by the cursor of the last row before it."""
+    posts, communities = tables(spark, folder)
+    pages, last = [], None
+    for number in range(6):
+        request = {"arrival": "event_id", "limit": 50, "subreddit": "error", "search": "POST 1"}
+        rows = cursor.page_after(posts, communities, last, **request)
+        fetched = rows.collect()
+        if not fetched:
+            break
+        last = fetched[-1][cursor.PLACE]
+        pages.append(rows.drop(cursor.PLACE).withColumn("page", F.lit(number)))
+    return feed.union_all(pages)

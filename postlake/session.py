@@ -19,6 +19,7 @@ SESSION_SETTINGS = {
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.scheduler.mode": "FAIR",
 }

@@ -133,21 +133,22 @@ def append_per_community(
 
 
 def dedup_within_watermark(
-    posts: DataFrame, keys: Sequence[str], event_time: str, delay: str, parts: int = 32
+    posts: DataFrame, keys: Sequence[str], event_time: str, delay: str, parts: int = 1
 ) -> DataFrame:
     """The first arrival per key and span of event time; spans are `delay` long and aligned to the epoch.
 
     State is kept until the watermark is `delay` past the first row, when every other row of its span is late and dropped
-    anyway. A repeat in another span passes and is removed by the batch deduplication. Rows are first deduplicated in
-    `parts` by a hash of the whole row, so the task that owns a key sees at most one row per part and span, however
-    frequent the key. Since a span ends at the same time in every part, the number of parts changes which of several equal
-    first arrivals stays, but never how many.
+    anyway. A repeat in another span passes and is removed by the batch deduplication. Where a key may hold a large share of
+    a micro-batch, set `parts`: rows are then first deduplicated in so many parts by a hash of the whole row, in a state of
+    their own, so the task that owns the key sees at most one row per part and span. Since a span ends at the same time in
+    every part, the number of parts changes which of several equal first arrivals stays, but never how many.
     """
     timed = posts.withWatermark(event_time, delay).withColumn("_window", F.window(event_time, delay))
     timed = timed.withColumn("_span", F.unix_micros("_window.start")).drop("_window")
-    parted = timed.withColumn("_part", F.pmod(F.xxhash64(*posts.columns), F.lit(parts)))
-    first = parted.dropDuplicatesWithinWatermark([*keys, "_span", "_part"]).drop("_part")
-    return first.dropDuplicatesWithinWatermark([*keys, "_span"]).drop("_span")
+    if parts > 1:
+        parted = timed.withColumn("_part", F.pmod(F.xxhash64(*posts.columns), F.lit(parts)))
+        timed = parted.dropDuplicatesWithinWatermark([*keys, "_span", "_part"]).drop("_part")
+    return timed.dropDuplicatesWithinWatermark([*keys, "_span"]).drop("_span")
 
 
 def daily_counts(posts: DataFrame, event_time: str, delay: str) -> DataFrame:
