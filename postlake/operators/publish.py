@@ -13,7 +13,7 @@ from postlake.operators.maintenance import drop_folder, replace_table
 from postlake.operators.matching import keep_existing, skip_existing
 from postlake.schema import SERVING_COLUMNS, SERVING_TYPES
 from postlake.session import shared_folder
-from postlake.sources.tables import read_if_present, read_jdbc
+from postlake.sources.tables import read_if_present, read_jdbc, read_jdbc_keys, read_jdbc_split
 
 MODES = ("skip", "overwrite", "fail")
 
@@ -23,7 +23,8 @@ class ServingTable:
     """Where rows are published: a path for file formats, a `dbtable` option for `jdbc`.
 
     `exists=False` says that a database table is still to be created; file tables are looked up. `predicates` are
-    conditions that do not overlap and together cover a database table; each is read by a task of its own.
+    conditions on the key that do not overlap and together cover a database table; each is read by a task of its own.
+    Without them, `split_column` names a number, date or time by whose own bounds the table is read in parallel.
     """
 
     fmt: str = "parquet"
@@ -31,17 +32,26 @@ class ServingTable:
     options: dict[str, str] = field(default_factory=dict)
     exists: bool = True
     predicates: tuple[str, ...] = ()
+    split_column: str | None = None
+
+    def connection(self) -> dict[str, str]:
+        return {name: value for name, value in self.options.items() if name != "dbtable"}
 
     def read(self, spark: SparkSession) -> DataFrame | None:
         if self.fmt != "jdbc":
             return read_if_present(spark, self.path, self.fmt, **self.options)
         if not self.exists:
             return None
-        connection = {name: value for name, value in self.options.items() if name != "dbtable"}
-        return read_jdbc(spark, self.options["dbtable"], connection, self.predicates)
+        if self.split_column and not self.predicates:
+            return read_jdbc_split(spark, self.options["dbtable"], self.connection(), self.split_column)
+        return read_jdbc(spark, self.options["dbtable"], self.connection(), self.predicates)
 
     def keys(self, spark: SparkSession, key: str = "post_id") -> DataFrame | None:
-        """The published keys and nothing else; None if there is no table yet."""
+        """The published keys and nothing else; None if there is no table yet. A database makes them distinct itself."""
+        if self.fmt == "jdbc":
+            if not self.exists:
+                return None
+            return read_jdbc_keys(spark, self.options["dbtable"], key, self.connection(), self.predicates)
         table = self.read(spark)
         return None if table is None else table.select(key)
 

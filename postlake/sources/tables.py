@@ -73,3 +73,31 @@ def read_jdbc(
         properties = {k: v for k, v in connection.items() if k != "url"}
         return spark.read.jdbc(connection["url"], table, predicates=list(predicates), properties=properties)
     return spark.read.format("jdbc").options(**connection, dbtable=table).load()
+
+
+def distinct_keys_query(table: str, key: str) -> str:
+    """A table expression by which the database itself returns each key once."""
+    return f"(SELECT DISTINCT {key} FROM {table} WHERE {key} IS NOT NULL) known_keys"
+
+
+def read_jdbc_keys(
+    spark: SparkSession, table: str, key: str, connection: dict[str, str], predicates: Sequence[str] | None = None
+) -> DataFrame:
+    """The distinct keys of a database table, made distinct there. `predicates` are conditions on the key."""
+    return read_jdbc(spark, distinct_keys_query(table, key), connection, predicates)
+
+
+def jdbc_bounds(spark: SparkSession, table: str, column: str, connection: dict[str, str]) -> tuple[str, str] | None:
+    """The smallest and the largest value of a column, asked of the database; None if there is none."""
+    row = read_jdbc(spark, f"(SELECT MIN({column}) AS low, MAX({column}) AS high FROM {table}) bounds", connection).first()
+    return None if row is None or row["low"] is None else (str(row["low"]), str(row["high"]))
+
+
+def read_jdbc_split(spark: SparkSession, table: str, connection: dict[str, str], column: str, parts: int = 16) -> DataFrame:
+    """A database table read in `parts` ranges of a number, date or timestamp column, between the table's own bounds."""
+    bounds = jdbc_bounds(spark, table, column, connection)
+    if bounds is None:
+        return read_jdbc(spark, table, connection)
+    low, high = bounds
+    ranges = {"partitionColumn": column, "lowerBound": low, "upperBound": high, "numPartitions": str(parts)}
+    return spark.read.format("jdbc").options(**connection | ranges, dbtable=table).load()

@@ -196,6 +196,42 @@ def test_jdbc_reads():
     assert publish.ServingTable("jdbc", options=connection, exists=False).keys(RecordedReader()) is None
 
 
+class BoundedReader(RecordedReader):
+    """Answers the question for the bounds, and records what else is read."""
+
+    def __init__(self, low, high):
+        super().__init__()
+        self.bounds, self.asked = {"low": low, "high": high}, []
+
+    def load(self):
+        self.asked.append(dict(self.seen))
+        return self
+
+    def first(self):
+        return self.bounds
+
+
+def test_jdbc_keys_are_made_distinct_in_the_database():
+    options = tables.jdbc_options("jdbc:x", "d") | {"dbtable": "s.news"}
+    found = publish.ServingTable("jdbc", options=options).keys(RecordedReader())
+    assert found["dbtable"] == "(SELECT DISTINCT post_id FROM s.news WHERE post_id IS NOT NULL) known_keys"
+    split = publish.ServingTable("jdbc", options=options, predicates=("post_id < 'm'", "post_id >= 'm'")).keys(RecordedReader())
+    assert split["table"] == found["dbtable"] and len(split["predicates"]) == 2
+
+
+def test_jdbc_reads_are_split_by_the_tables_own_bounds():
+    options = tables.jdbc_options("jdbc:x", "d") | {"dbtable": "s.news"}
+    reader = BoundedReader(3, 90)
+    publish.ServingTable("jdbc", options=options, split_column="score").read(reader)
+    asked, read = reader.asked
+    assert asked["dbtable"] == "(SELECT MIN(score) AS low, MAX(score) AS high FROM s.news) bounds"
+    assert (read["dbtable"], read["partitionColumn"], read["lowerBound"], read["upperBound"]) == ("s.news", "score", "3", "90")
+    assert read["numPartitions"] == "16"
+    empty = BoundedReader(None, None)
+    publish.ServingTable("jdbc", options=options, split_column="score").read(empty)
+    assert "partitionColumn" not in empty.asked[-1]
+
+
 def test_null_title_is_known_across_batches(spark):
     schema = "id string, title string, created_utc double"
     clean = curate.curate(spark.createDataFrame([("1", None, 1.0), ("2", "a", 2.0)], schema))
