@@ -98,18 +98,49 @@ SENTENCES = {
     "cc0-dedication": "To the extent possible under law, the author has waived all copyright and related or neighboring "
     "rights to this work",
     "unlicense-domain": "This is free and unencumbered software released into the public domain",
+    "mit-file": "This file is licensed under the MIT License",
+    "mit-software": "This software is licensed under the MIT License",
+    "mit-distributed": "Distributed under the MIT License",
+    "apache-2-file": "This file is licensed under the Apache License, Version 2.0",
+    "apache-2-project": "This project is licensed under the Apache License 2.0",
+    "apache-2-head": "Apache License Version 2.0, January 2004",
+    "apache-name": "Apache License",
+    "apache-2-version": "Version 2.0, January 2004",
+    "apache-2-terms": "TERMS AND CONDITIONS FOR USE, REPRODUCTION, AND DISTRIBUTION",
+    "gpl-3-head": "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007",
+    "gpl-2-head": "GNU GENERAL PUBLIC LICENSE Version 2, June 1991",
+    "lgpl-3-head": "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007",
+    "lgpl-2.1-head": "GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999",
+    "agpl-3-head": "GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007",
+    "lgpl-2.1-later-head": "you can redistribute it and/or modify it under the terms of the GNU Lesser General Public "
+    "License as published by the Free Software Foundation",
+    "lgpl-2.1-later-tail": "either version 2.1 of the License, or (at your option) any later version",
+    "lgpl-3-or-later": "free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General "
+    "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any "
+    "later version",
+    "zlib-grant": "Permission is granted to anyone to use this software for any purpose, including commercial applications, "
+    "and to alter it and redistribute it freely, subject to the following restrictions",
+    "zlib-origin": "The origin of this software must not be misrepresented",
+    "zlib-altered": "Altered source versions must be plainly marked as such, and must not be misrepresented as being the "
+    "original software",
+    "boost-head": "Boost Software License - Version 1.0 - August 17th, 2003",
+    "boost-notice": "Distributed under the Boost Software License, Version 1.0",
+    "epl-2-terms": "This program and the accompanying materials are made available under the terms of the Eclipse Public "
+    "License 2.0",
+    "unlicense-anyone": "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in "
+    "source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means",
     "all-rights": "All rights reserved",
-    "spdx-mit": "SPDX-License-Identifier: MIT",
-    "spdx-apache-2": "SPDX-License-Identifier: Apache-2.0",
-    "spdx-bsd-3": "SPDX-License-Identifier: BSD-3-Clause",
-    "spdx-bsd-2": "SPDX-License-Identifier: BSD-2-Clause",
-    "spdx-gpl-3-only": "SPDX-License-Identifier: GPL-3.0-only",
-    "spdx-gpl-3-later": "SPDX-License-Identifier: GPL-3.0-or-later",
-    "spdx-gpl-2-only": "SPDX-License-Identifier: GPL-2.0-only",
-    "spdx-mpl-2": "SPDX-License-Identifier: MPL-2.0",
-    "spdx-isc": "SPDX-License-Identifier: ISC",
 }
 
+# Identifiers that a tag line may name, in the order in which they are reported.
+SPDX = (
+    "AGPL-3.0-or-later", "AGPL-3.0-only", "GPL-3.0-or-later", "GPL-3.0-only", "GPL-2.0-or-later", "GPL-2.0-only",
+    "LGPL-3.0-or-later", "LGPL-3.0-only", "LGPL-2.1-or-later", "LGPL-2.1-only", "MPL-2.0", "EPL-2.0", "Apache-2.0",
+    "BSD-3-Clause", "BSD-2-Clause", "0BSD", "BSL-1.0", "Zlib", "ISC", "CC-BY-4.0", "CC-BY-SA-4.0", "CC-BY-NC-4.0", "CC0-1.0",
+    "Unlicense", "MIT",
+)
+SENTENCES |= {f"spdx-{name.lower()}": f"SPDX-License-Identifier: {name}" for name in SPDX}
+
 # Rules in order; whole licences come before notices and names.
 RULES = (
     ("MIT", ("mit-grant", "mit-condition", "mit-warranty", "mit-liability")),
@@ -123,7 +154,11 @@ RULES = (
     ("Apache-2.0", ("apache-2-header",)),
     ("Apache-2.0", ("apache-2-licensed",)),
     ("Apache-2.0", ("apache-2-released",)),
-    ("Apache-2.0", ("spdx-apache-2",)),
+    ("Apache-2.0", ("apache-2-head", "apache-2-terms")),
+    ("Apache-2.0", ("apache-2-file",)),
+    ("Apache-2.0", ("apache-2-project",)),
+    ("Apache-2.0", ("apache-2-head",)),
+    ("Apache-2.0", ("apache-name", "apache-2-version")),
     ("AGPL-3.0-or-later", ("agpl-3-or-later",)),
     ("GPL-3.0-or-later", ("gpl-3-or-later", "gpl-warranty")),
     ("GPL-3.0-or-later", ("gpl-3-or-later",)),
@@ -143,14 +178,23 @@ RULES = (
     ("CC-BY-NC-4.0", ("cc-by-nc-4-work",)),
     ("CC0-1.0", ("cc0-dedication",)),
     ("Unlicense", ("unlicense-domain",)),
-    ("GPL-3.0-only", ("spdx-gpl-3-only",)),
-    ("GPL-3.0-or-later", ("spdx-gpl-3-later",)),
-    ("GPL-2.0-only", ("spdx-gpl-2-only",)),
-    ("BSD-3-Clause", ("spdx-bsd-3",)),
-    ("BSD-2-Clause", ("spdx-bsd-2",)),
-    ("MPL-2.0", ("spdx-mpl-2",)),
-    ("ISC", ("spdx-isc",)),
-    ("MIT", ("spdx-mit",)),
+    ("Unlicense", ("unlicense-anyone",)),
+    ("LGPL-2.1-or-later", ("lgpl-2.1-later-head", "lgpl-2.1-later-tail")),
+    ("LGPL-3.0-or-later", ("lgpl-3-or-later",)),
+    ("AGPL-3.0-only", ("agpl-3-head",)),
+    ("LGPL-3.0-only", ("lgpl-3-head",)),
+    ("LGPL-2.1-only", ("lgpl-2.1-head",)),
+    ("GPL-3.0-only", ("gpl-3-head",)),
+    ("GPL-2.0-only", ("gpl-2-head",)),
+    ("Zlib", ("zlib-grant", "zlib-origin", "zlib-altered")),
+    ("Zlib", ("zlib-grant", "zlib-origin")),
+    ("BSL-1.0", ("boost-head",)),
+    ("BSL-1.0", ("boost-notice",)),
+    ("EPL-2.0", ("epl-2-terms",)),
+    *((name, (f"spdx-{name.lower()}",)) for name in SPDX),
+    ("MIT", ("mit-file",)),
+    ("MIT", ("mit-software",)),
+    ("MIT", ("mit-distributed",)),
     ("MIT", ("mit-released",)),
     ("MIT", ("mit-licensed",)),
     ("MIT", ("mit-project",)),
@@ -172,7 +216,8 @@ NOT_AFTER = {("bsd-grant", "bsd-source", "bsd-binary"): ("bsd-endorse", "bsd-end
 # Every known sentence holds one of these; a text without any is not cut up.
 HINT = (
     "(?i)licen[sc]|copyright|permission|warranty|redistribut|liab|public[^a-z0-9]+domain|rights|published[^a-z0-9]+by|"
-    "later[^a-z0-9]+version|mpl|2[^a-z0-9]+0([^a-z0-9]|$)"
+    "later[^a-z0-9]+version|mpl|2[^a-z0-9]+[01]([^a-z0-9]|$)|misrepresented|terms[^a-z0-9]+and[^a-z0-9]+conditions|"
+    "free[^a-z0-9]+to[^a-z0-9]+copy|software[^a-z0-9]+foundation"
 )
 GAP = "[^A-Za-z0-9]+"
 LEADS = ("following conditions( are met)?", "free software", "nor the names of", "[Pp]ermission (is hereby granted|to use)")

@@ -61,26 +61,85 @@ STEPS = 10  # per unit of -ln p
 MOST_STEPS = 7000
 
 SPAN = "struct<start:bigint,end:bigint,found:string>"
+PLACED = "struct<start:bigint,kind:int,end:bigint>"
+RANDOM = 3  # the kind of what the battery finds, as in KINDS
+BLOCK = 256  # an even number
+
+
+def bound(value: Column, use) -> Column:
+    """`use` of a value that is worked out once, however often `use` mentions it."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def in_blocks(values: Column, zero: Column, after, run) -> Column:
+    """A running computation over a long array, in time linear in its length.
+
+    Appending to an array copies it, so the array is cut into blocks of BLOCK values: `after(state, block)` is the state
+    behind a block, and `run(state, block)` the results of a block whose state in front is known.
+    """
+
+    def cut(whole: Column) -> Column:
+        places = F.sequence(F.lit(0), F.greatest(F.ceil(F.size(whole) / BLOCK).cast("int") - 1, F.lit(0)))
+        return F.transform(places, lambda at: F.slice(whole, at * BLOCK + 1, F.lit(BLOCK)))
+
+    def joined(blocks: Column) -> Column:
+        states = F.aggregate(
+            blocks, F.array(zero), lambda seen, block: F.array_append(seen, after(F.element_at(seen, -1), block))
+        )
+        return F.flatten(F.zip_with(blocks, F.slice(states, F.lit(1), F.size(blocks)), lambda block, state: run(state, block)))
+
+    return bound(bound(values, cut), joined)
 
 
 def framed_matches(text: Column, pattern: str) -> Column:
     """Start, end (code points) and text of every leftmost, non-overlapping match."""
     clean = F.translate(text, FRAME, STAND_IN)
     parts = F.split(F.regexp_replace(clean, f"(?:{pattern})", f"{FRAME}$0{FRAME}"), FRAME, -1)
-    first = F.struct(
-        F.lit(0).cast("long").alias("at"), F.lit(False).alias("inside"), F.array().cast(f"array<{SPAN}>").alias("spans")
-    )
 
-    def step(state: Column, part: Column) -> Column:
-        end = state["at"] + F.length(part)
-        span = F.struct(state["at"].alias("start"), end.alias("end"), part.alias("found"))
-        spans = F.when(state["inside"], F.array_append(state["spans"], span)).otherwise(state["spans"])
-        return F.struct(end.alias("at"), (~state["inside"]).alias("inside"), spans.alias("spans"))
+    def after(at: Column, block: Column) -> Column:
+        return F.aggregate(block, at, lambda total, part: total + F.length(part))
+
+    def run(at: Column, block: Column) -> Column:
+        # Every second part is a match; blocks hold an even number of parts.
+        first = F.struct(at.alias("at"), F.lit(False).alias("inside"), F.array().cast(f"array<{SPAN}>").alias("spans"))
+
+        def step(state: Column, part: Column) -> Column:
+            end = state["at"] + F.length(part)
+            span = F.struct(state["at"].alias("start"), end.alias("end"), part.alias("found"))
+            spans = F.when(state["inside"], F.array_append(state["spans"], span)).otherwise(state["spans"])
+            return F.struct(end.alias("at"), (~state["inside"]).alias("inside"), spans.alias("spans"))
+
+        return F.aggregate(block, first, step, lambda state: state["spans"])
 
-    found = F.aggregate(parts, first, step, lambda state: state["spans"])
+    found = in_blocks(parts, F.lit(0).cast("long"), after, run)
     return F.when(text.rlike(pattern), found).otherwise(F.array().cast(f"array<{SPAN}>"))
 
 
+def uncovered(spans: Column) -> Column:
+    """Of `spans` (start, kind, end), in their order, all base spans and those random ones that no base span holds.
+
+    In order of start, base spans first, a random one is held by a base span if the farthest end so far is not before its own.
+    """
+
+    def farther(end: Column, span: Column) -> Column:
+        return F.when(span["kind"] < RANDOM, F.greatest(end, span["end"])).otherwise(end)
+
+    def after(end: Column, block: Column) -> Column:
+        return F.aggregate(block, end, farther)
+
+    def run(end: Column, block: Column) -> Column:
+        first = F.struct(end.alias("end"), F.array().cast(f"array<{PLACED}>").alias("kept"))
+
+        def step(state: Column, span: Column) -> Column:
+            keep = (span["kind"] < RANDOM) | (state["end"] < span["end"])
+            kept = F.when(keep, F.array_append(state["kept"], span)).otherwise(state["kept"])
+            return F.struct(farther(state["end"], span).alias("end"), kept.alias("kept"))
+
+        return F.aggregate(block, first, step, lambda state: state["kept"])
+
+    return in_blocks(spans, F.lit(-1).cast("long"), after, run)
+
+
 def upper_tail(z: Column) -> Column:
     """Of the standard normal distribution; Zelen and Severo's approximation, accurate relative to the tail as well."""
     t = 1 / (1 + 0.2316419 * F.abs(z))
@@ -262,13 +321,8 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
     base = F.concat(*[numbered(F.col(kind), at) for at, kind in enumerate(KINDS[:3])])
     found = F.filter("tokens", lambda t: t["passes"] & (t["step"] >= least_step(t["length_class"])))
 
-    def covered(token: Column) -> Column:
-        return F.exists("base", lambda span: (span["start"] <= token["start"]) & (span["end"] >= token["end"]))
-
-    return rows.withColumns({"base": base, "found": numbered(found, 3)}).select(
-        "doc_id",
-        F.array_sort(F.concat("base", F.filter("found", lambda token: ~covered(token)))).alias("spans"),
-    )
+    placed = F.array_sort(F.concat("base", "found"))
+    return rows.withColumns({"base": base, "found": numbered(found, RANDOM)}).select("doc_id", uncovered(placed).alias("spans"))
 
 
 def listed(spans: Column) -> Column:

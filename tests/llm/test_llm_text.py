@@ -182,6 +182,30 @@ def test_random_tokens_of_every_alphabet_and_length(spark):
     assert len(long_ones - found) <= 0.02 * len(long_ones)
 
 
+def test_many_spans_in_one_text(spark):
+    """Matches of all kinds over several blocks, against brute force; random tokens inside base spans are not repeated."""
+    rng = random.Random(8)
+    pieces = []
+    for at in range(1500):
+        token = "".join(rng.choices(string.ascii_letters + string.digits, k=44))
+        key = "".join(rng.choices("0123456789abcdef", k=rng.choice([20, 32, 40])))
+        pieces.append(rng.choice([f"token={token}", token, key, f"secret: {key} {token}", "AKIA" + key.upper(), "word"]))
+    texts = {at: " ".join(pieces[:size]) for at, size in enumerate((1, 127, 128, 129, 255, 256, 257, 511, 1500))}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    names = {name: at for at, name in enumerate(secrets.KINDS)}
+    for row in secrets.digests(secrets.scan(docs)).collect():
+        spans = [(int(start), names[kind], int(end)) for kind, start, end in (x.split(":") for x in row["spans"].split(",") if x)]
+        base = brute_spans(texts[row["doc_id"]])
+        assert spans == sorted(spans) and [span for span in spans if span[1] < 3] == base
+        drawn = [span for span in spans if span[1] == 3]
+        assert not any(b[0] <= start and end <= b[2] for start, _, end in drawn for b in base)
+        tokens = [(m.start(), m.end()) for m in re.finditer(r"[A-Za-z0-9+/_-]{20,}={0,2}", texts[row["doc_id"]])]
+        assert {(start, end) for start, _, end in drawn} <= set(tokens)
+        if row["doc_id"] == 8:
+            free = [t for t in tokens if t[1] - t[0] == 44 and not any(b[0] <= t[0] and t[1] <= b[2] for b in base)]
+            assert len(drawn) >= 0.9 * len(free) > 100
+
+
 MIT = """The MIT License (MIT)
 
 Permission is hereby granted, free of charge, to any person obtaining a copy
@@ -262,6 +286,16 @@ LICENSED = [
     ("MIT", ""), (f"Foo is {licenses.SENTENCES['gpl-3-or-later']}.", "GPL-3.0-or-later"),
     (licenses.SENTENCES["gpl-3-or-later"].replace("software: ", "software:\n") + ".", "GPL-3.0-or-later"),
     ("This is free and unencumbered software released into the public\ndomain.", "Unlicense"),
+    ("SPDX-License-Identifier: GPL-2.0-or-later", "GPL-2.0-or-later"), ("# SPDX-License-Identifier: LGPL-2.1-only", "LGPL-2.1-only"),
+    ("This file is licensed under the MIT License.", "MIT"),
+    ("  Apache License\n  Version 2.0, January 2004\n  http://www.apache.org/licenses/\n", "Apache-2.0"),
+    ("GNU GENERAL PUBLIC LICENSE\n   Version 3, 29 June 2007\n\nCopyright (C) 2007", "GPL-3.0-only"),
+    ("This library is free software; you can redistribute it and/or\nmodify it under the terms of the GNU Lesser General Public\n"
+     "License as published by the Free Software Foundation; either\nversion 2.1 of the License, or (at your option) any later version.",
+     "LGPL-2.1-or-later"),
+    ("This software is provided 'as-is', without any express or implied\nwarranty.\n\nPermission is granted to anyone to use this "
+     "software for any purpose,\nincluding commercial applications, and to alter it and redistribute it\nfreely, subject to the "
+     "following restrictions:\n\n1. The origin of this software must not be misrepresented; you must not\n   claim it.\n", "Zlib"),
 ]
 
 
