@@ -284,6 +284,18 @@ def test_manifest_lists_live_files(spark, tmp_path):
     assert listed == live
 
 
+def test_sizes_are_those_of_the_files(spark, tmp_path):
+    """Files and bytes per table as the folders have them, hidden files left out."""
+    paths = {name: str(tmp_path / name) for name in ("one", "many", "parted")}
+    spark.range(1000).coalesce(1).write.parquet(paths["one"])
+    spark.range(1000).repartition(7).write.parquet(paths["many"])
+    spark.range(1000).selectExpr("id", "id % 3 AS part").write.partitionBy("part").parquet(paths["parted"])
+    found = {row.table: (row.files, row.bytes) for row in maintenance.file_sizes(spark, paths).collect()}
+    for name, path in paths.items():
+        files = [os.path.join(at, f) for at, _, fs in os.walk(path) for f in fs if not f.startswith((".", "_"))]
+        assert found[name] == (len(files), sum(map(os.path.getsize, files)))
+
+
 def test_catalog(spark, tmp_path):
     path = str(tmp_path / "clean")
     curate.write_partitioned(curate.curate(raw_posts(spark)), path)
