@@ -219,14 +219,18 @@ def counted(part: Column) -> Column:
 
 
 def correlated(part: Column) -> Column:
-    mean = F.aggregate(part["values"], F.lit(0.0), lambda total, x: total + x) / part["n"]
-    spread = F.aggregate(part["values"], F.lit(0.0), lambda total, x: total + (x - mean) * (x - mean))
     later = F.slice(part["values"], F.lit(2), F.size(part["values"]))
-    products = F.zip_with(part["values"], later, lambda a, b: F.coalesce((a - mean) * (b - mean), F.lit(0.0)))
-    together = F.aggregate(products, F.lit(0.0), lambda total, x: total + x)
     names = ("start", "end", "n", "encoding", "squares", "changes", "kinds")
-    serial = F.when(spread > 0, together / spread).otherwise(F.lit(1.0))
-    return F.struct(*[part[name].alias(name) for name in names], serial.alias("serial"))
+
+    def around(mean: Column) -> Column:
+        spread = F.aggregate(part["values"], F.lit(0.0), lambda total, x: total + (x - mean) * (x - mean))
+        products = F.zip_with(part["values"], later, lambda a, b: F.coalesce((a - mean) * (b - mean), F.lit(0.0)))
+        together = F.aggregate(products, F.lit(0.0), lambda total, x: total + x)
+        serial = F.when(spread > 0, together / spread).otherwise(F.lit(1.0))
+        return F.struct(*[part[name].alias(name) for name in names], serial.alias("serial"))
+
+    # Bound, or the mean would be worked out anew for every character.
+    return bound(F.aggregate(part["values"], F.lit(0.0), lambda total, x: total + x) / part["n"], around)
 
 
 def judged(part: Column) -> Column:
