@@ -91,4 +91,5 @@ def test_progress_names_each_batch_once_after_a_forced_restart(spark, tmp_path):
         (total,) = progress.totals(spark, f"{base}/progress").collect()
         assert (total.batch_count, total.input_rows, total.late_rows) == (3, 18, 0)
     finally:
+        spark.streams.resetTerminated()  # the failure was meant
         spark.streams.removeListener(listener)
