@@ -23,6 +23,9 @@ CONSUMER_SETTINGS = {
 }
 
 
+FILE_SOURCES = ("text", "json", "csv", "parquet", "orc", "delta")
+
+
 def kafka_options(
     servers: str, subreddits: Sequence[str], starting: str = "latest", max_messages: int | None = None,
     max_delay: str | None = None,
@@ -42,6 +45,22 @@ def kafka_options(
     return options | CONSUMER_SETTINGS
 
 
+def batch_bounds(fmt: str, rows: int | None = None, files: int | None = None, size: str | None = None) -> dict[str, str]:
+    """Options that bound a micro-batch of a source: rows of a message broker, files or bytes of file sources and tables.
+
+    A bound that the source cannot keep is refused, not ignored.
+    """
+    known = {
+        "kafka": {"rows": "maxOffsetsPerTrigger"},
+        **dict.fromkeys(FILE_SOURCES, {"files": "maxFilesPerTrigger", "size": "maxBytesPerTrigger"}),
+    }
+    asked = {name: value for name, value in (("rows", rows), ("files", files), ("size", size)) if value is not None}
+    refused = sorted(set(asked) - set(known.get(fmt, {})))
+    if refused:
+        raise ValueError(f"the source {fmt!r} has no bound by {' or '.join(refused)}")
+    return {known[fmt][name]: str(value) for name, value in asked.items()}
+
+
 def open_messages(
     spark: SparkSession, fmt: str = "kafka", path: str | None = None, schema: StructType | None = None, **options: str
 ) -> DataFrame:

@@ -1,6 +1,7 @@
 import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from postlake.sources.messages import parse_posts
@@ -102,6 +103,25 @@ def test_arrival_from_the_source(spark):
     assert sources.with_arrival(frame).first().arrival == (1, 2, 3)
 
 
+def test_batches_are_bounded_for_any_source(spark, tmp_path):
+    assert sources.batch_bounds("kafka", rows=500) == {"maxOffsetsPerTrigger": "500"}
+    assert sources.batch_bounds("parquet", size="64m") == {"maxBytesPerTrigger": "64m"}
+    assert sources.batch_bounds("socket") == {}
+    for fmt, bound in (("kafka", {"files": 1}), ("text", {"rows": 1}), ("socket", {"size": "1m"})):
+        with pytest.raises(ValueError):
+            sources.batch_bounds(fmt, **bound)
+    for number in range(5):
+        write_lines(tmp_path / "in", f"{number}.json", [post(number)])
+    sizes = []
+
+    def write(batch, batch_id):
+        sizes.append(batch.count())
+
+    stream = messages(spark, tmp_path / "in", **sources.batch_bounds("text", files=2))
+    queries.start_ingest(stream, write, str(tmp_path / "cp"), trigger=AVAILABLE).awaitTermination()
+    assert sizes == [2, 2, 1]
+
+
 def test_unwritable_table_goes_to_dead_letters(spark, tmp_path):
     write_lines(tmp_path / "in", "a.json", [post(1), "junk"])
     ingest(spark, tmp_path, fmt="format_without_connector")
