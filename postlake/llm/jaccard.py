@@ -7,9 +7,9 @@ the others are compared by brute force. At the last level a bucket of any size i
 of which every pair is a group of its own. Runs are repeated until a pair at the threshold is missed with a probability of
 at most 1 - TARGET_RECALL; closer pairs are missed less often.
 
-Comparison has three steps. First the buckets of `CONNECTING` runs are compared, a large one only within blocks of BLOCK
-members, by the 32 smallest shingle hashes of each class, which tell apart what is clearly different (no more than one pair in
-10,000 at the threshold is lost there). What is alike is joined into clusters. Then all other buckets are looked at cluster
+Comparison has three steps. First every class is compared in its `CONNECTING` largest buckets, a large one only within blocks of
+BLOCK members, by the 32 smallest shingle hashes of each class, which tell apart what is clearly different (no more than one
+pair in 10,000 at the threshold is lost there). What is alike is joined into clusters. Then all buckets are looked at cluster
 by cluster: one that lies within a single cluster is dropped; in the others every pair of blocks is compared, except that the
 members of a bucket's largest cluster are not compared with each other again. A group returns links between clusters only,
 fewer than it holds clusters. So a large group of near-copies is joined once and not once more in every run. At last each
@@ -32,7 +32,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -49,7 +49,7 @@ SMALL = 32
 BLOCK = 2048
 BLOCK_TOKENS = 1 << 20
 BOTTOM = 32
-CONNECTING = 2
+CONNECTING = 3
 CACHED_WORDS = 100_000
 MATRIX_CELLS = 1 << 20  # of a matrix of sets by shingles that numpy holds at once
 SEED = 0x5DEECE66D
@@ -120,7 +120,7 @@ def children(tokens: np.ndarray, nodes: np.ndarray, most: np.uint64) -> tuple[np
 
 
 def chosen_paths(tokens: np.ndarray, runs: int) -> list[np.ndarray]:
-    """The run of each path, then its bucket keys: one array per level, rows aligned; 0 where a path ends before the level."""
+    """Bucket keys of a set: one array per level, rows aligned; 0 where a path ends before the level."""
     share = SIMILARITY * len(tokens)
     most = np.uint64(min(2.0**64 / share, 2.0**64 - 2049)) if share > 1 else np.uint64(2**64 - 1)
     # Levels draw by keys of their own, so a path may choose a token again; that only leaves its bucket as it was.
@@ -136,7 +136,7 @@ def chosen_paths(tokens: np.ndarray, runs: int) -> list[np.ndarray]:
         levels = [level[rows] for level in levels]
         levels.append(np.concatenate((keys, np.zeros(len(ended), dtype=np.uint64)))[order])
     kept = levels[1] != 0
-    return [level[kept] for level in levels]
+    return [level[kept] for level in levels[1:]]
 
 
 def firsts(keys: np.ndarray) -> np.ndarray:
@@ -144,8 +144,7 @@ def firsts(keys: np.ndarray) -> np.ndarray:
     return np.concatenate(([True], keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, dtype=bool)
 
 
-PATH = T.StructType([T.StructField("run", T.LongType())]
-                    + [T.StructField(f"key{level}", T.LongType()) for level in range(1, DEPTH + 1)]
+PATH = T.StructType([T.StructField(f"key{level}", T.LongType()) for level in range(1, DEPTH + 1)]
                     + [T.StructField(f"new{level}", T.BooleanType()) for level in range(1, DEPTH + 1)])
 INFO = [
     T.StructField("mark", T.BinaryType()),
@@ -165,11 +164,11 @@ def path_arrays(sets: list[np.ndarray], runs: int) -> pa.ListArray:
     for tokens in sets:
         if len(tokens):
             levels = chosen_paths(tokens, runs)
-            for column, values in zip(columns, [*levels, *(firsts(level) & (level != 0) for level in levels[1:])]):
+            for column, values in zip(columns, [*levels, *(firsts(level) & (level != 0) for level in levels)]):
                 column.append(values if values.dtype == bool else values.view(np.int64))
         offsets.append(offsets[-1] + (len(levels[0]) if len(tokens) else 0))
     arrays = [
-        pa.array(np.concatenate(column) if column else np.zeros(0, dtype=np.int64 if at <= DEPTH else bool))
+        pa.array(np.concatenate(column) if column else np.zeros(0, dtype=np.int64 if at < DEPTH else bool))
         for at, column in enumerate(columns)
     ]
     return pa.ListArray.from_arrays(pa.array(offsets, type=pa.int32()), pa.StructArray.from_arrays(arrays, names=PATH.names))
@@ -201,16 +200,16 @@ def document_info(docs: DataFrame, runs: int) -> DataFrame:
 
 
 def memberships(info: DataFrame) -> DataFrame:
-    """bucket, size, final, run, mark: the classes of every bucket that is to be compared."""
+    """bucket, size, mark: the classes of every bucket that is to be compared."""
     paths = info.where("mark IS NOT NULL").select("mark", "paths").dropDuplicates(["mark"])
     rows = paths.select("mark", F.inline("paths"))
     parts = []
     for level in range(1, DEPTH + 1):
-        own = rows.where(f"new{level}").select("mark", "run", F.col(f"key{level}").alias("bucket"))
+        own = rows.where(f"new{level}").select("mark", F.col(f"key{level}").alias("bucket"))
         sizes = checkpointed(own.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1"))
         last = level == DEPTH
         compared = sizes if last else sizes.where(F.col("size") <= SMALL)
-        parts.append(own.join(compared, "bucket").withColumn("final", F.lit(last) & (F.col("size") > SMALL)))
+        parts.append(own.join(compared, "bucket"))
         if not last:
             split = broadcast_if_small(sizes.where(F.col("size") > SMALL).select(F.col("bucket").alias(f"key{level}")))
             rows = checkpointed(rows.where(f"key{level + 1} != 0").join(split, f"key{level}", "left_semi"))
@@ -236,21 +235,21 @@ def dealt(member: str, key: str, blocks: Column) -> Column:
 
 
 def connecting_groups(buckets: DataFrame) -> DataFrame:
-    """The buckets of the first runs, large ones cut into blocks; every class is a cluster of its own."""
-    blocks = F.when(F.col("final"), F.ceil(F.col("size") / BLOCK)).otherwise(1)
-    rows = buckets.where(F.col("run") <= CONNECTING).withColumn("block", dealt("mark", "bucket", blocks))
+    """Every class in its largest buckets, large ones cut into blocks; every class is a cluster of its own."""
+    largest = Window.partitionBy("mark").orderBy(F.desc("size"), "bucket")
+    chosen = buckets.withColumn("place", F.row_number().over(largest)).where(F.col("place") <= CONNECTING)
+    rows = chosen.withColumn("block", dealt("mark", "bucket", F.ceil(F.col("size") / BLOCK)))
     return rows.select(F.col("bucket").alias("key"), F.col("block").alias("i"), F.col("block").alias("j"), "block", "mark",
                        F.col("mark").alias("cluster"))
 
 
 def remaining_groups(buckets: DataFrame, clusters: DataFrame) -> DataFrame:
-    """The buckets that hold several clusters and have not been compared whole.
+    """The buckets that hold several clusters.
 
     A large bucket is cut into blocks of its largest cluster and blocks of the rest; two of the former are never paired.
     """
-    open_buckets = buckets.where((F.col("run") > CONNECTING) | (F.col("final") & (F.col("size") > BLOCK)))
     rows = checkpointed(
-        open_buckets.select("bucket", "mark")
+        buckets.select("bucket", "mark")
         .join(broadcast_if_small(clusters), "mark", "left")
         .select("bucket", "mark", F.coalesce("cluster", "mark").alias("cluster"))
     )

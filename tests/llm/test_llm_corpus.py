@@ -54,7 +54,8 @@ def brute_similar(texts):
     return {doc: (find(doc), links[doc]) for doc in docs}
 
 
-def test_similar_documents(spark, monkeypatch):
+@pytest.mark.parametrize("target_recall", [0.99999, jaccard.TARGET_RECALL])
+def test_similar_documents(spark, monkeypatch, target_recall):
     # Small limits, so that buckets are split to the last level and clusters are compared in blocks.
     monkeypatch.setattr(jaccard, "SMALL", 4)
     monkeypatch.setattr(jaccard, "BLOCK", 16)
@@ -66,13 +67,34 @@ def test_similar_documents(spark, monkeypatch):
         texts += near_copies(rng, prose(rng, rng.randint(20, 200)), 3, 2)
     texts = dict(enumerate(texts))
     docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
-    found = {row["doc_id"]: (row["class_id"], row["n_links"]) for row in jaccard.similar(docs, target_recall=0.99999).collect()}
+    found = {row["doc_id"]: (row["class_id"], row["n_links"]) for row in jaccard.similar(docs, target_recall=target_recall).collect()}
     expected = brute_similar(texts)
     assert found == expected
     leaders = {row["doc_id"] for row in jaccard.leaders(docs).select("doc_id").collect()}
     assert leaders == {doc for doc, (lead, _) in expected.items() if lead == doc}
 
 
+def test_a_large_group_is_joined_once(spark, monkeypatch):
+    """Links grow with the classes of a group of near-copies, not with its buckets, runs and blocks."""
+    monkeypatch.setattr(jaccard, "BLOCK", 32)
+    rng = random.Random(12)
+    texts = near_copies(rng, prose(rng, 100), 300, 2) + [prose(rng, 60) for _ in range(50)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text")
+    info = jaccard.document_info(rows, jaccard.runs_for()).cache()
+    buckets = jaccard.memberships(info).cache()
+    classes = info.select("mark").distinct().count()
+    assert buckets.count() > 10 * classes
+    sketches = info.select("mark", "n", "bottom").dropDuplicates(["mark"])
+    first = jaccard.by_group(jaccard.connecting_groups(buckets).join(sketches, "mark"), jaccard.likely_links, "a binary, b binary")
+    clusters = components(first).select(F.col("node").alias("mark"), F.col("root").alias("cluster"))
+    left = jaccard.remaining_groups(buckets, clusters)
+    more = jaccard.by_group(left.join(sketches, "mark"), jaccard.likely_links, "a binary, b binary")
+    assert 0 < first.count() <= jaccard.CONNECTING * classes and more.count() <= classes
+    found = {row["doc_id"]: (row["class_id"], row["n_links"]) for row in jaccard.similar(docs).collect()}
+    assert found == brute_similar(dict(enumerate(texts)))
+
+
 def test_components(spark):
     rng = random.Random(7)
     links = [(at, at + 1) for at in range(0, 60)] + [(100, at) for at in range(101, 140)] + [(5, 5), (200, 200)]
