@@ -4,6 +4,10 @@ For every post the distinct trigrams of the lower-cased texts are written, in fo
 so a search reads a few row groups of a few files. A search term is found only in posts that have all its trigrams. The
 rarest lists are intersected, and the posts that remain are verified with the search's own condition, so the result is the same
 as that of a scan. Where no trigram is rare, or the term is shorter than a trigram, the posts are scanned.
+
+The index grows by entries: each batch of new or changed posts writes lists and counts of its own under a name, which a replay
+overwrites. Posts that are gone or have changed since need no upkeep, as what the lists name is verified; `compact_index`
+makes one entry of all. Counts may then count a post more than once, which only decides what is looked up.
 """
 
 from __future__ import annotations
@@ -14,6 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postlake.functions.columns import matches_search
+from postlake.operators.kept_counts import ENTRY
 
 GRAM = 3
 BUCKETS = 64
@@ -36,19 +41,34 @@ def bucket_of(gram: Column) -> Column:
     return F.pmod(F.xxhash64(gram), F.lit(BUCKETS)).cast("int")
 
 
-def build_index(posts: DataFrame, path: str, key: str, columns: Sequence[str] = SEARCHED) -> None:
-    """Write the lists of `posts`, in which `key` is unique.
+def build_index(posts: DataFrame, path: str, key: str, columns: Sequence[str] = SEARCHED, entry: str = "built") -> None:
+    """Write the lists of `posts`, in which `key` is unique, as one entry of the index; an entry of that name is overwritten.
 
-    Lists are spread by ranges of trigram and key, so a trigram that nearly every post has is written by many tasks.
+    Lists are spread by ranges of trigram and key, so a trigram that nearly every post has is written by many tasks. A post
+    can be found once its entry is whole.
     """
     all_grams = F.array_distinct(F.flatten(F.array(*[grams(F.col(name)) for name in columns])))
     rows = posts.select(F.col(key).alias("key"), F.explode(all_grams).alias("gram")).withColumn("bucket", bucket_of(F.col("gram")))
-    ordered = rows.repartitionByRange("bucket", "gram", "key").sortWithinPartitions("bucket", "gram", "key")
-    ordered.write.partitionBy("bucket").parquet(f"{path}/lists")
-    spark = posts.sparkSession
-    held = spark.read.parquet(f"{path}/lists").groupBy("gram").agg(F.count(F.lit(1)).alias("posts"))
-    whole = posts.agg(F.lit(WHOLE).alias("gram"), F.count(F.lit(1)).alias("posts"))
-    held.unionByName(whole).repartitionByRange("gram").sortWithinPartitions("gram").write.parquet(f"{path}/counts")
+    write_entry(rows.repartitionByRange("bucket", "gram", "key"), posts.agg(F.count(F.lit(1)).alias("posts")), path, entry)
+
+
+def write_entry(lists: DataFrame, whole: DataFrame, path: str, entry: str) -> None:
+    """Lists that lie in ranges of bucket, trigram and key, their lengths and the number of posts."""
+    spark, held_by = lists.sparkSession, f"{ENTRY}={entry}"
+    ordered = lists.sortWithinPartitions("bucket", "gram", "key")
+    ordered.write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/lists/{held_by}")
+    written = spark.read.schema("gram string").parquet(f"{path}/lists/{held_by}")
+    held = written.groupBy("gram").agg(F.count(F.lit(1)).alias("posts"))
+    counts = held.unionByName(whole.withColumn("gram", F.lit(WHOLE)))
+    ordered_counts = counts.repartitionByRange("gram").sortWithinPartitions("gram")
+    ordered_counts.write.mode("overwrite").parquet(f"{path}/counts/{held_by}")
+
+
+def compact_index(spark: SparkSession, path: str, target: str, entry: str = "compacted") -> None:
+    """All entries as a single one in a new folder, each post once per list."""
+    lists = spark.read.parquet(f"{path}/lists").select("bucket", "gram", "key")
+    whole = spark.read.parquet(f"{path}/counts").filter(F.col("gram") == WHOLE).agg(F.sum("posts").alias("posts"))
+    write_entry(lists.repartitionByRange("bucket", "gram", "key").distinct(), whole, target, entry)
 
 
 def rarest_lists(spark: SparkSession, path: str, term: str) -> list[str] | None:
@@ -56,7 +76,8 @@ def rarest_lists(spark: SparkSession, path: str, term: str) -> list[str] | None:
     own = spark.range(1).select(F.array_distinct(grams(F.lit(term))).alias("grams")).collect()[0]["grams"]
     if not own:
         return None
-    rows = spark.read.parquet(f"{path}/counts").filter(F.col("gram").isin([*own, WHOLE])).collect()  # one per trigram of the term
+    held = spark.read.parquet(f"{path}/counts").filter(F.col("gram").isin([*own, WHOLE]))
+    rows = held.groupBy("gram").agg(F.sum("posts").alias("posts")).collect()  # one per trigram of the term
     counts = {row["gram"]: row["posts"] for row in rows}
     if any(gram not in counts for gram in own):
         return []
@@ -78,6 +99,8 @@ def search_indexed(
     # Constants, which Spark folds before it lists the folders.
     buckets = [bucket_of(F.lit(gram)) for gram in chosen]
     lists = spark.read.parquet(f"{path}/lists").filter(F.col("bucket").isin(buckets) & F.col("gram").isin(chosen))
-    found = lists.groupBy("key").agg(F.count(F.lit(1)).alias("lists")).filter(F.col("lists") == len(chosen))
+    # A post may stand in a list more than once, so lists are marked, not counted.
+    mark = F.coalesce(*[F.when(F.col("gram") == gram, F.lit(1 << at)) for at, gram in enumerate(chosen)])
+    found = lists.groupBy("key").agg(F.bit_or(mark).alias("marks")).filter(F.col("marks") == (1 << len(chosen)) - 1)
     wanted = found.select(F.col("key").alias(key))
     return posts.join(wanted, key, "left_semi").filter(verified)

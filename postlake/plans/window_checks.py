@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from postlake.operators import search_index
 from postlake.operators.publish import ServingTable
 from postlake.plans import fixtures
 from postlake.plans.registry import check, plain_time
 from postlake.plans.stream_checks import AVAILABLE, CLOSING_TIME, stream_session
 from postlake.session import shared_folder
 from postlake.streaming import queries, windows
-from postlake.streaming.publishing import new_posts_writer
+from postlake.streaming.publishing import indexed_writer, new_posts_writer
 
 OPEN_LONG = "60 days"  # longer than the table, so no row of it is late
 
@@ -200,3 +201,36 @@ def stream_skip_published(spark, folder):
     part = F.floor(F.col("event_id") / 3) % 4
     started_per_part(spark, [posts.filter(part == at) for at in range(4)], start)
     return spark.read.parquet(f"{base}/published").select("post_id", "event_id", "score")
+
+
+@check(
+    "stream_search_index",
+    """
+    WITH found AS (
+      SELECT event_id, title, author FROM posts
+      WHERE contains(lower(title), 'post 12') OR contains(lower(author), 'post 12')
+    )
+    SELECT *, FALSE AS compacted FROM found UNION ALL SELECT *, TRUE AS compacted FROM found
+    """,
+)
+def stream_search_index(spark, folder):
+    """The posts of one community after the other; each micro-batch is written and indexed, and the index compacted at the end."""
+    posts = fixtures.posts(spark, folder)
+    base = shared_folder(spark, "stream")
+
+    def write(batch, batch_id):
+        queries.append_batch(batch, f"{base}/posts", "parquet", queries.running_query(batch), batch_id)
+
+    def start(stream):
+        indexed = indexed_writer(write, f"{base}/index", "event_id")
+        return queries.start_ingest(stream, indexed, f"{base}/checkpoint", trigger=AVAILABLE)
+
+    started_per_part(spark, [posts.filter(F.col("subreddit") == name) for name in fixtures.COMMUNITIES], start)
+    search_index.compact_index(spark, f"{base}/index", f"{base}/compacted")
+    stored = spark.read.parquet(f"{base}/posts")
+
+    def found(path, compacted):
+        rows = search_index.search_indexed(stored, path, "POST 12", "event_id")
+        return rows.select("event_id", "title", "author", F.lit(compacted).alias("compacted"))
+
+    return found(f"{base}/index", False).unionAll(found(f"{base}/compacted", True))

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postlake.operators.matching import skip_existing
 from postlake.operators.publish import ServingTable, unique_rows
+from postlake.operators.search_index import SEARCHED, build_index
 from postlake.schema import BATCH_COLUMN, RUN_COLUMN
 from postlake.sources.tables import read_if_present
 from postlake.streaming.queries import append_batch, running_query
@@ -39,3 +40,19 @@ def new_posts_writer(
         append_batch(rows.select(*batch.columns), path, fmt, run, batch_id)
 
     return write
+
+
+def indexed_writer(
+    write: Callable[[DataFrame, int], None], path: str, key: str, columns: Sequence[str] = SEARCHED
+) -> Callable[[DataFrame, int], None]:
+    """A `foreachBatch` function that writes a batch by `write` and then adds it to the search index at `path`.
+
+    Each micro-batch is an entry of its own, named by stream and batch, which a replay overwrites. Rows of a batch that
+    `write` leaves out are harmless: a search verifies what the index names.
+    """
+
+    def write_indexed(batch: DataFrame, batch_id: int) -> None:
+        write(batch, batch_id)
+        build_index(batch, path, key, columns, f"{running_query(batch)}-{batch_id}")
+
+    return write_indexed

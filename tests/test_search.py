@@ -53,6 +53,37 @@ def test_index_reads_few_rows(spark, indexed):
     assert "PartitionFilters: [bucket" in plan
 
 
+def test_index_grows_by_entries(spark, tmp_path):
+    """New, changed, removed and replayed posts, an empty batch, and all entries made one."""
+    path, schema = str(tmp_path / "index"), "seq long, title string, author string"
+    first = spark.createDataFrame([(at, f"old title {at}", f"user{at}") for at in range(300)], schema)
+    changed = spark.createDataFrame([(7, "fresh words 7", "user7"), (400, "old title again", None), (401, None, None)], schema)
+    search_index.build_index(first, path, "seq", entry="0")
+    search_index.build_index(changed, path, "seq", entry="1")
+    search_index.build_index(changed, path, "seq", entry="1")
+    search_index.build_index(changed.limit(0), path, "seq", entry="2")
+    stored = first.filter("seq <> 7 AND seq <> 250").unionByName(changed)
+    search_index.compact_index(spark, path, str(tmp_path / "one"))
+    for term in ("fresh words", "TITLE 7", "title 250", "again", "e 29", "user7", "nowhere", "ol", "title"):
+        expected = sorted(row.seq for row in feed.search_posts(stored, term).collect())
+        for index in (path, str(tmp_path / "one")):
+            assert sorted(row.seq for row in search_index.search_indexed(stored, index, term, "seq").collect()) == expected
+    lists, one = (spark.read.parquet(f"{folder}/lists").select("gram", "key") for folder in (path, str(tmp_path / "one")))
+    assert one.count() == lists.distinct().count() < lists.count()
+    # Trigrams that a changed post has in both entries, or each in another one, must neither hide nor invent it.
+    assert [row.seq for row in search_index.search_indexed(stored, path, "user7", "seq").filter("seq = 7").collect()] == [7]
+    search_index.build_index(first.limit(0), str(tmp_path / "none"), "seq")
+    search_index.build_index(first.limit(0), str(tmp_path / "none"), "seq", entry="more")
+    assert search_index.search_indexed(stored.limit(0), str(tmp_path / "none"), "fresh", "seq").collect() == []
+
+
+def test_compaction_shuffles_the_lists_once(indexed, spark):
+    _, path = indexed
+    lists = spark.read.parquet(f"{path}/lists").select("bucket", "gram", "key")
+    plan = lists.repartitionByRange("bucket", "gram", "key").distinct()._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange rangepartitioning") == 1 and "Exchange hashpartitioning" not in plan
+
+
 def feed_rows(spark):
     rows = []
     for at in range(230):

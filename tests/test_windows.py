@@ -4,10 +4,11 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from postlake.operators import search_index
 from postlake.operators.publish import ServingTable
 from postlake.plans.window_checks import write_part
 from postlake.streaming import queries, windows
-from postlake.streaming.publishing import new_posts_writer
+from postlake.streaming.publishing import indexed_writer, new_posts_writer
 
 AVAILABLE = {"availableNow": True}
 START = dt.datetime(2024, 1, 1)
@@ -142,3 +143,40 @@ def test_publishing_from_a_stream_is_idempotent(spark, tmp_path):
     spark.createDataFrame([("4",)], "post_id string").write.mode("append").parquet(f"{base}/serving")
     write(spark.createDataFrame([("4", 7, "published by another job"), ("5", 8, "new")], schema), 2)
     assert state() == [("2", 1, 0), ("3", 6, 1), ("5", 8, 2)]
+
+
+def test_a_replayed_batch_is_indexed_once(spark, tmp_path):
+    """The writer fails after writing; the restarted stream replays the batch, and the index names each post once."""
+    base, failures = str(tmp_path), [True]
+
+    def write(batch, batch_id):
+        queries.append_batch(batch, f"{base}/posts", "parquet", queries.running_query(batch), batch_id)
+
+    indexed = indexed_writer(write, f"{base}/index", "event_id", ["author"])
+
+    def fail_once(batch, batch_id):
+        indexed(batch, batch_id)
+        if batch_id == 1 and failures:
+            failures.pop()
+            raise RuntimeError("lost")
+
+    def start(stream):
+        return queries.start_ingest(stream, fail_once, f"{base}/checkpoint", trigger=AVAILABLE)
+
+    source = tmp_path / "in"
+    first = rows(spark, 0, 1, 2, author="anne")
+    write_part(first, str(source))
+    run(spark, source, first.schema, start)
+    write_part(rows(spark, 3, 4, author="joanne", first=10), str(source))
+    try:
+        run(spark, source, first.schema, start)
+    except Exception as error:  # the stream's own class of errors
+        assert "lost" in str(error)
+    assert not failures
+    run(spark, source, first.schema, start)
+    lists = spark.read.parquet(f"{base}/index/lists").select("key", "gram")
+    assert lists.count() == lists.distinct().count() == 3 * 2 + 2 * 4
+    stored = spark.read.parquet(f"{base}/posts")
+    for term, expected in (("OANN", [10, 11]), ("anne", [0, 1, 2, 10, 11]), ("bob", [])):
+        found = search_index.search_indexed(stored, f"{base}/index", term, "event_id", ["author"])
+        assert sorted(row.event_id for row in found.collect()) == expected
