@@ -4,6 +4,7 @@ import json
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from test_feed import NAMES, posts, rows_scanned
 
 from postlake.operators import cursor, feed, paging, search_index
@@ -49,10 +50,54 @@ def test_index_reads_few_rows(spark, indexed):
     read.collect()
     assert held < 0.05 * total
     assert held <= rows_scanned(read) < 0.2 * total
-    plan = search_index.search_indexed(stored, path, "number 299", "seq")._jdf.queryExecution().executedPlan().toString()
+    plan = search_index.listed_keys(spark, path, chosen)._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [bucket" in plan
 
 
+def test_few_keys_prune_the_scan_of_the_posts(indexed, monkeypatch):
+    stored, path = indexed
+    expected = sorted(row.seq for row in feed.search_posts(stored, "number 299").collect())
+    found = search_index.search_indexed(stored, path, "number 299", "seq")
+    assert sorted(row.seq for row in found.collect()) == expected == [299, *range(2990, 3000)]
+    assert rows_scanned(found) < 0.6 * stored.count()
+    monkeypatch.setattr(search_index, "MOST_KEYS", 5)
+    joined = search_index.search_indexed(stored, path, "number 299", "seq")
+    assert sorted(row.seq for row in joined.collect()) == expected
+    assert "LeftSemi" in joined._jdf.queryExecution().executedPlan().toString()
+
+
+def test_index_of_keys_of_other_types(spark, tmp_path):
+    frame = spark.createDataFrame([(f"t{at:03}", f"post number {at}", None) for at in range(400)], "id string, title string, author string")
+    search_index.build_index(frame, str(tmp_path / "index"), "id")
+    for term in ("number 1", "number 39", "nowhere"):
+        found = search_index.search_indexed(frame, str(tmp_path / "index"), term, "id")
+        assert sorted(found.collect()) == sorted(feed.search_posts(frame, term).collect())
+
+
+@pytest.mark.parametrize("most", [1000, 0])
+def test_posts_without_a_key_are_found(spark, tmp_path, monkeypatch, most):
+    monkeypatch.setattr(search_index, "MOST_KEYS", most)
+    rows = [("post without key 7", None, None), ("post without key 8", None, None)]
+    rows += [(f"post number {at}", None, at) for at in range(40)]
+    frame = spark.createDataFrame(rows, "title string, author string, seq int")
+    search_index.build_index(frame, str(tmp_path / "index"), "seq")
+    for term in ("key 7", "er 7", "r 38"):
+        found = search_index.search_indexed(frame, str(tmp_path / "index"), term, "seq")
+        assert found.columns == frame.columns
+        assert sorted(row.title for row in found.collect()) == sorted(row.title for row in feed.search_posts(frame, term).collect())
+
+
+@pytest.mark.parametrize("size", [1, 2, 31, 32, 33, 64, 65, 999, 1000])
+def test_ranges_hold_all_keys(size):
+    numbers = [at * at for at in range(size)]
+    for kind, keys in ((T.LongType(), numbers), (T.StringType(), [f"{at:07}" for at in numbers])):
+        ranges = search_index.key_ranges(keys[::-1], kind)
+        assert len(ranges) <= search_index.RANGES and all(first <= last for first, last in ranges)
+        assert all(a[1] < b[0] for a, b in zip(ranges, ranges[1:]))
+        assert all(any(first <= key <= last for first, last in ranges) for key in keys)
+    assert search_index.key_ranges([1, 2, 90, 91, 500], T.LongType(), 3) == [(1, 2), (90, 91), (500, 500)]
+
+
 def test_index_grows_by_entries(spark, tmp_path):
     """New, changed, removed and replayed posts, an empty batch, and all entries made one."""
     path, schema = str(tmp_path / "index"), "seq long, title string, author string"
