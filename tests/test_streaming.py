@@ -1,9 +1,12 @@
 import json
 import os
+import time
 
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
+from postlake.plans import jobs
 from postlake.sources.messages import parse_posts
 from postlake.streaming import queries, sources
 
@@ -185,3 +188,42 @@ def test_console_monitor(spark, tmp_path):
     query.awaitTermination()
     assert query.exception() is None
     spark.streams.awaitAnyTermination(1)
+
+
+def test_the_ingest_job_ends_when_one_community_fails(spark, tmp_path, monkeypatch):
+    """Each community is a query with a table and a position of its own; the job waits for any of them to end."""
+    for name in ("news", "aws"):
+        write_lines(tmp_path / f"in_{name}", "a.json", [post(n, subreddit=name) for n in range(3)])
+    asked, real_writer = [], jobs.writer_of
+
+    def open_files(spark, fmt, **options):
+        asked.append((fmt, options["subscribe"], options["startingOffsets"], options["kafka.isolation.level"]))
+        lines = messages(spark, tmp_path / f"in_{options['subscribe'].removeprefix(sources.TOPIC_PREFIX)}")
+        return lines.selectExpr("value", "TIMESTAMP '2024-01-01' AS timestamp", "0 AS partition", "0L AS offset")
+
+    def writer_of(chosen, name):
+        def fail(batch, batch_id):
+            raise RuntimeError("the table is gone")
+
+        return fail if name == "aws" else real_writer(chosen, name)
+
+    monkeypatch.setattr(jobs, "open_messages", open_files)
+    monkeypatch.setattr(jobs, "writer_of", writer_of)
+    lake = str(tmp_path / "lake")
+    chosen = jobs.arguments(["--lake", lake, "ingest", "--servers", "h:1", "--starting", "earliest", "news", "aws"])
+    spark.streams.resetTerminated()
+    try:
+        with pytest.raises(StreamingQueryException, match="the table is gone"):
+            jobs.JOBS[chosen.job](spark, chosen)
+        (left,) = spark.streams.active
+        assert left.name == "news"
+        until = time.monotonic() + 60
+        while not any(progress["numInputRows"] for progress in left.recentProgress) and time.monotonic() < until:
+            time.sleep(0.2)
+        assert sorted(row.id for row in spark.read.parquet(f"{lake}/news").collect()) == ["0", "1", "2"]
+        assert not os.path.exists(f"{lake}/aws") and os.path.isdir(f"{lake}/_aside/aws/checkpoint/offsets")
+    finally:
+        for query in spark.streams.active:
+            query.stop()
+        spark.streams.resetTerminated()
+    assert asked == [("kafka", f"{sources.TOPIC_PREFIX}{name}", "earliest", "read_committed") for name in ("news", "aws")]
