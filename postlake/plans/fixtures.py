@@ -131,7 +131,14 @@ def listings(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def streamed_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A table as a file stream, be it one file or a folder of files.
+
+    The path is a pattern, since a stream takes a plain path to be a folder, and a filter by name would look at the files inside.
+    """
+    return spark.readStream.schema(table(spark, folder, name).schema).parquet(f"{folder}/{{{name}.parquet}}")
+
+
 def streamed_events(spark: SparkSession, folder: str) -> DataFrame:
     """The events table as a file stream."""
-    schema = table(spark, folder, "events").schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(folder)
+    return streamed_table(spark, folder, "events")

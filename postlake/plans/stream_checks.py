@@ -163,9 +163,8 @@ def stream_batch_dedup(spark, folder):
 
 @check("stream_quarantine", "SELECT text AS message FROM documents")
 def stream_quarantine(spark, folder):
-    documents = fixtures.table(spark, folder, "documents")
-    stream = stream_session(spark).readStream.schema(documents.schema).option("pathGlobFilter", "documents.parquet").parquet(folder)
-    base = run_ingest(spark, stream.select(F.col("text").alias("value")))
+    documents = fixtures.streamed_table(stream_session(spark), folder, "documents")
+    base = run_ingest(spark, documents.select(F.col("text").alias("value")))
     return spark.read.parquet(f"{base}/quarantine").select("message")
 
 

@@ -6,7 +6,7 @@ import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
-from postlake.plans import jobs
+from postlake.plans import jobs, stream_checks
 from postlake.sources.messages import parse_posts
 from postlake.streaming import queries, sources
 
@@ -227,3 +227,25 @@ def test_the_ingest_job_ends_when_one_community_fails(spark, tmp_path, monkeypat
             query.stop()
         spark.streams.resetTerminated()
     assert asked == [("kafka", f"{sources.TOPIC_PREFIX}{name}", "earliest", "read_committed") for name in ("news", "aws")]
+
+
+@pytest.mark.parametrize("files", [1, 3])
+def test_a_table_is_streamed_whole_as_one_file_or_as_a_folder(spark, tmp_path, files):
+    rows = [(at, None if at == 4 else f"text {at}", "en", "web", 6) for at in range(9)]
+    documents = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    documents.repartition(files).write.parquet(str(tmp_path / "documents.parquet"))
+    posts = spark.range(9).selectExpr(
+        "id AS event_id", "timestamp_ntz'2024-01-01 00:00:00' AS ts", "id AS user_id", "'view' AS event_type", "1.5D AS value",
+        "'{\"k\": 1}' AS props",
+    )
+    posts.repartition(files).write.parquet(str(tmp_path / "events.parquet"))
+    if files == 1:
+        for name in ("documents", "events"):
+            part = next((tmp_path / f"{name}.parquet").glob("part-*"))
+            os.rename(part, tmp_path / "part")
+            os.rename(tmp_path / f"{name}.parquet", tmp_path / f"{name}-written")
+            os.rename(tmp_path / "part", tmp_path / f"{name}.parquet")
+    streamed = stream_checks.stream_quarantine(spark, str(tmp_path)).collect()
+    assert sorted(str(row.message) for row in streamed) == sorted(str(row[1]) for row in rows)
+    events = stream_checks.stream_append_sink(spark, str(tmp_path)).collect()
+    assert sorted(row.event_id for row in events) == list(range(9))
