@@ -13,6 +13,7 @@ makes one entry of all. Counts may then count a post more than once, which only
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -29,6 +30,7 @@ MOST_LISTS = 3  # the rarest lists that are intersected
 RARE_SHARE = 0.2  # of the posts that a rarest list may hold; beyond it a scan reads less
 MOST_KEYS = 1000  # that are looked up by ranges instead of a join
 RANGES = 32
+TASK_ROWS = 500_000  # of lists that one task sorts and writes
 SEARCHED = ("title", "author")
 WHOLE = ""  # the count of this gram is the number of posts
 
@@ -53,8 +55,15 @@ def build_index(posts: DataFrame, path: str, key: str, columns: Sequence[str] =
     can be found once its entry is whole.
     """
     all_grams = F.array_distinct(F.flatten(F.array(*[grams(F.col(name)) for name in columns])))
+    held = posts.agg(F.count(F.lit(1)).alias("posts"), F.sum(F.size(all_grams)).alias("rows")).collect()[0]
     rows = posts.select(F.col(key).alias("key"), F.explode(all_grams).alias("gram")).withColumn("bucket", bucket_of(F.col("gram")))
-    write_entry(rows.repartitionByRange("bucket", "gram", "key"), posts.agg(F.count(F.lit(1)).alias("posts")), path, entry)
+    whole = posts.sparkSession.range(1).select(F.lit(held["posts"]).cast("long").alias("posts"))
+    write_entry(in_ranges(rows, held["rows"] or 0), whole, path, entry)
+
+
+def in_ranges(lists: DataFrame, rows: int) -> DataFrame:
+    """Ranges of bucket, trigram and key, as many as `rows` need: sorted lists shrink so much that their bytes tell little of their memory."""
+    return lists.repartitionByRange(max(1, math.ceil(rows / TASK_ROWS)), "bucket", "gram", "key")
 
 
 def write_entry(lists: DataFrame, whole: DataFrame, path: str, entry: str) -> None:
@@ -73,7 +82,7 @@ def compact_index(spark: SparkSession, path: str, target: str, entry: str = "com
     """All entries as a single one in a new folder, each post once per list."""
     lists = spark.read.parquet(f"{path}/lists").select("bucket", "gram", "key")
     whole = spark.read.parquet(f"{path}/counts").filter(F.col("gram") == WHOLE).agg(F.sum("posts").alias("posts"))
-    write_entry(lists.repartitionByRange("bucket", "gram", "key").distinct(), whole, target, entry)
+    write_entry(in_ranges(lists, lists.count()).distinct(), whole, target, entry)
 
 
 def rarest_lists(spark: SparkSession, path: str, term: str) -> list[str] | None:

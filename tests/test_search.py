@@ -122,6 +122,19 @@ def test_index_grows_by_entries(spark, tmp_path):
     assert search_index.search_indexed(stored.limit(0), str(tmp_path / "none"), "fresh", "seq").collect() == []
 
 
+def test_a_task_sorts_a_bounded_part_of_the_lists(spark, tmp_path, monkeypatch):
+    """The ranges grow with the rows of the lists, however small they are as bytes."""
+    monkeypatch.setattr(search_index, "TASK_ROWS", 500, raising=False)
+    posts = spark.range(600).selectExpr("id AS seq", "concat('post number ', id) AS title", "CAST(NULL AS STRING) AS author")
+    path, one = str(tmp_path / "index"), str(tmp_path / "one")
+    search_index.build_index(posts, path, "seq")
+    search_index.compact_index(spark, path, one)
+    for index in (path, one):
+        lists = spark.read.parquet(f"{index}/lists").withColumn("task", F.regexp_extract(F.input_file_name(), r"part-(\d+)", 1))
+        held = [row["count"] for row in lists.groupBy("task").count().collect()]
+        assert sum(held) == lists.count() > 5000 and max(held) <= 1000
+
+
 def test_compaction_shuffles_the_lists_once(indexed, spark):
     _, path = indexed
     lists = spark.read.parquet(f"{path}/lists").select("bucket", "gram", "key")
