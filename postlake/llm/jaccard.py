@@ -199,26 +199,59 @@ def document_info(docs: DataFrame, runs: int) -> DataFrame:
     return map_batches(docs, run, T.StructType([docs.schema["doc_id"], docs.schema["text_key"], *INFO]))
 
 
-def memberships(info: DataFrame) -> DataFrame:
-    """bucket, size, mark: the classes of every bucket that is to be compared."""
-    paths = info.where("mark IS NOT NULL").select("mark", "paths").dropDuplicates(["mark"])
-    rows = paths.select("mark", F.inline("paths"))
+def path_rows(info: DataFrame) -> DataFrame:
+    """mark and the keys of one path a row, of every class."""
+    return info.where("mark IS NOT NULL").select("mark", "paths").dropDuplicates(["mark"]).select("mark", F.inline("paths"))
+
+
+def at_level(rows: DataFrame, level: int) -> DataFrame:
+    """mark and bucket of one level."""
+    return rows.where(f"new{level}").select("mark", F.col(f"key{level}").alias("bucket"))
+
+
+def shared_sizes(own: DataFrame) -> DataFrame:
+    """bucket and size of the buckets with more than one class."""
+    return checkpointed(own.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1"))
+
+
+def memberships(info: DataFrame, first: DataFrame | None = None, split: DataFrame | None = None) -> DataFrame:
+    """bucket, size, mark: the classes of every bucket that is to be compared.
+
+    `first` holds the sizes of the first level where they are known, `split` the large buckets of that level that are to be
+    split, all if it is not given.
+    """
+    rows = path_rows(info)
     parts = []
     for level in range(1, DEPTH + 1):
-        own = rows.where(f"new{level}").select("mark", F.col(f"key{level}").alias("bucket"))
-        sizes = checkpointed(own.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1"))
+        own = at_level(rows, level)
+        sizes = first if level == 1 and first is not None else shared_sizes(own)
         last = level == DEPTH
         compared = sizes if last else sizes.where(F.col("size") <= SMALL)
         parts.append(own.join(compared, "bucket"))
         if not last:
-            split = broadcast_if_small(sizes.where(F.col("size") > SMALL).select(F.col("bucket").alias(f"key{level}")))
-            rows = checkpointed(rows.where(f"key{level + 1} != 0").join(split, f"key{level}", "left_semi"))
+            large = split if level == 1 and split is not None else sizes.where(F.col("size") > SMALL)
+            large = broadcast_if_small(large.select(F.col("bucket").alias(f"key{level}")))
+            rows = checkpointed(rows.where(f"key{level + 1} != 0").join(large, f"key{level}", "left_semi"))
     merged = parts[0]
     for part in parts[1:]:
         merged = merged.unionByName(part)
     return merged
 
 
+def in_clusters(buckets: DataFrame, clusters: DataFrame | None) -> DataFrame:
+    """`buckets` with the `cluster` of each class, itself where it is in none."""
+    if clusters is None:
+        return buckets.withColumn("cluster", F.col("mark"))
+    named = buckets.join(broadcast_if_small(clusters), "mark", "left")
+    return named.select(*buckets.columns, F.coalesce("cluster", "mark").alias("cluster"))
+
+
+def held_by_several(buckets: DataFrame, clusters: DataFrame) -> DataFrame:
+    """The buckets that do not lie within one cluster."""
+    spans = in_clusters(buckets, clusters).groupBy("bucket").agg(F.min("cluster").alias("least"), F.max("cluster").alias("most"))
+    return spans.where("least != most").select("bucket")
+
+
 def pairs_of_blocks(rows: DataFrame, first: Column, last: Column) -> DataFrame:
     """`rows`, which have a `block`, once for each block from `first` to `last`; i and j name the pair."""
     return (
@@ -234,13 +267,12 @@ def dealt(member: str, key: str, blocks: Column) -> Column:
     return F.pmod(F.xxhash64(member, key, F.lit(3)), blocks).cast("int")
 
 
-def connecting_groups(buckets: DataFrame) -> DataFrame:
-    """Every class in its largest buckets, large ones cut into blocks; every class is a cluster of its own."""
+def connecting_groups(buckets: DataFrame, clusters: DataFrame | None = None) -> DataFrame:
+    """Every class in its largest buckets, large ones cut into blocks."""
     largest = Window.partitionBy("mark").orderBy(F.desc("size"), "bucket")
     chosen = buckets.withColumn("place", F.row_number().over(largest)).where(F.col("place") <= CONNECTING)
-    rows = chosen.withColumn("block", dealt("mark", "bucket", F.ceil(F.col("size") / BLOCK)))
-    return rows.select(F.col("bucket").alias("key"), F.col("block").alias("i"), F.col("block").alias("j"), "block", "mark",
-                       F.col("mark").alias("cluster"))
+    rows = in_clusters(chosen.withColumn("block", dealt("mark", "bucket", F.ceil(F.col("size") / BLOCK))), clusters)
+    return rows.select(F.col("bucket").alias("key"), F.col("block").alias("i"), F.col("block").alias("j"), "block", "mark", "cluster")
 
 
 def remaining_groups(buckets: DataFrame, clusters: DataFrame) -> DataFrame:
@@ -248,11 +280,7 @@ def remaining_groups(buckets: DataFrame, clusters: DataFrame) -> DataFrame:
 
     A large bucket is cut into blocks of its largest cluster and blocks of the rest; two of the former are never paired.
     """
-    rows = checkpointed(
-        buckets.select("bucket", "mark")
-        .join(broadcast_if_small(clusters), "mark", "left")
-        .select("bucket", "mark", F.coalesce("cluster", "mark").alias("cluster"))
-    )
+    rows = checkpointed(in_clusters(buckets.select("bucket", "mark"), clusters))
     held = rows.groupBy("bucket", "cluster").agg(F.count("*").alias("held")).groupBy("bucket")
     mixed = held.agg(F.max(F.struct("held", "cluster")).alias("most"), F.sum("held").alias("size"), F.count("*").alias("clusters"))
     mixed = mixed.where("clusters > 1").select("bucket", "size", "most")
@@ -438,24 +466,38 @@ def shingle_sets(docs: DataFrame) -> DataFrame:
     return map_batches(docs.select("text"), run, "mark binary, tokens binary")
 
 
-def likely_clusters(buckets: DataFrame, info: DataFrame) -> DataFrame:
-    """mark and cluster of every class that looks similar to another one."""
-    buckets = checkpointed(buckets)
-    sketches = checkpointed(info.where("mark IS NOT NULL").select("mark", "n", "bottom").dropDuplicates(["mark"]))
+def linked(groups: DataFrame, sketches: DataFrame) -> DataFrame:
+    """node and root of the clusters that look similar in a group."""
+    return components(checkpointed(by_group(groups.join(sketches, "mark"), likely_links, "a binary, b binary")))
 
-    def linked(groups: DataFrame) -> DataFrame:
-        found = checkpointed(by_group(groups.join(sketches, "mark"), likely_links, "a binary, b binary"))
-        return components(found)
 
-    first = linked(connecting_groups(buckets)).select(F.col("node").alias("mark"), F.col("root").alias("cluster"))
-    second = linked(remaining_groups(buckets, first))
+def grown(clusters: DataFrame | None, roots: DataFrame) -> DataFrame:
+    """mark and cluster, after the clusters named by `node` have been joined to their `root`."""
     # A cluster bears the name of one of its classes; a node that is none was a class by itself until now.
-    named = first.unionByName(second.select(F.col("node").alias("mark"), F.col("node").alias("cluster"))).distinct()
-    return named.join(second.withColumnRenamed("node", "cluster"), "cluster", "left").select(
+    own = roots.select(F.col("node").alias("mark"), F.col("node").alias("cluster"))
+    named = own if clusters is None else clusters.unionByName(own).dropDuplicates(["mark"])
+    return named.join(roots.withColumnRenamed("node", "cluster"), "cluster", "left").select(
         "mark", F.coalesce("root", "cluster").alias("cluster")
     )
 
 
+def likely_clusters(info: DataFrame) -> DataFrame:
+    """mark and cluster of every class that looks similar to another one.
+
+    Large buckets of the first level are compared within blocks before they are split. Those that then lie in a single
+    cluster are not split, so a group of near-copies is not carried through all runs and levels.
+    """
+    sketches = checkpointed(info.where("mark IS NOT NULL").select("mark", "n", "bottom").dropDuplicates(["mark"]))
+    own = at_level(path_rows(info), 1)
+    first = shared_sizes(own)
+    large = checkpointed(own.join(broadcast_if_small(first.where(F.col("size") > SMALL)), "bucket"))
+    clusters = checkpointed(grown(None, linked(connecting_groups(large), sketches)))
+    buckets = checkpointed(memberships(info, first, held_by_several(large, clusters)))
+    for groups in (connecting_groups, remaining_groups):
+        clusters = checkpointed(grown(clusters, linked(groups(buckets, clusters), sketches)))
+    return clusters
+
+
 def similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", target_recall: float = TARGET_RECALL) -> DataFrame:
     """doc_id, text_key, class_id, n_links, copies: one row per document.
 
@@ -477,7 +519,7 @@ def similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", target_
         )
     )
 
-    clusters = likely_clusters(memberships(info), info)
+    clusters = likely_clusters(info)
     members = checkpointed(clusters.join(classes, "mark").select("mark", "cluster", "copies", "n", "shown"))
     shown = broadcast_if_small(members.select(F.col("shown").alias("key")).distinct())
     wanted = texts.withColumn("key", F.struct("doc_id", "text_key")).join(shown, "key", "left_semi")
