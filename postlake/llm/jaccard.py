@@ -144,13 +144,18 @@ def firsts(keys: np.ndarray) -> np.ndarray:
     return np.concatenate(([True], keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, dtype=bool)
 
 
-PATH = T.StructType([T.StructField(f"key{level}", T.LongType()) for level in range(1, DEPTH + 1)]
-                    + [T.StructField(f"new{level}", T.BooleanType()) for level in range(1, DEPTH + 1)])
+def path_type(levels: int = DEPTH) -> T.ArrayType:
+    """Buckets of a level, each once and with those that a set chooses below it; the last level has keys only."""
+    if levels == 1:
+        return T.ArrayType(T.LongType())
+    return T.ArrayType(T.StructType([T.StructField("bucket", T.LongType()), T.StructField("below", path_type(levels - 1))]))
+
+
 INFO = [
     T.StructField("mark", T.BinaryType()),
     T.StructField("n", T.LongType()),
     T.StructField("bottom", T.BinaryType()),
-    T.StructField("paths", T.ArrayType(PATH)),
+    T.StructField("paths", path_type()),
 ]
 
 
@@ -160,18 +165,20 @@ def mark_of(tokens: np.ndarray) -> bytes | None:
 
 
 def path_arrays(sets: list[np.ndarray], runs: int) -> pa.ListArray:
-    offsets, columns = [0], [[] for _ in PATH]
-    for tokens in sets:
-        if len(tokens):
-            levels = chosen_paths(tokens, runs)
-            for column, values in zip(columns, [*levels, *(firsts(level) & (level != 0) for level in levels)]):
-                column.append(values if values.dtype == bool else values.view(np.int64))
-        offsets.append(offsets[-1] + (len(levels[0]) if len(tokens) else 0))
-    arrays = [
-        pa.array(np.concatenate(column) if column else np.zeros(0, dtype=np.int64 if at < DEPTH else bool))
-        for at, column in enumerate(columns)
-    ]
-    return pa.ListArray.from_arrays(pa.array(offsets, type=pa.int32()), pa.StructArray.from_arrays(arrays, names=PATH.names))
+    """The buckets of each set as nested lists, see `path_type`."""
+    paths = [chosen_paths(tokens, runs) if len(tokens) else [np.zeros(0, dtype=np.uint64)] * DEPTH for tokens in sets]
+    keys = [np.concatenate([own[level] for own in paths]) for level in range(DEPTH)]
+    new = [np.concatenate([firsts(own[level]) & (own[level] != 0) for own in paths]) for level in range(DEPTH)]
+    # Row numbers at which the lists of a level begin, and the end of the last one.
+    begins = [np.cumsum([0, *(len(own[0]) for own in paths)]), *(np.append(np.flatnonzero(x), len(x)) for x in new[:-1])]
+    nested = None
+    for level in reversed(range(DEPTH)):
+        values = pa.array(keys[level][new[level]].view(np.int64))
+        if nested is not None:
+            values = pa.StructArray.from_arrays([values, nested], names=["bucket", "below"])
+        before = np.concatenate(([0], np.cumsum(new[level])))
+        nested = pa.ListArray.from_arrays(pa.array(before[begins[level]], type=pa.int32()), values)
+    return nested
 
 
 def document_info(docs: DataFrame, runs: int) -> DataFrame:
@@ -205,14 +212,17 @@ def memberships(info: DataFrame) -> DataFrame:
     rows = paths.select("mark", F.inline("paths"))
     parts = []
     for level in range(1, DEPTH + 1):
-        own = rows.where(f"new{level}").select("mark", F.col(f"key{level}").alias("bucket"))
+        own = rows.select("mark", "bucket")
         sizes = checkpointed(own.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1"))
         last = level == DEPTH
         compared = sizes if last else sizes.where(F.col("size") <= SMALL)
         parts.append(own.join(compared, "bucket"))
         if not last:
-            split = broadcast_if_small(sizes.where(F.col("size") > SMALL).select(F.col("bucket").alias(f"key{level}")))
-            rows = checkpointed(rows.where(f"key{level + 1} != 0").join(split, f"key{level}", "left_semi"))
+            # A set goes once into a bucket that is split and takes all it has chosen below along.
+            split = broadcast_if_small(sizes.where(F.col("size") > SMALL).select("bucket"))
+            opened = checkpointed(rows.where(F.size("below") > 0).join(split, "bucket", "left_semi"))
+            below = F.inline("below") if level + 1 < DEPTH else F.explode("below").alias("bucket")
+            rows = opened.select("mark", below)
     merged = parts[0]
     for part in parts[1:]:
         merged = merged.unionByName(part)

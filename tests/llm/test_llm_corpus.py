@@ -95,6 +95,32 @@ def test_a_large_group_is_joined_once(spark, monkeypatch):
     assert found == brute_similar(dict(enumerate(texts)))
 
 
+def test_a_set_goes_once_into_each_bucket_that_is_split(spark, monkeypatch):
+    """Rows of the split are the sets of large buckets, not their paths; the buckets are those of `chosen_paths`."""
+    monkeypatch.setattr(jaccard, "SMALL", 4)
+    rng = random.Random(21)
+    passage = prose(rng, 30)
+    texts = [passage + " " + prose(rng, 30) for _ in range(60)] + [prose(rng, 40) for _ in range(20)] + ["one two", "", None]
+    shingle, runs = jaccard.Shingler(), jaccard.runs_for()
+    paths = [list(zip(*jaccard.chosen_paths(tokens, runs))) for tokens in map(shingle, texts) if len(tokens)]
+    expected, split = collections.Counter(), []
+    for level in range(jaccard.DEPTH):
+        sizes = collections.Counter(key for own in paths for key in {path[level] for path in own} if key)
+        last = level + 1 == jaccard.DEPTH
+        expected.update(n for n in sizes.values() if n > 1 and (last or n <= jaccard.SMALL))
+        if not last:
+            paths = [[path for path in own if sizes[path[level]] > jaccard.SMALL and path[level + 1]] for own in paths]
+            split.append(sum(len({path[level] for path in own}) for own in paths))
+
+    fixed, keep = [], jaccard.checkpointed
+    monkeypatch.setattr(jaccard, "checkpointed", lambda rows: fixed.append(keep(rows)) or fixed[-1])
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    info = jaccard.document_info(docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text"), runs)
+    found = jaccard.memberships(info).groupBy("bucket", "size").agg(F.count("*").alias("rows")).collect()
+    assert collections.Counter(row["size"] for row in found) == expected and all(row["size"] == row["rows"] for row in found)
+    assert [rows.count() for rows in fixed if "mark" in rows.columns] == split and min(split) > 100
+
+
 def test_components(spark):
     rng = random.Random(7)
     links = [(at, at + 1) for at in range(0, 60)] + [(100, at) for at in range(101, 140)] + [(5, 5), (200, 200)]
