@@ -23,8 +23,16 @@ def broadcast_if_small(rows: DataFrame, most: int = MOST_ROWS) -> DataFrame:
     return F.broadcast(fixed) if n <= most else fixed
 
 
-def settled(rows: DataFrame, most: int = MOST_ROWS) -> DataFrame:
-    """Narrow rows, fixed in the shared folder: in one partition if there are at most `most`, so that joins and sums of such
-    rows take one task and no shuffle; else as they are."""
-    fixed, n = fixed_and_counted(rows)
-    return fixed.coalesce(1) if n <= most else fixed
+def settled(rows: DataFrame, path: str, most: int = MOST_ROWS) -> DataFrame:
+    """Narrow rows, written to `path`: in one partition if there are at most `most`, so that joins and sums of such rows take
+    one task and no shuffle; else as they are.
+
+    A checkpoint keeps the planner's estimate of its size, for a join the product of both sides. Where every round joins rows
+    of the round before, this number has more than twice the digits after each join, until it alone fills the driver's memory.
+    Files bring a size of their own; they are written plainly, so that a few bytes never stand for many rows.
+    """
+    seen = Observation()
+    writer = rows.observe(seen, F.count(F.lit(1)).alias("n")).write
+    writer.option("compression", "none").option("parquet.enable.dictionary", "false").parquet(path)
+    fixed = rows.sparkSession.read.schema(rows.schema).parquet(path)
+    return fixed.coalesce(1) if seen.get["n"] <= most else fixed

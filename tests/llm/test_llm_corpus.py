@@ -2,7 +2,10 @@
 
 import collections
 import hashlib
+import os
 import random
+import sys
+from functools import partial
 
 import duckdb
 import numpy as np
@@ -14,6 +17,7 @@ import corpus_pipeline
 from postlake.llm import chat, contamination, jaccard, mixing, packing, toxicity
 from postlake.llm.components import components
 from postlake.llm.words import split_words, table
+from postlake.session import shared_root
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -142,6 +146,21 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+@pytest.mark.parametrize("most", [0, 50_000])
+def test_estimates_do_not_grow_with_the_rounds(spark, monkeypatch, most):
+    """The planner's size of the result is that of its rows, however many joins led to it, and no files are left."""
+    module = sys.modules["postlake.llm.components"]
+    monkeypatch.setattr(module, "settled", partial(module.settled, most=most))
+    # Ends of chains in the order of their nodes take seven joins, and these chains are linked to each other by later nodes.
+    links = [(100 * chain + at, 100 * chain + at + 1) for chain in range(4) for at in range(90)]
+    links += [(100 * chain + 60, 100 * chain + 175) for chain in range(3)]
+    found = components(spark.createDataFrame(links, "a long, b long"))
+    assert {(row["node"], row["root"]) for row in found.collect()} == {(node, 0) for link in links for node in link}
+    assert found._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().bit_length() < 64
+    kept = os.path.join(shared_root(spark).removeprefix("file:"), "postlake")
+    assert not [name for name in os.listdir(kept) if name.startswith("components-")]
+
+
 def test_runs_reach_the_target():
     assert jaccard.survival(1) > jaccard.survival(3) > 0.4
     assert (1 - jaccard.survival(jaccard.DEPTH)) ** jaccard.runs_for(0.999) <= 0.001
